@@ -6,3 +6,4 @@ from . import click_queries  # noqa: F401
 from .click_queries import entry_query  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
 from . import grouping_queries  # noqa: F401,E402
+from . import label_queries  # noqa: F401,E402
