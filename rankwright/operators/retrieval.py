@@ -19,12 +19,15 @@ classic idf; they are not defined by the reference (its service scores).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import tokens
+from ..session import spread
 
 # Field name -> (source column, analyzer).
 FIELDS = {"text": ("text", "stem"), "text_plain": ("text", "plain")}
@@ -42,21 +45,60 @@ def analyze(col, analyzer: str) -> Column:
     raise ValueError(analyzer)
 
 
-def doc_terms(docs: DataFrame, field: str) -> DataFrame:
-    """Postings: (lang, doc_id, term, tf, dl)."""
+@dataclass
+class TextIndex:
+    """Postings and statistics of a document table, built once and reused by
+    every feature of a job (persisted; recomputed from lineage if a block is
+    lost).  Pass it wherever a ``docs`` DataFrame is accepted."""
+    docs: DataFrame
+    postings: dict = field(default_factory=dict)
+    stats: dict = field(default_factory=dict)
+
+    def unpersist(self) -> None:
+        for df in list(self.postings.values()) + list(self.stats.values()):
+            df.unpersist()
+
+
+def build_index(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS)) -> TextIndex:
+    docs = spread(docs, "doc_id")
+    idx = TextIndex(docs)
+    for f in fields:
+        idx.postings[f] = _doc_terms(docs, f).persist(StorageLevel.MEMORY_AND_DISK)
+        idx.stats[f] = _field_stats(docs, f).persist(StorageLevel.MEMORY_AND_DISK)
+    return idx
+
+
+def _docs(docs) -> DataFrame:
+    return docs.docs if isinstance(docs, TextIndex) else docs
+
+
+def _doc_terms(docs: DataFrame, field: str) -> DataFrame:
     src, analyzer = FIELDS[field]
     toks = docs.select("lang", "doc_id", analyze(src, analyzer).alias("_t"))
     return (toks.select("lang", "doc_id", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
             .groupBy("lang", "doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def field_stats(docs: DataFrame, field: str) -> DataFrame:
-    """(lang, n_docs, avg_dl) of a field."""
+def _field_stats(docs: DataFrame, field: str) -> DataFrame:
     src, analyzer = FIELDS[field]
     return (docs.select("lang", F.size(analyze(src, analyzer)).alias("dl"))
             .groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl")))
 
 
+def doc_terms(docs, field: str) -> DataFrame:
+    """Postings: (lang, doc_id, term, tf, dl)."""
+    if isinstance(docs, TextIndex) and field in docs.postings:
+        return docs.postings[field]
+    return _doc_terms(_docs(docs), field)
+
+
+def field_stats(docs, field: str) -> DataFrame:
+    """(lang, n_docs, avg_dl) of a field."""
+    if isinstance(docs, TextIndex) and field in docs.stats:
+        return docs.stats[field]
+    return _field_stats(_docs(docs), field)
+
+
 def term_stats(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS)) -> DataFrame:
     """(lang, field, term, df, ttf) for every indexed term."""
     out = None
@@ -119,7 +161,7 @@ def phrase_match(queries: DataFrame, docs: DataFrame, id_col: str = "item_id", t
     # token boundaries.
     phrase = queries.select(id_col, F.concat(F.lit(" "), F.array_join(analyze(text_col, "plain"), "  "),
                                              F.lit(" ")).alias("_p"))
-    body = docs.select("doc_id", F.concat(F.lit("  "), F.array_join(analyze("text", "plain"), "  "),
+    body = _docs(docs).select("doc_id", F.concat(F.lit("  "), F.array_join(analyze("text", "plain"), "  "),
                                           F.lit("  ")).alias("_d"))
     occ = ((F.length("_d") - F.length(F.replace("_d", "_p", F.lit("")))) / F.length("_p")).cast("bigint")
     return (cand.join(phrase, id_col).join(body, "doc_id")
@@ -163,9 +205,9 @@ def unique_terms(queries: DataFrame, id_col: str = "item_id", text_col: str = "t
     ).withColumn("unique_terms_diff", F.col("unique_terms_plain") - F.col("unique_terms"))
 
 
-def field_value(docs: DataFrame, values: DataFrame, value_col: str, name: str | None = None) -> DataFrame:
+def field_value(docs, values: DataFrame, value_col: str, name: str | None = None) -> DataFrame:
     """Query-independent per-document value; missing → 0."""
-    return (docs.select("doc_id").join(values.select("doc_id", value_col), "doc_id", "left")
+    return (_docs(docs).select("doc_id").join(values.select("doc_id", value_col), "doc_id", "left")
             .select("doc_id", F.coalesce(F.col(value_col).cast("double"), F.lit(0.0)).alias(name or value_col)))
 
 

@@ -8,3 +8,4 @@ from .registry import ORACLE, QUERIES  # noqa: F401
 from . import grouping_queries  # noqa: F401,E402
 from . import label_queries  # noqa: F401,E402
 from . import retrieval_queries  # noqa: F401,E402
+from . import feature_queries  # noqa: F401,E402
