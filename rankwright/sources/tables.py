@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def click_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def click_rows(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """One row per displayed hit, mapped from the order tables.
 
     session = order, wiki = market segment, query = priority + customer bucket,
@@ -36,8 +36,9 @@ def click_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     key; the position window is partitioned by the same key, so it reuses the
     join's hash partitioning instead of shuffling again.
     """
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-               "l_extendedprice", "l_shipdate", "l_returnflag", "l_quantity")
+    li = table(spark, sf_dir, "lineitem", *dict.fromkeys((
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate",
+        "l_returnflag", "l_quantity", *extra)))
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderpriority")
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
     sessions = orders.join(cust, orders.o_custkey == cust.c_custkey)
@@ -55,9 +56,15 @@ def click_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_partkey") % 20).cast("int").alias("hit_page_id"),
         (F.col("l_returnflag") == "R").alias("clicked"),
         F.floor((F.col("l_quantity") - 1) / 10).cast("int").alias("label"),
+        *extra,
     )
 
 
+def click_rows_sql(extra: tuple[str, ...] = ()) -> str:
+    cols = "".join(f", l.{c}" for c in extra)
+    return CLICK_ROWS_SQL.replace("AS label\n", f"AS label{cols}\n")
+
+
 CLICK_ROWS_SQL = """
 SELECT c.c_mktsegment AS wikiid,
        CAST(o.o_orderkey AS VARCHAR) AS session_id,
@@ -95,3 +102,28 @@ def raw_click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.transform("h", lambda x: F.struct(x["hit_page_id"].alias("pageid"))).alias("hits"),
                     F.transform(F.filter("h", lambda x: x["clicked"]),
                                 lambda x: F.struct(x["hit_page_id"].alias("pageid"))).alias("clicks")))
+
+
+TRAIN_FEATURES = ("f_position", "f_price", "f_discount", "f_tax", "f_ctr", "f_shown")
+
+
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labeled (wikiid, query, hit_page_id) rows with numeric features, the
+    input of feature selection, folds and ranker training."""
+    h = click_rows(spark, sf_dir, ("l_extendedprice", "l_discount", "l_tax"))
+    return (h.groupBy("wikiid", "query", "hit_page_id")
+            .agg(F.max("label").alias("label"),
+                 F.avg("hit_position").alias("f_position"),
+                 F.avg("l_extendedprice").alias("f_price"),
+                 F.avg("l_discount").alias("f_discount"),
+                 F.avg("l_tax").alias("f_tax"),
+                 F.avg(F.col("clicked").cast("double")).alias("f_ctr"),
+                 F.count(F.lit(1)).cast("double").alias("f_shown")))
+
+
+TRAINING_ROWS_SQL = f"""
+h AS ({click_rows_sql(("l_extendedprice", "l_discount", "l_tax"))}),
+tr AS (SELECT wikiid, query, hit_page_id, max(label) AS label, avg(hit_position) AS f_position,
+              avg(l_extendedprice) AS f_price, avg(l_discount) AS f_discount, avg(l_tax) AS f_tax,
+              avg(CAST(clicked AS DOUBLE)) AS f_ctr, CAST(count(*) AS DOUBLE) AS f_shown
+       FROM h GROUP BY wikiid, query, hit_page_id)"""
