@@ -28,7 +28,8 @@ def query_ndcg(df: DataFrame, k: int, label_col: str = "label", position_col: st
     pos_order = [F.col(position_col).asc()] + ([F.col(tie_col).asc()] if tie_col else [])
     by_pos = Window.partitionBy(*q).orderBy(*pos_order)
     by_label = Window.partitionBy(*q).orderBy(label.desc())
-    ranked = (df.select(*q, label_col, position_col, *([tie_col] if tie_col and tie_col not in q else []))
+    cols = list(dict.fromkeys([*q, label_col, position_col, *([tie_col] if tie_col else [])]))
+    ranked = (df.select(*cols)
               .withColumn("_rp", F.row_number().over(by_pos))
               .withColumn("_rl", F.row_number().over(by_label)))
     dcg = F.sum(F.when(F.col("_rp") <= k, _gain(label) / F.log2(F.col("_rp") + 1.0)).otherwise(0.0))
