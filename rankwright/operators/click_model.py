@@ -36,65 +36,86 @@ def estep(a: np.ndarray, s: np.ndarray, clicks: np.ndarray, mask: np.ndarray, ga
     a, s, clicks, mask: arrays of shape (P, N); padded positions have mask False.
     Returns (est_a, est_s) of shape (P, N).
     """
-    p, n = a.shape
+    ea, es = _estep_t(np.ascontiguousarray(a.T), np.ascontiguousarray(s.T),
+                      np.ascontiguousarray(clicks.T), np.ascontiguousarray(mask.T), gamma)
+    return ea.T, es.T
+
+
+def _estep_t(a, s, clicks, mask, gamma):
+    """Position-major (N, P) forward-backward: every step reads contiguous rows."""
+    n, p = a.shape
     inv = 1.0 - gamma
-    u00 = np.where(clicks, 0.0, 1.0)
-    u01 = np.where(clicks, (s + inv * (1.0 - s)) * a, inv * (1.0 - a))
-    u11 = np.where(clicks, gamma * (1.0 - s) * a, gamma * (1.0 - a))
+    not_a = 1.0 - a
+    sat = s + inv * (1.0 - s)
     # Padding acts as the identity transition, so beta at the session end is (1, 1).
-    u00 = np.where(mask, u00, 1.0)
-    u01 = np.where(mask, u01, 0.0)
-    u11 = np.where(mask, u11, 1.0)
-    al0 = np.zeros((p, n + 1))
-    al1 = np.zeros((p, n + 1))
-    al1[:, 0] = 1.0
-    be0 = np.ones((p, n + 1))
-    be1 = np.ones((p, n + 1))
+    u00 = np.where(clicks & mask, 0.0, 1.0)
+    u01 = np.where(mask, np.where(clicks, sat * a, inv * not_a), 0.0)
+    u11 = np.where(mask, np.where(clicks, gamma * (1.0 - s) * a, gamma * not_a), 1.0)
+    al0 = np.empty((n + 1, p))
+    al1 = np.empty((n + 1, p))
+    be0 = np.empty((n + 1, p))
+    be1 = np.empty((n + 1, p))
+    al0[0], al1[0], be0[n], be1[n] = 0.0, 1.0, 1.0, 1.0
     for i in range(n):
-        al0[:, i + 1] = al0[:, i] * u00[:, i] + al1[:, i] * u01[:, i]
-        al1[:, i + 1] = al1[:, i] * u11[:, i]
+        np.multiply(al0[i], u00[i], out=al0[i + 1])
+        al0[i + 1] += al1[i] * u01[i]
+        np.multiply(al1[i], u11[i], out=al1[i + 1])
         j = n - 1 - i
-        be0[:, j] = be0[:, j + 1] * u00[:, j]
-        be1[:, j] = be0[:, j + 1] * u01[:, j] + be1[:, j + 1] * u11[:, j]
+        np.multiply(be0[j + 1], u00[j], out=be0[j])
+        np.multiply(be0[j + 1], u01[j], out=be1[j])
+        be1[j] += be1[j + 1] * u11[j]
     ab0 = al0 * be0
     phi = ab0 / (ab0 + al1 * be1)
-    est_a = np.where(clicks, 1.0, a * phi[:, :n])
-    est_s = np.where(clicks, phi[:, 1:] * s / (s + inv * (1.0 - s)), 0.0)
+    est_a = np.where(clicks, 1.0, a * phi[:n])
+    est_s = np.where(clicks, phi[1:] * s / sat, 0.0)
     return est_a, est_s
 
 
-def _pad(seqs: Sequence, n: int, fill, dtype):
+def _pad(seqs: Sequence, n: int, fill, dtype, mask: np.ndarray | None = None):
+    """Left-aligned (P, n) matrix of variable-length sequences."""
     out = np.full((len(seqs), n), fill, dtype=dtype)
-    for i, q in enumerate(seqs):
-        q = np.asarray(q)
-        out[i, : len(q)] = q
+    if len(seqs):
+        if mask is None:
+            lengths = np.fromiter((len(q) for q in seqs), dtype=np.int64, count=len(seqs))
+            mask = np.arange(n)[None, :] < lengths[:, None]
+        out[mask] = np.concatenate([np.asarray(q, dtype=dtype) for q in seqs])
     return out
 
 
 def _train_local(pages: Sequence, clicks: Sequence, weights: np.ndarray, iterations: int,
-                 default_rel: float, gamma: float):
-    uniq, inverse = np.unique(np.concatenate([np.asarray(p) for p in pages]), return_inverse=True)
-    lengths = np.array([len(p) for p in pages])
+                 default_rel: float, gamma: float, group_ids: np.ndarray | None = None):
+    """EM for one or many query groups at once.  Parameters are indexed by
+    (group, page), so sessions of different groups never share a page; every
+    iteration is a handful of vectorised numpy passes over all sessions."""
+    lengths = np.fromiter((len(p) for p in pages), dtype=np.int64, count=len(pages))
     n = int(lengths.max())
-    idx = np.zeros((len(pages), n), dtype=np.int64)
     mask = np.arange(n)[None, :] < lengths[:, None]
-    idx[mask] = inverse
-    cl = _pad(clicks, n, False, bool) & mask
-    w = np.broadcast_to(weights[:, None], idx.shape)
-    a = np.full(len(uniq), default_rel)
-    s = np.full(len(uniq), default_rel)
-    m, c = mask.ravel(), (cl & mask).ravel()
-    flat_idx = idx.ravel()
+    flat_pages = np.concatenate([np.asarray(p) for p in pages])
+    gids = np.zeros(len(pages), dtype=np.int64) if group_ids is None else np.asarray(group_ids)
+    flat_groups = np.repeat(gids, lengths)
+    codes, uniq = pd.factorize(pd.MultiIndex.from_arrays([flat_groups, flat_pages]))
+    n_params = len(uniq)
+    # Position-major layout (N, P); masked index/weight vectors fixed once.
+    idx = np.zeros((n, len(pages)), dtype=np.int64)
+    mask_t = np.ascontiguousarray(mask.T)
+    idx.T[mask] = codes
+    cl_t = np.ascontiguousarray((_pad(clicks, n, False, bool, mask) & mask).T)
+    w_t = np.broadcast_to(weights[None, :], idx.shape)
+    m_idx, m_w = idx[mask_t], w_t[mask_t]
+    c_sel = cl_t[mask_t]
+    c_idx, c_w = m_idx[c_sel], m_w[c_sel]
+    a = np.full(n_params, default_rel)
+    s = np.full(n_params, default_rel)
     for _ in range(iterations):
-        ea, es = estep(a[idx], s[idx], cl, mask, gamma)
-        wa = (w * ea).ravel()
-        a1 = 1.0 + np.bincount(flat_idx[m], wa[m], len(uniq))
-        a0 = 1.0 + np.bincount(flat_idx[m], (w.ravel() - wa)[m], len(uniq))
-        ws = (w * es).ravel()
-        s1 = 1.0 + np.bincount(flat_idx[c], ws[c], len(uniq))
-        s0 = 1.0 + np.bincount(flat_idx[c], (w.ravel() - ws)[c], len(uniq))
+        ea, es = _estep_t(a[idx], s[idx], cl_t, mask_t, gamma)
+        wa = m_w * ea[mask_t]
+        a1 = 1.0 + np.bincount(m_idx, wa, n_params)
+        a0 = 1.0 + np.bincount(m_idx, m_w - wa, n_params)
+        ws = c_w * es[mask_t][c_sel]
+        s1 = 1.0 + np.bincount(c_idx, ws, n_params)
+        s0 = 1.0 + np.bincount(c_idx, c_w - ws, n_params)
         a, s = a1 / (a1 + a0), s1 / (s1 + s0)
-    return uniq, a, s
+    return uniq.get_level_values(0).to_numpy(), uniq.get_level_values(1).to_numpy(), a, s
 
 
 def patterns(sessions: DataFrame, group_cols: Sequence[str] = GROUP, page_type: str = "bigint") -> DataFrame:
@@ -110,11 +131,15 @@ def patterns(sessions: DataFrame, group_cols: Sequence[str] = GROUP, page_type:
 
 def _local_fn(group_cols, iterations, default_rel, gamma):
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pages, a, s = _train_local(list(pdf["pages"]), list(pdf["clicks"]),
-                                   pdf["weight"].to_numpy(dtype=float), iterations, default_rel, gamma)
-        out = pd.DataFrame({"hit_page_id": pages, "a": a, "s": s})
-        for c in group_cols:
-            out[c] = pdf[c].iloc[0]
+        keys = pdf[list(group_cols)]
+        gid, _ = pd.factorize(pd.MultiIndex.from_frame(keys))
+        g_of, pages, a, s = _train_local(list(pdf["pages"]), list(pdf["clicks"]),
+                                         pdf["weight"].to_numpy(dtype=float), iterations, default_rel,
+                                         gamma, gid)
+        first = pd.Series(np.arange(len(pdf))).groupby(gid).first()
+        out = keys.iloc[first.loc[g_of].to_numpy()].reset_index(drop=True)
+        out["hit_page_id"] = pages
+        out["a"], out["s"] = a, s
         return out[[*group_cols, "hit_page_id", "a", "s"]]
     return fit
 
@@ -128,14 +153,14 @@ def _estep_fn(group_cols, gamma):
             n = max(len(p) for p in pages)
             lengths = np.array([len(p) for p in pages])
             mask = np.arange(n)[None, :] < lengths[:, None]
-            a = _pad(list(pdf["pa"]), n, 0.5, float)
-            s = _pad(list(pdf["ps"]), n, 0.5, float)
-            cl = _pad(list(pdf["clicks"]), n, False, bool) & mask
+            a = _pad(list(pdf["pa"]), n, 0.5, float, mask)
+            s = _pad(list(pdf["ps"]), n, 0.5, float, mask)
+            cl = _pad(list(pdf["clicks"]), n, False, bool, mask) & mask
             ea, es = estep(a, s, cl, mask, gamma)
             w = pdf["weight"].to_numpy(dtype=float)[:, None]
             rows, pos = np.nonzero(mask)
             out = pd.DataFrame({c: pdf[c].to_numpy()[rows] for c in group_cols})
-            out["hit_page_id"] = _pad(pages, n, None, object)[rows, pos]
+            out["hit_page_id"] = _pad(pages, n, None, object, mask)[rows, pos]
             out["a1"] = (w * ea)[rows, pos]
             out["a0"] = (w * (1.0 - ea))[rows, pos]
             clicked = cl[rows, pos]
@@ -174,7 +199,7 @@ def _train_distributed(pats: DataFrame, group_cols, iterations, default_rel, gam
 
 def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float = 0.5, gamma: float = 0.9,
                 group_cols: Sequence[str] = GROUP, max_patterns_per_task: int = 200_000,
-                page_type: str = "bigint") -> DataFrame:
+                page_type: str = "bigint", patterns_per_bucket: int = 50_000) -> DataFrame:
     """M3: relevance per (group, hit_page_id) from eligible sessions.
 
     Returns (group..., hit_page_id bigint, relevance double)."""
@@ -187,7 +212,13 @@ def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float =
     big = tagged.where(F.col("_n_patterns") > max_patterns_per_task).drop("_n_patterns")
     key_types = {f.name: f.dataType.simpleString() for f in pats.schema}
     schema = ", ".join([f"{c} {key_types[c]}" for c in g] + [f"hit_page_id {page_type}", "a double", "s double"])
-    local = small.groupBy(*g).applyInPandas(_local_fn(g, iterations, default_rel, gamma), schema)
+    # Many small groups share one pandas call: groups are hashed into buckets
+    # sized so a bucket holds about ``patterns_per_bucket`` patterns.
+    total = tagged.count()  # materialises the persisted patterns once
+    parallelism = sessions.sparkSession.sparkContext.defaultParallelism
+    buckets = max(parallelism, -(-int(total) // patterns_per_bucket))
+    local = (small.withColumn("_bucket", F.pmod(F.xxhash64(*g), F.lit(buckets)))
+             .groupBy("_bucket").applyInPandas(_local_fn(g, iterations, default_rel, gamma), schema))
     out = local
     if big.limit(1).count() > 0:
         out = local.unionByName(_train_distributed(big, g, iterations, default_rel, gamma, page_type))
