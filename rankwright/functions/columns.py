@@ -13,15 +13,19 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def at_least_n_distinct(col, n: int) -> Column:
-    """A3/UD5: true when the group (or window) holds at least ``n`` distinct
-    non-null values of ``col``.  Usable in ``agg`` and ``over(window)``.
+def at_least_n_distinct(col, n: int, over=None) -> Column:
+    """A3/UD5: true when the group (or the ``over`` window) holds at least
+    ``n`` distinct non-null values of ``col``.  Usable in ``agg`` or, with
+    ``over=Window...``, as a window expression.
 
     The set is per group; for groups that can hold a large share of the data
     prefer :func:`at_least_n_distinct_over` (sort based) or
     :func:`rankwright.operators.clicks.session_gate` (two-level aggregate).
     """
-    return F.size(F.collect_set(_col(col))) >= F.lit(n)
+    values = F.collect_set(_col(col))
+    if over is not None:
+        values = values.over(over)
+    return F.size(values) >= F.lit(n)
 
 
 def at_least_n_distinct_over(col, n: int, partition_by: Sequence[str]) -> Column:

@@ -66,8 +66,9 @@ def sample_queries(df: DataFrame, samples_per_wiki: int, seed: int = 54321,
     Sampled keys are semi-joined back.  Returns (counts per wiki, sample).
     """
     counts = page_counts(df, query_cols, page_col)
-    frac = counts.select("wikiid", F.least(F.lit(1.0), F.lit(float(samples_per_wiki)) /
-                                            F.col("num_hit_page_ids")).alias("fraction"))
+    ratio = F.lit(float(samples_per_wiki)) / F.col("num_hit_page_ids")
+    frac = counts.select("wikiid", F.when(F.col("num_hit_page_ids") > 0, F.least(F.lit(1.0), ratio))
+                         .otherwise(F.lit(1.0)).alias("fraction"))
     keys = session_counts(df, ("wikiid", key_col))
     if exact_strata:
         edges = exact_quantile_edges(keys, "wikiid", "num_sessions", num_buckets)
