@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,7 +67,8 @@ def collect_features(candidates: DataFrame, queries: DataFrame, docs: DataFrame,
     if wanted is not None:
         features = minimal_feature_set(features, wanted)
     k = list(KEYS)
-    cand = candidates.select(*k).distinct()
+    # Every feature joins the candidate keys: materialise them once.
+    cand = candidates.select(*k).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     out = cand
     for f in features:
         if f.kind == "derived":

@@ -40,34 +40,75 @@ def analyze(col, analyzer: str) -> Column:
     if analyzer == "plain":
         return toks
     if analyzer == "stem":
-        return F.transform(toks, lambda t: F.when(F.length(t) > 4, F.regexp_replace(t, STEM_SUFFIX, ""))
-                           .otherwise(t))
+        return _stem(toks)
     raise ValueError(analyzer)
 
 
 @dataclass
 class TextIndex:
-    """Postings and statistics of a document table, built once and reused by
-    every feature of a job (persisted; recomputed from lineage if a block is
-    lost).  Pass it wherever a ``docs`` DataFrame is accepted."""
+    """Inverted index of a document table, built once and reused by every
+    feature of a job: per field the postings (lang, doc_id, term, tf, dl), the
+    term statistics (lang, term, df, ttf), the field statistics (lang, n_docs,
+    avg_dl) and the query-independent BM25 impact of every posting.  Parts are
+    persisted (recomputed from lineage if a block is lost); write them as
+    tables in a shared folder to reuse them across jobs.  Pass the index
+    wherever a ``docs`` DataFrame is accepted."""
     docs: DataFrame
     postings: dict = field(default_factory=dict)
     stats: dict = field(default_factory=dict)
+    terms: dict = field(default_factory=dict)
+    impacts: dict = field(default_factory=dict)
+    _cached: list = field(default_factory=list)
 
     def unpersist(self) -> None:
-        for df in list(self.postings.values()) + list(self.stats.values()):
+        for df in self._cached:
             df.unpersist()
 
 
-def build_index(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS)) -> TextIndex:
+def _keep(idx: TextIndex, df: DataFrame) -> DataFrame:
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    idx._cached.append(df)
+    return df
+
+
+def build_index(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS), k1: float = K1, b: float = B) -> TextIndex:
+    """Tokenise once (plain tokens, spread over the cluster when the scan is
+    narrow), derive every field's analyzer from them, and build postings,
+    statistics and impacts."""
     docs = spread(docs, "doc_id")
     idx = TextIndex(docs)
+    plain = _keep(idx, docs.select("lang", "doc_id", tokens("text").alias("_plain")))
     for f in fields:
-        idx.postings[f] = _doc_terms(docs, f).persist(StorageLevel.MEMORY_AND_DISK)
-        idx.stats[f] = _field_stats(docs, f).persist(StorageLevel.MEMORY_AND_DISK)
+        src, analyzer = FIELDS[f]
+        if src != "text":
+            raise ValueError("fields are analysed from the text column")
+        arr = F.col("_plain") if analyzer == "plain" else _stem(F.col("_plain"))
+        toks = plain.select("lang", "doc_id", arr.alias("_t"))
+        post = _keep(idx, toks.select("lang", "doc_id", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
+                     .groupBy("lang", "doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
+        idx.postings[f] = post
+        idx.stats[f] = _keep(idx, toks.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"),
+                                                          F.avg(F.size("_t")).alias("avg_dl")))
+        idx.terms[f] = _keep(idx, post.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"),
+                                                                  F.sum("tf").alias("ttf")))
+        idx.impacts[f] = _keep(idx, _with_impact(post, idx.terms[f], idx.stats[f], k1, b)
+                               .select("lang", "doc_id", "term", "_s"))
     return idx
 
 
+def _stem(toks: Column) -> Column:
+    return F.transform(toks, lambda t: F.when(F.length(t) > 4, F.regexp_replace(t, STEM_SUFFIX, ""))
+                       .otherwise(t))
+
+
+def _with_impact(post: DataFrame, terms: DataFrame, stats: DataFrame, k1: float, b: float) -> DataFrame:
+    rows = post.join(terms.select("lang", "term", "df"), ["lang", "term"]).join(stats, "lang")
+    idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    tf = F.col("tf").cast("double")
+    norm = tf + k1 * (1 - b + b * F.col("dl") / F.col("avg_dl"))
+    return rows.withColumn("_s", idf * tf * (k1 + 1) / norm)
+
+
 def _docs(docs) -> DataFrame:
     return docs.docs if isinstance(docs, TextIndex) else docs
 
@@ -85,6 +126,20 @@ def _field_stats(docs: DataFrame, field: str) -> DataFrame:
             .groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("dl").alias("avg_dl")))
 
 
+def _term_table(docs, field: str) -> DataFrame:
+    if isinstance(docs, TextIndex) and field in docs.terms:
+        return docs.terms[field]
+    return (doc_terms(docs, field).groupBy("lang", "term")
+            .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf")))
+
+
+def _impacts(docs, field: str, k1: float, b: float) -> DataFrame:
+    if isinstance(docs, TextIndex) and field in docs.impacts and (k1, b) == (K1, B):
+        return docs.impacts[field]
+    return _with_impact(doc_terms(docs, field), _term_table(docs, field), field_stats(docs, field), k1, b) \
+        .select("lang", "doc_id", "term", "_s")
+
+
 def doc_terms(docs, field: str) -> DataFrame:
     """Postings: (lang, doc_id, term, tf, dl)."""
     if isinstance(docs, TextIndex) and field in docs.postings:
@@ -103,9 +158,7 @@ def term_stats(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS)) -> DataFr
     """(lang, field, term, df, ttf) for every indexed term."""
     out = None
     for f in fields:
-        st = (doc_terms(docs, f).groupBy("lang", "term")
-              .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf"))
-              .withColumn("field", F.lit(f)))
+        st = _term_table(docs, f).withColumn("field", F.lit(f))
         out = st if out is None else out.unionByName(st)
     return out.select("lang", "field", "term", "df", "ttf")
 
@@ -116,24 +169,14 @@ def query_terms(queries: DataFrame, analyzer: str, id_col: str = "item_id", text
     return queries.select(id_col, F.size(toks).alias("n_terms"), F.explode(toks).alias("term"))
 
 
-def _bm25_rows(queries, docs, field, id_col, text_col, k1, b):
-    _, analyzer = FIELDS[field]
-    qt = query_terms(queries, analyzer, id_col, text_col)
-    dt = doc_terms(docs, field)
-    df_ = dt.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
-    fs = field_stats(docs, field)
-    rows = qt.join(dt, "term").join(df_, ["lang", "term"]).join(fs, "lang")
-    idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    tf = F.col("tf").cast("double")
-    norm = tf + k1 * (1 - b + b * F.col("dl") / F.col("avg_dl"))
-    return rows.withColumn("_s", idf * tf * (k1 + 1) / norm)
-
-
-def match_score(queries: DataFrame, docs: DataFrame, field: str = "text", id_col: str = "item_id",
+def match_score(queries: DataFrame, docs, field: str = "text", id_col: str = "item_id",
                 text_col: str = "text", k1: float = K1, b: float = B) -> DataFrame:
     """R2: BM25 of each query against ``field`` for every doc sharing a term:
-    (lang, item_id, doc_id, score, matched_terms, n_terms)."""
-    rows = _bm25_rows(queries, docs, field, id_col, text_col, k1, b)
+    (lang, item_id, doc_id, score, matched_terms, n_terms).  Query terms join
+    the precomputed per-posting impacts; one aggregation sums them."""
+    _, analyzer = FIELDS[field]
+    qt = query_terms(queries, analyzer, id_col, text_col)
+    rows = qt.join(_impacts(docs, field, k1, b), "term")
     return (rows.groupBy("lang", id_col, "doc_id")
             .agg(F.sum("_s").alias("score"), F.count(F.lit(1)).alias("matched_terms"),
                  F.max("n_terms").alias("n_terms")))
@@ -148,8 +191,7 @@ def phrase_match(queries: DataFrame, docs: DataFrame, id_col: str = "item_id", t
     """
     qt = query_terms(queries, "plain", id_col, text_col)
     dt = doc_terms(docs, "text_plain")
-    df_ = dt.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"))
-    present = qt.join(df_, "term")
+    present = qt.join(_term_table(docs, "text_plain").select("lang", "term", "df"), "term")
     full = (present.groupBy("lang", id_col)
             .agg(F.count(F.lit(1)).alias("_present"), F.max("n_terms").alias("n_terms"),
                  F.min(F.struct("df", "term")).alias("_rare"))
@@ -181,8 +223,7 @@ def explore_terms(queries: DataFrame, docs: DataFrame, pairs: DataFrame, field:
     from the index counts with df = ttf = 0."""
     _, analyzer = FIELDS[field]
     qt = query_terms(queries, analyzer, id_col, text_col).select(id_col, "term")
-    ts = (doc_terms(docs, field).groupBy("lang", "term")
-          .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf")))
+    ts = _term_table(docs, field)
     fs = field_stats(docs, field)
     rows = (pairs.select("lang", id_col).distinct().join(qt, id_col)
             .join(ts, ["lang", "term"], "left").join(fs, "lang")
@@ -218,23 +259,46 @@ def token_router(n_tokens, value, limit: int = 10) -> Column:
     return F.when(n > limit, F.lit(0.0)).when(n > 1, F.coalesce(v.cast("double"), F.lit(0.0))).otherwise(0.0)
 
 
-def search(queries: DataFrame, docs: DataFrame, n: int = 20, weights: dict | None = None,
+def _all_terms_docs(queries: DataFrame, docs, field: str, id_col: str, text_col: str) -> DataFrame:
+    """Docs holding every query term in ``field``: candidates from the
+    postings of the query's rarest term (per language), verified against the
+    postings of all its terms.  (lang, item_id, doc_id)."""
+    _, analyzer = FIELDS[field]
+    qt = query_terms(queries, analyzer, id_col, text_col)
+    post = doc_terms(docs, field).select("lang", "doc_id", "term")
+    present = qt.join(_term_table(docs, field).select("lang", "term", "df"), "term")
+    rare = (present.groupBy("lang", id_col)
+            .agg(F.count(F.lit(1)).alias("_present"), F.max("n_terms").alias("n_terms"),
+                 F.min(F.struct("df", "term")).alias("_rare"))
+            .where(F.col("_present") == F.col("n_terms"))
+            .select("lang", id_col, "n_terms", F.col("_rare.term").alias("term")))
+    cand = rare.join(post, ["lang", "term"]).select("lang", id_col, "doc_id", "n_terms")
+    hits = (cand.join(qt.select(id_col, "term"), id_col)
+            .join(post, ["lang", "doc_id", "term"])
+            .groupBy("lang", id_col, "doc_id").agg(F.count(F.lit(1)).alias("_m"), F.max("n_terms").alias("_n")))
+    return hits.where(F.col("_m") == F.col("_n")).select("lang", id_col, "doc_id")
+
+
+def search(queries: DataFrame, docs, n: int = 20, weights: dict | None = None,
            id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Documents matching all query terms in at least one field, scored
-    by the weighted field sum, top ``n`` per (lang, query) (score desc, doc
-    asc): (lang, item_id, doc_id, score, rank)."""
+    """Documents holding all query terms in at least one field, scored by
+    the weighted sum of field BM25, top ``n`` per (lang, query) (score desc,
+    doc asc): (lang, item_id, doc_id, score, rank).  Only conjunction
+    candidates are scored (rarest-term candidate generation)."""
     weights = weights or {"text": 1.0, "text_plain": 0.5}
-    parts = []
+    cand = None
+    for f in weights:
+        c = _all_terms_docs(queries, docs, f, id_col, text_col)
+        cand = c if cand is None else cand.unionByName(c)
+    cand = cand.distinct()
+    parts = None
     for f, w in weights.items():
-        m = match_score(queries, docs, f, id_col, text_col)
-        parts.append(m.select("lang", id_col, "doc_id", (F.col("score") * w).alias("_s"),
-                              (F.col("matched_terms") == F.col("n_terms")).alias("_all")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    scored = (u.groupBy("lang", id_col, "doc_id")
-              .agg(F.sum("_s").alias("score"), F.bool_or("_all").alias("_all"))
-              .where(F.col("_all")).drop("_all"))
+        _, analyzer = FIELDS[f]
+        qt = query_terms(queries, analyzer, id_col, text_col).select(id_col, "term")
+        sc = (cand.join(qt, id_col).join(_impacts(docs, f, K1, B), ["lang", "doc_id", "term"])
+              .select("lang", id_col, "doc_id", (F.col("_s") * w).alias("_s")))
+        parts = sc if parts is None else parts.unionByName(sc)
+    scored = parts.groupBy("lang", id_col, "doc_id").agg(F.sum("_s").alias("score"))
     # Scores equal to 9 decimals are ties (summation order may differ in the
     # last bits between plans); the doc id breaks them.
     w = Window.partitionBy("lang", id_col).orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())

@@ -99,8 +99,10 @@ def _explore_select(prefix: str = "") -> str:
 
 # ---------------------------------------------------------------- Spark side
 def _inputs(spark, sf_dir):
-    return (table(spark, sf_dir, "benchmark", "item_id", "text"),
-            table(spark, sf_dir, "documents", "doc_id", "lang", "text", "n_chars"))
+    """Queries and the document index (postings built once, reused by every
+    feature of the query)."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text", "n_chars")
+    return table(spark, sf_dir, "benchmark", "item_id", "text"), R.build_index(docs)
 
 
 @register("term_stats", f"""
@@ -229,6 +231,6 @@ FROM rs
 """)
 def q_rescored(spark, sf_dir):
     q, docs = _inputs(spark, sf_dir)
-    top = R.search(q, docs, TOP_N).join(R.doc_signals(docs).drop("lang"), "doc_id")
+    top = R.search(q, docs, TOP_N).join(R.doc_signals(docs.docs).drop("lang"), "doc_id")
     r = R.rescore(top, "popularity", "links")
     return r.select("lang", "item_id", "doc_id", rnd("rescored").alias("rescored"), "rescored_rank")

@@ -23,6 +23,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if (master or "local").startswith("local"):
+        # Local mode: the driver JVM is the whole cluster (ignored if already running).
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
