@@ -19,22 +19,26 @@ def query_ndcg(df: DataFrame, k: int, label_col: str = "label", position_col: st
     """NDCG@k per query group.
 
     The shown ranking is position ascending (``tie_col`` breaks ties); the ideal
-    ranking is label descending.  Both ranks are computed over the same window
-    partitioning, so the plan has a single exchange on ``query_cols``; DCG and
-    IDCG are conditional sums in one aggregate.  A query with IDCG 0 scores 0.
+    ranking is label descending.  Each row is tagged for both rankings and a
+    single ``row_number() <= k`` window over (query, ranking) picks the top k;
+    Spark plans it with a window group limit, so every map task keeps only its
+    top k rows per query before the shuffle (a query with millions of rows
+    still ships k rows per task) and the input is read once.  A query with
+    IDCG 0 scores 0.
     """
     q = list(query_cols)
     label = F.col(label_col)
-    pos_order = [F.col(position_col).asc()] + ([F.col(tie_col).asc()] if tie_col else [])
-    by_pos = Window.partitionBy(*q).orderBy(*pos_order)
-    by_label = Window.partitionBy(*q).orderBy(label.desc())
     cols = list(dict.fromkeys([*q, label_col, position_col, *([tie_col] if tie_col else [])]))
-    ranked = (df.select(*cols)
-              .withColumn("_rp", F.row_number().over(by_pos))
-              .withColumn("_rl", F.row_number().over(by_label)))
-    dcg = F.sum(F.when(F.col("_rp") <= k, _gain(label) / F.log2(F.col("_rp") + 1.0)).otherwise(0.0))
-    idcg = F.sum(F.when(F.col("_rl") <= k, _gain(label) / F.log2(F.col("_rl") + 1.0)).otherwise(0.0))
-    return (ranked.groupBy(*q).agg(dcg.alias("dcg"), idcg.alias("idcg"))
+    # kind 0 = shown order (position asc, tie asc), kind 1 = ideal order (label desc).
+    both = df.select(*cols).withColumn("_kind", F.explode(F.array(F.lit(0), F.lit(1))))
+    k1 = F.when(F.col("_kind") == 0, F.col(position_col).cast("double")).otherwise(-label.cast("double"))
+    k2 = F.when(F.col("_kind") == 0, F.col(tie_col)) if tie_col else F.lit(0)
+    w = Window.partitionBy(*q, "_kind").orderBy(k1.asc(), k2.asc())
+    top = both.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
+    term = _gain(label) / F.log2(F.col("_r") + 1.0)
+    return (top.groupBy(*q)
+            .agg(F.sum(F.when(F.col("_kind") == 0, term).otherwise(0.0)).alias("dcg"),
+                 F.sum(F.when(F.col("_kind") == 1, term).otherwise(0.0)).alias("idcg"))
             .withColumn("ndcg", F.when(F.col("idcg") == 0, F.lit(0.0))
                         .otherwise(F.col("dcg") / F.col("idcg"))))
 
