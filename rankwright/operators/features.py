@@ -170,3 +170,10 @@ def union_distinct_queries(*frames: DataFrame, query_col: str = "query") -> Data
         q = f.select(query_col)
         out = q if out is None else out.unionByName(q)
     return out.distinct()
+
+
+def join_features(labeled: DataFrame, feature_rows: DataFrame,
+                  keys: Sequence[str] = ("wikiid", "query", "hit_page_id")) -> DataFrame:
+    """Labeled hits ⋈ collected features on (wikiid, query, hit_page_id);
+    the vector column's metadata (feature names) is kept."""
+    return labeled.join(feature_rows, list(keys))

@@ -35,6 +35,12 @@ def dataset_summary(df: DataFrame, by: str = "wikiid", query_col: str = "query",
     return df.groupBy(by).agg(*aggs)
 
 
+def wikis_by_size(df: DataFrame, by: str = "wikiid") -> DataFrame:
+    """O3: wikis by descending number of observations (ties by name)."""
+    return (df.groupBy(by).agg(F.count(F.lit(1)).alias("num_obs"))
+            .orderBy(F.col("num_obs").desc(), F.col(by).asc()))
+
+
 def quantile_splits(df: DataFrame, names: Sequence[str], num_buckets: int = 254) -> DataFrame:
     """Approximate quantile split points per feature (relative error
     1/(10·N)), padded with -inf/+inf; one grouped ``percentile_approx`` job."""

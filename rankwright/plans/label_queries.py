@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import click_model, clicks, sampling
-from ..sources.tables import click_rows
+from ..operators import features as FT
+from ..sources.tables import TRAIN_FEATURES, TRAINING_ROWS_SQL, click_rows, training_rows
 from .click_queries import H, MAX_DOCS, MIN_DOCS
 from .registry import register, rnd
 
@@ -69,3 +70,19 @@ def q_sample_gate(spark, sf_dir):
     counts = sampling.page_counts(h)
     _, labeled = clicks.label_hits(h, _ctr(h))
     return clicks.sample_gate(labeled, counts, SAMPLES_PER_WIKI, TOLERANCE)
+
+
+@register("labeled_features", f"""
+WITH {CTR_SQL},{TRAINING_ROWS_SQL.replace("h AS (", "h2 AS (", 1).replace("FROM h GROUP BY", "FROM h2 GROUP BY")}
+SELECT lab.wikiid, lab.query, lab.hit_page_id, lab.label, lab.weight,
+       {", ".join(f"round(tr.{f}, 9) AS {f}" for f in TRAIN_FEATURES)}
+FROM lab JOIN tr ON lab.wikiid = tr.wikiid AND lab.query = tr.query AND lab.hit_page_id = tr.hit_page_id
+""")
+def q_labeled_features(spark, sf_dir):
+    """Click-model-style labels (CTR relevance) joined to the feature rows."""
+    h = click_rows(spark, sf_dir)
+    _, labeled = clicks.label_hits(h, _ctr(h))
+    feats = training_rows(spark, sf_dir).drop("label")
+    joined = FT.join_features(labeled.select("wikiid", "query", "hit_page_id", "label", "weight"), feats)
+    return joined.select("wikiid", "query", "hit_page_id", "label", "weight",
+                         *[rnd(f).alias(f) for f in TRAIN_FEATURES])

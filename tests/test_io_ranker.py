@@ -80,3 +80,16 @@ def test_cv_summary(spark):
     s = rank_model.cv_summary(trials).first()
     assert s.loss_mean == pytest.approx(-0.7) and s.loss_var == pytest.approx(0.01)
     assert s.gap_mean == pytest.approx(0.1) and s.gap_var == pytest.approx(0.0)
+
+
+def test_wikis_by_size_and_per_wiki_assembly(spark):
+    from rankwright.operators import selection
+    df = spark.createDataFrame([("a", 1.0, 2.0, 3.0)] * 3 + [("b", 4.0, 5.0, 6.0)] * 5,
+                               "wikiid string, x double, y double, z double")
+    order = [r.wikiid for r in selection.wikis_by_size(df).collect()]
+    assert order == ["b", "a"]
+    vec = FT.assemble(df, ["x", "y", "z"])
+    per = FT.assemble_per_wiki(vec, {"a": ["z", "x"], "b": ["y"]})
+    got = {r.wikiid: list(r.features) for r in per.dropDuplicates(["wikiid"]).collect()}
+    assert got == {"a": [3.0, 1.0], "b": [5.0]}
+    assert per.schema["features"].metadata["wiki_features"] == {"a": ["z", "x"], "b": ["y"]}
