@@ -4,7 +4,6 @@ results, counter EMA and load gate."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..sources.tables import click_rows, table
 from ..streaming import counters, responses, updates
@@ -126,9 +125,8 @@ def _seconds(c):
 
 def _samples(spark, sf_dir):
     ev = table(spark, sf_dir, "events", "event_id", "ts", "event_type")
-    w = Window.partitionBy("event_type").orderBy("ts", "event_id")
-    return ev.select("event_type", "event_id", _seconds("ts").alias("t"),
-                     F.row_number().over(w).cast("double").alias("c"))
+    samples = ev.select("event_type", "event_id", _seconds("ts").alias("t"))
+    return counters.running_count(samples, "event_type", "t", "event_id").withColumnRenamed("count", "c")
 
 
 EMA_SQL = f"""

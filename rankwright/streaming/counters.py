@@ -10,14 +10,16 @@ Rules per key, over samples (time s, cumulative count) in time order:
 * the ema is valid until ``max_sec_valid`` seconds after the last accepted
   sample.
 
-The recurrence is sequential per key: the batch form groups samples by key
-(``applyInPandas``), the streaming form keeps O(1) state per key
-(``applyInPandasWithState``), so each micro-batch only carries its new samples.
+The recurrence is sequential per key.  The streaming form keeps O(1) state
+per key (``applyInPandasWithState``), so each micro-batch only carries its new
+samples; the batch replay groups small keys whole and replays large ones in
+time slices that carry the same O(1) state from slice to slice.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.window import Window
 
 
 class EmaState:
@@ -82,21 +85,105 @@ def _replay(pdf: pd.DataFrame, ts_col: str, count_col: str, alpha: float, max_se
     return out, st
 
 
-def counter_rate_ema(df: DataFrame, key: str, ts: str, count: str, order: str | None = None,
-                     alpha: float = 0.1, max_sec_valid: float = 660) -> DataFrame:
-    """T6 batch replay: per sample (…, accepted, ema, valid); ``ts`` in seconds."""
-    fields = [f for f in df.schema]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] +
-                       ["accepted boolean", "ema double", "valid boolean"])
-    sort_cols = [ts] + ([order] if order else [])
+def running_count(df: DataFrame, key: str, ts: str, order: str, buckets: int = 1024) -> DataFrame:
+    """Cumulative number of rows per key in (ts, order) order, as ``count``.
+
+    A distributed prefix count: rows are cut into ``buckets`` time buckets
+    over the global range; bucket totals per key (a small table) give each
+    bucket's offset, and the rank inside a (key, bucket) finishes the count —
+    no task holds a whole key."""
+    lo, hi = df.agg(F.min(ts), F.max(ts)).first()  # one row
+    width = ((hi - lo) / buckets) if hi is not None and hi > lo else 1.0
+    b = F.least(F.floor((F.col(ts) - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
+    tagged = df.withColumn("_b", b)
+    totals = tagged.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    wo = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_off", F.coalesce(F.sum("_bn").over(wo), F.lit(0))).drop("_bn")
+    rank = F.row_number().over(Window.partitionBy(key, "_b").orderBy(ts, order))
+    return (tagged.join(offsets, [key, "_b"])
+            .withColumn("count", (F.col("_off") + rank).cast("double"))
+            .drop("_b", "_off"))
+
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(sort_cols, kind="mergesort")
-        out, _ = _replay(pdf, ts, count, alpha, max_sec_valid)
-        out["ema"] = out["ema"].astype(float)
-        return out
+def _out_schema(df: DataFrame) -> str:
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] +
+                     ["accepted boolean", "ema double", "valid boolean"])
 
-    return df.groupBy(key).applyInPandas(run, schema)
+
+def counter_rate_ema(df: DataFrame, key: str, ts: str, count: str, order: str | None = None,
+                     alpha: float = 0.1, max_sec_valid: float = 660,
+                     rows_per_slice: int = 1_000_000) -> DataFrame:
+    """T6 batch replay: per sample (…, accepted, ema, valid); ``ts`` in seconds.
+
+    When every key has at most ``rows_per_slice`` samples, each key is one
+    grouped call.  Otherwise the history is replayed in equal time slices,
+    sized from the largest key: each slice is one job that cogroups the
+    slice's samples with the per-key state left by the previous slice (O(1)
+    per key), so no task ever holds more than one slice of one key.  Slice
+    results and states are written to the shared checkpoint folder.
+    """
+    sort_cols = [ts] + ([order] if order else [])
+    schema = _out_schema(df)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
+    top = per_key.agg(F.max("_n"), F.min("_lo"), F.max("_hi")).first()  # one row
+    if top[0] is None or top[0] <= rows_per_slice:
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            out, _ = _replay(pdf.sort_values(sort_cols, kind="mergesort"), ts, count, alpha, max_sec_valid)
+            return out
+        return df.groupBy(key).applyInPandas(run, schema)
+    return _replay_in_slices(df, key, ts, count, sort_cols, alpha, max_sec_valid,
+                             -(-int(top[0]) // rows_per_slice), float(top[1]), float(top[2]))
+
+
+STATE_COLS = ("prev_time", "prev_count", "value")
+
+
+def _replay_in_slices(df, key, ts, count, sort_cols, alpha, max_sec_valid, n_slices, lo, hi):
+    from ..session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    run_dir = f"{base}/ema-replay-{uuid.uuid4().hex}"
+    width = (hi - lo) / n_slices or 1.0
+    sliced = df.withColumn("_slice", F.least(F.floor((F.col(ts) - lo) / width), F.lit(n_slices - 1)))
+    key_type = df.schema[key].dataType.simpleString()
+    state_schema = f"`{key}` {key_type}, prev_time double, prev_count double, value double"
+    state = spark.createDataFrame([], state_schema)
+    out_schema = _out_schema(df)
+    cols = [f.name for f in df.schema]
+
+    def step(samples: pd.DataFrame, st: pd.DataFrame) -> pd.DataFrame:
+        prior = None
+        if len(st):
+            r = st.iloc[0]
+            prior = EmaState(alpha, r["prev_time"], r["prev_count"],
+                             None if pd.isna(r["value"]) else float(r["value"]))
+        if len(samples):
+            samples = samples[cols].sort_values(sort_cols, kind="mergesort")
+            out, prior = _replay(samples, ts, count, alpha, max_sec_valid, prior)
+        else:
+            out = pd.DataFrame({c: [] for c in [*cols, *OUT_COLS]})
+        k = samples[key].iloc[0] if len(samples) else st[key].iloc[0]
+        row = {key: k, "prev_time": prior.prev_time if prior else np.nan,
+               "prev_count": prior.prev_count if prior else np.nan,
+               "value": np.nan if prior is None or prior.value is None else prior.value}
+        out = out.assign(_state=False)
+        for c in STATE_COLS:
+            out[c] = np.nan
+        state_row = pd.DataFrame([{**{c: None for c in cols}, "accepted": None, "ema": None, "valid": None,
+                                   "_state": True, **row}])
+        return pd.concat([out, state_row], ignore_index=True)
+
+    step_schema = out_schema + ", _state boolean, prev_time double, prev_count double, value double"
+    for i in range(n_slices):
+        part = sliced.where(F.col("_slice") == i).drop("_slice")
+        res = part.groupBy(key).cogroup(state.groupBy(key)).applyInPandas(step, step_schema)
+        res = res.persist()
+        res.where(~F.col("_state")).select(*cols, *OUT_COLS).write.mode("append").parquet(f"{run_dir}/out")
+        res.where(F.col("_state")).select(key, *STATE_COLS).write.mode("overwrite") \
+            .parquet(f"{run_dir}/state_{i}")
+        res.unpersist()
+        state = spark.read.parquet(f"{run_dir}/state_{i}")
+    return spark.read.schema(out_schema).parquet(f"{run_dir}/out")
 
 
 def load_gate(ema_rows: DataFrame, key: str, ts: str, threshold: float, now,

@@ -129,3 +129,25 @@ def test_responses_and_markers(spark):
                                     "run_id string, complete boolean, partition int")
     done = {r.run_id: r.complete for r in responses.run_complete(markers, 2).collect()}
     assert done == {"r": True, "s": False}
+
+
+def test_sliced_replay_equals_per_key(spark):
+    import random
+    rng = random.Random(3)
+    rows, c = [], {"a": 0, "b": 0}
+    t = 0.0
+    for i in range(300):
+        t += rng.choice([0.3, 0.6, 1.2, 5.0])
+        k = rng.choice(["a", "b"])
+        c[k] += rng.choice([0, 1, 3]) if rng.random() > 0.03 else -c[k]
+        rows.append((k, i, t, float(c[k])))
+    df = spark.createDataFrame(rows, "key string, id long, t double, c double")
+    whole = {r.id: (r.accepted, r.ema, r.valid) for r in
+             counters.counter_rate_ema(df, "key", "t", "c", "id", 0.1, 60).collect()}
+    sliced = {r.id: (r.accepted, r.ema, r.valid) for r in
+              counters.counter_rate_ema(df, "key", "t", "c", "id", 0.1, 60, rows_per_slice=40).collect()}
+    assert whole.keys() == sliced.keys()
+    for k in whole:
+        a, b = whole[k], sliced[k]
+        assert a[0] == b[0] and a[2] == b[2]
+        assert (a[1] is None and b[1] is None) or a[1] == pytest.approx(b[1])
