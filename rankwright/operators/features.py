@@ -70,8 +70,19 @@ def collect_features(candidates: DataFrame, queries: DataFrame, docs: DataFrame,
     # Every feature joins the candidate keys: materialise them once.
     cand = candidates.select(*k).distinct().persist(StorageLevel.MEMORY_AND_DISK)
     out = cand
+    # Explorer features of one field share one statistics pass.
+    explorers: dict[str, list[Feature]] = {}
     for f in features:
-        if f.kind == "derived":
+        if f.kind == "explorer":
+            explorers.setdefault(f.field, []).append(f)
+    for fld, group in explorers.items():
+        stats = sorted({f.params["stat"] for f in group})
+        aggs = sorted({f.params["agg"] for f in group})
+        ex = R.explore_terms(queries, docs, cand, fld, stats=stats, aggs=aggs)
+        cols = [F.col(f"{f.params['agg']}_{f.params['stat']}").alias(f.name) for f in group]
+        out = out.join(ex.select("lang", "item_id", *cols), ["lang", "item_id"], "left")
+    for f in features:
+        if f.kind in ("derived", "explorer"):
             continue
         out = out.join(_compute(f, queries, docs, cand, values), k, "left")
     fill = F.lit(0.0) if missing == "zero" else F.lit(float("nan"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import parse_compact_ts
-from ..functions.expressions import Feature, dismax_expression
+from ..functions.expressions import Feature, default_features, dismax_expression
 from ..operators import features as FT
 from ..operators import retrieval as R
 from ..sources.tables import table
@@ -152,3 +152,59 @@ def q_query_token_counts(spark, sf_dir):
     counts = FT.token_counts(queries)
     return (user.join(counts, user.text == counts.query)
             .select("conv_id", "turn", "tokens_plain", "tokens_whitespace"))
+
+
+# The full default feature set (R10/R11) over the search candidates.
+DEFAULT = default_features()
+DEFAULT_NAMES = [f.name for f in DEFAULT]
+
+
+def _explore_field_sql(fld: str, prefix: str) -> str:
+    aggs = [("sum", "sum"), ("min", "min"), ("max", "max"), ("mean", "avg"), ("stddev", "stddev_pop")]
+    sel = ", ".join(f"{fn}({st}) AS {prefix}_{name}_{st}" for st in ("raw_df", "classic_idf", "raw_ttf")
+                    for name, fn in aggs)
+    return f"""
+ex_{fld} AS (SELECT lang, item_id, {sel} FROM (
+    SELECT pr.lang, pr.item_id,
+           CAST(coalesce(d.df, 0) AS DOUBLE) AS raw_df, CAST(coalesce(d.ttf, 0) AS DOUBLE) AS raw_ttf,
+           1.0 + ln((fs.n_docs + 1.0) / (coalesce(d.df, 0) + 1.0)) AS classic_idf
+    FROM cpairs pr JOIN (SELECT DISTINCT item_id, term FROM qt_{fld}) q USING (item_id)
+    LEFT JOIN df_{fld} d ON d.lang = pr.lang AND d.term = q.term
+    JOIN fs_{fld} fs ON fs.lang = pr.lang) GROUP BY lang, item_id)"""
+
+
+DEFAULT_ROWS_SQL = f"""
+{INDEX_SQL},{SEARCH_SQL},{PHRASE_SQL},
+cpairs AS (SELECT DISTINCT lang, item_id FROM top),{_explore_field_sql("text", "text")},
+{_explore_field_sql("text_plain", "text_plain")},
+dr AS (SELECT t.lang, t.item_id, t.doc_id, ext.* EXCLUDE (lang, item_id), exp.* EXCLUDE (lang, item_id),
+              coalesce(a.score, 0.0) AS text_match, coalesce(b.score, 0.0) AS text_plain_match,
+              CASE WHEN len(qp.toks) > 10 THEN 0.0 WHEN len(qp.toks) > 1
+                   THEN coalesce(CAST(phr.phrase_freq AS DOUBLE), 0.0) ELSE 0.0 END AS text_phrase_routed,
+              CAST(len(list_distinct(qs.toks)) AS DOUBLE) AS unique_terms,
+              CAST(len(list_distinct(qp.toks)) AS DOUBLE) AS unique_terms_plain,
+              coalesce(CAST(l.quality AS DOUBLE), 0.0) AS quality
+       FROM top t
+       LEFT JOIN bm_text a ON a.lang = t.lang AND a.item_id = t.item_id AND a.doc_id = t.doc_id
+       LEFT JOIN bm_text_plain b ON b.lang = t.lang AND b.item_id = t.item_id AND b.doc_id = t.doc_id
+       LEFT JOIN ex_text ext ON ext.lang = t.lang AND ext.item_id = t.item_id
+       LEFT JOIN ex_text_plain exp ON exp.lang = t.lang AND exp.item_id = t.item_id
+       LEFT JOIN phr ON phr.lang = t.lang AND phr.item_id = t.item_id AND phr.doc_id = t.doc_id
+       JOIN qplain qp ON qp.item_id = t.item_id
+       JOIN qstem qs ON qs.item_id = t.item_id
+       LEFT JOIN labels l ON l.doc_id = t.doc_id),
+drx AS (SELECT *, greatest(3.0 * text_match, text_plain_match) AS text_dismax_plain,
+               unique_terms_plain - unique_terms AS unique_terms_diff FROM dr)"""
+
+
+@register("default_feature_rows", f"""
+WITH {DEFAULT_ROWS_SQL}
+SELECT lang, item_id, doc_id, {", ".join(f"round(coalesce({n}, 0.0), 9) AS {n}" for n in DEFAULT_NAMES)} FROM drx
+""")
+def q_default_feature_rows(spark, sf_dir):
+    q = table(spark, sf_dir, "benchmark", "item_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text", "n_chars")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    index = R.build_index(docs)
+    rows = FT.collect_features(R.search(q, index, TOP_N), q, index, DEFAULT, values=labels)
+    return rows.select("lang", "item_id", "doc_id", *[rnd(n).alias(n) for n in DEFAULT_NAMES])
