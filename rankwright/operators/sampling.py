@@ -77,12 +77,21 @@ def sample_queries(df: DataFrame, samples_per_wiki: int, seed: int = 54321,
     # edges and fractions are one small row per wiki; the join is planned by size (AQE).
     strata = (keys.join(edges, "wikiid").join(frac, "wikiid")
               .withColumn("stratum", F.size(F.filter("edges", lambda e: e < F.col("num_sessions")))))
-    w = Window.partitionBy("wikiid", "stratum")
-    order = Window.partitionBy("wikiid", "stratum").orderBy("_h", key_col)
-    chosen = (strata
+    # Rank inside a stratum by md5 without sorting a whole stratum in one task:
+    # totals per (wiki, stratum, md5 prefix) give each prefix bucket's offset
+    # (a small table), and the row number only runs inside one prefix bucket.
+    hashed = (strata
               .withColumn("_h", F.md5(F.concat_ws("/", F.lit(str(seed)), "wikiid", F.col(key_col).cast("string"))))
-              .withColumn("_quota", F.floor(F.col("fraction") * F.count(F.lit(1)).over(w) + 0.5))
-              .withColumn("_rn", F.row_number().over(order))
+              .withColumn("_b", F.substring("_h", 1, 3)))
+    sk = ["wikiid", "stratum"]
+    btot = hashed.groupBy(*sk, "_b").agg(F.count(F.lit(1)).alias("_bn"))
+    before = Window.partitionBy(*sk).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (btot.withColumn("_off", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
+               .withColumn("_n", F.sum("_bn").over(Window.partitionBy(*sk))).drop("_bn"))
+    inner = Window.partitionBy(*sk, "_b").orderBy("_h", key_col)
+    chosen = (hashed.join(offsets, [*sk, "_b"])
+              .withColumn("_quota", F.floor(F.col("fraction") * F.col("_n") + 0.5))
+              .withColumn("_rn", F.col("_off") + F.row_number().over(inner))
               .where(F.col("_rn") <= F.col("_quota"))
               .select("wikiid", key_col))
     return counts, df.join(chosen, ["wikiid", key_col], "left_semi")
