@@ -71,6 +71,46 @@ def _estep_t(a, s, clicks, mask, gamma):
     return est_a, est_s
 
 
+class _EmLoop:
+    """E-step of :func:`_estep_t` specialised for repeated calls on the same
+    sessions: click/padding structure is fixed, buffers are reused, and only
+    the masked estimates the M-step needs are returned."""
+
+    def __init__(self, clicks: np.ndarray, mask: np.ndarray, gamma: float):
+        n, p = clicks.shape
+        self.n, self.gamma, self.inv = n, gamma, 1.0 - gamma
+        self.clicks, self.mask, self.pad = clicks, mask, ~mask
+        self.u00 = np.where(clicks & mask, 0.0, 1.0)
+        self.al0, self.al1 = np.empty((n + 1, p)), np.empty((n + 1, p))
+        self.be0, self.be1 = np.empty((n + 1, p)), np.empty((n + 1, p))
+        self.al0[0], self.al1[0], self.be0[n], self.be1[n] = 0.0, 1.0, 1.0, 1.0
+
+    def step(self, a: np.ndarray, s: np.ndarray, c_rows: np.ndarray):
+        n, g, inv, clk = self.n, self.gamma, self.inv, self.clicks
+        sat = self.inv + g * s                       # s + (1 - g)(1 - s)
+        not_a = 1.0 - a
+        u01 = np.where(clk, sat * a, inv * not_a)
+        u11 = np.where(clk, (1.0 - s) * a, not_a)
+        u11 *= g
+        np.putmask(u01, self.pad, 0.0)
+        np.putmask(u11, self.pad, 1.0)
+        u00, al0, al1, be0, be1 = self.u00, self.al0, self.al1, self.be0, self.be1
+        for i in range(n):
+            np.multiply(al0[i], u00[i], out=al0[i + 1])
+            al0[i + 1] += al1[i] * u01[i]
+            np.multiply(al1[i], u11[i], out=al1[i + 1])
+            j = n - 1 - i
+            np.multiply(be0[j + 1], u00[j], out=be0[j])
+            np.multiply(be0[j + 1], u01[j], out=be1[j])
+            be1[j] += be1[j + 1] * u11[j]
+        ab0 = al0 * be0
+        phi = ab0 / (ab0 + al1 * be1)
+        m = self.mask
+        ea = np.where(clk, 1.0, a * phi[:n])[m]
+        es = (phi[1:] * s / sat)[m][c_rows]
+        return ea, es
+
+
 def _pad(seqs: Sequence, n: int, fill, dtype, mask: np.ndarray | None = None):
     """Left-aligned (P, n) matrix of variable-length sequences."""
     out = np.full((len(seqs), n), fill, dtype=dtype)
@@ -93,7 +133,14 @@ def _train_local(pages: Sequence, clicks: Sequence, weights: np.ndarray, iterati
     flat_pages = np.concatenate([np.asarray(p) for p in pages])
     gids = np.zeros(len(pages), dtype=np.int64) if group_ids is None else np.asarray(group_ids)
     flat_groups = np.repeat(gids, lengths)
-    codes, uniq = pd.factorize(pd.MultiIndex.from_arrays([flat_groups, flat_pages]))
+    if np.issubdtype(flat_pages.dtype, np.integer) and len(flat_pages) and flat_pages.min() >= 0 \
+            and int(flat_pages.max()) < (1 << 40) and int(flat_groups.max(initial=0)) < (1 << 22):
+        # Integer pages: one int64 (group, page) key is far cheaper to factorize.
+        combined = (flat_groups.astype(np.int64) << 40) | flat_pages.astype(np.int64)
+        codes, keys = pd.factorize(combined)
+        uniq = pd.MultiIndex.from_arrays([keys >> 40, keys & ((1 << 40) - 1)])
+    else:
+        codes, uniq = pd.factorize(pd.MultiIndex.from_arrays([flat_groups, flat_pages]))
     n_params = len(uniq)
     # Position-major layout (N, P); masked index/weight vectors fixed once.
     idx = np.zeros((n, len(pages)), dtype=np.int64)
@@ -106,12 +153,14 @@ def _train_local(pages: Sequence, clicks: Sequence, weights: np.ndarray, iterati
     c_idx, c_w = m_idx[c_sel], m_w[c_sel]
     a = np.full(n_params, default_rel)
     s = np.full(n_params, default_rel)
+    em = _EmLoop(cl_t, mask_t, gamma)
+    c_rows = cl_t[mask_t]
     for _ in range(iterations):
-        ea, es = _estep_t(a[idx], s[idx], cl_t, mask_t, gamma)
-        wa = m_w * ea[mask_t]
+        ea_m, es_c = em.step(a[idx], s[idx], c_rows)
+        wa = m_w * ea_m
         a1 = 1.0 + np.bincount(m_idx, wa, n_params)
         a0 = 1.0 + np.bincount(m_idx, m_w - wa, n_params)
-        ws = c_w * es[mask_t][c_sel]
+        ws = c_w * es_c
         s1 = 1.0 + np.bincount(c_idx, ws, n_params)
         s0 = 1.0 + np.bincount(c_idx, c_w - ws, n_params)
         a, s = a1 / (a1 + a0), s1 / (s1 + s0)
