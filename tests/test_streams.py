@@ -151,3 +151,35 @@ def test_sliced_replay_equals_per_key(spark):
         a, b = whole[k], sliced[k]
         assert a[0] == b[0] and a[2] == b[2]
         assert (a[1] is None and b[1] is None) or a[1] == pytest.approx(b[1])
+
+
+def test_response_stream_dedups_across_batches(spark, tmp_path):
+    src = tmp_path / "resp"
+    src.mkdir()
+    env = {"run_id": "r", "meta": {"wikiid": "w", "query": "q"}, "status_code": 200,
+           "text": json.dumps({"hits": [{"pageid": 1}, {"pageid": 2}]})}
+    (src / "a.json").write_text(json.dumps(env) + "\n")
+    q = (responses.stream_responses(spark, str(src), "r").writeStream.format("memory")
+         .queryName("resp_out").outputMode("append")
+         .option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.processAllAvailable()
+    (src / "b.json").write_text(json.dumps(env) + "\n")   # replayed response
+    q.processAllAvailable()
+    q.stop()
+    got = sorted((r.query, r.hit_page_id) for r in spark.sql("select * from resp_out").collect())
+    assert got == [("q", 1), ("q", 2)]
+
+
+def test_update_stream_routes_valid_messages(spark, tmp_path):
+    src = tmp_path / "upd"
+    src.mkdir()
+    msgs = [{"_index": "en", "_id": 1, "_source": {"popularity_score": 0.5}},
+            {"_index": "fr", "_id": 2, "_source": {"popularity_score": 0.1}},
+            {"_index": "en", "_id": 3, "_source": {"other": 1}}]
+    (src / "a.txt").write_text("\n".join(json.dumps(m) for m in msgs) + "\nnot json\n")
+    out = tmp_path / "table"
+    q = updates.update_stream(spark, str(src), str(out), str(tmp_path / "ck"),
+                              [("a", ["en"]), ("b", ["fr"])]).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    rows = sorted((r.doc_id, r.cluster) for r in spark.read.parquet(str(out)).collect())
+    assert rows == [("1", "a"), ("2", "b")]
