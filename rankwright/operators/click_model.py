@@ -124,14 +124,23 @@ def _pad(seqs: Sequence, n: int, fill, dtype, mask: np.ndarray | None = None):
 
 def _train_local(pages: Sequence, clicks: Sequence, weights: np.ndarray, iterations: int,
                  default_rel: float, gamma: float, group_ids: np.ndarray | None = None):
+    """EM for one or many query groups at once (sessions as sequences)."""
+    lengths = np.fromiter((len(p) for p in pages), dtype=np.int64, count=len(pages))
+    flat_pages = np.concatenate([np.asarray(p) for p in pages])
+    flat_clicks = np.concatenate([np.asarray(c, dtype=bool) for c in clicks])
+    return _train_flat(lengths, flat_pages, flat_clicks, weights, iterations, default_rel, gamma, group_ids)
+
+
+def _train_flat(lengths: np.ndarray, flat_pages: np.ndarray, flat_clicks: np.ndarray, weights: np.ndarray,
+                iterations: int, default_rel: float, gamma: float, group_ids: np.ndarray | None = None):
     """EM for one or many query groups at once.  Parameters are indexed by
     (group, page), so sessions of different groups never share a page; every
-    iteration is a handful of vectorised numpy passes over all sessions."""
-    lengths = np.fromiter((len(p) for p in pages), dtype=np.int64, count=len(pages))
+    iteration is a handful of vectorised numpy passes over all sessions.
+    Sessions are given flat: ``lengths`` per session, then their pages and
+    clicks concatenated in session order."""
     n = int(lengths.max())
     mask = np.arange(n)[None, :] < lengths[:, None]
-    flat_pages = np.concatenate([np.asarray(p) for p in pages])
-    gids = np.zeros(len(pages), dtype=np.int64) if group_ids is None else np.asarray(group_ids)
+    gids = np.zeros(len(lengths), dtype=np.int64) if group_ids is None else np.asarray(group_ids)
     flat_groups = np.repeat(gids, lengths)
     if np.issubdtype(flat_pages.dtype, np.integer) and len(flat_pages) and flat_pages.min() >= 0 \
             and int(flat_pages.max()) < (1 << 40) and int(flat_groups.max(initial=0)) < (1 << 22):
@@ -143,10 +152,12 @@ def _train_local(pages: Sequence, clicks: Sequence, weights: np.ndarray, iterati
         codes, uniq = pd.factorize(pd.MultiIndex.from_arrays([flat_groups, flat_pages]))
     n_params = len(uniq)
     # Position-major layout (N, P); masked index/weight vectors fixed once.
-    idx = np.zeros((n, len(pages)), dtype=np.int64)
+    idx = np.zeros((n, len(lengths)), dtype=np.int64)
     mask_t = np.ascontiguousarray(mask.T)
     idx.T[mask] = codes
-    cl_t = np.ascontiguousarray((_pad(clicks, n, False, bool, mask) & mask).T)
+    cl = np.zeros((len(lengths), n), dtype=bool)
+    cl[mask] = flat_clicks
+    cl_t = np.ascontiguousarray(cl.T)
     w_t = np.broadcast_to(weights[None, :], idx.shape)
     m_idx, m_w = idx[mask_t], w_t[mask_t]
     c_sel = cl_t[mask_t]
@@ -179,13 +190,19 @@ def patterns(sessions: DataFrame, group_cols: Sequence[str] = GROUP, page_type:
 
 
 def _local_fn(group_cols, iterations, default_rel, gamma):
+    """Per bucket: rows are (group..., _pid, _pos, hit_page_id, clicked, weight),
+    one per position of each weighted session pattern."""
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = pdf[list(group_cols)]
+        pdf = pdf.sort_values(["_pid", "_pos"], kind="stable")
+        pid = pdf["_pid"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, pid[1:] != pid[:-1]])
+        lengths = np.diff(np.r_[starts, len(pid)])
+        keys = pdf[list(group_cols)].iloc[starts].reset_index(drop=True)
         gid, _ = pd.factorize(pd.MultiIndex.from_frame(keys))
-        g_of, pages, a, s = _train_local(list(pdf["pages"]), list(pdf["clicks"]),
-                                         pdf["weight"].to_numpy(dtype=float), iterations, default_rel,
-                                         gamma, gid)
-        first = pd.Series(np.arange(len(pdf))).groupby(gid).first()
+        g_of, pages, a, s = _train_flat(lengths, pdf["hit_page_id"].to_numpy(), pdf["clicked"].to_numpy(bool),
+                                        pdf["weight"].to_numpy(dtype=float)[starts], iterations,
+                                        default_rel, gamma, gid)
+        first = pd.Series(np.arange(len(keys))).groupby(gid).first()
         out = keys.iloc[first.loc[g_of].to_numpy()].reset_index(drop=True)
         out["hit_page_id"] = pages
         out["a"], out["s"] = a, s
@@ -266,8 +283,14 @@ def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float =
     total = tagged.count()  # materialises the persisted patterns once
     parallelism = sessions.sparkSession.sparkContext.defaultParallelism
     buckets = max(parallelism, -(-int(total) // patterns_per_bucket))
-    local = (small.withColumn("_bucket", F.pmod(F.xxhash64(*g), F.lit(buckets)))
-             .groupBy("_bucket").applyInPandas(_local_fn(g, iterations, default_rel, gamma), schema))
+    flat = (small.withColumn("_bucket", F.pmod(F.xxhash64(*g), F.lit(buckets)))
+            .withColumn("_pid", F.monotonically_increasing_id())
+            .select("_bucket", *g, "_pid", "weight",
+                    F.posexplode(F.arrays_zip(F.col("pages").alias("p"), F.col("clicks").alias("c")))
+                    .alias("_pos", "_pc"))
+            .select("_bucket", *g, "_pid", "_pos", F.col("_pc.p").alias("hit_page_id"),
+                    F.col("_pc.c").alias("clicked"), "weight"))
+    local = flat.groupBy("_bucket").applyInPandas(_local_fn(g, iterations, default_rel, gamma), schema)
     out = local
     if big.limit(1).count() > 0:
         out = local.unionByName(_train_distributed(big, g, iterations, default_rel, gamma, page_type))
