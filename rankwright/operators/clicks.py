@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.columns import relevance_label
 
@@ -128,9 +127,3 @@ def assert_sample_gate(gate: DataFrame) -> None:
         raise ValueError("\n".join(
             f"Collected {r.n_obs} samples from {r.wikiid}, less than the tolerated share of {r.expected}"
             for r in bad))
-
-
-def hits_per_session_window(df: DataFrame, session_cols: Sequence[str]) -> DataFrame:
-    """Rank hits inside a session by position (ties by page id)."""
-    w = Window.partitionBy(*session_cols).orderBy("hit_position", "hit_page_id")
-    return df.withColumn("rank", F.row_number().over(w))
