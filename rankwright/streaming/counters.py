@@ -13,13 +13,12 @@ Rules per key, over samples (time s, cumulative count) in time order:
 The recurrence is sequential per key.  The streaming form keeps O(1) state
 per key (``applyInPandasWithState``), so each micro-batch only carries its new
 samples; the batch replay groups small keys whole and replays large ones in
-time slices that carry the same O(1) state from slice to slice.
+an exact parallel scan (log-depth) whose tasks hold bounded slices.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,11 +115,10 @@ def counter_rate_ema(df: DataFrame, key: str, ts: str, count: str, order: str |
     """T6 batch replay: per sample (…, accepted, ema, valid); ``ts`` in seconds.
 
     When every key has at most ``rows_per_slice`` samples, each key is one
-    grouped call.  Otherwise the history is replayed in equal time slices,
-    sized from the largest key: each slice is one job that cogroups the
-    slice's samples with the per-key state left by the previous slice (O(1)
-    per key), so no task ever holds more than one slice of one key.  Slice
-    results and states are written to the shared checkpoint folder.
+    grouped call.  Otherwise the exact parallel scan of
+    :mod:`rankwright.streaming.ema_scan` runs (prefix counts, pointer doubling
+    over the acceptance chain, bucketed affine prefix composition), so no
+    task holds a whole key and the job depth grows with log(n).
     """
     sort_cols = [ts] + ([order] if order else [])
     schema = _out_schema(df)
@@ -131,59 +129,14 @@ def counter_rate_ema(df: DataFrame, key: str, ts: str, count: str, order: str |
             out, _ = _replay(pdf.sort_values(sort_cols, kind="mergesort"), ts, count, alpha, max_sec_valid)
             return out
         return df.groupBy(key).applyInPandas(run, schema)
-    return _replay_in_slices(df, key, ts, count, sort_cols, alpha, max_sec_valid,
-                             -(-int(top[0]) // rows_per_slice), float(top[1]), float(top[2]))
-
-
-STATE_COLS = ("prev_time", "prev_count", "value")
-
-
-def _replay_in_slices(df, key, ts, count, sort_cols, alpha, max_sec_valid, n_slices, lo, hi):
-    from ..session import ensure_checkpoint_dir
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    run_dir = f"{base}/ema-replay-{uuid.uuid4().hex}"
-    width = (hi - lo) / n_slices or 1.0
-    sliced = df.withColumn("_slice", F.least(F.floor((F.col(ts) - lo) / width), F.lit(n_slices - 1)))
-    key_type = df.schema[key].dataType.simpleString()
-    state_schema = f"`{key}` {key_type}, prev_time double, prev_count double, value double"
-    state = spark.createDataFrame([], state_schema)
-    out_schema = _out_schema(df)
-    cols = [f.name for f in df.schema]
-
-    def step(samples: pd.DataFrame, st: pd.DataFrame) -> pd.DataFrame:
-        prior = None
-        if len(st):
-            r = st.iloc[0]
-            prior = EmaState(alpha, r["prev_time"], r["prev_count"],
-                             None if pd.isna(r["value"]) else float(r["value"]))
-        if len(samples):
-            samples = samples[cols].sort_values(sort_cols, kind="mergesort")
-            out, prior = _replay(samples, ts, count, alpha, max_sec_valid, prior)
-        else:
-            out = pd.DataFrame({c: [] for c in [*cols, *OUT_COLS]})
-        k = samples[key].iloc[0] if len(samples) else st[key].iloc[0]
-        row = {key: k, "prev_time": prior.prev_time if prior else np.nan,
-               "prev_count": prior.prev_count if prior else np.nan,
-               "value": np.nan if prior is None or prior.value is None else prior.value}
-        out = out.assign(_state=False)
-        for c in STATE_COLS:
-            out[c] = np.nan
-        state_row = pd.DataFrame([{**{c: None for c in cols}, "accepted": None, "ema": None, "valid": None,
-                                   "_state": True, **row}])
-        return pd.concat([out, state_row], ignore_index=True)
-
-    step_schema = out_schema + ", _state boolean, prev_time double, prev_count double, value double"
-    for i in range(n_slices):
-        part = sliced.where(F.col("_slice") == i).drop("_slice")
-        res = part.groupBy(key).cogroup(state.groupBy(key)).applyInPandas(step, step_schema)
-        res = res.persist()
-        res.where(~F.col("_state")).select(*cols, *OUT_COLS).write.mode("append").parquet(f"{run_dir}/out")
-        res.where(F.col("_state")).select(key, *STATE_COLS).write.mode("overwrite") \
-            .parquet(f"{run_dir}/state_{i}")
-        res.unpersist()
-        state = spark.read.parquet(f"{run_dir}/state_{i}")
-    return spark.read.schema(out_schema).parquet(f"{run_dir}/out")
+    from ..session import cut_lineage
+    from .ema_scan import counter_rate_ema_scan
+    if order is None:
+        # a stable tie-break for equal timestamps, fixed by a reliable checkpoint
+        df = cut_lineage(df.withColumn("_order", F.monotonically_increasing_id()))
+        out = counter_rate_ema_scan(df, key, ts, count, "_order", alpha, max_sec_valid)
+        return out.drop("_order")
+    return counter_rate_ema_scan(df, key, ts, count, order, alpha, max_sec_valid)
 
 
 def load_gate(ema_rows: DataFrame, key: str, ts: str, threshold: float, now,

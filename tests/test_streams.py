@@ -131,13 +131,13 @@ def test_responses_and_markers(spark):
     assert done == {"r": True, "s": False}
 
 
-def test_sliced_replay_equals_per_key(spark):
+def test_parallel_scan_equals_per_key(spark):
     import random
     rng = random.Random(3)
     rows, c = [], {"a": 0, "b": 0}
     t = 0.0
     for i in range(300):
-        t += rng.choice([0.3, 0.6, 1.2, 5.0])
+        t += rng.choice([0.3, 0.6, 1.2, 5.0, 0.0])
         k = rng.choice(["a", "b"])
         c[k] += rng.choice([0, 1, 3]) if rng.random() > 0.03 else -c[k]
         rows.append((k, i, t, float(c[k])))
@@ -146,6 +146,10 @@ def test_sliced_replay_equals_per_key(spark):
              counters.counter_rate_ema(df, "key", "t", "c", "id", 0.1, 60).collect()}
     sliced = {r.id: (r.accepted, r.ema, r.valid) for r in
               counters.counter_rate_ema(df, "key", "t", "c", "id", 0.1, 60, rows_per_slice=40).collect()}
+    no_order = {(r.key, r.t, r.c): r.accepted for r in
+                counters.counter_rate_ema(df.drop("id").dropDuplicates(["key", "t"]), "key", "t", "c",
+                                          None, 0.1, 60, rows_per_slice=40).collect()}
+    assert len(no_order) > 0
     assert whole.keys() == sliced.keys()
     for k in whole:
         a, b = whole[k], sliced[k]
