@@ -134,6 +134,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame, group_cols: Sequ
         labels = jump
         if changed == 0:
             break
+    else:
+        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
     linked = labels.select(*g, F.col("_u").alias(vertex_col), F.col("_l").alias("group_query"))
     return (vertices.select(*g, vertex_col).distinct()
             .join(linked, [*g, vertex_col], "left")

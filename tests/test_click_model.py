@@ -98,3 +98,23 @@ def test_empty_input(spark):
     df = spark.createDataFrame([], "wikiid string, norm_query_id bigint, "
                                    "hits array<struct<mean_position:double,hit_page_id:int,clicked:boolean>>")
     assert click_model.click_model(df).count() == 0
+
+
+def test_distributed_em_equals_local(spark):
+    import random
+    rng = random.Random(5)
+    rows = []
+    for q in range(6):
+        for _ in range(40):
+            n = rng.randint(2, 6)
+            pages = rng.sample(range(10), n)
+            hits = [(float(i), pages[i], rng.random() < 0.3) for i in range(n)]
+            rows.append(("w", q, hits))
+    df = spark.createDataFrame(rows, "wikiid string, norm_query_id bigint, "
+                                     "hits array<struct<mean_position:double,hit_page_id:int,clicked:boolean>>")
+    local = {(r.norm_query_id, r.hit_page_id): r.relevance for r in
+             click_model.click_model(df, iterations=5).collect()}
+    dist = {(r.norm_query_id, r.hit_page_id): r.relevance for r in
+            click_model.click_model(df, iterations=5, max_patterns_per_task=0).collect()}
+    assert local.keys() == dist.keys()
+    assert all(abs(local[k] - dist[k]) < 1e-12 for k in local)
