@@ -51,8 +51,8 @@ def query_key(*cols) -> Column:
 
 
 def parse_compact_ts(col) -> Column:
-    """``yyyyMMddHHmmss`` string → unix seconds (bigint)."""
-    return F.unix_timestamp(_col(col), "yyyyMMddHHmmss")
+    """``yyyyMMddHHmmss`` string → unix seconds (bigint); malformed → null."""
+    return F.unix_seconds(F.try_to_timestamp(_col(col), F.lit("yyyyMMddHHmmss")))
 
 
 # Light suffix rules of the default query normaliser, per language

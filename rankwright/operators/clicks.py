@@ -118,7 +118,8 @@ def sample_gate(labeled: DataFrame, requested: DataFrame, samples_per_wiki: int,
             .select("wikiid", F.coalesce("n_obs", F.lit(0)).cast("bigint").alias("n_obs"),
                     expected.cast("bigint").alias("expected"))
             .withColumn("ok", (F.col("n_obs") > 0) &
-                        (F.col("n_obs") / F.col("expected") >= F.lit(tolerance))))
+                        F.coalesce(F.try_divide(F.col("n_obs"), F.col("expected")) >= F.lit(tolerance),
+                                   F.lit(False))))
 
 
 def assert_sample_gate(gate: DataFrame) -> None:

@@ -330,5 +330,5 @@ def doc_signals(docs: DataFrame) -> DataFrame:
     joined back, not a window over a whole language."""
     totals = docs.groupBy("lang").agg(F.sum("n_chars").alias("_tot"))
     return docs.join(totals, "lang").select(
-        "doc_id", "lang", (F.col("n_chars") / F.col("_tot")).alias("popularity"),
+        "doc_id", "lang", F.coalesce(F.try_divide(F.col("n_chars"), F.col("_tot")), F.lit(0.0)).alias("popularity"),
         F.size(F.split("text", "\n")).cast("double").alias("links"))

@@ -37,8 +37,8 @@ def validate_updates(raw: DataFrame, value_col: str = "value") -> DataFrame:
     src_keys = F.json_object_keys(src)
     known = F.array(*[F.lit(k) for k in FIELD_CONFIG])
     raw_field = {k: F.get_json_object(src, f"$.{k}") for k in FIELD_CONFIG}
-    # get_json_object returns strings unquoted, so re-check the literal's type
-    # on the source text through a tiny JSON round trip.
+    # get_json_object returns strings unquoted, so the JSON type of a value is
+    # read from its literal in the message text (quoted string or number).
     typed = F.from_json(v, "struct<_index:string,_id:string,_source:map<string,string>>")
     id_raw = F.regexp_extract(v, r'"_id"\s*:\s*("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null|\{|\[)', 1)
     index_raw = F.regexp_extract(v, r'"_index"\s*:\s*("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null|\{|\[)', 1)
@@ -59,7 +59,7 @@ def validate_updates(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return raw.select(
         "*", status.alias("status"),
         typed["_index"].alias("index"), typed["_id"].alias("doc_id"),
-        F.get_json_object(src, "$.popularity_score").cast("double").alias("popularity_score"))
+        F.get_json_object(src, "$.popularity_score").try_cast("double").alias("popularity_score"))
 
 
 def validation_counts(checked: DataFrame) -> DataFrame:

@@ -93,3 +93,15 @@ def test_wikis_by_size_and_per_wiki_assembly(spark):
     got = {r.wikiid: list(r.features) for r in per.dropDuplicates(["wikiid"]).collect()}
     assert got == {"a": [3.0, 1.0], "b": [5.0]}
     assert per.schema["features"].metadata["wiki_features"] == {"a": ["z", "x"], "b": ["y"]}
+
+
+def test_malformed_inputs_do_not_fail_jobs(spark):
+    import json as _json
+    from rankwright.streaming import updates
+    df = spark.createDataFrame([("2017010203",), ("20170102030405",), ("garbage",)], "ts string")
+    got = [r.t for r in df.select(parse_compact_ts("ts").alias("t")).collect()]
+    assert got[1] == 1483326245 and got[2] is None
+    msgs = spark.createDataFrame([(_json.dumps({"_index": "en", "_id": 1, "_source": {"popularity_score": "abc"}}),)],
+                                 "value string")
+    row = updates.validate_updates(msgs).first()
+    assert row.status == "valid" and row.popularity_score is None
