@@ -77,28 +77,38 @@ def build_index(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS), k1: floa
     statistics and impacts."""
     docs = spread(docs, "doc_id")
     idx = TextIndex(docs)
-    plain = _keep(idx, docs.select("lang", "doc_id", tokens("text").alias("_plain")))
+    plain = docs.select("lang", "doc_id", tokens("text").alias("_t"))
+    plain_post = _keep(idx, plain.select("lang", "doc_id", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
+                       .groupBy("lang", "doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
+    # Analyzers only map a token to a token, so every field's postings derive
+    # from the plain postings (one expression per posting, then re-summed) and
+    # share the document lengths and field statistics.
+    stats = _keep(idx, plain.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"),
+                                                 F.avg(F.size("_t")).alias("avg_dl")))
     for f in fields:
         src, analyzer = FIELDS[f]
         if src != "text":
             raise ValueError("fields are analysed from the text column")
-        arr = F.col("_plain") if analyzer == "plain" else _stem(F.col("_plain"))
-        toks = plain.select("lang", "doc_id", arr.alias("_t"))
-        post = _keep(idx, toks.select("lang", "doc_id", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
-                     .groupBy("lang", "doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
+        if analyzer == "plain":
+            post = plain_post
+        else:
+            post = _keep(idx, plain_post.withColumn("term", _stem_term(F.col("term")))
+                         .groupBy("lang", "doc_id", "term", "dl").agg(F.sum("tf").alias("tf")))
         idx.postings[f] = post
-        idx.stats[f] = _keep(idx, toks.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"),
-                                                          F.avg(F.size("_t")).alias("avg_dl")))
+        idx.stats[f] = stats
         idx.terms[f] = _keep(idx, post.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"),
                                                                   F.sum("tf").alias("ttf")))
-        idx.impacts[f] = _keep(idx, _with_impact(post, idx.terms[f], idx.stats[f], k1, b)
+        idx.impacts[f] = _keep(idx, _with_impact(post, idx.terms[f], stats, k1, b)
                                .select("lang", "doc_id", "term", "_s"))
     return idx
 
 
+def _stem_term(t: Column) -> Column:
+    return F.when(F.length(t) > 4, F.regexp_replace(t, STEM_SUFFIX, "")).otherwise(t)
+
+
 def _stem(toks: Column) -> Column:
-    return F.transform(toks, lambda t: F.when(F.length(t) > 4, F.regexp_replace(t, STEM_SUFFIX, ""))
-                       .otherwise(t))
+    return F.transform(toks, _stem_term)
 
 
 def _with_impact(post: DataFrame, terms: DataFrame, stats: DataFrame, k1: float, b: float) -> DataFrame:
@@ -259,22 +269,29 @@ def token_router(n_tokens, value, limit: int = 10) -> Column:
     return F.when(n > limit, F.lit(0.0)).when(n > 1, F.coalesce(v.cast("double"), F.lit(0.0))).otherwise(0.0)
 
 
-def _all_terms_docs(queries: DataFrame, docs, field: str, id_col: str, text_col: str) -> DataFrame:
-    """Docs holding every query term in ``field``: candidates from the
-    postings of the query's rarest term (per language), verified against the
-    postings of all its terms.  (lang, item_id, doc_id)."""
+def _rare_term_candidates(queries: DataFrame, docs, field: str, id_col: str, text_col: str) -> DataFrame:
+    """Docs that may hold every query term in ``field``: the postings of the
+    query's rarest term (per language), for queries whose every term occurs in
+    that language.  (lang, item_id, doc_id)."""
     _, analyzer = FIELDS[field]
     qt = query_terms(queries, analyzer, id_col, text_col)
-    post = doc_terms(docs, field).select("lang", "doc_id", "term")
     present = qt.join(_term_table(docs, field).select("lang", "term", "df"), "term")
     rare = (present.groupBy("lang", id_col)
             .agg(F.count(F.lit(1)).alias("_present"), F.max("n_terms").alias("n_terms"),
                  F.min(F.struct("df", "term")).alias("_rare"))
             .where(F.col("_present") == F.col("n_terms"))
-            .select("lang", id_col, "n_terms", F.col("_rare.term").alias("term")))
-    cand = rare.join(post, ["lang", "term"]).select("lang", id_col, "doc_id", "n_terms")
-    hits = (cand.join(qt.select(id_col, "term"), id_col)
-            .join(post, ["lang", "doc_id", "term"])
+            .select("lang", id_col, F.col("_rare.term").alias("term")))
+    post = doc_terms(docs, field).select("lang", "doc_id", "term")
+    return rare.join(post, ["lang", "term"]).select("lang", id_col, "doc_id")
+
+
+def _all_terms_docs(queries: DataFrame, docs, field: str, id_col: str, text_col: str) -> DataFrame:
+    """Docs holding every query term in ``field`` (candidates verified)."""
+    _, analyzer = FIELDS[field]
+    qt = query_terms(queries, analyzer, id_col, text_col)
+    cand = _rare_term_candidates(queries, docs, field, id_col, text_col)
+    post = doc_terms(docs, field).select("lang", "doc_id", "term")
+    hits = (cand.join(qt, id_col).join(post, ["lang", "doc_id", "term"])
             .groupBy("lang", id_col, "doc_id").agg(F.count(F.lit(1)).alias("_m"), F.max("n_terms").alias("_n")))
     return hits.where(F.col("_m") == F.col("_n")).select("lang", id_col, "doc_id")
 
@@ -283,26 +300,32 @@ def search(queries: DataFrame, docs, n: int = 20, weights: dict | None = None,
            id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Documents holding all query terms in at least one field, scored by
     the weighted sum of field BM25, top ``n`` per (lang, query) (score desc,
-    doc asc): (lang, item_id, doc_id, score, rank).  Only conjunction
-    candidates are scored (rarest-term candidate generation)."""
+    doc asc): (lang, item_id, doc_id, score, rank).
+
+    Candidates come from each field's rarest query term; one join per field
+    of (candidate, query term) with the posting impacts then both verifies the
+    conjunction (matched terms = query terms) and sums the field's score."""
     weights = weights or {"text": 1.0, "text_plain": 0.5}
     cand = None
     for f in weights:
-        c = _all_terms_docs(queries, docs, f, id_col, text_col)
+        c = _rare_term_candidates(queries, docs, f, id_col, text_col)
         cand = c if cand is None else cand.unionByName(c)
     cand = cand.distinct()
     parts = None
     for f, w in weights.items():
         _, analyzer = FIELDS[f]
-        qt = query_terms(queries, analyzer, id_col, text_col).select(id_col, "term")
+        qt = query_terms(queries, analyzer, id_col, text_col).select(id_col, "term", "n_terms")
         sc = (cand.join(qt, id_col).join(_impacts(docs, f, K1, B), ["lang", "doc_id", "term"])
-              .select("lang", id_col, "doc_id", (F.col("_s") * w).alias("_s")))
+              .groupBy("lang", id_col, "doc_id")
+              .agg((F.sum("_s") * w).alias("_s"), (F.count(F.lit(1)) == F.max("n_terms")).alias("_all")))
         parts = sc if parts is None else parts.unionByName(sc)
-    scored = parts.groupBy("lang", id_col, "doc_id").agg(F.sum("_s").alias("score"))
+    scored = (parts.groupBy("lang", id_col, "doc_id")
+              .agg(F.sum("_s").alias("score"), F.bool_or("_all").alias("_all"))
+              .where(F.col("_all")).drop("_all"))
     # Scores equal to 9 decimals are ties (summation order may differ in the
     # last bits between plans); the doc id breaks them.
-    w = Window.partitionBy("lang", id_col).orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    win = Window.partitionBy("lang", id_col).orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
+    return scored.withColumn("rank", F.row_number().over(win)).where(F.col("rank") <= n)
 
 
 def saturation(x, k: float, a: float) -> Column:
