@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -157,7 +158,8 @@ def group_queries(df: DataFrame, threshold: float = 0.5, min_sessions: int = 10,
     elif norm_query_col != "norm_query":
         df = df.withColumnRenamed(norm_query_col, "norm_query")
     g = ["wikiid", "norm_query"]
-    gated = session_gate(df, g, min_sessions)
+    # Read three times below (queries, top hits, join back): keep it once.
+    gated = session_gate(df, g, min_sessions).persist(StorageLevel.MEMORY_AND_DISK)
     queries = gated.select(*g, "query").distinct()
     top = top_hits(gated, top_n, keys=[*g, "query"])
     sets = hit_sets(top, keys=[*g, "query"])
