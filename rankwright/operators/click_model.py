@@ -21,7 +21,6 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -272,8 +271,10 @@ def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float =
     g = list(group_cols)
     pats = patterns(sessions, g, page_type)
     sizes = pats.groupBy(*g).agg(F.count(F.lit(1)).alias("_n_patterns"))
-    # Patterns are read by the size check and by both paths: keep them once.
-    tagged = pats.join(sizes, g).persist(StorageLevel.MEMORY_AND_DISK)
+    # Patterns are read by the size check and by both paths: write them once
+    # (reliable checkpoint), which also cuts the upstream plan, so the many
+    # small plans below do not re-analyse the whole sessions lineage.
+    tagged = cut_lineage(pats.join(sizes, g))
     small = tagged.where(F.col("_n_patterns") <= max_patterns_per_task).drop("_n_patterns")
     big = tagged.where(F.col("_n_patterns") > max_patterns_per_task).drop("_n_patterns")
     key_types = {f.name: f.dataType.simpleString() for f in pats.schema}

@@ -63,7 +63,7 @@ def query_similarity(sets: DataFrame, threshold: float = 0.5,
     members = nonempty.select(*g, item_col, F.array_sort(F.array_distinct(set_col)).alias("_set"))
     # The set table is read five times below; materialise it once (reliably).
     members = cut_lineage(
-        members.withColumn("_sid", F.array_join(F.col("_set").cast("array<string>"), ",")))
+        members.withColumn("_sid", F.array_join(F.col("_set").cast("array<string>"), ",")), persist_first=False)
     distinct_sets = members.select(*g, "_sid", "_set").dropDuplicates([*g, "_sid"])
 
     tokens = distinct_sets.select(*g, "_sid", F.size("_set").alias("_len"), F.explode("_set").alias("_tok"))
@@ -114,9 +114,10 @@ def connected_components(vertices: DataFrame, edges: DataFrame, group_cols: Sequ
     g = list(group_cols)
     # The inputs are materialised once so each round only re-reads them.
     und = cut_lineage(edges.select(*g, F.col(src).alias("_u"), F.col(dst).alias("_v"))
-                      .unionByName(edges.select(*g, F.col(dst).alias("_u"), F.col(src).alias("_v"))))
+                      .unionByName(edges.select(*g, F.col(dst).alias("_u"), F.col(src).alias("_v"))),
+                      persist_first=False)
     # Only vertices with an edge can change label; isolated ones keep their own.
-    labels = cut_lineage(und.select(*g, "_u", F.col("_u").alias("_l")).distinct())
+    labels = cut_lineage(und.select(*g, "_u", F.col("_u").alias("_l")).distinct(), persist_first=False)
     for i in range(max_rounds):
         nb = (und.join(labels.withColumnRenamed("_u", "_v").withColumnRenamed("_l", "_nl"), [*g, "_v"])
               .groupBy(*g, "_u").agg(F.min("_nl").alias("_nl")))
@@ -125,7 +126,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, group_cols: Sequ
         jump = (step.join(step.select(*g, F.col("_u").alias("_l"), F.col("_l").alias("_ll")), [*g, "_l"], "left")
                 .select(*g, "_u", F.least("_l", F.coalesce("_ll", "_l")).alias("_l")))
         if (i + 1) % checkpoint_every == 0:
-            jump = cut_lineage(jump)
+            jump = cut_lineage(jump, persist_first=False)
         else:
             jump = jump.cache()
         changed = (jump.join(labels.withColumnRenamed("_l", "_old"), [*g, "_u"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
@@ -63,10 +64,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+def cut_lineage(df: DataFrame, persist_first: bool = True) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+
+    By default the frame is persisted first: an eager reliable checkpoint
+    otherwise runs the plan twice (once to materialise, once to write the
+    files).  Cheap inputs can skip that with ``persist_first=False``."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not persist_first:
+        return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
