@@ -51,8 +51,10 @@ def query_key(*cols) -> Column:
 
 
 def parse_compact_ts(col) -> Column:
-    """``yyyyMMddHHmmss`` string → unix seconds (bigint); malformed → null."""
-    return F.unix_seconds(F.try_to_timestamp(_col(col), F.lit("yyyyMMddHHmmss")))
+    """``yyyyMMddHHmmss`` string (UTC) → unix seconds (bigint); malformed
+    → null.  Parsed with an explicit offset, so the session time zone does not
+    matter."""
+    return F.unix_seconds(F.try_to_timestamp(F.concat(_col(col), F.lit("+0000")), F.lit("yyyyMMddHHmmssZ")))
 
 
 # Light suffix rules of the default query normaliser, per language
