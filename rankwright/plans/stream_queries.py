@@ -119,8 +119,9 @@ def q_update_results(spark, sf_dir):
 
 
 def _seconds(c):
-    """Timestamp (with or without zone, read as UTC) → epoch seconds (double)."""
-    return F.unix_micros(F.col(c).cast("timestamp")) / 1e6
+    """Wall-clock timestamp without zone (read as UTC) → epoch seconds (double),
+    independent of the session time zone."""
+    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})") / 1e6
 
 
 def _samples(spark, sf_dir):
