@@ -268,6 +268,8 @@ def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float =
     """M3: relevance per (group, hit_page_id) from eligible sessions.
 
     Returns (group..., hit_page_id bigint, relevance double)."""
+    from ..session import ship_package
+    ship_package(sessions.sparkSession)
     g = list(group_cols)
     pats = patterns(sessions, g, page_type)
     sizes = pats.groupBy(*g).agg(F.count(F.lit(1)).alias("_n_patterns"))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
@@ -20,7 +22,13 @@ def register(key: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if key in QUERIES:
             raise KeyError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[key] = run
         if sql is not None:
             ORACLE[key] = sql
         return fn

@@ -39,6 +39,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -87,3 +88,29 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``rankwright`` importable in Python workers (as ``--py-files``
+    would): zip the package once per SparkContext and ``addPyFile`` it, so
+    pandas functions that refer to package code work on any executor, whatever
+    the driver's working directory."""
+    import os
+    import zipfile
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="rankwright-pyfiles-"), "rankwright.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    zf.write(path, os.path.join("rankwright", os.path.relpath(path, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
