@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from ..sources.tables import table
-from . import chat, html_text, langid, packing, pii
+from . import chat, decontam, html_text, langid, neardup, packing, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op2_chat_format": chat.ORACLE}
@@ -62,6 +62,19 @@ def pii_spans(spark, sf_dir):
         pii.joined_spans(F.col("spans")).alias("spans"))
 
 
+@query("op8_decontamination")
+def decontamination(spark, sf_dir):
+    """Every (document, benchmark item) with a leaked passage."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.find_leaks(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query("op9_minhash_neardup")
+def minhash_neardup(spark, sf_dir):
+    """Near-duplicate component of every document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op10_language_id")
 def language_id(spark, sf_dir):
     """Language of every document; the model learns from the rows that are not held out."""
