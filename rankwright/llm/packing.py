@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 CAPACITY = 8192
 SHARD_ROWS = 4096
+NO_ID = -(1 << 63)  # stands for a null doc_id inside the shards
 SCHEMA = ("doc_id bigint, piece bigint, start bigint, size bigint, source string, cluster bigint, "
           "bin_id bigint, bin_used bigint")
 
@@ -96,8 +97,8 @@ def pack(docs: DataFrame, size: Column, source: Column, cluster: Column, doc_id:
          capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Pieces with their bins (``SCHEMA``); ``bin_id`` is unique over all shards."""
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-        source.cast("string").alias("source"), cluster.cast("long").alias("cluster"))
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(size, F.lit(0)).cast("long").alias("size"),
+        source.cast("string").alias("source"), cluster.cast("string").alias("cluster"))
     shards = max(1, -(-docs.count() // shard_rows))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(shards)))
 
@@ -105,8 +106,8 @@ def pack(docs: DataFrame, size: Column, source: Column, cluster: Column, doc_id:
         # a stable order of the rows makes a recomputed shard give the same bins
         pdf = pdf.sort_values(["doc_id", "size", "cluster", "source"], kind="stable", na_position="first")
         clusters = _or_none(pdf["cluster"])
-        rows = list(zip(_or_none(pdf["doc_id"]), pdf["size"], _or_none(pdf["source"]), clusters))
-        rows = [(0 if r[0] is None else r[0], int(r[1]), r[2], None if r[3] is None else int(r[3])) for r in rows]
+        clusters = [None if c is None else int(c) for c in clusters]
+        rows = list(zip(pdf["doc_id"].tolist(), pdf["size"].tolist(), _or_none(pdf["source"]), clusters))
         placed, used = pack_shard(rows, capacity)
         base = int(pdf["shard"].iloc[0]) << 32
         take = [p[0] for p in placed]
@@ -117,7 +118,8 @@ def pack(docs: DataFrame, size: Column, source: Column, cluster: Column, doc_id:
             "cluster": pd.array([clusters[i] for i in take], dtype="Int64"),
             "bin_id": [base + p[4] for p in placed], "bin_used": [used[p[4]] for p in placed]})
 
-    return rows.groupBy("shard").applyInPandas(work, SCHEMA)
+    packed = rows.groupBy("shard").applyInPandas(work, SCHEMA)
+    return packed.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(NO_ID)))
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:

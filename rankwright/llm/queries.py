@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import chat, decontam, html_text, langid, neardup, packing, pii
+from . import chat, decontam, html_text, langid, lzprint, neardup, packing, pii, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {"op2_chat_format": chat.ORACLE}
@@ -40,6 +41,14 @@ def chat_format(spark, sf_dir):
     return chat.conversation_digest(chat.format_conversations(rows))
 
 
+@query("op3_token_files")
+def token_files(spark, sf_dir):
+    """All documents written as token files, then digested from the files."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    tokens.write_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), folder)
+    return tokens.read_digests(spark, folder)
+
+
 @query("op4_html_text")
 def html_main_text(spark, sf_dir):
     """Main text of every page."""
@@ -62,6 +71,12 @@ def pii_spans(spark, sf_dir):
         pii.joined_spans(F.col("spans")).alias("spans"))
 
 
+@query("op7_lz_fingerprint")
+def lz_fingerprint(spark, sf_dir):
+    """Phrase fingerprints of every document, its edited text, and their likeness to it and the next."""
+    return lzprint.neighbour_likeness(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op8_decontamination")
 def decontamination(spark, sf_dir):
     """Every (document, benchmark item) with a leaked passage."""
