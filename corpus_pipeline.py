@@ -16,7 +16,7 @@ from rankwright.llm import decontam, langid, neardup, packing, pii
 from rankwright.session import ensure_checkpoint_dir, ship_package
 from rankwright.sources.tables import table
 
-MIN_LANGUAGE_SCORE = 0.4
+MIN_LANGUAGE_SCORE = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -119,14 +119,17 @@ class ByteCnn:
         b4 = (self.taps[2][2][:, None, :] + self.taps[2][3][None, :, :]).reshape(65536, FILTERS)
         return np.concatenate(a, axis=1), np.concatenate([np.zeros_like(b3), b3, b4], axis=1)
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.01, seed: int = 7):
+    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 6, min_steps: int = 400, batch: int = 64,
+              rate: float = 0.01, seed: int = 7):
+        """Adam over shuffled batches: ``epochs`` rounds, more on few rows, the rate halved twice."""
         rng = np.random.default_rng(seed)
         opt: dict = {}
-        t = 0
+        t, parts = 0, max(1, len(x) // batch)
+        epochs = max(epochs, -(-min_steps // parts))
         for e in range(epochs):
-            for part in np.array_split(rng.permutation(len(x)), max(1, len(x) // batch)):
+            for part in np.array_split(rng.permutation(len(x)), parts):
                 t += 1
-                self.step(x[part], y[part], opt, t, rate * (0.5 ** (e // 2)))
+                self.step(x[part], y[part], opt, t, rate * 0.5 ** (3 * e // epochs))
         return self
 
 

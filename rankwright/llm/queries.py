@@ -10,10 +10,49 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import chat, decontam, html_text, langid, lzprint, neardup, packing, pii, tokens
+from . import chat, decontam, html_text, langid, lzprint, neardup, packing, pii, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op2_chat_format": chat.ORACLE}
+ORACLE: dict[str, str] = {
+    "op2_chat_format": chat.ORACLE,
+    "op6_repeated_strings": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
+      FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS i FROM d)),
+m AS (SELECT w, min(doc_id) AS least FROM s GROUP BY w HAVING count(*) > 1),
+hit AS (SELECT s.doc_id, s.i FROM s JOIN m ON s.w = m.w WHERE m.least < s.doc_id),
+edge AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER o + 50 OR lag(i) OVER o IS NULL THEN 1 ELSE 0 END AS new
+         FROM hit WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+run AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM edge),
+span AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY doc_id, k),
+gap AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_byte FROM span),
+cut AS (SELECT g.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last_byte,
+               string_agg(substr(h, 2 * from_byte + 1, 2 * (a - from_byte)), '' ORDER BY a) AS kept
+        FROM gap g JOIN d ON g.doc_id = d.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last_byte, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id
+""",
+    "op9_minhash_neardup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g FROM (
+         SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id
+         GROUP BY ALL),
+link AS (SELECT u, v FROM pair JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+         WHERE 100 * k >= 85 * (x.n + y.n - k)),
+both_ways AS (SELECT u, v FROM link UNION ALL SELECT v, u FROM link),
+reach AS (SELECT u AS a, u AS b FROM both_ways UNION SELECT r.a, l.v FROM reach r JOIN both_ways l ON r.b = l.u),
+comp AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, w.doc_id) AS component_id,
+       w.doc_id = coalesce(c, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN comp ON comp.a = w.doc_id
+""",
+}
 
 
 def query(key: str):
@@ -71,6 +110,12 @@ def pii_spans(spark, sf_dir):
         pii.joined_spans(F.col("spans")).alias("spans"))
 
 
+@query("op6_repeated_strings")
+def repeated_strings(spark, sf_dir):
+    """Bytes of every document that repeat 50-byte strings of smaller documents."""
+    return substrings.repeated_strings(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query("op7_lz_fingerprint")
 def lz_fingerprint(spark, sf_dir):
     """Phrase fingerprints of every document, its edited text, and their likeness to it and the next."""
