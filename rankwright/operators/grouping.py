@@ -1,22 +1,21 @@
 """Query grouping by result-set similarity.
 
-Similar queries are found with an exact prefix-filtered set-similarity join
-(no all-pairs within a group), and groups are the connected components of the
-similarity graph, found by distributed min-label propagation with pointer
-jumping (a few joins per round, O(log n) rounds on typical graphs).
+Queries with equal page sets are one vertex (their set); similar sets are found with an
+exact prefix-filtered set-similarity join, and groups are the connected components of
+the sets (``components``: rounds grow with the logarithm, no cap).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.columns import normalise_query
 from ..session import cut_lineage
+from . import components
 from .clicks import session_gate
 
 
@@ -45,33 +44,29 @@ def _prefix_len(size: F.Column, threshold: float) -> F.Column:
     return size - F.ceil(F.lit(threshold) * size) + F.lit(1)
 
 
-def query_similarity(sets: DataFrame, threshold: float = 0.5,
-                     group_cols: Sequence[str] = ("wikiid", "norm_query"),
-                     item_col: str = "query", set_col: str = "hit_page_ids") -> DataFrame:
-    """All pairs (a < b) of items in the same group with Jaccard > threshold.
+def set_members(sets: DataFrame, group_cols: Sequence[str], item_col: str, set_col: str) -> DataFrame:
+    """Each item with a non-empty set, and the id of its set (``_sid``, equal for equal sets)."""
+    members = sets.where(F.size(set_col) > 0).select(
+        *group_cols, item_col, F.array_sort(F.array_distinct(set_col)).alias("_set"))
+    return members.withColumn("_sid", F.array_join(F.col("_set").cast("array<string>"), ","))
 
-    ``threshold`` must be > 0.  Steps: (1) collapse identical sets; (2) order
-    tokens by ascending document frequency inside the group and keep each
-    set's prefix; (3) candidate set pairs = prefix self-join on (group, token);
-    (4) verify exact Jaccard; (5) expand set pairs back to item pairs, plus
-    pairs inside one identical set (Jaccard 1).
-    """
+
+def similar_sets(members: DataFrame, threshold: float, group_cols: Sequence[str]) -> DataFrame:
+    """Pairs ``sa < sb`` of distinct set ids of one group with Jaccard > ``threshold``.
+
+    Steps: (1) order tokens by ascending document frequency inside the group and keep
+    each set's prefix; (2) candidate pairs = prefix self-join on (group, token); (3) verify
+    the exact Jaccard similarity."""
     if not threshold > 0:
         raise ValueError("threshold must be > 0 (pairs sharing nothing are never similar)")
     g = list(group_cols)
-    nonempty = sets.where(F.size(set_col) > 0)
-    members = nonempty.select(*g, item_col, F.array_sort(F.array_distinct(set_col)).alias("_set"))
-    # The set table is read five times below; materialise it once (reliably).
-    members = cut_lineage(
-        members.withColumn("_sid", F.array_join(F.col("_set").cast("array<string>"), ",")))
     distinct_sets = members.select(*g, "_sid", "_set").dropDuplicates([*g, "_sid"])
-
     tokens = distinct_sets.select(*g, "_sid", F.size("_set").alias("_len"), F.explode("_set").alias("_tok"))
     freq = tokens.groupBy(*g, "_tok").agg(F.count(F.lit(1)).alias("_df"))
     ordered = tokens.join(freq, [*g, "_tok"])
     by_rarity = Window.partitionBy(*g, "_sid").orderBy(F.col("_df").asc(), F.col("_tok").asc())
     prefix = (ordered.withColumn("_r", F.row_number().over(by_rarity))
-              .where(F.col("_r") <= _prefix_len(F.col("_len"), threshold))
+              .where((F.col("_r") <= _prefix_len(F.col("_len"), threshold)) & (F.col("_df") > 1))
               .select(*g, "_sid", "_tok"))
     a, b = prefix.alias("a"), prefix.alias("b")
     cand = (a.join(b, [*g, "_tok"])
@@ -81,21 +76,35 @@ def query_similarity(sets: DataFrame, threshold: float = 0.5,
     sa = distinct_sets.select(*g, F.col("_sid").alias("sa"), F.col("_set").alias("set_a"))
     sb = distinct_sets.select(*g, F.col("_sid").alias("sb"), F.col("_set").alias("set_b"))
     inter = F.size(F.array_intersect("set_a", "set_b"))
-    verified = (cand.join(sa, [*g, "sa"]).join(sb, [*g, "sb"])
-                .withColumn("intersection", inter)
-                .withColumn("union", F.size("set_a") + F.size("set_b") - F.col("intersection"))
-                .withColumn("jaccard", F.col("intersection") / F.col("union"))
-                .where(F.col("jaccard") > threshold)
-                .select(*g, "sa", "sb", "intersection", "union", "jaccard"))
+    return (cand.join(sa, [*g, "sa"]).join(sb, [*g, "sb"])
+            .withColumn("intersection", inter)
+            .withColumn("union", F.size("set_a") + F.size("set_b") - F.col("intersection"))
+            .withColumn("jaccard", F.col("intersection") / F.col("union"))
+            .where(F.col("jaccard") > threshold)
+            .select(*g, "sa", "sb", "intersection", "union", "jaccard"))
+
+
+def query_similarity(sets: DataFrame, threshold: float = 0.5,
+                     group_cols: Sequence[str] = ("wikiid", "norm_query"),
+                     item_col: str = "query", set_col: str = "hit_page_ids") -> DataFrame:
+    """All pairs (a < b) of items in the same group with Jaccard > threshold.
+
+    ``threshold`` must be > 0.  This report expands similar sets to their items; grouping
+    works on the sets alone (:func:`similar_sets`)."""
+    g = list(group_cols)
+    # The set table is read five times below; materialise it once (reliably).
+    members = cut_lineage(set_members(sets, g, item_col, set_col))
+    verified = similar_sets(members, threshold, g)
     ma = members.select(*g, F.col("_sid").alias("sa"), F.col(item_col).alias("qa"))
     mb = members.select(*g, F.col("_sid").alias("sb"), F.col(item_col).alias("qb"))
     cross = (verified.join(ma, [*g, "sa"]).join(mb, [*g, "sb"])
              .select(*g, F.least("qa", "qb").alias(f"{item_col}_a"),
                      F.greatest("qa", "qb").alias(f"{item_col}_b"),
                      "intersection", "union", "jaccard"))
+    sizes = members.select(*g, F.col("_sid").alias("sa"), F.size("_set").alias("_n")).dropDuplicates([*g, "sa"])
     same = (ma.join(mb.withColumnRenamed("sb", "sa"), [*g, "sa"])
             .where(F.col("qa") < F.col("qb"))
-            .join(distinct_sets.select(*g, F.col("_sid").alias("sa"), F.size("_set").alias("_n")), [*g, "sa"])
+            .join(sizes, [*g, "sa"])
             .select(*g, F.col("qa").alias(f"{item_col}_a"), F.col("qb").alias(f"{item_col}_b"),
                     F.col("_n").alias("intersection"), F.col("_n").alias("union"),
                     F.lit(1.0).alias("jaccard")))
@@ -103,46 +112,30 @@ def query_similarity(sets: DataFrame, threshold: float = 0.5,
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame, group_cols: Sequence[str],
-                         vertex_col: str, src: str, dst: str, max_rounds: int = 64,
-                         checkpoint_every: int = 4) -> DataFrame:
-    """Component label (minimum vertex) per vertex, inside each group.
-
-    Min-label propagation over undirected edges with pointer jumping; every
-    round is joins + aggregates keyed by (group, vertex), so a large group is
-    spread over many tasks.  Lineage is cut with a reliable checkpoint.
-    """
+                         vertex_col: str, src: str, dst: str) -> DataFrame:
+    """Component label ``group_query`` (minimum vertex) per vertex, inside each group."""
     g = list(group_cols)
-    # The inputs are materialised once so each round only re-reads them.
-    und = cut_lineage(edges.select(*g, F.col(src).alias("_u"), F.col(dst).alias("_v"))
-                      .unionByName(edges.select(*g, F.col(dst).alias("_u"), F.col(src).alias("_v"))))
-    # Only vertices with an edge can change label; isolated ones keep their own.
-    labels = cut_lineage(und.select(*g, "_u", F.col("_u").alias("_l")).distinct())
-    for i in range(max_rounds):
-        nb = (und.join(labels.withColumnRenamed("_u", "_v").withColumnRenamed("_l", "_nl"), [*g, "_v"])
-              .groupBy(*g, "_u").agg(F.min("_nl").alias("_nl")))
-        step = (labels.join(nb, [*g, "_u"], "left")
-                .select(*g, "_u", F.least("_l", F.coalesce("_nl", "_l")).alias("_l")))
-        jump = (step.join(step.select(*g, F.col("_u").alias("_l"), F.col("_l").alias("_ll")), [*g, "_l"], "left")
-                .select(*g, "_u", F.least("_l", F.coalesce("_ll", "_l")).alias("_l")))
-        if (i + 1) % checkpoint_every == 0:
-            jump = cut_lineage(jump)
-        else:
-            jump = jump.cache()
-        changed = (jump.join(labels.withColumnRenamed("_l", "_old"), [*g, "_u"])
-                   .where(F.col("_l") != F.col("_old")).count())
-        if i > 0:
-            labels.unpersist()
-        labels = jump
-        if changed == 0:
-            break
-    else:
-        raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-    linked = labels.select(*g, F.col("_u").alias(vertex_col), F.col("_l").alias("group_query"))
+    linked = components.connected_components(edges, src, dst, g) \
+        .withColumnRenamed("vertex", vertex_col).withColumnRenamed("component", "group_query")
     return (vertices.select(*g, vertex_col).distinct()
             .join(linked, [*g, vertex_col], "left")
             .withColumn("group_query", F.coalesce("group_query", vertex_col)))
 
 
+def group_items(sets: DataFrame, threshold: float, group_cols: Sequence[str], item_col: str,
+                set_col: str = "hit_page_ids") -> DataFrame:
+    """``(*group_cols, item, group_query)`` of every item with a non-empty set: the smallest
+    item of the component of its set.  No pair of items is ever formed."""
+    g = list(group_cols)
+    members = cut_lineage(set_members(sets, g, item_col, set_col))
+    comps = components.connected_components(similar_sets(members, threshold, g), "sa", "sb", g)
+    named = members.select(*g, item_col, "_sid").join(
+        comps.withColumnRenamed("vertex", "_sid"), [*g, "_sid"], "left") \
+        .withColumn("_c", F.coalesce("component", "_sid"))
+    canonical = named.groupBy(*g, "_c").agg(F.min(item_col).alias("group_query"))
+    return named.join(canonical, [*g, "_c"]).select(*g, item_col, "group_query")
+
+
 def group_queries(df: DataFrame, threshold: float = 0.5, min_sessions: int = 10, top_n: int = 5,
                   norm_query_col: str | None = "norm_query") -> DataFrame:
     """M1: attach ``group_query`` (canonical = smallest query of the component)
@@ -159,12 +152,10 @@ def group_queries(df: DataFrame, threshold: float = 0.5, min_sessions: int = 10,
         df = df.withColumnRenamed(norm_query_col, "norm_query")
     g = ["wikiid", "norm_query"]
     # Read three times below (queries, top hits, join back): keep it once.
-    gated = session_gate(df, g, min_sessions).persist(StorageLevel.MEMORY_AND_DISK)
-    queries = gated.select(*g, "query").distinct()
-    top = top_hits(gated, top_n, keys=[*g, "query"])
-    sets = hit_sets(top, keys=[*g, "query"])
-    edges = query_similarity(sets, threshold, g, "query")
-    comps = connected_components(queries, edges, g, "query", "query_a", "query_b")
-    grouped = (gated.join(comps, [*g, "query"])
+    gated = cut_lineage(session_gate(df, g, min_sessions))
+    sets = hit_sets(top_hits(gated, top_n, keys=[*g, "query"]), keys=[*g, "query"])
+    comps = cut_lineage(group_items(sets, threshold, g, "query"))
+    grouped = (gated.join(comps, [*g, "query"], "left")
+               .withColumn("group_query", F.coalesce("group_query", "query"))
                .withColumn("norm_query_id", F.xxhash64("wikiid", "norm_query", "group_query")))
     return session_gate(grouped, ["wikiid", "norm_query_id"], min_sessions)
