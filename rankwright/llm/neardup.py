@@ -13,8 +13,9 @@ From buckets to groups, without writing out pairs inside a group:
 2. Each bucket is a star: every member is compared with the bucket's smallest member.
    The comparison is exact, on the full sets.  Confirmed links give components.
 3. Buckets whose members are then still in several components are compared exhaustively
-   (only there), in blocks of ``BLOCK`` members, so no task holds an unbounded bucket; each
-   block task reports a spanning forest of the confirmed links.  Links inside one
+   (only there, and only sets whose sizes allow the similarity), in blocks of ``BLOCK``
+   members, so no task holds an unbounded bucket; each block task reports a spanning forest
+   of the confirmed links.  Links inside one
    component cannot change it, so none that matters is missed.
 
 Edge cases: null, empty or wordless texts have an empty set and link with nothing;
@@ -40,7 +41,8 @@ from . import textcodes
 PERMUTATIONS = 30
 ROWS = 3
 PERCENT = 85
-BLOCK = 128
+BLOCK = 256
+TASK_ROWS = 4096
 _U = np.uint64
 _rng = np.random.default_rng(4711)
 _SCALE = _rng.integers(1, 1 << 63, PERMUTATIONS, dtype=np.uint64) * _U(2) + _U(1)
@@ -135,52 +137,83 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(check("cu", "cv")).select("u", "v")
 
 
-def _forest(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
-    """Spanning links between components among the members of two blocks of a bucket."""
-    ids, codes = rows["doc_id"].tolist(), rows["codes"].tolist()
-    names = {c: i for i, c in enumerate(rows["component"].unique())}
-    parent = list(range(len(names)))
-    home = [names[c] for c in rows["component"]]
-
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+def _forest(ids: list, codes: list, guest: list, component: list, percent: int) -> list[tuple[int, int]]:
+    """Spanning links between components among the members of two blocks of a cell.
 
+    Each member's codes are marked and counted in all members before it at once.  Two
+    guests are compared in the cell where they are at home."""
+    sets = [np.frombuffer(c, np.uint64) for c in codes]
+    size = np.array([len(c) for c in sets])
+    start = np.cumsum(size) - size
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    label, away = np.array(component), np.array(guest)
+    mark = np.zeros(int(code.max()) + 1, dtype=np.uint8)
     found = []
-    for i in range(len(ids)):
-        for j in range(i):
-            x, y = root(home[i]), root(home[j])
-            if x != y and similar(codes[i], codes[j], percent):
-                parent[x] = y
+    for i in range(1, len(ids)):
+        own = code[start[i]:start[i] + size[i]]
+        mark[own] = 1
+        shared = np.add.reduceat(mark[code[:start[i]]], start[:i], dtype=np.int64)
+        mark[own] = 0
+        near = 100 * shared >= percent * (size[:i] + size[i] - shared)
+        near &= label[:i] != label[i]
+        if guest[i]:
+            near &= ~away[:i]
+        for j in np.flatnonzero(near).tolist():
+            if label[j] != label[i]:
+                label[label == label[j]] = label[i]
                 found.append((ids[i], ids[j]))
     return found
 
 
-def _rest_links(members: DataFrame, component: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Links between components inside buckets that the stars left divided."""
-    named = members.join(component, members["rep"] == component["vertex"]).select("bucket", "rep", "component")
-    split = named.groupBy("bucket").agg(
+def _divided(rows: DataFrame, *place: str) -> DataFrame:
+    """The places (buckets, cells) with members of several components, one for each distinct
+    set of members, and their number of members."""
+    found = rows.groupBy(*place).agg(
         F.count(F.lit(1)).alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"),
-        F.bit_xor(F.xxhash64("rep")).alias("who")).where("lo < hi and n > 2")
-    # equal member sets come up in several bands: one of them is enough
-    once = split.groupBy("n", "who").agg(F.min("bucket").alias("bucket"))
+        F.bit_xor(F.xxhash64("rep")).alias("who")).where("lo < hi")
+    return found.groupBy("n", "who").agg(F.min(F.struct(*place)).alias("p")).select("n", "p.*")
+
+
+def _rest_links(members: DataFrame, component: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Links between components inside buckets that the stars left divided.
+
+    Similar sets have similar sizes, so a bucket falls into cells of one size class each
+    (the class's members at home, those of the class below as guests): every pair whose
+    sizes allow the similarity meets in one cell, and cells of one component are done."""
+    named = members.join(component, members["rep"] == component["vertex"]).select("bucket", "rep", "n_shingles", "component")
+    open_buckets = _divided(named, "bucket").where("n > 2").select("bucket")
+    step = -float(np.log(percent / 100)) * 1.0001
+    size_class = F.floor(F.log(F.col("n_shingles")) / step).cast("int")
+    rows = named.join(open_buckets, "bucket").select(
+        "bucket", "rep", "component", F.explode(F.array(
+            F.struct(size_class.alias("cell"), F.lit(False).alias("guest")),
+            F.struct((size_class + 1).alias("cell"), F.lit(True).alias("guest")))).alias("c")).select(
+                "bucket", "rep", "component", "c.*")
+    rows = cut_lineage(rows)
+    cells = _divided(rows, "bucket", "cell")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = named.join(once, "bucket").select(
-        "bucket", "rep", "component", blocks.alias("blocks"),
+    rows = rows.join(cells, ["bucket", "cell"]).select(
+        "bucket", "cell", F.col("rep").alias("doc_id"), "component", "guest", blocks.alias("blocks"),
         F.pmod(F.xxhash64("rep", "bucket"), blocks).cast("int").alias("own"))
-    rows = rows.select("bucket", F.col("rep").alias("doc_id"), "component", "own",
+    rows = rows.select("bucket", "cell", "doc_id", "component", "guest", "own",
                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("bucket", "doc_id", "component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    rows = cut_lineage(rows.distinct())
-    wanted = rows.select("doc_id").distinct()
-    sets = full_sets(docs.join(wanted, "doc_id", "left_semi"))
+    rows = cut_lineage(rows.select(
+        F.xxhash64("bucket", "cell", F.least("own", "other"), F.greatest("own", "other")).alias("place"),
+        "doc_id", "component", "guest").distinct())
+    sets = full_sets(docs.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"))
+    # a task takes whole places, about TASK_ROWS members together
+    tasks = max(1, -(-rows.count() // TASK_ROWS))
 
     def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_forest(pdf.sort_values("doc_id"), percent), columns=["u", "v"])
+        pdf = pdf.sort_values(["place", "doc_id"])
+        place = pdf["place"].to_numpy()
+        columns = [pdf[c].tolist() for c in ("doc_id", "codes", "guest", "component")]
+        edge = np.flatnonzero(np.append(True, place[1:] != place[:-1])).tolist() + [len(place)]
+        found = [link for a, b in zip(edge, edge[1:]) for link in _forest(*(c[a:b] for c in columns), percent)]
+        return pd.DataFrame(found, columns=["u", "v"])
 
-    return rows.join(sets, "doc_id").groupBy("bucket", "lo", "hi").applyInPandas(work, "u bigint, v bigint")
+    return rows.join(sets, "doc_id").withColumn("task", F.pmod("place", F.lit(tasks))) \
+        .groupBy("task").applyInPandas(work, "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -189,7 +222,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     found = cut_lineage(profile(docs))
     reps = found.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.first("buckets").alias("buckets"))
-    members = reps.select("rep", F.explode("buckets").alias("bucket"))
+    members = reps.select("rep", "n_shingles", F.explode("buckets").alias("bucket"))
     hubs = members.groupBy("bucket").agg(F.min("rep").alias("hub"), F.max("rep").alias("top")).where("hub < top")
     members = cut_lineage(members.join(hubs.select("bucket", "hub"), "bucket"))
     pairs = cut_lineage(members.where("rep > hub").select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct())
