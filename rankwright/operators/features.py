@@ -148,7 +148,8 @@ def assemble(df: DataFrame, names: Sequence[str], features_col: str = "features"
 def assemble_per_wiki(df: DataFrame, wiki_features: dict[str, Sequence[str]], wiki_col: str = "wikiid",
                       features_col: str = "features") -> DataFrame:
     """P12 with a per-wiki selection (``wiki_features`` metadata overrides
-    ``features``): each wiki keeps only its chosen features, in its order.
+    ``features``): each wiki keeps only its chosen features, in its order; a wiki that is
+    not listed keeps all of them.
     Done with one array expression (no per-wiki union)."""
     all_names = feature_names(df, features_col)
     arr = vector_to_array(F.col(features_col))
@@ -157,7 +158,7 @@ def assemble_per_wiki(df: DataFrame, wiki_features: dict[str, Sequence[str]], wi
         sel = F.array(*[arr[all_names.index(n)] for n in names])
         picked = (F.when(F.col(wiki_col) == wiki, sel) if picked is None
                   else picked.when(F.col(wiki_col) == wiki, sel))
-    out = df.withColumn(features_col, array_to_vector(picked)).where(F.col(features_col).isNotNull())
+    out = df if picked is None else df.withColumn(features_col, array_to_vector(picked.otherwise(arr)))
     meta = dict(df.schema[features_col].metadata)
     meta["wiki_features"] = {w: list(n) for w, n in wiki_features.items()}
     return with_column_metadata(out, features_col, meta)

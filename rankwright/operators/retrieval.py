@@ -336,14 +336,16 @@ def saturation(x, k: float, a: float) -> Column:
 
 def rescore(results: DataFrame, popularity_col: str, links_col: str, window: int = 8192,
             id_col: str = "item_id") -> DataFrame:
-    """Within the top ``window`` results per query, add
-    3·sat(popularity, 8e-6, .8) + 10·sat(links, 30, .7) and re-rank."""
+    """The top ``window`` results per query are re-ranked by the score plus
+    3·sat(popularity, 8e-6, .8) + 10·sat(links, 30, .7); the others keep their score and
+    follow in their order."""
     w = Window.partitionBy("lang", id_col).orderBy(F.round("score", 9).desc(), F.col("doc_id").asc())
-    top = results.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= window)
-    boosted = top.withColumn(
-        "rescored", F.col("score") + 3.0 * saturation(F.col(popularity_col), 8e-6, 0.8)
-        + 10.0 * saturation(F.col(links_col), 30.0, 0.7))
-    w2 = Window.partitionBy("lang", id_col).orderBy(F.round("rescored", 9).desc(), F.col("doc_id").asc())
+    ranked = results.withColumn("_r", F.row_number().over(w))
+    inside = F.col("_r") <= window
+    boosted = ranked.withColumn("rescored", F.when(
+        inside, F.col("score") + 3.0 * saturation(F.col(popularity_col), 8e-6, 0.8)
+        + 10.0 * saturation(F.col(links_col), 30.0, 0.7)).otherwise(F.col("score")))
+    w2 = Window.partitionBy("lang", id_col).orderBy(inside.desc(), F.round("rescored", 9).desc(), F.col("doc_id").asc())
     return boosted.withColumn("rescored_rank", F.row_number().over(w2)).drop("_r")
 
 
@@ -352,6 +354,8 @@ def doc_signals(docs: DataFrame) -> DataFrame:
     The per-language total is a grouped aggregate (one row per language)
     joined back, not a window over a whole language."""
     totals = docs.groupBy("lang").agg(F.sum("n_chars").alias("_tot"))
-    return docs.join(totals, "lang").select(
+    # texts are reduced to their number of lines before anything is joined
+    rows = docs.select("doc_id", "lang", "n_chars", F.size(F.split("text", "\n")).cast("double").alias("links"))
+    return rows.join(totals, "lang").select(
         "doc_id", "lang", F.coalesce(F.try_divide(F.col("n_chars"), F.col("_tot")), F.lit(0.0)).alias("popularity"),
-        F.size(F.split("text", "\n")).cast("double").alias("links"))
+        "links")

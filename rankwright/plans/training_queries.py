@@ -108,27 +108,29 @@ def q_mrmr(spark, sf_dir):
 
 
 def _split_sql(shares, out_col: str) -> str:
-    bounds, acc = [], 0.0
-    for s in shares[:-1]:
-        acc += s
-        bounds.append(acc)
-    case = "CASE " + " ".join(f"WHEN frac < {b!r} THEN {i}" for i, b in enumerate(bounds)) + \
-        f" ELSE {len(shares) - 1} END"
+    """Greedy placement in SQL: one group a step of a recursion, heaviest first."""
+    n = range(len(shares))
+    lack = [f"{s!r} * CAST(o.tot AS DOUBLE) - r.p{j}" for j, s in zip(n, shares)]
+    lack = [f"CASE WHEN must AND r.p{j} > 0 THEN -1e300 ELSE {x} END AS l{j}" for j, x in zip(n, lack)]
+    best = "greatest(" + ", ".join(f"l{j}" for j in n) + ")"
+    pick = "CASE " + " ".join(f"WHEN l{j} = {best} THEN {j}" for j in n) + " END"
+    empty = " + ".join(f"CAST(r.p{j} = 0 AS INTEGER)" for j in n)
     return f"""
-w AS (SELECT wikiid, query, count(*) AS wt, md5(concat_ws('/', '{SEED}', wikiid, query)) AS k FROM rt GROUP BY ALL),
-wk AS (SELECT *, substr(k, 1, 3) AS b FROM w),
-bt AS (SELECT wikiid, b, sum(wt) AS bw FROM wk GROUP BY ALL),
-bo AS (SELECT *, coalesce(sum(bw) OVER (PARTITION BY wikiid ORDER BY b
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off,
-              sum(bw) OVER (PARTITION BY wikiid) AS tot FROM bt),
-pl AS (SELECT wk.wikiid, wk.query, bo.off + coalesce(sum(wt) OVER (PARTITION BY wk.wikiid, wk.b ORDER BY k, query
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start, bo.tot
-       FROM wk JOIN bo USING (wikiid, b)),
-asg AS (SELECT wikiid, query, CAST({case.replace("frac", "(start / tot)")} AS BIGINT) AS {out_col} FROM pl)"""
+wt AS (SELECT wikiid, query, count(*) AS wt FROM rt GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY wikiid ORDER BY wt DESC, md5(concat_ws('/', '{SEED}', wikiid, query)), query) AS i,
+             count(*) OVER (PARTITION BY wikiid) AS h, sum(wt) OVER (PARTITION BY wikiid) AS tot FROM wt),
+r(wikiid, i, {", ".join(f"p{j}" for j in n)}, f) AS (
+  SELECT DISTINCT wikiid, CAST(0 AS BIGINT), {", ".join("CAST(0 AS BIGINT)" for _ in n)}, CAST(-1 AS BIGINT) FROM o
+  UNION ALL
+  SELECT wikiid, i, {", ".join(f"CAST(p{j} + CASE WHEN f = {j} THEN wt ELSE 0 END AS BIGINT)" for j in n)}, CAST(f AS BIGINT)
+  FROM (SELECT *, {pick} AS f FROM (
+    SELECT o.wikiid, o.i, o.wt, {", ".join(f"r.p{j}" for j in n)}, o.h - o.i + 1 <= {empty} AS must, {", ".join(lack)}
+    FROM r JOIN o ON o.wikiid = r.wikiid AND o.i = r.i + 1))),
+asg AS (SELECT o.wikiid, o.query, r.f AS {out_col} FROM o JOIN r ON r.wikiid = o.wikiid AND r.i = o.i)"""
 
 
 @register("group_split", f"""
-WITH {ROUNDED_SQL},{_split_sql(SHARES, "fold")}
+WITH RECURSIVE {ROUNDED_SQL},{_split_sql(SHARES, "fold")}
 SELECT rt.wikiid, rt.query, rt.hit_page_id, asg.fold FROM rt JOIN asg USING (wikiid, query)
 """)
 def q_group_split(spark, sf_dir):
@@ -140,7 +142,7 @@ K_SHARES = tuple([1.0 / NUM_FOLDS] * NUM_FOLDS)
 
 
 @register("fold_expansion", f"""
-WITH {ROUNDED_SQL},{_split_sql(K_SHARES, "fold")}
+WITH RECURSIVE {ROUNDED_SQL},{_split_sql(K_SHARES, "fold")}
 SELECT rt.wikiid, rt.query, rt.hit_page_id, asg.fold, f.fold_id,
        CASE WHEN asg.fold = f.fold_id THEN 'test' ELSE 'train' END AS split
 FROM rt JOIN asg USING (wikiid, query) JOIN (SELECT CAST(range AS BIGINT) AS fold_id FROM range({NUM_FOLDS})) f ON TRUE
@@ -169,7 +171,7 @@ def _line_sql() -> str:
 
 
 @register("fold_lines", f"""
-WITH {ROUNDED_SQL},{_split_sql(K_SHARES, "fold")}
+WITH RECURSIVE {ROUNDED_SQL},{_split_sql(K_SHARES, "fold")}
 SELECT f.fold_id, CASE WHEN asg.fold = f.fold_id THEN 'test' ELSE 'train' END AS split,
        rt.wikiid, rt.query, {_line_sql()} AS line
 FROM rt JOIN asg USING (wikiid, query) JOIN (SELECT CAST(range AS BIGINT) AS fold_id FROM range({NUM_FOLDS})) f ON TRUE
