@@ -253,7 +253,7 @@ def unique_terms(queries: DataFrame, id_col: str = "item_id", text_col: str = "t
         id_col,
         F.size(F.array_distinct(analyze(text_col, "stem"))).alias("unique_terms"),
         F.size(F.array_distinct(analyze(text_col, "plain"))).alias("unique_terms_plain"),
-    ).withColumn("unique_terms_diff", F.col("unique_terms_plain") - F.col("unique_terms"))
+    ).withColumn("unique_terms_diff", F.col("unique_terms") - F.col("unique_terms_plain"))
 
 
 def field_value(docs, values: DataFrame, value_col: str, name: str | None = None) -> DataFrame:

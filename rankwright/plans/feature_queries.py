@@ -194,7 +194,7 @@ dr AS (SELECT t.lang, t.item_id, t.doc_id, ext.* EXCLUDE (lang, item_id), exp.*
        JOIN qstem qs ON qs.item_id = t.item_id
        LEFT JOIN labels l ON l.doc_id = t.doc_id),
 drx AS (SELECT *, greatest(3.0 * text_match, text_plain_match) AS text_dismax_plain,
-               unique_terms_plain - unique_terms AS unique_terms_diff FROM dr)"""
+               unique_terms - unique_terms_plain AS unique_terms_diff FROM dr)"""
 
 
 @register("default_feature_rows", f"""

@@ -147,7 +147,7 @@ def q_explore_terms(spark, sf_dir):
 WITH {BASE_SQL}
 SELECT p.item_id, CAST(len(list_distinct(s.toks)) AS INTEGER) AS unique_terms,
        CAST(len(list_distinct(p.toks)) AS INTEGER) AS unique_terms_plain,
-       CAST(len(list_distinct(p.toks)) - len(list_distinct(s.toks)) AS INTEGER) AS unique_terms_diff
+       CAST(len(list_distinct(s.toks)) - len(list_distinct(p.toks)) AS INTEGER) AS unique_terms_diff
 FROM qplain p JOIN qstem s USING (item_id)
 """)
 def q_unique_terms(spark, sf_dir):

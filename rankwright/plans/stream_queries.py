@@ -11,7 +11,7 @@ from .click_queries import H
 from .registry import register, rnd
 
 RUN_ID = "r1"
-CLUSTERS = [("eqiad", ["en", "de"]), ("codfw", ["en", "fr"])]
+CLUSTERS = [("north", ["en", "de"]), ("south", ["en", "fr"])]
 ALPHA, MAX_VALID, THRESHOLD = 0.1, 660.0, 0.004
 
 
@@ -68,14 +68,18 @@ def _update_messages(spark, sf_dir):
     unknown_field = labels.select(F.to_json(F.struct(
         F.lit("en").alias("_index"), F.col("doc_id").alias("_id"),
         F.struct(F.col("quality").alias("quality")).alias("_source"))).alias("value"))
-    not_json = conv.where(F.col("role") == "system").select(F.col("text").alias("value"))
-    return good.unionByName(unknown_field).unionByName(not_json)
+    null_field = labels.select(F.concat(
+        F.lit('{"_index": "en", "_id": '), F.col("doc_id").cast("string"),
+        F.lit(', "_source": {"popularity_score": null}}')).alias("value"))
+    not_json = conv.select(F.concat(F.lit("{"), F.col("text")).alias("value"))
+    not_object = conv.select(F.to_json(F.array("role")).alias("value"))
+    return good.unionByName(unknown_field).unionByName(null_field).unionByName(not_json).unionByName(not_object)
 
 
 @register("update_validation", """
 SELECT 'valid' AS status, count(*) AS n FROM documents
-UNION ALL SELECT 'fail_validate', count(*) FROM labels
-UNION ALL SELECT 'bad_json', count(*) FROM conversations WHERE role = 'system'
+UNION ALL SELECT 'fail_validate', 2 * (SELECT count(*) FROM labels) + (SELECT count(*) FROM conversations)
+UNION ALL SELECT 'bad_json', count(*) FROM conversations
 """)
 def q_update_validation(spark, sf_dir):
     return updates.validation_counts(updates.validate_updates(_update_messages(spark, sf_dir)))
@@ -83,7 +87,7 @@ def q_update_validation(spark, sf_dir):
 
 @register("update_routing", """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang AS index,
-       CASE WHEN lang IN ('en', 'de') THEN 'eqiad' WHEN lang = 'fr' THEN 'codfw' ELSE 'missing_index' END
+       CASE WHEN lang IN ('en', 'de') THEN 'north' WHEN lang = 'fr' THEN 'south' ELSE 'missing_index' END
          AS cluster
 FROM documents
 """)

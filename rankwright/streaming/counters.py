@@ -10,10 +10,9 @@ Rules per key, over samples (time s, cumulative count) in time order:
 * the ema is valid until ``max_sec_valid`` seconds after the last accepted
   sample.
 
-The recurrence is sequential per key.  The streaming form keeps O(1) state
-per key (``applyInPandasWithState``), so each micro-batch only carries its new
-samples; the batch replay groups small keys whole and replays large ones in
-an exact parallel scan (log-depth) whose tasks hold bounded slices.
+Every accepted sample after the first is an affine map of the ema (``ema_scan.affine``).  The
+batch form composes the maps in an exact parallel scan; the streaming form applies them one
+accepted sample after the other to its O(1) state (``applyInPandasWithState``).
 """
 
 from __future__ import annotations
@@ -28,60 +27,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark.sql.window import Window
 
-
-class EmaState:
-    """The state machine of one key."""
-
-    def __init__(self, alpha: float, prev_time=None, prev_count=None, value=None):
-        self.alpha = alpha
-        self.prev_time = prev_time
-        self.prev_count = prev_count
-        self.value = value
-
-    def update(self, now: float, count: float) -> bool:
-        """Feed one sample; returns True when it was accepted."""
-        if self.prev_count is None:
-            self.prev_time, self.prev_count = now, count
-            return True
-        dt = now - self.prev_time
-        if dt < 1:
-            return False
-        dc = count - self.prev_count
-        if dc >= 0:
-            rate = dc / dt
-        elif self.value is not None:
-            rate = self.value * 1.25
-        else:
-            return False
-        if self.value is None:
-            self.value = rate
-        else:
-            self.value = rate + (self.value - rate) * (1 - self.alpha) ** math.floor(dt)
-        self.prev_time, self.prev_count = now, count
-        return True
-
-    def is_valid(self, now: float, max_sec_valid: float) -> bool:
-        return self.value is not None and now < self.prev_time + max_sec_valid
-
-
-OUT_COLS = ("accepted", "ema", "valid")
-
-
-def _replay(pdf: pd.DataFrame, ts_col: str, count_col: str, alpha: float, max_sec_valid: float,
-            state: EmaState | None = None) -> tuple[pd.DataFrame, EmaState]:
-    st = state or EmaState(alpha)
-    t = pdf[ts_col].to_numpy(dtype=float)
-    c = pdf[count_col].to_numpy(dtype=float)
-    acc = np.zeros(len(pdf), dtype=bool)
-    ema = np.full(len(pdf), np.nan)
-    valid = np.zeros(len(pdf), dtype=bool)
-    for i in range(len(pdf)):
-        acc[i] = st.update(t[i], c[i])
-        ema[i] = np.nan if st.value is None else st.value
-        valid[i] = st.is_valid(t[i], max_sec_valid)
-    out = pdf.copy()
-    out["accepted"], out["ema"], out["valid"] = acc, ema, valid
-    return out, st
+from ..session import cut_lineage
+from .ema_scan import affine_coefficients, counter_rate_ema_scan
+
+NO_VALUE = float("nan")
+
+
+def follow(t: np.ndarray, c: np.ndarray, alpha: float, last: tuple[float, float, float] | None):
+    """Samples of one key in time order after the accepted sample ``last`` (time, count, ema).
+
+    Gives the accepted places, the (time, ema) that holds at each sample, and the new ``last``."""
+    accepted = np.zeros(len(t), dtype=bool)
+    since, value = np.full(len(t), NO_VALUE), np.full(len(t), NO_VALUE)
+    at = 0
+    if last is None:
+        if not len(t):
+            return accepted, since, value, None
+        last, accepted[0] = (t[0], c[0], NO_VALUE), True
+    while True:
+        # the next sample that counts; before the first rate the counter must not have dropped
+        then = max(at, int(np.searchsorted(t, last[0] + 1, side="left")))
+        if math.isnan(last[2]):
+            while then < len(t) and c[then] < last[1]:
+                then += 1
+        since[at:then], value[at:then] = last[0], last[2]
+        if then >= len(t):
+            return accepted, since, value, last
+        scale, shift = affine_coefficients(t[then] - last[0], c[then] - last[1], alpha, math.isnan(last[2]))
+        last = (t[then], c[then], shift if math.isnan(last[2]) else scale * last[2] + shift)
+        accepted[then], at = True, then
 
 
 def running_count(df: DataFrame, key: str, ts: str, order: str, buckets: int = 1024) -> DataFrame:
@@ -104,41 +78,19 @@ def running_count(df: DataFrame, key: str, ts: str, order: str, buckets: int = 1
             .drop("_b", "_off"))
 
 
-def _out_schema(df: DataFrame) -> str:
-    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] +
-                     ["accepted boolean", "ema double", "valid boolean"])
-
-
 def counter_rate_ema(df: DataFrame, key: str, ts: str, count: str, order: str | None = None,
-                     alpha: float = 0.1, max_sec_valid: float = 660,
-                     rows_per_slice: int = 1_000_000) -> DataFrame:
+                     alpha: float = 0.1, max_sec_valid: float = 660) -> DataFrame:
     """T6 batch replay: per sample (…, accepted, ema, valid); ``ts`` in seconds.
 
-    When every key has at most ``rows_per_slice`` samples, each key is one
-    grouped call.  Otherwise the exact parallel scan of
-    :mod:`rankwright.streaming.ema_scan` runs (prefix counts, pointer doubling
-    over the acceptance chain, bucketed affine prefix composition), so no
-    task holds a whole key and the job depth grows with log(n).
-    """
+    The exact parallel scan of :mod:`rankwright.streaming.ema_scan` for keys of any size: no
+    task holds a whole key and the job depth grows with log(n).  Samples of equal time are
+    taken by ``order``; without one by their place in the input, fixed by a checkpoint."""
     from ..session import ship_package
     ship_package(df.sparkSession)
-    sort_cols = [ts] + ([order] if order else [])
-    schema = _out_schema(df)
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    top = per_key.agg(F.max("_n"), F.min("_lo"), F.max("_hi")).first()  # one row
-    if top[0] is None or top[0] <= rows_per_slice:
-        def run(pdf: pd.DataFrame) -> pd.DataFrame:
-            out, _ = _replay(pdf.sort_values(sort_cols, kind="mergesort"), ts, count, alpha, max_sec_valid)
-            return out
-        return df.groupBy(key).applyInPandas(run, schema)
-    from ..session import cut_lineage
-    from .ema_scan import counter_rate_ema_scan
-    if order is None:
-        # a stable tie-break for equal timestamps, fixed by a reliable checkpoint
-        df = cut_lineage(df.withColumn("_order", F.monotonically_increasing_id()))
-        out = counter_rate_ema_scan(df, key, ts, count, "_order", alpha, max_sec_valid)
-        return out.drop("_order")
-    return counter_rate_ema_scan(df, key, ts, count, order, alpha, max_sec_valid)
+    if order is not None:
+        return counter_rate_ema_scan(df, key, ts, count, order, alpha, max_sec_valid)
+    placed = cut_lineage(df.withColumn("_order", F.monotonically_increasing_id()))
+    return counter_rate_ema_scan(placed, key, ts, count, "_order", alpha, max_sec_valid).drop("_order")
 
 
 def load_gate(ema_rows: DataFrame, key: str, ts: str, threshold: float, now,
@@ -158,20 +110,15 @@ def counter_ema_stream(stream: DataFrame, key: str, ts: str, count: str, alpha:
                        max_sec_valid: float = 660) -> DataFrame:
     """T6 streaming: stateful per-key EMA with O(1) state (prev time, prev
     count, value); emits one row per sample like the batch form."""
-    fields = [f for f in stream.schema]
-    out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] +
+    out_schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema] +
                            ["accepted boolean", "ema double", "valid boolean"])
-    state_schema = "prev_time double, prev_count double, value double"
 
     def step(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        st = EmaState(alpha)
-        if state.exists:
-            pt, pc, v = state.get
-            st = EmaState(alpha, pt, pc, None if v is None or (isinstance(v, float) and math.isnan(v)) else v)
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values(ts, kind="mergesort")
-        out, st = _replay(batch, ts, count, alpha, max_sec_valid, st)
-        state.update((st.prev_time, st.prev_count, float("nan") if st.value is None else st.value))
-        yield out
+        t, c = batch[ts].to_numpy(dtype=float), batch[count].to_numpy(dtype=float)
+        accepted, since, value, last = follow(t, c, alpha, state.get if state.exists else None)
+        state.update(last)
+        yield batch.assign(accepted=accepted, ema=value, valid=~np.isnan(value) & (t < since + max_sec_valid))
 
     return stream.groupBy(key).applyInPandasWithState(
-        step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+        step, out_schema, "time double, count double, ema double", "append", GroupStateTimeout.NoTimeout)

@@ -1,152 +1,162 @@
-"""Counter-rate EMA for keys too large for one task: an exact parallel scan.
-
-The sequential rules (see :mod:`rankwright.streaming.counters`) are split into
-steps that are each joins, grouped aggregates or bucketed prefix scans, so no
-task holds a whole key and the number of dependent jobs grows with log(n):
-
-1. rank every sample inside its key (bucketed prefix count);
-2. successor of each sample = first sample at least 1 s later: a prefix count
-   of samples over samples merged with probes at t + 1;
-3. the first accepted sample after the primer additionally needs a
-   non-negative count delta (the rate is undefined before the EMA exists);
-4. accepted samples = the successor chain from there, found by pointer
-   doubling (log n rounds of joins);
-5. every accepted sample applies an affine map v ← A·v + B to the EMA; the
-   maps are composed by a bucketed prefix scan (inside (key, time bucket),
-   then across the ≤ ``buckets`` bucket totals of a key);
-6. each sample reports the state of the last accepted sample at or before it
-   (bucketed prefix max).
+"""Counter-rate EMA as an exact scan over time ranges.
+
+The recurrence is sequential per key, but what a stretch of time does to it is small: which
+sample of a range is accepted last depends only on the last accepted time before the range, and
+every accepted sample is an affine map of the ema.  So a key is cut into time ranges of about
+equal numbers of rows (cuts from percentiles, so a burst gets ranges of its own), and
+
+1. one aggregate finds each key's first sample and the first one after it that gives a rate;
+2. each range tells which accepted sample it leaves for any state it may be entered with;
+3. per key, these answers (a few rows a range) are followed from range to range;
+4. each range replays its samples from the state it is entered with, as composed maps;
+5. per key, the ranges' maps (one row each) give the ema at each range's start.
+
+No task holds a whole key, and there is no loop of jobs.
 """
 
 from __future__ import annotations
 
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..session import cut_lineage
+RANGE_ROWS = 50_000
+
 
+def affine_coefficients(dt: float, dc: float, alpha: float, first: bool) -> tuple[float, float]:
+    """The map ``ema ← scale · ema + shift`` of an accepted sample, ``dt`` seconds and ``dc``
+    counts after the one before."""
+    if first:
+        return 0.0, dc / dt
+    decay = (1 - alpha) ** int(dt // 1)
+    return (decay, dc / dt * (1 - decay)) if dc >= 0 else (1.25 - 0.25 * decay, 0.0)
 
-def _buckets(df: DataFrame, time_col: str, n: int):
-    lo, hi = df.agg(F.min(time_col), F.max(time_col)).first()  # one row
-    width = (hi - lo) / n if hi is not None and hi > lo else 1.0
-    return F.least(F.greatest(F.floor((F.col(time_col) - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(n - 1))
 
+def _ranges(df: DataFrame, ts: str) -> tuple:
+    """Number of a row's time range as a column; the cuts are approximate percentiles."""
+    n = max(1, -(-df.count() // RANGE_ROWS))
+    marks = [i / n for i in range(1, n)]
+    cuts = (df.agg(F.percentile_approx(F.col(ts).cast("double"), F.array(*map(F.lit, marks)), F.lit(max(10000, 20 * n))))
+            .first()[0] if marks else []) or []
+    edges = np.array(sorted(set(cuts)), dtype=float)
 
-def _prefix(df: DataFrame, key: str, bucket: str, order: list, value: str, out: str, op: str) -> DataFrame:
-    """Inclusive running sum / max of ``value`` per key in (bucket, order)
-    order: bucket totals give offsets, the running value stays inside a bucket."""
-    agg = F.sum if op == "sum" else F.max
-    tot = df.groupBy(key, bucket).agg(agg(value).alias("_bt"))
-    before = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.withColumn("_off", agg("_bt").over(before)).drop("_bt")
-    inner = Window.partitionBy(key, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    run = agg(value).over(inner)
-    j = df.join(offs, [key, bucket])
-    res = (F.coalesce(F.col("_off"), F.lit(0)) + run) if op == "sum" else F.greatest(F.col("_off"), run)
-    return j.withColumn(out, res).drop("_off")
+    @F.pandas_udf("int")
+    def number(t: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(edges, t.to_numpy(dtype=float), side="right").astype(np.int32))
+
+    return number(F.col(ts).cast("double"))
+
+
+def _leaves(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For a range: up to which entry time (of its first accepted sample) it leaves which sample."""
+    t, c = pdf["_t"].to_numpy(), pdf["_c"].to_numpy()
+    successor = np.searchsorted(t, t + 1, side="left")
+    leaves = np.arange(len(t))
+    for i in range(len(t) - 1, -1, -1):
+        if successor[i] < len(t):
+            leaves[i] = leaves[successor[i]]
+    # entered from before: the first accepted sample lies in the first second, or is the next after it
+    last = min(len(t) - 1, int(np.searchsorted(t, t[0] + 1, side="left")))
+    entry = np.arange(last + 1)
+    entry = entry[np.append(t[entry][1:] != t[entry][:-1], True) | (entry == last)]
+    first_of_time = np.searchsorted(t, t[entry], side="left")
+    way_out = leaves[first_of_time]
+    keep = np.append(way_out[1:] != way_out[:-1], True)
+    return pd.DataFrame({"_upto": t[entry][keep], "_lt": t[way_out][keep], "_lc": c[way_out][keep]})
 
 
 def counter_rate_ema_scan(df: DataFrame, key: str, ts: str, count: str, order: str,
-                          alpha: float = 0.1, max_sec_valid: float = 660, buckets: int = 1024) -> DataFrame:
-    """Same output as :func:`rankwright.streaming.counters.counter_rate_ema`."""
-    q = 1.0 - alpha
+                          alpha: float = 0.1, max_sec_valid: float = 660) -> DataFrame:
+    """Rows of ``df`` with ``accepted``, ``ema`` and ``valid``."""
     cols = list(df.columns)
-    base = df.withColumn("_b", _buckets(df, ts, buckets)).withColumn("_one", F.lit(1))
-    ranked = _prefix(base, key, "_b", [ts, order], "_one", "_r", "sum").drop("_one")
-    ranked = cut_lineage(ranked.withColumn("_r", F.col("_r").cast("long")))
-    n_key = ranked.groupBy(key).agg(F.max("_r").alias("_n"))
-
-    # 2. successor rank: 1 + number of samples with time < t + 1 (probes sort first)
-    samples = ranked.select(key, F.col(ts).alias("_t"), F.lit(1).alias("_kind"), F.lit(1).alias("_w"),
-                            F.lit(None).cast("long").alias("_src"))
-    probes = ranked.select(key, (F.col(ts) + 1.0).alias("_t"), F.lit(0).alias("_kind"), F.lit(0).alias("_w"),
-                           F.col("_r").alias("_src"))
-    merged = samples.unionByName(probes)
-    merged = merged.withColumn("_b", _buckets(merged, "_t", buckets))
-    counted = _prefix(merged, key, "_b", ["_t", "_kind", "_src"], "_w", "_c", "sum")
-    nxt = (counted.where(F.col("_kind") == 0)
-           .select(key, F.col("_src").alias("_r"), (F.col("_c") + 1).cast("long").alias("_nr"))
-           .join(n_key, key).where(F.col("_nr") <= F.col("_n")).drop("_n"))
-    jump = cut_lineage(nxt)
-
-    # 3. first accepted after the primer: >= 1 s later and count not lower
-    root = ranked.where(F.col("_r") == 1).select(key, F.col(ts).alias("_t0"), F.col(count).alias("_c0"))
-    first = (ranked.join(root, key).where((F.col(ts) >= F.col("_t0") + 1) & (F.col(count) >= F.col("_c0")))
-             .groupBy(key).agg(F.min("_r").alias("_r")))
-
-    # 4. accepted chain by pointer doubling
-    chain = cut_lineage(first)
-    size = chain.count()
-    while True:
-        step = chain.join(jump, [key, "_r"]).select(key, F.col("_nr").alias("_r"))
-        grown = cut_lineage(chain.unionByName(step).distinct())
-        new_size = grown.count()
-        if new_size == size:
-            break
-        chain, size = grown, new_size
-        jump = cut_lineage(jump.alias("a").join(jump.alias("b"), (F.col(f"a.{key}") == F.col(f"b.{key}")) &
-                                                (F.col("a._nr") == F.col("b._r")))
-                           .select(F.col(f"a.{key}").alias(key), F.col("a._r").alias("_r"),
-                                   F.col("b._nr").alias("_nr")))
-
-    # 5. affine map of every accepted sample (after the primer), then prefix composition
-    acc = chain.join(ranked, [key, "_r"]).select(key, "_r", "_b", F.col(ts).alias("_t"), F.col(count).alias("_c"))
-    prev_of = (chain.join(nxt, [key, "_r"]).select(key, F.col("_r").alias("_p"), F.col("_nr").alias("_r"))
-               .unionByName(first.select(key, F.lit(1).cast("long").alias("_p"), "_r")))
-    pv = ranked.select(key, F.col("_r").alias("_p"), F.col(ts).alias("_pt"), F.col(count).alias("_pc"))
-    maps = acc.join(prev_of, [key, "_r"]).join(pv, [key, "_p"]).join(first.withColumnRenamed("_r", "_fr"), key)
-    dt = F.col("_t") - F.col("_pt")
-    dc = F.col("_c") - F.col("_pc")
-    decay = F.pow(F.lit(q), F.floor(dt))
-    a_coef = (F.when(F.col("_r") == F.col("_fr"), F.lit(0.0)).when(dc >= 0, decay)
-              .otherwise(F.lit(1.25) - F.lit(0.25) * decay))
-    b_coef = (F.when(F.col("_r") == F.col("_fr"), dc / dt).when(dc >= 0, (dc / dt) * (F.lit(1.0) - decay))
-              .otherwise(F.lit(0.0)))
-    maps = maps.select(key, "_r", F.col("_b").cast("long").alias("_g"), "_t", a_coef.alias("_A"),
-                       b_coef.alias("_B"))
-    key_type = df.schema[key].dataType.simpleString()
-
-    def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_r")
-        a, b = pdf["_A"].to_numpy(), pdf["_B"].to_numpy()
-        p_acc, q_acc = np.empty(len(a)), np.empty(len(a))
-        p, qq = 1.0, 0.0
-        for i in range(len(a)):
-            p, qq = a[i] * p, a[i] * qq + b[i]
-            p_acc[i], q_acc[i] = p, qq
-        return pdf.assign(_P=p_acc, _Q=q_acc)
-
-    loc_schema = f"`{key}` {key_type}, _r long, _g long, _t double, _A double, _B double, _P double, _Q double"
-    composed = cut_lineage(maps.groupBy(key, "_g").applyInPandas(local, loc_schema))
-    totals = composed.groupBy(key, "_g").agg(F.max_by(F.struct("_P", "_Q"), "_r").alias("_m"))
-
-    def entries(pdf: pd.DataFrame) -> pd.DataFrame:
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.withColumn("_g", _ranges(df, ts)).withColumn("_t", F.col(ts).cast("double")) \
+        .withColumn("_c", F.col(count).cast("double"))
+    place = F.struct("_t", order, "_c")
+    primer = rows.groupBy(key).agg(F.min(place).alias("_p"))
+    after = rows.join(primer, key).where((F.col("_t") >= F.col("_p._t") + 1) & (F.col("_c") >= F.col("_p._c")))
+    first = after.groupBy(key).agg(F.min(place).alias("_f"))
+    start = primer.join(first, key, "left").select(
+        key, F.col("_p._t").alias("_pt"), F.col(f"_p.{order}").alias("_po"), F.col("_p._c").alias("_pc"),
+        F.col("_f._t").alias("_ft"), F.col(f"_f.{order}").alias("_fo"))
+    rows = rows.join(start, key)
+    schema = df.schema
+
+    def leave(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_t", order])
+        # before the first rate nothing is accepted but the primer: the chain starts at the first rate
+        at = pdf[(pdf["_t"] > pdf["_ft"]) | ((pdf["_t"] == pdf["_ft"]) & (pdf[order] >= pdf["_fo"]))]
+        out = _leaves(at) if len(at) else pd.DataFrame({"_upto": [], "_lt": [], "_lc": []})
+        return out.assign(**{key: pdf[key].iloc[0], "_g": pdf["_g"].iloc[0], "_ft": pdf["_ft"].iloc[0]})[
+            [key, "_g", "_ft", "_upto", "_lt", "_lc"]]
+
+    left = rows.where(F.col("_ft").isNotNull()).groupBy(key, "_g").applyInPandas(
+        leave, f"`{key}` {kind}, _g int, _ft double, _upto double, _lt double, _lc double")
+
+    def enter(pdf: pd.DataFrame) -> pd.DataFrame:
+        last, out = None, []
+        for g, own in pdf.sort_values(["_g", "_upto"]).groupby("_g"):
+            out.append((g, *(last or (np.nan, np.nan))))
+            # the first rate itself enters the chain; later ranges are entered a second after the last
+            need = own["_ft"].iloc[0] if last is None else last[0] + 1
+            at = int(np.searchsorted(own["_upto"].to_numpy(), need, side="left"))
+            if at < len(own):
+                last = (own["_lt"].iloc[at], own["_lc"].iloc[at])
+        return pd.DataFrame(out, columns=["_g", "_et", "_ec"]).assign(**{key: pdf[key].iloc[0]})[[key, "_g", "_et", "_ec"]]
+
+    entries = left.groupBy(key).applyInPandas(enter, f"`{key}` {kind}, _g int, _et double, _ec double")
+    entered = rows.join(entries, [key, "_g"], "left")
+    result = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in schema] +
+                       ["_g int", "accepted boolean", "_since double", "_P double", "_Q double", "_i int"])
+
+    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_t", order])
+        t, c, o = pdf["_t"].to_numpy(), pdf["_c"].to_numpy(), pdf[order].to_numpy()
+        pt, pc, po, ft, fo = (pdf[x].iloc[0] for x in ("_pt", "_pc", "_po", "_ft", "_fo"))
+        last = (pdf["_et"].iloc[0], pdf["_ec"].iloc[0])
+        accepted = (t == pt) & (o == po)
+        since, scale, shift = np.full(len(t), pt), np.ones(len(t)), np.zeros(len(t))
+        if np.isnan(ft):
+            scale[:] = np.nan
+            return _replayed(pdf, accepted, since, scale, shift)
+        started = not np.isnan(last[0])
+        if not started:  # the first rate, if it lies here, is the first accepted sample after the primer
+            after = (t > ft) | ((t == ft) & (o >= fo))
+            at = int(after.argmax()) if after.any() else len(t)
+            scale[:at] = np.nan
+            last = (pt, pc)
+        else:
+            since[:] = last[0]
+            at = int(np.searchsorted(t, last[0] + 1, side="left"))
+        p, q = 1.0, 0.0
+        while at < len(t):
+            a, b = affine_coefficients(t[at] - last[0], c[at] - last[1], alpha, not started)
+            p, q, started = a * p, a * q + b, True
+            last = (t[at], c[at])
+            accepted[at] = True
+            nxt = max(at + 1, int(np.searchsorted(t, t[at] + 1, side="left")))
+            since[at:nxt], scale[at:nxt], shift[at:nxt] = t[at], p, q
+            at = nxt
+        return _replayed(pdf, accepted, since, scale, shift)
+
+    def _replayed(pdf, accepted, since, scale, shift):
+        return pdf[cols + ["_g"]].assign(accepted=accepted, _since=since, _P=scale, _Q=shift, _i=np.arange(len(pdf)))
+
+    composed = entered.groupBy(key, "_g").applyInPandas(replay, result)
+    totals = composed.groupBy(key, "_g").agg(F.max_by(F.struct("_P", "_Q"), "_i").alias("_m")) \
+        .select(key, "_g", F.col("_m._P").alias("_P"), F.col("_m._Q").alias("_Q"))
+
+    def values(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_g")
-        v, vin = 0.0, []
-        for p, qq in zip(pdf["_mP"], pdf["_mQ"]):
-            vin.append(v)
-            v = p * v + qq
-        return pdf[[key, "_g"]].assign(_vin=vin)
-
-    ent = (totals.select(key, "_g", F.col("_m._P").alias("_mP"), F.col("_m._Q").alias("_mQ"))
-           .groupBy(key).applyInPandas(entries, f"`{key}` {key_type}, _g long, _vin double"))
-    values = composed.join(ent, [key, "_g"]).select(key, "_r", "_t", (F.col("_P") * F.col("_vin") + F.col("_Q"))
-                                                     .alias("_v"))
-    # the primer is accepted with no value
-    values = values.unionByName(root.select(key, F.lit(1).cast("long").alias("_r"), F.col("_t0").alias("_t"),
-                                            F.lit(None).cast("double").alias("_v")))
-
-    # 6. last accepted at or before each sample
-    marks = ranked.join(values.select(key, "_r", F.lit(True).alias("_acc")), [key, "_r"], "left")
-    marks = marks.withColumn("_m", F.when(F.col("_acc"), F.col("_r")).otherwise(F.lit(0).cast("long")))
-    last = _prefix(marks, key, "_b", ["_r"], "_m", "_la", "max")
-    out = last.join(values.select(key, F.col("_r").alias("_la"), F.col("_t").alias("_lt"), "_v"), [key, "_la"])
-    return out.select(*cols, F.coalesce(F.col("_acc"), F.lit(False)).alias("accepted"),
-                      F.col("_v").alias("ema"),
-                      (F.col("_v").isNotNull() & (F.col(ts) < F.col("_lt") + max_sec_valid)).alias("valid"))
-
-
+        v, out = 0.0, []
+        for p, q in zip(pdf["_P"], pdf["_Q"]):
+            out.append(v)
+            v = v if np.isnan(p) else p * v + q
+        return pdf[[key, "_g"]].assign(_v=out)
+
+    begin = totals.groupBy(key).applyInPandas(values, f"`{key}` {kind}, _g int, _v double")
+    ema = F.when(~F.isnan("_P"), F.col("_P") * F.col("_v") + F.col("_Q"))
+    out = composed.join(begin, [key, "_g"]).withColumn("ema", ema)
+    return out.select(*cols, "accepted", "ema", (F.col("ema").isNotNull() & (
+        F.col(ts).cast("double") < F.col("_since") + max_sec_valid)).alias("valid"))

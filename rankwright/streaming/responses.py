@@ -46,14 +46,22 @@ def parse_envelopes(raw: DataFrame, value_col: str = "value") -> DataFrame:
     return raw.select(F.from_json(F.col(value_col), RESPONSE_SCHEMA).alias("e")).select("e.*")
 
 
+REPLAY_DELAY = "6 hours"
+
+
 def collect_responses(envelopes: DataFrame, run_id: str) -> DataFrame:
     """Responses of one run with status 200, hits flat-mapped,
     duplicates (replayed responses) removed by (wikiid, query, hit_page_id)."""
     ok = envelopes.where((F.col("run_id") == run_id) & (F.col("status_code") == 200))
     hits = ok.select(F.col("meta.wikiid").alias("wikiid"), F.col("meta.query").alias("query"),
                      F.explode(F.from_json("text", HITS_SCHEMA)["hits"]).alias("h"))
-    return (hits.select("wikiid", "query", F.col("h.pageid").alias("hit_page_id"))
-            .dropDuplicates(["wikiid", "query", "hit_page_id"]))
+    rows = hits.select("wikiid", "query", F.col("h.pageid").alias("hit_page_id"))
+    keys = ["wikiid", "query", "hit_page_id"]
+    if not rows.isStreaming:
+        return rows.dropDuplicates(keys)
+    # a replay comes within the delay; older keys leave the state
+    return (rows.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", REPLAY_DELAY)
+            .dropDuplicatesWithinWatermark(keys).drop("_arrived"))
 
 
 def run_complete(markers: DataFrame, expected_partitions: int) -> DataFrame:
@@ -80,6 +88,6 @@ def read_responses(spark: SparkSession, source: str, fmt: str = "json", topic: s
 
 def stream_responses(spark: SparkSession, source_dir: str, run_id: str) -> DataFrame:
     """T1 as a stream over a directory of envelope files; the dedup keeps its
-    keys in the state store across micro-batches."""
+    keys in the state store across micro-batches for ``REPLAY_DELAY``."""
     raw = spark.readStream.text(source_dir)
     return collect_responses(parse_envelopes(raw), run_id)

@@ -19,9 +19,11 @@ TOP_KEYS = ("_index", "_id", "_source")
 NOOP_SHARE = 0.2
 RESULT_COUNTERS = ("updated", "created", "noop", "ok_unknown", "missing", "failed")
 
-_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
-_INTEGER = r"^-?(0|[1-9][0-9]*)$"
-_STRING = r'^".*"$'
+
+
+def _kind(value) -> F.Column:
+    """JSON type of a VARIANT: STRING, BIGINT, DOUBLE, DECIMAL(p,s), VOID (null), OBJECT<…> …"""
+    return F.schema_of_variant(value)
 
 
 def validate_updates(raw: DataFrame, value_col: str = "value") -> DataFrame:
@@ -29,37 +31,34 @@ def validate_updates(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
     Closed object with exactly the required keys; ``_index`` a string; ``_id``
     an integer or string; ``_source`` a closed object with at least one known
-    field, each a number or string.  Returns the input plus ``status`` and the
-    parsed ``_index``, ``_id`` (string), ``popularity_score`` (double)."""
-    v = F.col(value_col)
-    keys = F.json_object_keys(v)
-    src = F.get_json_object(v, "$._source")
-    src_keys = F.json_object_keys(src)
+    field, each a number or string.  The message is parsed once; types are those of the
+    parsed values.  JSON that is not an object fails the validation.  Returns the input plus
+    ``status`` and the parsed ``_index``, ``_id`` (string), ``popularity_score`` (double)."""
+    message = F.try_parse_json(F.col(value_col))
+    part = {k: F.try_variant_get(F.col("_v"), f"$.{k}", "variant") for k in TOP_KEYS}
+    text = {k: F.try_variant_get(F.col("_v"), f"$.{k}", "string") for k in ("_index", "_id")}
+    keys = F.json_object_keys(F.to_json(F.col("_v")))
+    src_keys = F.json_object_keys(F.to_json(part["_source"]))
     known = F.array(*[F.lit(k) for k in FIELD_CONFIG])
-    raw_field = {k: F.get_json_object(src, f"$.{k}") for k in FIELD_CONFIG}
-    # get_json_object returns strings unquoted, so the JSON type of a value is
-    # read from its literal in the message text (quoted string or number).
-    typed = F.from_json(v, "struct<_index:string,_id:string,_source:map<string,string>>")
-    id_raw = F.regexp_extract(v, r'"_id"\s*:\s*("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null|\{|\[)', 1)
-    index_raw = F.regexp_extract(v, r'"_index"\s*:\s*("(?:[^"\\]|\\.)*"|-?[0-9][0-9.eE+-]*|true|false|null|\{|\[)', 1)
+    whole_number = r"^(BIGINT|DECIMAL\(\d+,0\))$"
     field_ok = F.lit(True)
     for k in FIELD_CONFIG:
-        val_raw = F.regexp_extract(src, rf'"{k}"\s*:\s*("(?:[^"\\]|\\.)*"|[^,\}}\s]+)', 1)
-        field_ok = field_ok & (raw_field[k].isNull() | val_raw.rlike(_NUMBER) | val_raw.rlike(_STRING))
+        kind = _kind(F.try_variant_get(F.col("_v"), f"$._source.{k}", "variant"))
+        field_ok = field_ok & (~F.array_contains(src_keys, k) | kind.rlike(r"^(STRING|BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))$"))
     valid = (
         (F.size(keys) == len(TOP_KEYS))
         & F.forall(keys, lambda k: k.isin(*TOP_KEYS))
-        & index_raw.rlike(_STRING)
-        & (id_raw.rlike(_STRING) | id_raw.rlike(_INTEGER))
+        & (_kind(part["_index"]) == "STRING")
+        & ((_kind(part["_id"]) == "STRING") | _kind(part["_id"]).rlike(whole_number))
         & src_keys.isNotNull() & (F.size(src_keys) >= 1)
         & F.forall(src_keys, lambda k: F.array_contains(known, k))
         & field_ok
     )
-    status = F.when(keys.isNull(), "bad_json").when(valid, "valid").otherwise("fail_validate")
-    return raw.select(
-        "*", status.alias("status"),
-        typed["_index"].alias("index"), typed["_id"].alias("doc_id"),
-        F.get_json_object(src, "$.popularity_score").try_cast("double").alias("popularity_score"))
+    status = (F.when(F.col("_v").isNull(), "bad_json")
+              .when(F.coalesce(valid, F.lit(False)), "valid").otherwise("fail_validate"))
+    return raw.withColumn("_v", message).select(
+        *raw.columns, status.alias("status"), text["_index"].alias("index"), text["_id"].alias("doc_id"),
+        F.try_variant_get(F.col("_v"), "$._source.popularity_score", "string").try_cast("double").alias("popularity_score"))
 
 
 def validation_counts(checked: DataFrame) -> DataFrame:
@@ -114,15 +113,50 @@ def update_results(results: DataFrame) -> DataFrame:
     return names.join(counts, "counter", "left").select("counter", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def upsert(applied: DataFrame, current: DataFrame, key: str = "doc_id",
+           field: str = "popularity_score") -> DataFrame:
+    """T5: the documents after the updates: ``updated`` ones take the new value (of several in
+    one batch the greatest), all others stay; updates never create a document."""
+    new = applied.where(F.col("result") == "updated").groupBy(key).agg(F.max(field).alias("_new"))
+    return current.join(new, key, "left").withColumn(field, F.coalesce("_new", field)).drop("_new").select(*current.columns)
+
+
+def _last_state(spark: SparkSession, path: str, epoch: int) -> str | None:
+    """Newest state before ``epoch``, by the marker Spark's writer leaves."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    done = [int(n.split("=")[1]) for n in names if n.startswith("epoch=")
+            and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+    before = [e for e in done if e < epoch]
+    return f"{path}/epoch={max(before)}" if before else None
+
+
 def update_stream(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_dir: str,
-                  clusters: Sequence[tuple[str, Sequence[str]]], schema_value_col: str = "value"):
-    """T4/T5 as a stream: each micro-batch is validated, routed and written per
-    cluster; offsets advance only after the batch is written (at-least-once)."""
+                  clusters: Sequence[tuple[str, Sequence[str]]], schema_value_col: str = "value",
+                  counts_dir: str | None = None, state_dir: str | None = None):
+    """T4/T5 as a stream: each micro-batch is validated, routed and written per cluster under
+    its epoch, replacing what an earlier try of the same batch wrote, so a replay does not
+    duplicate.  ``counts_dir`` gets the number of messages by status (``missing_index`` for
+    valid ones without a cluster); ``state_dir`` holds the documents (``doc_id``,
+    ``popularity_score``, first under ``epoch=-1``), and gets their state after each batch."""
     def deliver(batch: DataFrame, epoch_id: int) -> None:
-        checked = validate_updates(batch, schema_value_col)
+        checked = validate_updates(batch, schema_value_col).persist()
         routed = route_updates(checked.where(F.col("status") == "valid"), clusters)
-        (routed.withColumn("epoch", F.lit(epoch_id))
-         .write.mode("append").partitionBy("cluster").parquet(table_dir))
+        routed.write.mode("overwrite").partitionBy("cluster").parquet(f"{table_dir}/epoch={epoch_id}")
+        if counts_dir:
+            lost = F.when(F.col("cluster") == "missing_index", "missing_index").otherwise("valid")
+            counts = routed.select(lost.alias("status")).unionByName(
+                checked.where(F.col("status") != "valid").select("status"))
+            validation_counts(counts).write.mode("overwrite").parquet(f"{counts_dir}/epoch={epoch_id}")
+        before = _last_state(spark, state_dir, epoch_id) if state_dir else None
+        if before:
+            current = spark.read.parquet(before)
+            applied = apply_updates(routed.where(F.col("cluster") != "missing_index"), current)
+            upsert(applied, current).write.mode("overwrite").parquet(f"{state_dir}/epoch={epoch_id}")
+        checked.unpersist()
 
     return (spark.readStream.text(source_dir).writeStream
             .option("checkpointLocation", checkpoint_dir).foreachBatch(deliver))

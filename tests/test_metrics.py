@@ -17,13 +17,14 @@ def _rows(spark, rows):
     return spark.createDataFrame(rows, "label int, hit_position int, query string, wikiid string")
 
 
-def test_ndcg_by_hand(spark):
-    df = _rows(spark, [(4, 0, "foo", "barwiki"), (3, 1, "foo", "barwiki"),
-                       (0, 2, "foo", "barwiki"), (3, 3, "foo", "barwiki")])
-    at2 = {r.wikiid: r.ndcg for r in ndcg(df, 2, query_cols=["query"], tie_col=None).collect()}
-    assert at2["barwiki"] == 1.0
-    at4 = {r.wikiid: r.ndcg for r in ndcg(df, 4, query_cols=["query"], tie_col=None).collect()}
-    assert at4["barwiki"] == pytest.approx(0.9788, abs=1e-4)
+@pytest.mark.parametrize("k", [1, 3, 6])
+def test_ndcg_equals_formula(spark, k):
+    shown = {("n1", "alpha"): [0, 2, 1, 0, 3], ("n1", "beta"): [1, 1], ("n2", "alpha"): [0, 0, 0, 0, 0, 2, 1]}
+    df = _rows(spark, [(lab, i, q, w) for (w, q), labels in shown.items() for i, lab in enumerate(labels)])
+    got = {r.wikiid: r.ndcg for r in ndcg(df, k, query_cols=["wikiid", "query"], tie_col=None).collect()}
+    for w in ("n1", "n2"):
+        own = [_ndcg(labels, k) for (x, _), labels in shown.items() if x == w]
+        assert got[w] == pytest.approx(sum(own) / len(own))
 
 
 def test_query_can_be_multiple_columns(spark):
