@@ -297,7 +297,7 @@ def test_divided_buckets_are_compared_in_blocks(spark, monkeypatch):
     # y and z link with each other only; the hub of a shared bucket links with neither
     rows = [(1, " ".join(head[:20] + [f"a{i}" for i in range(20)])), (2, " ".join(head)), (3, " ".join(head[:39] + ["z"])), (4, " ".join(head[:20] + [f"b{i}" for i in range(20)]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    members = spark.createDataFrame([(5, d, 1) for d in (1, 2, 3, 4)], "bucket long, rep long, hub long")
+    members = spark.createDataFrame([(5, d, 1, 36) for d in (1, 2, 3, 4)], "bucket long, rep long, hub long, n_shingles long")
     component = spark.createDataFrame([(d, d) for d in (1, 2, 3, 4)], "vertex long, component long")
     got = {tuple(sorted(r)) for r in neardup._rest_links(members, component, docs, 80).collect()}
     assert got == {(2, 3)}
