@@ -25,7 +25,7 @@ def _compute(feature: Feature, queries, docs, cand, values) -> DataFrame:
     """One feature as (lang, item_id, doc_id, <name>) over the candidate rows."""
     k = list(KEYS)
     if feature.kind == "match":
-        m = R.match_score(queries, docs, feature.field)
+        m = R.match_score(queries, docs, feature.field, pairs=cand)
         return m.select(*k, F.col("score").alias(feature.name))
     if feature.kind == "explorer":
         ex = R.explore_terms(queries, docs, cand, feature.field, aggs=[feature.params["agg"]],

@@ -159,8 +159,10 @@ def evaluate(df: DataFrame, model: RankModel | None, label_col: str = "label", g
 
 
 def _mean_ndcg(scored: DataFrame, label_col: str, group) -> float:
-    per_wiki = evaluate(scored, None, label_col, group)
-    return float(per_wiki.agg(F.avg("ndcg")).first()[0] or 0.0)
+    mean = evaluate(scored, None, label_col, group).agg(F.avg("ndcg")).first()[0]
+    if mean is None:
+        raise ValueError("no rows to evaluate: a fold is empty")
+    return float(mean)
 
 
 # ------------------------------------------------------------ model selection

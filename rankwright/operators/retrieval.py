@@ -57,7 +57,6 @@ class TextIndex:
     postings: dict = field(default_factory=dict)
     stats: dict = field(default_factory=dict)
     terms: dict = field(default_factory=dict)
-    impacts: dict = field(default_factory=dict)
     _cached: list = field(default_factory=list)
 
     def unpersist(self) -> None:
@@ -74,7 +73,7 @@ def _keep(idx: TextIndex, df: DataFrame) -> DataFrame:
 def build_index(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS), k1: float = K1, b: float = B) -> TextIndex:
     """Tokenise once (plain tokens, spread over the cluster when the scan is
     narrow), derive every field's analyzer from them, and build postings,
-    statistics and impacts."""
+    and statistics (impacts are computed for the postings a query asks for)."""
     docs = spread(docs, "doc_id")
     idx = TextIndex(docs)
     plain = docs.select("lang", "doc_id", tokens("text").alias("_t"))
@@ -98,8 +97,6 @@ def build_index(docs: DataFrame, fields: Sequence[str] = tuple(FIELDS), k1: floa
         idx.stats[f] = stats
         idx.terms[f] = _keep(idx, post.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("df"),
                                                                   F.sum("tf").alias("ttf")))
-        idx.impacts[f] = _keep(idx, _with_impact(post, idx.terms[f], stats, k1, b)
-                               .select("lang", "doc_id", "term", "_s"))
     return idx
 
 
@@ -111,8 +108,12 @@ def _stem(toks: Column) -> Column:
     return F.transform(toks, _stem_term)
 
 
-def _with_impact(post: DataFrame, terms: DataFrame, stats: DataFrame, k1: float, b: float) -> DataFrame:
-    rows = post.join(terms.select("lang", "term", "df"), ["lang", "term"]).join(stats, "lang")
+def _with_impact(rows: DataFrame, asked: DataFrame, docs, field: str, k1: float, b: float) -> DataFrame:
+    """Posting rows (lang, term, tf, dl, …) of the terms ``asked`` with their BM25 impact ``_s``.
+  The per-language constants are one
+    row a language, small enough to send to every task, so no posting is shuffled by it."""
+    freq = _term_table(docs, field).select("lang", "term", "df").join(asked.select("term").distinct(), "term", "left_semi")
+    rows = rows.join(freq, ["lang", "term"]).join(F.broadcast(field_stats(docs, field)), "lang")
     idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf").cast("double")
     norm = tf + k1 * (1 - b + b * F.col("dl") / F.col("avg_dl"))
@@ -143,13 +144,6 @@ def _term_table(docs, field: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("ttf")))
 
 
-def _impacts(docs, field: str, k1: float, b: float) -> DataFrame:
-    if isinstance(docs, TextIndex) and field in docs.impacts and (k1, b) == (K1, B):
-        return docs.impacts[field]
-    return _with_impact(doc_terms(docs, field), _term_table(docs, field), field_stats(docs, field), k1, b) \
-        .select("lang", "doc_id", "term", "_s")
-
-
 def doc_terms(docs, field: str) -> DataFrame:
     """Postings: (lang, doc_id, term, tf, dl)."""
     if isinstance(docs, TextIndex) and field in docs.postings:
@@ -180,14 +174,18 @@ def query_terms(queries: DataFrame, analyzer: str, id_col: str = "item_id", text
 
 
 def match_score(queries: DataFrame, docs, field: str = "text", id_col: str = "item_id",
-                text_col: str = "text", k1: float = K1, b: float = B) -> DataFrame:
-    """R2: BM25 of each query against ``field`` for every doc sharing a term:
-    (lang, item_id, doc_id, score, matched_terms, n_terms).  Query terms join
-    the precomputed per-posting impacts; one aggregation sums them."""
+                text_col: str = "text", k1: float = K1, b: float = B, pairs: DataFrame | None = None) -> DataFrame:
+    """R2: BM25 of each query against ``field``: (lang, item_id, doc_id, score, matched_terms,
+    n_terms) for the (lang, item_id, doc_id) of ``pairs`` that share a term, or for every doc
+    sharing a term.  Query terms meet the postings first; impacts come last."""
     _, analyzer = FIELDS[field]
     qt = query_terms(queries, analyzer, id_col, text_col)
-    rows = qt.join(_impacts(docs, field, k1, b), "term")
-    return (rows.groupBy("lang", id_col, "doc_id")
+    post = doc_terms(docs, field)
+    if pairs is None:
+        rows = qt.join(post, "term")
+    else:
+        rows = pairs.select("lang", id_col, "doc_id").distinct().join(qt, id_col).join(post, ["lang", "doc_id", "term"])
+    return (_with_impact(rows, qt, docs, field, k1, b).groupBy("lang", id_col, "doc_id")
             .agg(F.sum("_s").alias("score"), F.count(F.lit(1)).alias("matched_terms"),
                  F.max("n_terms").alias("n_terms")))
 
@@ -213,7 +211,9 @@ def phrase_match(queries: DataFrame, docs: DataFrame, id_col: str = "item_id", t
     # token boundaries.
     phrase = queries.select(id_col, F.concat(F.lit(" "), F.array_join(analyze(text_col, "plain"), "  "),
                                              F.lit(" ")).alias("_p"))
-    body = _docs(docs).select("doc_id", F.concat(F.lit("  "), F.array_join(analyze("text", "plain"), "  "),
+    # only the candidates' texts are moved and tokenised
+    wanted = cand.select("doc_id").distinct()
+    body = _docs(docs).select("doc_id", "text").join(wanted, "doc_id", "left_semi").select("doc_id", F.concat(F.lit("  "), F.array_join(analyze("text", "plain"), "  "),
                                           F.lit("  ")).alias("_d"))
     occ = ((F.length("_d") - F.length(F.replace("_d", "_p", F.lit("")))) / F.length("_p")).cast("bigint")
     return (cand.join(phrase, id_col).join(body, "doc_id")
@@ -236,7 +236,7 @@ def explore_terms(queries: DataFrame, docs: DataFrame, pairs: DataFrame, field:
     ts = _term_table(docs, field)
     fs = field_stats(docs, field)
     rows = (pairs.select("lang", id_col).distinct().join(qt, id_col)
-            .join(ts, ["lang", "term"], "left").join(fs, "lang")
+            .join(ts, ["lang", "term"], "left").join(F.broadcast(fs), "lang")
             .select("lang", id_col,
                     F.coalesce("df", F.lit(0)).cast("double").alias("raw_df"),
                     F.coalesce("ttf", F.lit(0)).cast("double").alias("raw_ttf"),
@@ -315,7 +315,8 @@ def search(queries: DataFrame, docs, n: int = 20, weights: dict | None = None,
     for f, w in weights.items():
         _, analyzer = FIELDS[f]
         qt = query_terms(queries, analyzer, id_col, text_col).select(id_col, "term", "n_terms")
-        sc = (cand.join(qt, id_col).join(_impacts(docs, f, K1, B), ["lang", "doc_id", "term"])
+        hits = cand.join(qt, id_col).join(doc_terms(docs, f), ["lang", "doc_id", "term"])
+        sc = (_with_impact(hits, qt, docs, f, K1, B)
               .groupBy("lang", id_col, "doc_id")
               .agg((F.sum("_s") * w).alias("_s"), (F.count(F.lit(1)) == F.max("n_terms")).alias("_all")))
         parts = sc if parts is None else parts.unionByName(sc)
@@ -356,6 +357,6 @@ def doc_signals(docs: DataFrame) -> DataFrame:
     totals = docs.groupBy("lang").agg(F.sum("n_chars").alias("_tot"))
     # texts are reduced to their number of lines before anything is joined
     rows = docs.select("doc_id", "lang", "n_chars", F.size(F.split("text", "\n")).cast("double").alias("links"))
-    return rows.join(totals, "lang").select(
+    return rows.join(F.broadcast(totals), "lang").select(
         "doc_id", "lang", F.coalesce(F.try_divide(F.col("n_chars"), F.col("_tot")), F.lit(0.0)).alias("popularity"),
         "links")

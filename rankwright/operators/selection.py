@@ -13,6 +13,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def _long(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
     return df.unpivot(list(keep), list(names), "feature", "value")
@@ -108,19 +110,30 @@ def select_features(binned: DataFrame, names: Sequence[str], n: int = 50, label_
     Step 1 takes the feature with the largest I(f; label); each next step adds
     argmax_f I(f; label) − mean_{s∈S} I(f; s).  One grouped count job per step
     computes I(f; last selected) for every remaining feature of every wiki.
-    ``n`` ≥ number of features returns all.  Returns (by, rank, feature).
+    ``n`` ≥ number of features returns all as they stand; a wiki with ``preselected``
+    features gets exactly those.  Returns (by, rank, feature).
     """
     names = list(names)
     spark = binned.sparkSession
+    given = preselected or {}
+    if n >= len(names) or given:
+        wikis = sorted(r[0] for r in binned.select(by).distinct().collect())  # one row per wiki
+        as_is = {w: list(given[w]) if w in given else names for w in wikis if w in given or n >= len(names)}
+        fixed = [(w, i + 1, f) for w in as_is for i, f in enumerate(as_is[w])]
+        done = spark.createDataFrame(fixed, f"{by} string, rank int, feature string")
+        rest = [w for w in wikis if w not in as_is]
+        if not rest:
+            return done
+        return done.unionByName(select_features(binned.where(F.col(by).isin(rest)), names, n, label_col, by, suffix))
+    binned = cut_lineage(binned)  # read once a step
     rel = mutual_information(binned, names, label_col, by, suffix).withColumnRenamed("mi", "relevance")
     rel = rel.cache()
     wikis = [r[0] for r in rel.select(by).distinct().collect()]  # one row per wiki
-    chosen: dict[str, list[str]] = {w: list((preselected or {}).get(w, [])) for w in wikis}
+    chosen: dict[str, list[str]] = {w: [] for w in wikis}
     redundancy = {w: {f: 0.0 for f in names} for w in wikis}
     k = min(n, len(names))
     rel_rows = {(r[by], r.feature): r.relevance for r in rel.collect()}  # wikis × features
-    # Redundancy with preselected features first.
-    pending = {w: list(chosen[w]) for w in wikis}
+    pending: dict[str, list[str]] = {w: [] for w in wikis}
     while any(len(chosen[w]) < k for w in wikis) or any(pending.values()):
         new_last = {}
         for w in wikis:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import grouping, sampling
-from ..sources.tables import click_rows
+from ..functions.columns import normalise_query
+from ..sources.tables import click_rows, table
 from .click_queries import H
-from .registry import joined, register, rnd
+from .registry import register, rnd
 
 TOP_N = 5
 THRESHOLD = 0.5
@@ -103,11 +104,35 @@ def q_sessions_per_query(spark, sf_dir):
     return sampling.session_counts(click_rows(spark, sf_dir), ("wikiid", "norm_query_id"))
 
 
-@register("session_quantiles")
+@register("session_quantiles", f"""
+WITH {H},
+k AS (SELECT wikiid, query, count(DISTINCT session_id) AS n FROM h GROUP BY wikiid, query),
+r AS (SELECT wikiid, n, row_number() OVER (PARTITION BY wikiid ORDER BY n) AS i, count(*) OVER (PARTITION BY wikiid) AS c FROM k)
+SELECT DISTINCT wikiid, CAST(n AS DOUBLE) AS edge FROM r JOIN range(1, {BUCKETS}) q(j) ON i = ceil(j * c / {BUCKETS})
+""")
 def q_session_quantiles(spark, sf_dir):
     keys = sampling.session_counts(click_rows(spark, sf_dir), ("wikiid", "query"))
-    edges = sampling.quantile_edges(keys, "wikiid", "num_sessions", BUCKETS)
-    return edges.select("wikiid", joined("edges").alias("edges"))
+    edges = sampling.exact_quantile_edges(keys, "wikiid", "num_sessions", BUCKETS)
+    return edges.select("wikiid", F.explode("edges").alias("edge")).where(F.col("edge") < float("inf"))
+
+
+@register("norm_query", f"""
+WITH {H},
+q AS (SELECT DISTINCT query, substr(lower(wikiid), 1, 2) AS lang FROM h
+      UNION SELECT DISTINCT text, lang FROM documents),
+t AS (SELECT query, lang, lower(unnest(regexp_extract_all(query, '[\\p{{L}}\\p{{N}}]+'))) AS w FROM q),
+s AS (SELECT query, lang, CASE WHEN length(w) <= 4 THEN w
+        WHEN lang = 'en' THEN regexp_replace(w, '(ing|es|s)$', '') WHEN lang = 'de' THEN regexp_replace(w, '(en|er|e)$', '')
+        WHEN lang = 'fr' THEN regexp_replace(w, '(es|s|e)$', '') WHEN lang = 'es' THEN regexp_replace(w, '(es|s)$', '')
+        ELSE w END AS w FROM t)
+SELECT q.query, q.lang, coalesce(string_agg(DISTINCT w, ' ' ORDER BY w), '') AS norm FROM q LEFT JOIN s USING (query, lang)
+GROUP BY q.query, q.lang
+""")
+def q_norm_query(spark, sf_dir):
+    """Normal form of the log's queries and of all document texts in their language."""
+    log = click_rows(spark, sf_dir).select("query", F.substring(F.lower("wikiid"), 1, 2).alias("lang"))
+    texts = table(spark, sf_dir, "documents", "text", "lang").select(F.col("text").alias("query"), "lang")
+    return log.unionByName(texts).distinct().select("query", "lang", normalise_query("query", "lang").alias("norm"))
 
 
 @register("sampled_log", f"""

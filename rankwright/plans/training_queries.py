@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import features as FT
-from ..operators import folds, selection
+from ..operators import folds, sampling, selection
 from ..sources.tables import TRAIN_FEATURES, TRAINING_ROWS_SQL, training_rows
 from .registry import register, rnd
 
@@ -96,10 +96,21 @@ def q_feature_mi(spark, sf_dir):
     return mi.select("wikiid", "feature", rnd("mi").alias("mi"))
 
 
-@register("feature_quantiles")
+def _edges_sql() -> str:
+    return " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS v FROM rt" for f in TRAIN_FEATURES)
+
+
+@register("feature_quantiles", f"""
+WITH {ROUNDED_SQL},
+v AS ({_edges_sql()}),
+r AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS i, count(*) OVER (PARTITION BY feature) AS c FROM v)
+SELECT DISTINCT feature, v AS edge FROM r JOIN range(1, 254) q(j) ON i = ceil(j * c / 254)
+""")
 def q_feature_quantiles(spark, sf_dir):
-    q = selection.quantile_splits(_rounded(spark, sf_dir), TRAIN_FEATURES, 254)
-    return q.select("feature", F.size("splits").alias("n_splits"))
+    """Exact edges of 254 equal-count bins of every feature."""
+    rows = _rounded(spark, sf_dir).select(*TRAIN_FEATURES).unpivot([], list(TRAIN_FEATURES), "feature", "value")
+    edges = sampling.exact_quantile_edges(rows, "feature", "value", 254)
+    return edges.select("feature", F.explode("edges").alias("edge")).where(F.col("edge") < float("inf"))
 
 
 @register("mrmr")
