@@ -26,6 +26,7 @@ import hashlib
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -42,10 +43,12 @@ SAMPLE_DOCS = 1500
 SAMPLE_BYTES = 1 << 14
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
-CACHE_SEGMENTS = 250_000
+CACHE_SEGMENTS = 700_000
 SHARDS = ("range int, shard int, start_in_range bigint, first_doc_id bigint, last_doc_id bigint, n_ids bigint, "
           "dictionary string, doc_ids array<bigint>, counts array<bigint>, offsets array<bigint>, data binary")
 TOKENS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
+# white space other than single spaces and line feeds between other characters
+_IRREGULAR = ["  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
 # before a single line feed or instead of a single space, both between non-space characters
 _CUT = re.compile(r"(?<=\S)(?:(?=\n\S)| (?=\S))")
 
@@ -56,6 +59,19 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+
+
+def cut(text: str | None) -> list[str]:
+    """Segments of a text: the first as it is, the others after a line feed (kept) or a space (left out)."""
+    if not text:
+        return []
+    if text[0] in " \n" or text[-1] in " \n" or any(map(text.__contains__, _IRREGULAR)):
+        return _CUT.split(text)
+    return text.replace("\n", " \n").split(" ")
+
+
 class Encoder:
     """Ids of whole texts as serialized arrays, through a bounded cache of segments.
 
@@ -66,33 +82,62 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype(f"<u{width}")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.kind).tobytes() for e in found]
+        kind = "H" if self.kind.itemsize == 2 else "I"
+        return [array(kind, e.ids).tobytes() for e in found]
+
+    def _segment_ids(self, segments: list[str]) -> list[bytes]:
+        """Ids of segments; punctuation after a letter is a token run of its own, encoded once."""
+        heads, tails = [], []
+        for s in segments:
+            h = s.rstrip(_MARKS)
+            if len(h) < len(s) and h and h[-1] in _LETTERS:
+                heads.append(h)
+                tails.append(s[len(h):])
+            else:
+                heads.append(s)
+                tails.append("")
+        young, old, marks = self.young, self.old, self.marks
+        new = list(set(tails).difference(marks))
+        if len(marks) + len(new) > CACHE_SEGMENTS:
+            marks = self.marks = {}
+            new = list(set(tails))
+        marks.update(zip(new, self._ids(new)))
+        wanted = set(heads).difference(young)
+        again = [h for h in wanted if h in old]
+        young.update(zip(again, map(old.__getitem__, again)))
+        once = list(wanted.difference(again))
+        young.update(zip(once, self._ids([h if h[0] == "\n" else " " + h for h in once])))
+        return [young[h] + marks[t] if t else young[h] for h, t in zip(heads, tails)]
 
     def _learn(self, segments: set[str]) -> None:
         """Make ``segments`` known to the young generation."""
         new = segments.difference(self.young)
         if len(self.young) + len(new) > CACHE_SEGMENTS:
             self.old, self.young, new = self.young, {}, segments
-        again = new.intersection(self.old)
-        self.young.update(zip(again, map(self.old.__getitem__, again)))
-        unknown = list(new.difference(self.old))
-        self.young.update(zip(unknown, self._ids([s if s[0] == "\n" else " " + s for s in unknown])))
+        old = self.old
+        again = [s for s in new if s in old]
+        self.young.update(zip(again, map(old.__getitem__, again)))
+        unknown = [s for s in new if s not in old]
+        self.young.update(zip(unknown, self._segment_ids(unknown)))
 
     def serialized(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, without the end id."""
-        cut = [_CUT.split(t) if t else [] for t in texts]
-        heads = iter(self._ids([parts[0] for parts in cut if parts]))
+        whole = [bool(t) and any(mark in t for mark in self.special) for t in texts]
+        parted = [[t] if w else cut(t) for t, w in zip(texts, whole)]
+        heads = iter(self._ids([parts[0] for parts in parted if parts]))
         segments: set[str] = set()
-        for parts in cut:
+        for parts in parted:
             segments.update(parts[1:])
         self._learn(segments)
         get = self.young.__getitem__
-        return [next(heads) + b"".join(map(get, parts[1:])) if parts else b"" for parts in cut]
+        return [next(heads) + b"".join(map(get, parts[1:])) if parts else b"" for parts in parted]
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
