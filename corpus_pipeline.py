@@ -23,9 +23,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Rejects texts without a letter and texts that no language claims with a fair share."""
     ship_package(spark)
     model = langid.fit(docs)
-    found = docs.withColumn("_language", langid.predictor(model)(F.col("text")))
-    return found.where((F.col("_language.lang_pred") != langid.UNKNOWN)
-                       & (F.col("_language.score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    name = langid.free_name(docs.columns, "_language")
+    found = docs.select("*", langid.predictor(model)(F.col("text")).alias(name))
+    return found.where((F.col(f"{name}.lang_pred") != langid.UNKNOWN)
+                       & (F.col(f"{name}.score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

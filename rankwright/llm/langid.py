@@ -242,8 +242,17 @@ def fit(docs: DataFrame, per_language: int = 600, max_languages: int = 200) -> B
     return train_model([(r["text"], r["lang"]) for r in rows])
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def identify(docs: DataFrame, model: ByteCnn | None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (replaced if they exist)."""
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    found = docs.select(*names, predictor(model)(F.col("text")).alias("_lang"))
-    return found.select(*names, "_lang.lang_pred", "_lang.score")
+    both = free_name(names, "_lang")
+    found = docs.select(*names, predictor(model)(F.col("text")).alias(both))
+    return found.select(*names, f"{both}.lang_pred", f"{both}.score")

@@ -327,3 +327,26 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF001).collect()
     assert sum(r["size"] for r in out) == sum(r.n_chars for r in got.values())
     assert {r.doc_id for r in out} == set(got) and all(r.bin_used <= packing.CAPACITY for r in out)
+
+
+def test_stages_take_odd_documents(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, clashing extra columns, no rows."""
+    import corpus_pipeline
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _language string, shard int, kept string"
+    prose = [f"the small brown fox number {i} walks over the old bridge and then goes home again at {i * 7} o clock" for i in range(30)]
+    rows = [(i, t, "en", "s", len(t), "x", 1, "k") for i, t in enumerate(prose)]
+    rows += [(100, None, None, None, None, None, None, None), (101, "", "en", None, 0, None, None, None), (None, "a text without an id stays here", "en", "s", 5, "x", 1, "k"),
+             (102, "word " * 50000, "en", "s", 1, "x", 1, "k"), (3, prose[3], "en", "s", 1, "x", 1, "k"), (3, prose[3], "en", "s", 1, "x", 1, "k")]
+    docs = spark.createDataFrame(rows, schema)
+    for frame, empty in ((docs, False), (docs.limit(0), True)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            frame = stage(spark, frame, SF001)
+            assert frame.columns == docs.columns
+        got = frame.collect()
+        packed = corpus_pipeline.STAGES[-1][1](spark, frame, SF001).collect()
+        if empty:
+            assert not got and not packed
+        else:
+            ids = [r.doc_id for r in got]
+            assert {100, 101}.isdisjoint(ids) and set(range(30)) <= set(ids) and None in ids and 102 in ids and ids.count(3) == 3
+            assert sum(r["size"] for r in packed) == sum(len(r.text) for r in got)

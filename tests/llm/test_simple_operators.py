@@ -188,12 +188,14 @@ def test_language_query_held_out_accuracy(spark):
 
 def test_language_edges(spark):
     rows = [(1, None, "en"), (2, "", "en"), (3, "12 !?", None), (4, "word", None), (4, "word", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("clash"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit("clash")) \
+        .withColumn("_lang", F.lit("clash"))
     got = langid.identify(docs, langid.fit(docs.limit(0))).collect()
     assert [r.lang_pred for r in got] == ["und"] * 5
     model = langid.train_model([("the cat and the dog", "en"), ("der Hund und die Katze", "de")])
     got = langid.identify(docs, model).collect()
     assert [r.lang_pred == "und" for r in got] == [True, True, True, False, False] and got[3][1:] == got[4][1:]
+    assert all(r["_lang"] == "clash" for r in got)
     assert langid.identify(docs.limit(0), model).count() == 0
 
 
