@@ -110,8 +110,9 @@ def _stem(toks: Column) -> Column:
 
 def _with_impact(rows: DataFrame, asked: DataFrame, docs, field: str, k1: float, b: float) -> DataFrame:
     """Posting rows (lang, term, tf, dl, …) of the terms ``asked`` with their BM25 impact ``_s``.
-  The per-language constants are one
-    row a language, small enough to send to every task, so no posting is shuffled by it."""
+
+    The per-language constants are one row a language, small enough to send to every task,
+    so no posting is shuffled by language."""
     freq = _term_table(docs, field).select("lang", "term", "df").join(asked.select("term").distinct(), "term", "left_semi")
     rows = rows.join(freq, ["lang", "term"]).join(F.broadcast(field_stats(docs, field)), "lang")
     idf = F.log(F.lit(1.0) + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
