@@ -16,7 +16,8 @@ character references are decoded.
 
 Edge cases: null and empty pages give an empty text; broken markup is read as the
 parser reports it (an end tag without its start is skipped, an open element ends with
-its parent); pages of any length are read whole; repeated rows give equal texts;
+its parent, and where every ``article`` or ``main`` lies in furniture that was left open, they
+count all the same); pages of any length are read whole; repeated rows give equal texts;
 other columns are left alone.
 """
 
@@ -74,10 +75,13 @@ def _is_furniture(tag: str, attrs: list, inside: bool) -> bool:
 
 
 class Lines(HTMLParser):
-    """Collects lines ``(text, tags, container, parent)`` from parser events."""
+    """Collects lines ``(text, tags, container, parent)`` from parser events.
 
-    def __init__(self):
+    ``forgive`` lets a container start anew inside furniture that was never closed."""
+
+    def __init__(self, forgive: bool = False):
         super().__init__(convert_charrefs=True)
+        self.forgive = forgive
         self.stack: list[tuple[str, bool, int, int]] = []  # tag, skipped, container, block
         self.skip = False
         self.container = 0
@@ -108,6 +112,8 @@ class Lines(HTMLParser):
             self.flush()
         self.tags += 1
         self.stack.append((tag, self.skip, self.container, self.block))
+        if self.forgive and tag in CONTAINERS:
+            self.skip = False
         if not self.skip and _is_furniture(tag, attrs, self.container > 0):
             self.skip = True
         if block and tag != "p":
@@ -179,6 +185,10 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     parser = Lines()
     parser.feed(html)
     lines = parser.end()
+    if not parser.containers and ("<article" in html or "<main" in html):
+        parser = Lines(forgive=True)
+        parser.feed(html)
+        lines = parser.end()
     if not lines:
         return ""
     scores = smoothed([len(t) / max(1, tags) for t, tags, _, _ in lines], sigma)

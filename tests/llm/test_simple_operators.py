@@ -110,6 +110,7 @@ def test_html_cases():
     plain = "<body><div class=menu>a b</div><div><p>One long paragraph of running text that reads on.</p><p>Hm.</p><p>Another long paragraph of text.</p></div></body>"
     assert html_text.main_text(plain) == "One long paragraph of running text that reads on. Hm. Another long paragraph of text."
     assert html_text.main_text("<article>" + "x " * 200000 + "</article>") == ("x " * 200000).strip()
+    assert html_text.main_text("<body><nav><ul><li>Home<article><p>The text of the page, long enough.</p></article>") == "The text of the page, long enough."
     assert html_text.main_text("<div " * 1000 + "<p>ok") is not None
 
 
