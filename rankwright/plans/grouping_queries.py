@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import grouping, sampling
 from ..functions.columns import normalise_query
+from ..session import cut_lineage
 from ..sources.tables import click_rows, table
 from .click_queries import H
 from .registry import register, rnd
@@ -160,6 +161,7 @@ chosen AS (SELECT wikiid, query FROM rk WHERE rn <= floor(fraction * n + 0.5))
 SELECT wikiid, query, session_id, hit_position, hit_page_id FROM h JOIN chosen USING (wikiid, query)
 """)
 def q_sampled_log(spark, sf_dir):
-    h = click_rows(spark, sf_dir)
+    # the log's key columns are read by the counts, the sessions and the sample: made once
+    h = cut_lineage(click_rows(spark, sf_dir).select("wikiid", "query", "session_id", "hit_position", "hit_page_id"))
     _, sample = sampling.sample_queries(h, SAMPLES_PER_WIKI, SEED, key_col="query", num_buckets=BUCKETS)
     return sample.select("wikiid", "query", "session_id", "hit_position", "hit_page_id")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as FT
 from ..operators import folds, sampling, selection
+from ..session import cut_lineage
 from ..sources.tables import TRAIN_FEATURES, TRAINING_ROWS_SQL, training_rows
 from .registry import register, rnd
 
@@ -52,7 +53,7 @@ def q_dataset_stats(spark, sf_dir):
 
 
 def _binned(spark, sf_dir):
-    rows = _rounded(spark, sf_dir)
+    rows = cut_lineage(_rounded(spark, sf_dir))  # read for the splits and by every count
     splits = selection.equal_width_splits(rows, TRAIN_FEATURES, N_BINS)
     return selection.discretise(rows, splits)
 
