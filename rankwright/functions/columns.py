@@ -46,8 +46,8 @@ def relevance_label(relevance) -> Column:
 
 
 def query_key(*cols) -> Column:
-    """Collision-free composite query id (struct-safe separator)."""
-    return F.concat_ws("\u0001", *[_col(c).cast("string") for c in cols])
+    """Collision-free composite query id: the values as a JSON array, nulls included."""
+    return F.to_json(F.array(*[_col(c).cast("string") for c in cols]))
 
 
 def parse_compact_ts(col) -> Column:
