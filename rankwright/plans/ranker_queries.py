@@ -37,7 +37,7 @@ def q_ranker_eval(spark, sf_dir):
 
 
 CV_SQL = f"""
-WITH {ROUNDED_SQL},{_split_sql(K_SHARES, "fold")},
+WITH RECURSIVE {ROUNDED_SQL},{_split_sql(K_SHARES, "fold")},
 r AS (SELECT wikiid, query, label,
              row_number() OVER (PARTITION BY wikiid, query ORDER BY -f_ctr, label) AS rp,
              row_number() OVER (PARTITION BY wikiid, query ORDER BY label DESC) AS rl FROM rt),

@@ -131,14 +131,14 @@ def _split_sql(shares, out_col: str) -> str:
 wt AS (SELECT wikiid, query, count(*) AS wt FROM rt GROUP BY ALL),
 o AS (SELECT *, row_number() OVER (PARTITION BY wikiid ORDER BY wt DESC, md5(concat_ws('/', '{SEED}', wikiid, query)), query) AS i,
              count(*) OVER (PARTITION BY wikiid) AS h, sum(wt) OVER (PARTITION BY wikiid) AS tot FROM wt),
-r(wikiid, i, {", ".join(f"p{j}" for j in n)}, f) AS (
+greedy(wikiid, i, {", ".join(f"p{j}" for j in n)}, f) AS (
   SELECT DISTINCT wikiid, CAST(0 AS BIGINT), {", ".join("CAST(0 AS BIGINT)" for _ in n)}, CAST(-1 AS BIGINT) FROM o
   UNION ALL
   SELECT wikiid, i, {", ".join(f"CAST(p{j} + CASE WHEN f = {j} THEN wt ELSE 0 END AS BIGINT)" for j in n)}, CAST(f AS BIGINT)
   FROM (SELECT *, {pick} AS f FROM (
     SELECT o.wikiid, o.i, o.wt, {", ".join(f"r.p{j}" for j in n)}, o.h - o.i + 1 <= {empty} AS must, {", ".join(lack)}
-    FROM r JOIN o ON o.wikiid = r.wikiid AND o.i = r.i + 1))),
-asg AS (SELECT o.wikiid, o.query, r.f AS {out_col} FROM o JOIN r ON r.wikiid = o.wikiid AND r.i = o.i)"""
+    FROM greedy r JOIN o ON o.wikiid = r.wikiid AND o.i = r.i + 1))),
+asg AS (SELECT o.wikiid, o.query, r.f AS {out_col} FROM o JOIN greedy r ON r.wikiid = o.wikiid AND r.i = o.i)"""
 
 
 @register("group_split", f"""
