@@ -17,8 +17,10 @@ ORACLE: dict[str, str] = {
     "op2_chat_format": chat.ORACLE,
     "op6_repeated_strings": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS w
-      FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49))) AS i FROM d)),
+part AS (SELECT doc_id, k, substr(h, 2 * k + 1, 1098) AS p
+         FROM (SELECT doc_id, h, unnest(range(0, greatest(0, length(h) // 2 - 49), 500)) AS k FROM d)),
+s AS (SELECT doc_id, k + j AS i, substr(p, 2 * j + 1, 100) AS w
+      FROM (SELECT doc_id, k, p, unnest(range(0, length(p) // 2 - 49)) AS j FROM part)),
 m AS (SELECT w, min(doc_id) AS least FROM s GROUP BY w HAVING count(*) > 1),
 hit AS (SELECT s.doc_id, s.i FROM s JOIN m ON s.w = m.w WHERE m.least < s.doc_id),
 edge AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER o + 50 OR lag(i) OVER o IS NULL THEN 1 ELSE 0 END AS new
