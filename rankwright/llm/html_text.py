@@ -5,10 +5,11 @@ boundaries.  Each line has its text-to-tag ratio (characters of text per tag of
 line); the ratios are smoothed with a Gaussian over neighbouring lines, and lines over
 the threshold (mean minus half a standard deviation of the smoothed ratios, the
 threshold that keeps short paragraphs between long ones) form clusters.  A cluster
-selects its content region: the enclosing ``article``/``main`` element, or, on pages
-without one, the stretch from the first to the last clustered line that share a parent
-block.  A selected region is taken whole, so that short paragraphs inside it stay;
-structural furniture (menus, headers, footers, sidebars, notices, adverts, forms,
+selects its content region: the enclosing ``article``/``main`` element, or, for clusters
+outside of any, the smallest block that holds them all (a region of one line grows to the
+block around it).  Where a page has ``article`` or ``main``, clusters outside count only if they
+hold more text than those inside.  A selected region is taken whole, so that headings and
+short blocks inside it, also at its edges, stay; structural furniture (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, reader comments, hidden parts) never takes part, wherever it stands.
 
 Blocks are joined in page order by one space; white space inside is one space;
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -87,6 +89,7 @@ class Lines(HTMLParser):
         self.container = 0
         self.block = 0
         self.blocks = 0
+        self.around = [0]  # the block around each block
         self.containers = 0
         self.lines: list[tuple[str, int, int, int]] = []
         self.parts: list[str] = []
@@ -118,6 +121,7 @@ class Lines(HTMLParser):
             self.skip = True
         if block and tag != "p":
             self.blocks += 1
+            self.around.append(self.block)
             self.block = self.blocks
         if tag in CONTAINERS and not self.skip and not self.container:
             self.containers += 1
@@ -195,13 +199,31 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     mean = sum(scores) / len(scores)
     spread = math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
     seeds = [i for i, s in enumerate(scores) if s >= mean - 0.5 * spread]
-    regions = {lines[i][2] for i in seeds}
+    kept = {lines[i][2] for i in seeds} - {0}
+    outside = [i for i in seeds if not lines[i][2]]
     if any(c for _, _, c, _ in lines):
-        kept = regions - {0} or {max((s, c) for s, (_, _, c, _) in zip(scores, lines) if c)[1]}
-        return " ".join(t for t, _, c, _ in lines if c in kept)
-    blocks = {lines[i][3] for i in seeds}
-    own = [i for i, line in enumerate(lines) if line[3] in blocks]
-    return " ".join(t for t, _, _, _ in lines[min(own):max(own) + 1])
+        if 2 * sum(len(lines[i][0]) for i in outside) <= sum(len(lines[i][0]) for i in seeds):
+            outside = []
+        kept = kept or {max((s, c) for s, (_, _, c, _) in zip(scores, lines) if c)[1]}
+    held = region([lines[i][3] for i in outside], [line[3] for line in lines], parser.around)
+    return " ".join(t for t, _, c, b in lines if c in kept or not c and b in held)
+
+
+def region(seeds: list[int], blocks: list[int], around: list[int]) -> range:
+    """Numbers of the smallest block with all ``seeds`` and of the blocks inside it.
+
+    ``blocks`` are the blocks of all lines; blocks are numbered in page order, so those
+    inside a block follow it."""
+    if not seeds:
+        return range(0)
+    last = list(range(len(around)))
+    for b in range(len(around) - 1, 0, -1):
+        last[around[b]] = max(last[around[b]], last[b])
+    top = min(seeds)
+    blocks = sorted(blocks)
+    while top and (last[top] < max(seeds) or bisect_right(blocks, last[top]) - bisect_left(blocks, top) < 2):
+        top = around[top]
+    return range(top, last[top] + 1)
 
 
 def extract(html: Column | str) -> Column:

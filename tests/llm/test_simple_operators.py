@@ -114,6 +114,18 @@ def test_html_cases():
     assert html_text.main_text("<div " * 1000 + "<p>ok") is not None
 
 
+def test_html_pages_without_container():
+    long = "A long paragraph of running text that reads on and on, without a link."
+    page = (f"<body><div class=menu>Home</div><div><h1>Head</h1><div>By me.</div><div><p>{long}</p><p>{long}</p></div>"
+            f"<section><p>{long}</p></section><div>The end.</div></div><div><a>x</a> <a>y</a></div></body>")
+    assert html_text.main_text(page) == f"Head By me. {long} {long} {long} The end."
+    assert html_text.main_text(f"<div><h2>Head</h2><div>{long}</div><ul><li>So.</li></ul></div>") == f"Head {long} So."
+    # a teaser in an article does not hide the text beside it; a short remark beside an article stays out
+    text = f"<div><h1>Head</h1><p>{long}</p><p>{long}</p><p>{long}</p></div>"
+    assert html_text.main_text(f"<body><article>See also.</article>{text}</body>") == f"See also. Head {long} {long} {long}"
+    assert html_text.main_text(f"<body><p>{long}</p><article>{text}</article></body>") == f"Head {long} {long} {long}"
+
+
 def test_html_query_equals_markup_strip(spark):
     got = {r.page_id: r for r in queries.QUERIES["op4_html_text"](spark, SF001).collect()}
     pages = duckdb.sql(f"select page_id, html from '{SF001}/pages.parquet'").fetchall()
