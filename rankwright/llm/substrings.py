@@ -10,7 +10,9 @@ read three times.
 1. Each position is a suffix with a head of 50 bytes.  A head's signature is the least
    hash of its 20-byte substrings, so equal heads have equal signatures and neighbours
    mostly share theirs: runs of suffixes.  The distinct signatures of a batch go to
-   signature classes (5 bytes each), which report those found in several batches.
+   signature classes (5 bytes each, and the number of runs of those with several), which
+   report those found in several batches, and which of them are hot: more than ``HOT_RUNS``
+   runs of all batches together.
 2. Batches send the runs of shared signatures (their bytes, each distinct run of a batch
    once with its smallest ``doc_id``) to the signature classes.
 3. A class orders the suffixes of its runs by deep-shallow sorting; equal heads stand next
@@ -21,7 +23,10 @@ read three times.
 
 Runs that occur in only one batch, and runs of a signature with one content, need no
 ordering.  A passage in very many documents arrives once a batch and content, not once a
-document.
+document.  Its first and last suffixes share a signature but have other bytes in every
+document; that signature is hot, and its suffixes are sent one by one under the code of their
+whole head instead.  So a group to be ordered has at most ``HOT_RUNS`` runs, a head arrives
+once a batch, and the number of classes follows the bytes of the texts (``CLASS_BYTES``).
 
 Edge cases: null and short texts (under 50 bytes) lose nothing; rows of equal ``doc_id`` never
 remove each other's bytes; a null ``doc_id`` takes no part; periodic texts of any length are cut
@@ -32,6 +37,7 @@ carried.
 from __future__ import annotations
 
 import hashlib
+import logging
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +52,10 @@ LENGTH = 50
 GRAM = 20
 RUN = 32
 BATCH_DOCS = 1024
+HOT_RUNS = 4096
+CLASS_BYTES = 64 << 20
 _U = np.uint64
+_log = logging.getLogger(__name__)
 _MASK40 = _U((1 << 40) - 1)
 PARTS = "class int, batch int, kind int, data binary"
 SCHEMA = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -97,6 +106,20 @@ class Runs:
         self.content = textcodes.range_codes(sums, self.start, self.start + self.count + LENGTH - 1)
 
 
+    def split(self, chosen: np.ndarray):
+        """Each suffix of the chosen runs becomes a run, signed by the code of its head."""
+        times = np.where(chosen, self.count, 1)
+        source = np.repeat(np.arange(len(times)), times)
+        one = chosen[source]
+        self.start = self.start[source] + np.arange(len(source)) - np.repeat(np.cumsum(times) - times, times)
+        self.count, self.doc = np.where(one, 1, self.count[source]), self.doc[source]
+        self.sign, self.content = self.sign[source], self.content[source]
+        begin = self.start[one]
+        self.content[one] = textcodes.range_codes(textcodes.prefix_codes(self.flat), begin, begin + LENGTH)
+        self.sign[one] = textcodes.mix(self.content[one])
+        return self.sign[one]
+
+
 def _classes(sign: np.ndarray, classes: int) -> np.ndarray:
     return ((sign >> _U(40)) % _U(classes)).astype(np.int64)
 
@@ -127,6 +150,15 @@ class Batch:
         return np.concatenate([getattr(r, name) + (first if name == "doc" else 0) for first, r in self.blocks]
                               or [np.zeros(0, np.uint64)])
 
+    def split(self, hot: np.ndarray) -> np.ndarray:
+        """Cuts the runs of hot signatures into suffixes; gives the keys of these."""
+        keys = [np.zeros(0, np.uint64)]
+        for _, runs in self.blocks:
+            chosen = np.isin(_key(runs.sign, self.classes), hot)
+            if chosen.any():
+                keys.append(_key(runs.split(chosen), self.classes))
+        return np.unique(np.concatenate(keys))
+
     def entries(self, shared: np.ndarray):
         """Distinct runs (signature, content) of shared signatures, by class.
 
@@ -192,16 +224,30 @@ def _parts(rows: list[tuple]) -> pa.Table:
 
 
 def _signatures_of(table: pa.Table, classes: int) -> pa.Table:
-    """Distinct signatures of a batch, by class, 5 bytes each."""
+    """Distinct signatures of a batch, by class, 5 bytes each; those of several runs also with
+    their number of distinct runs, 2 bytes more."""
     number = table.column("batch")[0].as_py()
-    key = np.unique(_key(Batch(table, classes).all("sign"), classes))
-    own = (key >> _U(40)).astype(np.int64)
-    rows = []
-    for c, part in zip(*_split(own, key)):
-        rows.append((c, number, 0, np.ascontiguousarray((part & _MASK40).view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()))
+    batch = Batch(table, classes)
+    every, content = _key(batch.all("sign"), classes), batch.all("content")
+    key, times = np.unique(every, return_counts=True)
+    again = np.isin(every, key[times > 1])
+    every, content = every[again], content[again]
+    order = np.lexsort((content, every))
+    every, content = every[order], content[order]
+    new = np.append(True, (every[1:] != every[:-1]) | (content[1:] != content[:-1]))[:len(every)]
+    several, runs = np.unique(every[new], return_counts=True)
+    several, runs = several[runs > 1], np.minimum(runs[runs > 1], 65535).astype("<u2")
+    rows = [(c, number, 0, _to_five(part)) for c, part in zip(*_split(_class_of(key), key))]
+    own = _class_of(several)
+    for c, part, n in zip(*_split(own, several), _split(own, runs)[1]):
+        rows.append((c, number, 2, _to_five(part) + n.tobytes()))
     return _parts(rows)
 
 
+def _class_of(key: np.ndarray) -> np.ndarray:
+    return (key >> _U(40)).astype(np.int64)
+
+
 def _split(own: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
     """``values`` (ordered by their class ``own``) by class."""
     if not len(own):
@@ -216,34 +262,53 @@ def _five(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-def _shared_of(table: pa.Table) -> pa.Table:
-    """Signatures of a class that several batches hold, back to each of those batches."""
+def _to_five(key: np.ndarray) -> bytes:
+    return np.ascontiguousarray((key & _MASK40).view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def _shared_of(table: pa.Table, hot_runs: int) -> pa.Table:
+    """Signatures of a class that several batches hold, and the hot ones, back to each of those batches."""
     number = table.column("class")[0].as_py()
-    batches = table.column("batch").to_pylist()
-    keys = [_five(d) for d in table.column("data").to_pylist()]
-    every = np.concatenate(keys)
-    every.sort()
-    many = np.unique(every[1:][every[1:] == every[:-1]])
+    held, runs = [], []
+    for b, kind, data in zip(*(table.column(x).to_pylist() for x in ("batch", "kind", "data"))):
+        if kind == 0:
+            held.append((b, _five(data)))
+        else:
+            n = len(data) // 7
+            runs.append((_five(data[:5 * n]), np.frombuffer(data, "<u2", n, 5 * n)))
+    every, times = np.unique(np.concatenate([own for _, own in held]), return_counts=True)
+    total = times.copy()
+    for own, n in runs:
+        total[np.searchsorted(every, own)] += n.astype(np.int64) - 1
+    many, hot = every[times > 1], every[(times > 1) & (total > hot_runs)]
     rows = []
-    for b, own in zip(batches, keys):
-        hit = own[np.isin(own, many, assume_unique=True)]
-        if len(hit):
-            rows.append((number, b, 0, np.ascontiguousarray(hit.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()))
+    for b, own in held:
+        for kind, wanted in ((0, many), (2, hot)):
+            hit = own[np.isin(own, wanted, assume_unique=True)]
+            if len(hit):
+                rows.append((number, b, kind, _to_five(hit)))
     return _parts(rows)
 
 
-def _shared_keys(parts: pa.Table) -> np.ndarray:
+def _keys(parts: pa.Table, kind: int) -> np.ndarray:
     own = [_five(d) | (_U(c) << _U(40)) for c, k, d in zip(
-        *(parts.column(x).to_pylist() for x in ("class", "kind", "data"))) if k == 0]
+        *(parts.column(x).to_pylist() for x in ("class", "kind", "data"))) if k == kind]
     return np.concatenate(own) if own else np.zeros(0, np.uint64)
 
 
+def _batch_of(docs: pa.Table, parts: pa.Table, classes: int) -> tuple[Batch, np.ndarray]:
+    """The batch, hot signatures split, and the keys that it shares with the classes."""
+    batch = Batch(docs, classes)
+    singles = batch.split(_keys(parts, 2))
+    return batch, np.union1d(_keys(parts, 0), singles)
+
+
 def _runs_of(docs: pa.Table, parts: pa.Table, classes: int) -> pa.Table:
     """The batch's entries of signatures shared between batches, by class, with their bytes."""
     if not docs.num_rows or not parts.num_rows:
         return _parts([])
-    batch = Batch(docs, classes)
-    _, first, own, smallest = batch.entries(_shared_keys(parts))
+    batch, shared = _batch_of(docs, parts, classes)
+    _, first, own, smallest = batch.entries(shared)
     sign, count = batch.all("sign"), batch.all("count").astype(np.int64)
     rows = []
     for c, runs, least in zip(*_split(own, first), _split(own, smallest)[1]):
@@ -272,7 +337,9 @@ def _ordered_of(table: pa.Table) -> pa.Table:
     # suffixes of signatures with more than one content need ordering
     group_new = np.append(True, sign[rep][1:] != sign[rep][:-1])
     group = np.cumsum(group_new) - 1
-    mixed = np.flatnonzero(np.bincount(group)[group] > 1)
+    contents = np.bincount(group)
+    mixed = np.flatnonzero(contents[group] > 1)
+    _log.info("class %d: %d runs, largest group %d contents", number, len(order), contents.max(initial=0))
     total = np.cumsum(count[rep]) - count[rep]
     best = np.repeat(least, count[rep])
     for part in _portions(mixed, group[mixed], count[rep]):
@@ -320,8 +387,7 @@ def _removed_of(docs: pa.Table, parts: pa.Table, classes: int) -> pa.Table:
     """Result rows of a batch."""
     if not docs.num_rows:
         return pa.table([[]] * 5, schema=_RESULT)
-    batch = Batch(docs, classes)
-    shared = _shared_keys(parts)
+    batch, shared = _batch_of(docs, parts, classes)
     bits = {c: _unpack(d, "<u4")[0] for c, k, d in zip(
         *(parts.column(x).to_pylist() for x in ("class", "kind", "data"))) if k == 1}
     # entries of both kinds: shared between batches, and between documents of this batch
@@ -379,14 +445,15 @@ def _local_mask(batch: Batch) -> np.ndarray:
     return mask
 
 
-def repeated_strings(docs: DataFrame, batch_docs: int = BATCH_DOCS) -> DataFrame:
+def repeated_strings(docs: DataFrame, batch_docs: int = BATCH_DOCS, hot_runs: int = HOT_RUNS) -> DataFrame:
     """Bytes, removed bytes and spans, and the digest of the rest of each document (``SCHEMA``)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    batches = max(1, -(-rows.count() // batch_docs))
-    classes = ordered.shuffle_partitions(docs)
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    batches = max(1, -(-n // batch_docs))
+    classes = max(ordered.shuffle_partitions(docs), -(-size // CLASS_BYTES))
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(batches)).cast("int"))
     signs = dealt.groupBy("batch").applyInArrow(lambda t: _signatures_of(t, classes), PARTS)
-    shared = signs.groupBy("class").applyInArrow(_shared_of, PARTS)
+    shared = signs.groupBy("class").applyInArrow(lambda t: _shared_of(t, hot_runs), PARTS)
     runs = dealt.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(
         lambda d, p: _runs_of(d, p, classes), PARTS)
     found = runs.groupBy("class").applyInArrow(_ordered_of, PARTS)

@@ -8,6 +8,8 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +141,40 @@ def test_repeated_strings_equal_brute_force(spark, seed, batch_docs):
     assert got == brute_strings(rows)
 
 
+@pytest.mark.parametrize("hot_runs", [0, 5, 40])
+def test_hot_signatures_are_split(spark, hot_runs):
+    rng = random.Random(hot_runs)
+    passage = "".join(rng.choices("abcdefgh ", k=90))
+    rows = [(d, "".join(rng.choices("abcdefgh ", k=rng.randint(0, 60))) + passage + "".join(rng.choices("abcdefgh ", k=rng.randint(0, 60)))
+             + rng.choice(["", passage[:70], "ab" * 60])) for d in rng.sample(range(1000), 150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: tuple(r) for r in substrings.repeated_strings(docs, 20, hot_runs).collect()}
+    assert got == brute_strings(rows)
+
+
+def test_groups_of_a_hot_signature_are_bounded():
+    """Edges of one passage: the contents of one signature that meet in a class, over all batches."""
+    rng = random.Random(1)
+    passage = "".join(rng.choices("abcdefgh ", k=200))
+    held = [pa.table({"doc_id": list(range(b * 50, b * 50 + 50)), "batch": [b] * 50, "text": [
+        "".join(rng.choices("abcdefgh ", k=60)) + passage + "".join(rng.choices("abcdefgh ", k=60)) for _ in range(50)]})
+        for b in range(6)]
+
+    def largest(hot_runs):
+        signs = pa.concat_tables([substrings._signatures_of(t, 1) for t in held])
+        shared = substrings._shared_of(signs, hot_runs)
+        contents = Counter()
+        for b, docs in enumerate(held):
+            own = shared.filter(pc.equal(shared["batch"], b))
+            sent = substrings._runs_of(docs, own, 1)["data"][0].as_py()
+            sign, count, _, data = substrings._unpack(sent, "<u8", "u1", "<i8", "u1")
+            contents.update({(s, c) for s, c in zip(sign.tolist(), substrings._content(count, data).tolist())} - contents.keys())
+        return max(Counter(s for s, _ in contents).values())
+
+    assert largest(1 << 30) > 250  # one entry a document
+    assert largest(40) <= 40
+
+
 def test_repeated_strings_edges(spark):
     text = "k" * 20 + "passage of more than fifty bytes that stands in several rows"
     docs = spark.createDataFrame([(3, text), (3, text), (None, text), (9, text), (10, None)], "doc_id long, text string")
