@@ -28,6 +28,8 @@ an empty table gives an empty result; extra columns are not carried by
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -72,8 +74,8 @@ def buckets(values: np.ndarray) -> np.ndarray:
     return textcodes.mix(out).T
 
 
-def profile(docs: DataFrame) -> DataFrame:
-    """Set size, set key (128 bits) and buckets of each document (``PROFILE``)."""
+def profile(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Set size, set key (128 bits) and buckets of each document (``PROFILE``, then the columns ``keep``)."""
 
     def scan(batches):
         for batch in batches:
@@ -93,11 +95,13 @@ def profile(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(held)), pa.array(sizes.astype(np.int64)), pa.array(k1.view(np.int64)),
                      pa.array(k2.view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(lists), pa.array(np.ascontiguousarray(rows).ravel().view(np.int64)))],
-                    names=["doc_id", "n_shingles", "k1", "k2", "buckets"])
+                     pa.ListArray.from_arrays(pa.array(lists), pa.array(np.ascontiguousarray(rows).ravel().view(np.int64))),
+                     *[batch.column(c).slice(first, len(held)) for c in keep]],
+                    names=["doc_id", "n_shingles", "k1", "k2", "buckets", *keep])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(scan, PROFILE)
+    schema = PROFILE + "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep) \
+        .mapInArrow(scan, schema)
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -216,10 +220,13 @@ def _rest_links(members: DataFrame, component: DataFrame, docs: DataFrame, perce
         .groupBy("task").applyInPandas(work, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs`` (``doc_id, text``)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    found = cut_lineage(profile(docs))
+def components(docs: DataFrame, percent: int = PERCENT, keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` and ``keep`` of every row of ``docs`` (``doc_id, text``, ``keep``).
+
+    ``component_id`` is null for an empty set."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
+    found = cut_lineage(profile(docs, keep))
+    docs = docs.select("doc_id", "text")
     reps = found.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.first("buckets").alias("buckets"))
     members = reps.select("rep", "n_shingles", F.explode("buckets").alias("bucket"))
@@ -240,6 +247,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     # a hot set key is split by adaptive skew handling: both sides are plain shuffles
     return found.join(cut_lineage(nodes), ["k1", "k2", "n_shingles"], "left").select(
+        "doc_id", "n_shingles", "component_id", *keep)
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs`` (``doc_id, text``)."""
+    return components(docs, percent).select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")) \
         .withColumn("kept", F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
 

@@ -2,7 +2,9 @@
 
 Documents become pieces of at most ``capacity`` units (whole pieces of exactly
 ``capacity`` units, then one remainder); pieces go into bins of ``capacity``.  No
-bin holds two documents of one source, nor two of one duplicate cluster.
+bin holds two documents of one source, nor two of one duplicate cluster.  Clusters are
+the components of near duplicates (``neardup``, similarity 0.8 on full sets); texts without
+a word form one with their exact copies.
 
 Method: inside a shard, pieces come in decreasing size.  Open bins stand in
 residual order; each carries a bitmap of its sources and one of its clusters.  The
@@ -13,10 +15,11 @@ a bin is opened.
 Scale: shards are hash classes of ``doc_id`` and hold about ``shard_rows`` documents
 whatever the table's size, so the number of shards grows with the input and the
 packing of a shard stays bounded; a hot source or cluster is spread over all shards.
-Only ids, sizes, sources and cluster ids are shuffled, never texts.
+For the bins only ids, sizes, sources and cluster ids are shuffled, never texts; the
+clusters cost what ``neardup`` costs.
 
 Edge cases: null text or size counts as 0 units and still gets its place; a null
-source conflicts with nothing; a null cluster likewise; repeated rows are packed as
+source conflicts with nothing; a null cluster (that of a null text) likewise; repeated rows are packed as
 rows of their own (equal texts never share a bin); ties in size are ordered by doc_id,
 then cluster; an empty table gives an empty result; extra columns are not carried.
 """
@@ -29,8 +32,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from . import neardup
+
 CAPACITY = 8192
 SHARD_ROWS = 4096
+CLUSTER_PERCENT = 80
 NO_ID = -(1 << 63)  # stands for a null doc_id inside the shards
 SCHEMA = ("doc_id bigint, piece bigint, start bigint, size bigint, source string, cluster bigint, "
           "bin_id bigint, bin_used bigint")
@@ -123,6 +130,12 @@ def pack(docs: DataFrame, size: Column, source: Column, cluster: Column, doc_id:
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Pack a ``documents`` frame: size in code points, clusters of equal texts."""
-    return pack(docs, F.char_length("text"), F.col("source"), F.xxhash64("text"),
-                capacity=capacity, shard_rows=shard_rows)
+    """Pack a ``documents`` frame: size in code points, clusters of near duplicates."""
+    text = F.col("text").cast("string")
+    exact = F.when(text.isNotNull(), F.xxhash64(text))
+    rows = docs.select(  # rows without an id are clustered under a code of their text
+        F.coalesce(F.col("doc_id").cast("long"), exact).alias("doc_id"), text.alias("text"), F.col("doc_id").cast("long").alias("id"),
+        F.char_length(text).alias("units"), F.col("source").cast("string").alias("source"), exact.alias("exact"))
+    rows = cut_lineage(neardup.components(rows, CLUSTER_PERCENT, ("id", "units", "source", "exact")).select(
+        F.col("id").alias("doc_id"), "units", "source", F.coalesce("component_id", "exact").alias("cluster")))
+    return pack(rows, F.col("units"), F.col("source"), F.col("cluster"), capacity=capacity, shard_rows=shard_rows)

@@ -71,7 +71,7 @@ def query(key: str):
 
 @query("op1_best_fit_packing")
 def best_fit_packing(spark, sf_dir):
-    """Every document packed into bins without conflicts of source or equal text."""
+    """Every document packed into bins without conflicts of source or near duplicates."""
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 

@@ -67,6 +67,24 @@ def test_packing_frame(spark):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_packing_keeps_near_copies_apart(spark):
+    words = [f"word{i}" for i in range(100)]
+    near = [" ".join(words[:k] + ["other"] + words[k + 1:]) for k in (0, 30, 60, 99)]
+    rows = [(i, t, f"s{i}") for i, t in enumerate([" ".join(words), *near])] + [(None, " ".join(words) + " end", "t"), (8, near[0], None)]
+    rows += [(20 + i, None, None) for i in range(5)] + [(30, " ", None), (31, " ", None), (40, " ".join(words[::-1]), "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = packing.pack_documents(docs).collect()
+    assert len(got) == len(rows)
+    bins = {}
+    for r in got:
+        bins.setdefault(r.doc_id, []).append(r.bin_id)
+    copies = [bins[i][0] for i in (0, 1, 2, 3, 4, None, 8)]
+    assert len(set(copies)) == 7 and len({r.cluster for r in got if r.doc_id in (0, 1, 2, 3, 4, None, 8)}) == 1
+    assert all(r.cluster is None for r in got if r.doc_id in range(20, 25))
+    assert len({bins[20 + i][0] for i in range(5)}) == 1  # null texts conflict with nothing
+    assert bins[30] != bins[31] and bins[40][0] in copies
+
+
 # -- chat --------------------------------------------------------------------
 def test_chat_round_trip_of_hostile_texts(spark):
     rng = random.Random(5)
