@@ -12,6 +12,7 @@ from ..sources.tables import TRAIN_FEATURES, TRAINING_ROWS_SQL, training_rows
 from .registry import register, rnd
 
 N_BINS = 10
+QUANTILE_BINS = 254
 SHARES = (0.8, 0.2)
 NUM_FOLDS = 3
 SEED = 0
@@ -58,6 +59,18 @@ def _binned(spark, sf_dir):
     return selection.discretise(rows, splits)
 
 
+def _quantile_edges(rows):
+    """Exact edges of ``QUANTILE_BINS`` equal-count bins of every feature, +inf last."""
+    long = rows.select(*TRAIN_FEATURES).unpivot([], list(TRAIN_FEATURES), "feature", "value")
+    return sampling.exact_quantile_edges(long, "feature", "value", QUANTILE_BINS)
+
+
+def _quantile_binned(spark, sf_dir):
+    rows = cut_lineage(_rounded(spark, sf_dir))  # read for the edges and by every count
+    splits = {r.feature: [float("-inf"), *r.edges] for r in _quantile_edges(rows).collect()}  # features x bins
+    return selection.discretise(rows, splits)
+
+
 BINS_SQL = f"""{ROUNDED_SQL},
 mm AS (SELECT {", ".join(f"min({f}) AS mn_{f}, max({f}) AS mx_{f}" for f in TRAIN_FEATURES)} FROM rt),
 bn AS (SELECT rt.wikiid, rt.query, rt.hit_page_id, rt.label,
@@ -109,14 +122,14 @@ SELECT DISTINCT feature, v AS edge FROM r JOIN range(1, 254) q(j) ON i = ceil(j
 """)
 def q_feature_quantiles(spark, sf_dir):
     """Exact edges of 254 equal-count bins of every feature."""
-    rows = _rounded(spark, sf_dir).select(*TRAIN_FEATURES).unpivot([], list(TRAIN_FEATURES), "feature", "value")
-    edges = sampling.exact_quantile_edges(rows, "feature", "value", 254)
+    edges = _quantile_edges(_rounded(spark, sf_dir))
     return edges.select("feature", F.explode("edges").alias("edge")).where(F.col("edge") < float("inf"))
 
 
 @register("mrmr")
 def q_mrmr(spark, sf_dir):
-    return selection.select_features(_binned(spark, sf_dir), TRAIN_FEATURES, n=4)
+    """Features by mRMR over the bins of ``feature_quantiles``."""
+    return selection.select_features(_quantile_binned(spark, sf_dir), TRAIN_FEATURES, n=4)
 
 
 def _split_sql(shares, out_col: str) -> str:
