@@ -11,7 +11,7 @@ from ..sources.tables import TRAIN_FEATURES
 from .registry import register, rnd
 from .training_queries import K_SHARES, NUM_FOLDS, ROUNDED_SQL, SEED, _rounded, _split_sql
 
-PARAMS = {"num_rounds": 5, "eta": 0.3, "max_depth": 4, "min_child_weight": 1}
+PARAMS = {"eta": 0.3, "max_depth": 4, "min_child_weight": 1}
 
 
 def _vectors(spark, sf_dir):
@@ -78,7 +78,7 @@ def q_cv_summary(spark, sf_dir):
 @register("ranker_cv")
 def q_ranker_cv(spark, sf_dir):
     k = folds.group_k_fold(_vectors(spark, sf_dir), NUM_FOLDS, "fold", ("query",), seed=SEED)
-    return rank_model.cross_validate(k, {**PARAMS, "num_rounds": 3})
+    return rank_model.cross_validate(k, PARAMS)
 
 
 @register("param_search")

@@ -105,3 +105,24 @@ def test_malformed_inputs_do_not_fail_jobs(spark):
                                  "value string")
     row = updates.validate_updates(msgs).first()
     assert row.status == "valid" and row.popularity_score is None
+
+
+def test_registered_rankers_run_the_default_rounds(monkeypatch):
+    from rankwright.plans import ranker_queries as rq
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def stop(_, params, *args, **kwargs):
+        seen.append(params.get("num_rounds", rank_model.DEFAULT_PARAMS["num_rounds"]))
+        raise Stop
+
+    monkeypatch.setattr(rq, "_vectors", lambda *_: None)
+    monkeypatch.setattr(rq.folds, "group_k_fold", lambda *_, **__: None)
+    monkeypatch.setattr(rank_model, "fit_ranker", stop)
+    monkeypatch.setattr(rank_model, "cross_validate", stop)
+    for query in (rq.q_ranker_scores, rq.q_ranker_eval, rq.q_ranker_cv):
+        with pytest.raises(Stop):
+            query(None, "")
+    assert seen == [100, 100, 100]
