@@ -3,7 +3,7 @@
 For each benchmark item of ``L`` words, every window of ``L`` words of every document is a
 candidate.  A window's fingerprint is the 64-bit SimHash of its 5-word shingles, taken
 from running sums of the shingles' bits.  The items' fingerprints stand in a multi-index:
-8 blocks of 8 bits; two fingerprints within ``RADIUS`` = 19 bits differ in at most 2 bits in
+8 blocks of 8 bits; two fingerprints within ``RADIUS`` = 23 bits differ in at most 2 bits in
 one block at least, so looking up each block with up to 2 bits flipped finds every item
 within the radius.  What the index finds within the radius is verified by the weighted
 Jaccard similarity of the shingles (weight: occurrences); 0.8 or more is a leak.
@@ -13,7 +13,7 @@ at least ``s`` times the window's shingles to occur in the benchmark at all, whi
 running count of shared shingles tells for each window without loss.
 
 SimHash distances scatter: at similarity exactly 0.8 the expected distance is 9.7 bits
-(standard deviation 2.9), so about 1 in 1000 such borderline windows lies outside the
+(standard deviation 2.9), so about 1 in 100,000 such borderline windows lies outside the
 radius; equal passages have distance 0 and are always found.
 
 Scale: documents are only scanned (no shuffle of texts); the benchmark is read in
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from . import textcodes
 
 THRESHOLD = 0.8
-RADIUS = 19
+RADIUS = 23
 BLOCK_ITEMS = 2000
 SCHEMA = "doc_id bigint, item_id bigint, similarity double, start_word bigint, n_words bigint, hamming bigint"
 _FLIPS = np.array([m for m in range(256) if m.bit_count() <= RADIUS // 8], dtype=np.uint8)

@@ -276,6 +276,14 @@ def test_leak_edges(spark):
     assert decontam.find_leaks(docs.limit(0), items).count() == 0
 
 
+def test_hamming_index_reaches_as_far_as_its_blocks_allow():
+    item = np.array([0x0123456789ABCDEF], dtype=np.uint64)
+    for bits in (20, 21, 22, 23):  # at most 2 in some block, 3 in the others
+        flips = sum(1 << (8 * (k % 8) + k // 8) for k in range(bits))
+        window, _, distance = decontam.SizeIndex(item).within(item ^ np.uint64(flips))
+        assert window.tolist() == [0] and distance.tolist() == [bits]
+
+
 def test_hamming_index_finds_all_within_radius():
     rng = np.random.default_rng(4)
     prints = rng.integers(0, 1 << 63, 50, dtype=np.uint64)
