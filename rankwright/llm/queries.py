@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import chat, decontam, html_text, langid, lzprint, neardup, packing, pii, substrings, tokens
+from . import chat, decontam, html_text, langid, lzprint, neardup, packing, pii, quality, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {
     "op2_chat_format": chat.ORACLE,
+    "op13_quality_rules": quality.ORACLE,
     "op6_repeated_strings": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 part AS (SELECT doc_id, k, substr(h, 2 * k + 1, 1098) AS p
@@ -143,3 +144,11 @@ def language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     found = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op13_quality_rules")
+def quality_rules(spark, sf_dir):
+    """Counts and verdict of every document under cutoffs certified on the labels."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = quality.quality_report(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
