@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import chat, decontam, html_text, langid, lzprint, neardup, packing, pii, quality, substrings, tokens
+from . import alignment, chat, decontam, html_text, langid, lzprint, neardup, packing, phrases, pii, quality, substrings, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {
     "op2_chat_format": chat.ORACLE,
+    "op12_collocations": phrases.ORACLE,
     "op13_quality_rules": quality.ORACLE,
     "op6_repeated_strings": r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -146,6 +147,18 @@ def language_id(spark, sf_dir):
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query("op11_cross_tokenizer")
+def cross_tokenizer(spark, sf_dir):
+    """Alignment of every document under two tokenizers and how common its links are."""
+    return alignment.align_corpus(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op12_collocations")
+def collocations(spark, sf_dir):
+    """The best phrases of every language over all documents."""
+    return phrases.mine(table(spark, sf_dir, "documents", "text", "lang"))
+
+
 @query("op13_quality_rules")
 def quality_rules(spark, sf_dir):
     """Counts and verdict of every document under cutoffs certified on the labels."""
