@@ -28,8 +28,8 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -44,9 +44,11 @@ from .tokens import cut
 SHARD_BYTES = 6 << 20
 SLICES = 64
 FAN_IN = 64
-CACHE_SEGMENTS = 150_000
-CACHED_LENGTH = 64
+CACHE_SEGMENTS = 200_000
+SEGMENTS_AT_ONCE = 4096
 DOCS_AT_ONCE = 256
+_MARKS = ".,;:!?"
+_LETTERS = frozenset(c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "\xaa\xb5\xba")
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
            "groups_sha256 string")
 _SPARSE = pa.schema([("slice", pa.int32()), ("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -54,34 +56,36 @@ _SPARSE_DDL = "slice int, shard bigint, keys binary, counts binary"
 
 
 class Aligned(NamedTuple):
-    """Alignment of a run of bytes: token and group counts, pair key of each link, rendered groups."""
+    """Alignment of a run of bytes: token and group counts, the pair key of each link (serialized), rendered groups."""
     n_a: int
     n_b: int
     n_groups: int
-    links: tuple[int, ...]
+    links: bytes
     groups: str
 
 
-def link(a: Sequence[int], a_bytes: Sequence[bytes], b: Sequence[int], b_bytes: Sequence[bytes], base: int) -> Aligned:
-    """Walk both token runs, which spell the same bytes; a pair's key is ``a * base + b``."""
-    links, groups = [], []
-    i = j = from_a = from_b = 0
-    end_a, end_b = len(a_bytes[a[0]]), len(b_bytes[b[0]])
-    while True:
-        links.append(a[i] * base + b[j])
-        if end_a == end_b:
-            groups.append(",".join(map(str, a[from_a:i + 1])) + "|" + ",".join(map(str, b[from_b:j + 1])))
-            from_a, from_b = i + 1, j + 1
-        next_a, next_b = end_a <= end_b, end_b <= end_a
-        if next_a:
-            i += 1
-            if i == len(a):
-                break
-            end_a += len(a_bytes[a[i]])
-        if next_b:
-            j += 1
-            end_b += len(b_bytes[b[j]])
-    return Aligned(len(a), len(b), len(groups), tuple(links), ";".join(groups))
+def link(a: Sequence[Sequence[int]], a_sizes: np.ndarray, b: Sequence[Sequence[int]], b_sizes: np.ndarray, base: int) -> list[Aligned]:
+    """Alignment of runs: the ids of A and of B of each, which spell the same bytes (``sizes``: bytes of an id).
+
+    Between two neighbouring token ends of A or B lies one token of each, so every such piece is a link and
+    every link such a piece; ends of both close groups.  A pair's key is ``a * base + b``."""
+    flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (a, b))
+    ends_a, ends_b = np.cumsum(a_sizes[flat_a]), np.cumsum(b_sizes[flat_b])
+    ends = np.union1d(ends_a, ends_b)
+    keys = (flat_a[np.searchsorted(ends_a, ends)] * base + flat_b[np.searchsorted(ends_b, ends)]).astype(np.uint64)
+    both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    last_a = np.cumsum([len(x) for x in a])
+    run_ends = ends_a[last_a - 1]
+    link_at = np.concatenate([[0], np.searchsorted(ends, run_ends, side="right")]).tolist()
+    group_at = np.concatenate([[0], np.searchsorted(both, run_ends, side="right")]).tolist()
+    cut_a = np.concatenate([[0], np.searchsorted(ends_a, both) + 1]).tolist()
+    cut_b = np.concatenate([[0], np.searchsorted(ends_b, both) + 1]).tolist()
+    said_a, said_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
+    groups = [f"{said_a[x]}|{said_b[u]}" if y - x == 1 == v - u else ",".join(said_a[x:y]) + "|" + ",".join(said_b[u:v])
+              for x, y, u, v in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
+    data = keys.tobytes()
+    return [Aligned(len(x), len(y), n - m, data[8 * p:8 * q], ";".join(groups[m:n]))
+            for x, y, p, q, m, n in zip(a, b, link_at, link_at[1:], group_at, group_at[1:])]
 
 
 def _byte_values() -> dict[str, int]:
@@ -112,7 +116,7 @@ def piece_bytes(model) -> list[bytes]:
 
 
 class Aligner:
-    """Both tokenizers of a worker and its cache of aligned segments."""
+    """Both tokenizers of a worker and its cache of aligned segments (two generations)."""
 
     def __init__(self, path_a: str, path_b: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -122,50 +126,88 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.a_bytes, self.b_bytes = byte_level_bytes(self.a), piece_bytes(self.b)
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.base = len(self.b_bytes)
-        self.known: dict[str, Aligned | None] = {}
+        self.young: dict[str, Aligned | None] = {}
+        self.old: dict[str, Aligned | None] = {}
+        self.tails: dict[str, Aligned | None] = {}
+        pieces = [p.decode("utf-8", "replace") for p in self.b_bytes if len(p) > 1]
         # a piece with a space or line feed inside would join segments: then texts stay whole
-        self.whole = any(" " in p.lstrip(b" ").decode("utf-8", "replace") or b"\n" in p and len(p) > 1 for p in self.b_bytes)
+        self.whole = any(" " in p.lstrip(" ") or "\n" in p for p in pieces)
+        joined = {y for p in pieces for x, y in zip(p, p[1:]) if x in _LETTERS}
+        self.marks = "".join(m for m in _MARKS if m not in joined)
 
     def _align(self, raw: list[str]) -> list[Aligned | None]:
-        """Runs that start with a space or (inside a text) a line feed; None if the tokens spell other bytes."""
+        """Runs that start with a space, or stand inside a text and start with a line feed or a mark after a letter;
+        None if the tokens spell other bytes."""
         found_a = [e.ids for e in self.a.encode_batch_fast(raw, add_special_tokens=False)]
-        # B puts a space in front itself; before a line feed it is a piece of its own
-        found_b = self.b.encode([r[1:] if r[0] == " " else r for r in raw], num_threads=1)
-        out = []
-        for r, a, b in zip(raw, found_a, found_b):
-            if r[0] != " " and b:
-                b = b[1:] if self.b_bytes[b[0]] == b" " else []
+        # B puts a space in front itself; other runs follow a letter or space, a piece of its own there
+        found_b = self.b.encode([r[1:] if r[0] == " " else r if r[0] == "\n" else "a" + r for r in raw], num_threads=1)
+        out: list[Aligned | None] = [None] * len(raw)
+        good, a, b = [], [], []
+        for i, (r, x, y) in enumerate(zip(raw, found_a, found_b)):
+            if r[0] != " ":
+                y = y[1:]
             data = r.encode()
-            spelt = b"".join(map(self.a_bytes.__getitem__, a)) == data == b"".join(map(self.b_bytes.__getitem__, b))
-            out.append(link(a, self.a_bytes, b, self.b_bytes, self.base) if spelt else None)
+            if b"".join(map(self.a_bytes.__getitem__, x)) == data == b"".join(map(self.b_bytes.__getitem__, y)):
+                good.append(i)
+                a.append(x)
+                b.append(y)
+        for i, x in zip(good, link(a, self.a_sizes, b, self.b_sizes, self.base) if good else []):
+            out[i] = x
         return out
 
-    def _segments(self, raw: set[str]) -> dict[str, Aligned | None]:
-        unknown = [r for r in raw if r not in self.known]
-        fresh = dict(zip(unknown, self._align(unknown))) if unknown else {}
-        found = {r: fresh[r] if r in fresh else self.known[r] for r in raw}
-        if len(self.known) + len(fresh) > CACHE_SEGMENTS:
-            self.known = {}
-        self.known.update((r, x) for r, x in fresh.items() if len(r) <= CACHED_LENGTH)
-        return found
+    def _learn(self, keys: set[str]) -> None:
+        """Make the segments ``keys`` known to the young generation.
+
+        Marks after a letter at a segment's end are a run of their own."""
+        new = keys.difference(self.young)
+        if len(self.young) + len(new) > CACHE_SEGMENTS:
+            self.old, self.young, new = self.young, {}, keys
+        old = self.old
+        again = [k for k in new if k in old]
+        self.young.update(zip(again, map(old.__getitem__, again)))
+        split: dict[str, tuple[str, str]] = {}
+        wanted: set[str] = set()
+        for k in new.difference(again):
+            head = k.rstrip(self.marks)
+            if len(head) < len(k) and head and head[-1] in _LETTERS:
+                split[k] = head, k[len(head):]
+                wanted.add(head)
+            else:
+                wanted.add(k)
+        tails = list({t for _, t in split.values()}.difference(self.tails))
+        if len(self.tails) + len(tails) > CACHE_SEGMENTS:
+            self.tails, tails = {}, list({t for _, t in split.values()})
+        self.tails.update(zip(tails, self._align(tails)))
+        unknown = [w for w in wanted if w not in self.young]
+        for at in range(0, len(unknown), SEGMENTS_AT_ONCE):
+            part = unknown[at:at + SEGMENTS_AT_ONCE]
+            self.young.update(zip(part, self._align([w if w[0] in "\n " else " " + w for w in part])))
+        for k, (head, tail) in split.items():
+            x, y = self.young[head], self.tails[tail]
+            self.young[k] = None if x is None or y is None else Aligned(
+                x.n_a + y.n_a, x.n_b + y.n_b, x.n_groups + y.n_groups, x.links + y.links, f"{x.groups};{y.groups}")
+
+    def parts(self, text: str) -> list[str]:
+        """The segments of a space and the text: one stands for itself if it starts with a line feed or space, else
+        for itself after a space."""
+        if self.whole:
+            return [" " + text]
+        out = cut(text)
+        if out[0][0] in "\n ":
+            out[0] = " " + out[0]
+        return out
 
     def documents(self, texts: Sequence[str | None]) -> Iterator[list[Aligned]]:
         """The aligned segments of each text; none for a text without tokens."""
         for at in range(0, len(texts), DOCS_AT_ONCE):
-            parted = []
-            for text in texts[at:at + DOCS_AT_ONCE]:
-                if not text:
-                    parted.append([])
-                elif self.whole:
-                    parted.append([" " + text])
-                else:
-                    first, *rest = cut(text)
-                    parted.append([" " + first, *[r if r[0] == "\n" else " " + r for r in rest]])
-            found = self._segments(set().union(*parted))
-            for text, raw in zip(texts[at:at + DOCS_AT_ONCE], parted):
-                aligned = [found[r] for r in raw]
-                if any(x is None for x in aligned):
+            parted = [self.parts(text) if text else [] for text in texts[at:at + DOCS_AT_ONCE]]
+            self._learn(set().union(*parted))
+            get = self.young.__getitem__
+            for text, keys in zip(texts[at:at + DOCS_AT_ONCE], parted):
+                aligned = list(map(get, keys))
+                if None in aligned:
                     whole = self._align([" " + text])[0]
                     aligned = [] if whole is None else [whole]
                 yield aligned
@@ -201,11 +243,10 @@ def shard_pairs(dealt: DataFrame, paths: tuple[str, str], slices: int = SLICES)
 
     def work(table: pa.Table) -> pa.Table:
         aligner = aligner_of(*paths)
-        held: Counter = Counter()
-        for aligned in aligner.documents(table.column("text").to_pylist()):
-            held.update(set().union(*[x.links for x in aligned]))
-        keys = np.fromiter(held.keys(), np.uint64, len(held))
-        counts = np.fromiter(held.values(), np.int64, len(held))
+        held = [np.unique(np.frombuffer(b"".join([x.links for x in aligned]), np.uint64))
+                for aligned in aligner.documents(table.column("text").to_pylist())]
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        counts = counts.astype(np.int64)
         part = (keys // np.uint64(aligner.base)) % np.uint64(slices)
         order = np.lexsort((keys, part))
         keys, counts, part = keys[order], counts[order], part[order]
@@ -344,24 +385,21 @@ def align_corpus(docs: DataFrame, paths: tuple[str, str] | None = None, shard_by
                        ("groups_sha256", pa.string())])
 
     def second_pass(rows: pa.Table, known: pa.Table) -> pa.Table:
-        value: dict[int, tuple[int, bool]] = {}
-        for keys, counts, best in zip(known.column("keys"), known.column("counts"), known.column("best")):
-            value.update(zip(np.frombuffer(keys.as_py(), np.uint64).tolist(), zip(
-                np.frombuffer(counts.as_py(), np.int64).tolist(), np.frombuffer(best.as_py(), bool).tolist())))
-        worth: dict[Aligned, tuple[int, int]] = {}
+        keys, counts, best = (np.concatenate([np.zeros(0, kind), *[np.frombuffer(v.as_py(), kind) for v in known.column(c)]])
+                              for c, kind in (("keys", np.uint64), ("counts", np.int64), ("best", bool)))
+        order = np.argsort(keys)
+        keys, counts, best = keys[order], counts[order], best[order]
         out: list[list] = [[] for _ in kinds.names[1:]]
         for aligned in aligner_of(*paths).documents(rows.column("text").to_pylist()):
-            n_best = count_sum = 0
-            for x in aligned:
-                got = worth.get(x.groups)
-                if got is None:
-                    held = [value[k] for k in x.links]
-                    got = worth[x.groups] = (sum(b for _, b in held), sum(c for c, _ in held))
-                n_best += got[0]
-                count_sum += got[1]
-            row = (sum(x.n_a for x in aligned), sum(x.n_b for x in aligned), sum(x.n_groups for x in aligned),
-                   sum(len(x.links) for x in aligned), n_best, count_sum,
-                   hashlib.sha256(";".join([x.groups for x in aligned]).encode()).hexdigest() if aligned else "")
+            row: tuple = (0, 0, 0, 0, 0, 0, "")
+            if aligned:
+                n_a, n_b, n_groups, links, groups = zip(*aligned)
+                own = np.frombuffer(b"".join(links), np.uint64)
+                at = np.minimum(np.searchsorted(keys, own), len(keys) - 1) if len(keys) else np.zeros(0, np.int64)
+                if len(at) < len(own) or (keys[at] != own).any():
+                    raise ValueError("a pair has no answer: the documents changed between the passes")
+                row = (sum(n_a), sum(n_b), sum(n_groups), len(own), int(best[at].sum()), int(counts[at].sum()),
+                       hashlib.sha256(";".join(groups).encode()).hexdigest())
             for column, v in zip(out, row):
                 column.append(v)
         return pa.Table.from_arrays([rows.column("doc_id").cast(pa.int64()).combine_chunks(), *[
