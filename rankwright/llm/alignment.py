@@ -29,7 +29,6 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Callable, Iterator, Sequence
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -45,7 +44,7 @@ SHARD_BYTES = 8 << 20
 SLICES = 64
 FAN_IN = 64
 CACHE_SEGMENTS = 500_000
-SEGMENTS_AT_ONCE = 16384
+SEGMENTS_AT_ONCE = 2048
 _MARKS = ".,;:!?"
 _LETTERS = frozenset(c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "\xaa\xb5\xba")
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
@@ -65,27 +64,23 @@ class Aligned(NamedTuple):
     groups: list[str]
 
 
-def link(a: Sequence[Sequence[int]], a_sizes: np.ndarray, b: Sequence[Sequence[int]], b_sizes: np.ndarray, base: int) -> Aligned:
-    """Align runs: the ids of A and of B of each, which spell the same bytes (``sizes``: bytes of an id).
+def link(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, run_ends: np.ndarray, base: int) -> Aligned:
+    """Align runs that lie one after the other: ids of A and of B with the byte each ends at, and the byte each run ends at
+    (an end of both).
 
     Between two neighbouring token ends of A or B lies one token of each, so every such piece is a link and
     every link such a piece; ends of both close groups.  A pair's key is ``a * base + b``."""
-    flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
-    n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-    ends_a, ends_b = np.cumsum(a_sizes[flat_a]), np.cumsum(b_sizes[flat_b])
-    ends = np.union1d(ends_a, ends_b)
-    keys = (flat_a[np.searchsorted(ends_a, ends)] * base + flat_b[np.searchsorted(ends_b, ends)]).astype(np.uint64)
-    both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-    run_ends = ends_a[np.cumsum(n_a) - 1]
-    link_at = np.concatenate([[0], np.searchsorted(ends, run_ends, side="right")])
-    group_at = np.concatenate([[0], np.searchsorted(both, run_ends, side="right")])
-    cut_a = np.concatenate([[0], np.searchsorted(ends_a, both) + 1]).tolist()
-    cut_b = np.concatenate([[0], np.searchsorted(ends_b, both) + 1]).tolist()
-    said_a, said_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
+    ends = np.union1d(a_ends, b_ends)
+    keys = (a[np.searchsorted(a_ends, ends)] * base + b[np.searchsorted(b_ends, ends)]).astype(np.uint64)
+    both = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    n_a, n_b, n_links, n_groups = (np.diff(np.searchsorted(x, run_ends, side="right"), prepend=0) for x in (a_ends, b_ends, ends, both))
+    cut_a = np.concatenate([[0], np.searchsorted(a_ends, both) + 1]).tolist()
+    cut_b = np.concatenate([[0], np.searchsorted(b_ends, both) + 1]).tolist()
+    said_a, said_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
     said = [f"{said_a[x]}|{said_b[u]}" if y - x == 1 == v - u else ",".join(said_a[x:y]) + "|" + ",".join(said_b[u:v])
             for x, y, u, v in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])]
-    at = group_at.tolist()
-    return Aligned(n_a, n_b, np.diff(group_at), np.diff(link_at), keys, [";".join(said[m:n]) for m, n in zip(at, at[1:])])
+    at = np.concatenate([[0], np.cumsum(n_groups)]).tolist()
+    return Aligned(n_a, n_b, n_groups, n_links, keys, [";".join(said[m:n]) for m, n in zip(at, at[1:])])
 
 
 def _byte_values() -> dict[str, int]:
@@ -144,38 +139,40 @@ class Aligner:
         self.keys: list[np.ndarray] = []
         self.groups: list[str] = [""]
 
-    def _spelt(self, raw: list[str], a: list[list[int]], b: list[list[int]]) -> list[bool]:
-        data = [r.encode() for r in raw]
-        whole = b"".join(data)
-        for ids, known, sizes in ((a, self.a_bytes, self.a_sizes), (b, self.b_bytes, self.b_sizes)):
-            if b"".join(map(known.__getitem__, chain.from_iterable(ids))) != whole:
-                break
-            ends = np.concatenate([[0], np.cumsum(sizes[np.fromiter(chain.from_iterable(ids), np.int64)])])
-            if (ends[np.cumsum(list(map(len, ids)))] != np.cumsum(list(map(len, data)))).any():
-                break
-        else:
-            return [True] * len(raw)
-        return [b"".join(map(self.a_bytes.__getitem__, x)) == d == b"".join(map(self.b_bytes.__getitem__, y)) for d, x, y in zip(data, a, b)]
-
-    def _add(self, raw: list[str]) -> list[int]:
-        """Numbers of new runs that start with a space, or stand inside a text and start with a line feed or a mark after a letter."""
-        if not raw:
-            return []
-        a = [e.ids for e in self.a.encode_batch_fast(raw, add_special_tokens=False)]
-        # B puts a space in front itself; other runs follow a letter or space, a piece of its own there
-        b = self.b.encode([r[1:] if r[0] == " " else r if r[0] == "\n" else "a" + r for r in raw], num_threads=1)
-        b = [y if r[0] == " " else y[1:] for r, y in zip(raw, b)]
-        good = self._spelt(raw, a, b)
-        if not all(good):
-            a, b = ([x for x, ok in zip(ids, good) if ok] for ids in (a, b))
+    def _spell(self, data: bytes, a: list[int], b: list[int], run_ends: np.ndarray) -> Aligned | None:
+        """Alignment of tokens that spell ``data`` and end where its runs end, else None."""
+        if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        for ends in (a_ends, b_ends):
+            if (ends[np.searchsorted(ends, run_ends)] != run_ends).any():
+                return None
+        return link(a, a_ends, b, b_ends, run_ends, self.base)
+
+    def _keep(self, found: Aligned) -> list[int]:
         first = len(self.groups)
-        if a:
-            found = link(a, self.a_sizes, b, self.b_sizes, self.base)
-            self.counts.append(np.stack([found.n_a, found.n_b, found.n_groups, found.n_links]))
-            self.keys.append(found.keys)
-            self.groups += found.groups
-        numbers = iter(range(first, len(self.groups)))
-        return [next(numbers) if ok else 0 for ok in good]
+        self.counts.append(np.stack([found.n_a, found.n_b, found.n_groups, found.n_links]))
+        self.keys.append(found.keys)
+        self.groups += found.groups
+        return list(range(first, len(self.groups)))
+
+    def _add(self, raw: str) -> int:
+        """Number of a run that starts with a space, or stands inside a text and starts with a line feed or a mark after a letter."""
+        a = self.a.encode(raw, add_special_tokens=False).ids
+        # B puts a space in front itself; other runs follow a letter or space, a piece of its own there
+        b = self.b.encode(raw[1:] if raw[0] == " " else raw if raw[0] == "\n" else "a" + raw)
+        found = self._spell(raw.encode(), a, b if raw[0] == " " else b[1:], np.array([len(raw.encode())]))
+        return 0 if found is None else self._keep(found)[0]
+
+    def _add_words(self, words: list[str]) -> list[int]:
+        """Numbers of segments without white space inside their ends: encoded as one text, where both tokenizers part them."""
+        raw = [w if w[0] == "\n" else " " + w for w in words]
+        data = [r.encode() for r in raw]
+        text = "".join(raw)
+        b = self.b.encode(text[1:]) if text[0] == " " else self.b.encode(text)[1:]
+        found = self._spell(b"".join(data), self.a.encode(text, add_special_tokens=False).ids, b, np.cumsum(list(map(len, data))))
+        return list(map(self._add, raw)) if found is None else self._keep(found)
 
     def _learn(self, unknown: list[str]) -> None:
         """Numbers for segments.  Marks after a letter at a segment's end are a run of their own, and the
@@ -190,11 +187,13 @@ class Aligner:
                 plain.add(w)
         plain.difference_update(self.numbers)
         tails = list({t for _, _, t in split}.difference(self.tails))
-        self.tails.update(zip(tails, self._add(tails)))
-        rest = list(plain)
+        self.tails.update(zip(tails, map(self._add, tails)))
+        edges = {w for w in plain if w[-1].isspace() or w[0].isspace() and (w[0] != "\n" or w[1].isspace())}
+        rest = list(plain.difference(edges))
         for at in range(0, len(rest), SEGMENTS_AT_ONCE):
             part = rest[at:at + SEGMENTS_AT_ONCE]
-            self.numbers.update(zip(part, self._add([w if w[0] in "\n " else " " + w for w in part])))
+            self.numbers.update(zip(part, self._add_words(part)))
+        self.numbers.update((w, self._add(w if w[0] in "\n " else " " + w)) for w in edges)
         both = [(w, self.numbers[h], self.tails[t]) for w, h, t in split]
         self.numbers.update((w, 0) for w, h, t in both if not (h and t))
         both = [x for x in both if x[1] and x[2]]
@@ -231,8 +230,8 @@ class Aligner:
         for text, keys in zip(texts, parted):
             ids = np.fromiter(map(get, keys), np.int64, len(keys))
             if len(ids) and not ids.all():
-                whole = self._add([" " + text])
-                ids = np.array(whole if whole[0] else [], np.int64)
+                whole = self._add(" " + text)
+                ids = np.array([whole] if whole else [], np.int64)
             found.append(ids)
             starts.append(starts[-1] + len(ids))
         return np.concatenate(found) if found else np.zeros(0, np.int64), np.array(starts)
