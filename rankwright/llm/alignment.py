@@ -38,12 +38,13 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .mph import PerfectHash
-from .tokens import cut
+from .tokens import byte_level_bytes, cut, spread_out
 
 SHARD_BYTES = 8 << 20
 SLICES = 64
 FAN_IN = 64
-CACHE_SEGMENTS = 500_000
+CACHE_SEGMENTS = 300_000
+CHUNK_CHARS = 1 << 20
 SEGMENTS_AT_ONCE = 2048
 _MARKS = ".,;:!?"
 _LETTERS = frozenset(c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "\xaa\xb5\xba")
@@ -64,7 +65,8 @@ class Aligned(NamedTuple):
     groups: list[str]
 
 
-def link(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, run_ends: np.ndarray, base: int) -> Aligned:
+def link(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, run_ends: np.ndarray, base: int,
+         with_groups: bool = True) -> Aligned:
     """Align runs that lie one after the other: ids of A and of B with the byte each ends at, and the byte each run ends at
     (an end of both).
 
@@ -74,6 +76,8 @@ def link(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, r
     keys = (a[np.searchsorted(a_ends, ends)] * base + b[np.searchsorted(b_ends, ends)]).astype(np.uint64)
     both = np.intersect1d(a_ends, b_ends, assume_unique=True)
     n_a, n_b, n_links, n_groups = (np.diff(np.searchsorted(x, run_ends, side="right"), prepend=0) for x in (a_ends, b_ends, ends, both))
+    if not with_groups:
+        return Aligned(n_a, n_b, n_groups, n_links, keys, [""] * len(run_ends))
     cut_a = np.concatenate([[0], np.searchsorted(a_ends, both) + 1]).tolist()
     cut_b = np.concatenate([[0], np.searchsorted(b_ends, both) + 1]).tolist()
     said_a, said_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
@@ -83,25 +87,24 @@ def link(a: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_ends: np.ndarray, r
     return Aligned(n_a, n_b, n_groups, n_links, keys, [";".join(said[m:n]) for m, n in zip(at, at[1:])])
 
 
-def _byte_values() -> dict[str, int]:
-    """Byte of each character of byte-level vocabularies: printable Latin-1 stands for itself, the
-    other bytes follow from code point 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+def fast_form(tokenizer, known: list[bytes]):
+    """The same byte-level merges as ranks for tiktoken, which encodes new words faster; None where the tokenizer is of
+    another kind (its ids must rise in the order of its merges, and its pre-tokenizer be the usual pattern)."""
+    import json
 
-
-def byte_level_bytes(tokenizer) -> list[bytes]:
-    """Bytes of each id of a byte-level tokenizer; added tokens as their text."""
-    value = _byte_values()
-    out = []
-    for i in range(tokenizer.get_vocab_size()):
-        token = tokenizer.id_to_token(i)
-        try:
-            out.append(bytes(value[c] for c in token))
-        except KeyError:
-            out.append(token.encode())
-    return out
+    import public_tokenizers
+    import tiktoken
+    parts = json.loads(tokenizer.to_str())
+    before, model = parts["pre_tokenizer"] or {}, parts["model"]
+    usual = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not parts["normalizer"]
+    if not usual or model["type"] != "BPE" or model.get("unk_token") or model.get("ignore_merges"):
+        return None
+    merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if merged != sorted(set(merged)) or len(merged) + 256 != len(model["vocab"]) - sum(t["content"] in model["vocab"] for t in parts["added_tokens"]):
+        return None
+    added = {t["id"] for t in parts["added_tokens"]}
+    ranks = {known[i]: i for i in model["vocab"].values() if i not in added}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def piece_bytes(model) -> list[bytes]:
@@ -115,7 +118,7 @@ class Aligner:
 
     Segment 0 stands for texts that the tokens do not spell; it holds nothing."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, with_groups: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
         from tokenizers import Tokenizer
@@ -125,6 +128,8 @@ class Aligner:
         self.a_bytes, self.b_bytes = byte_level_bytes(self.a), piece_bytes(self.b)
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         self.base = len(self.b_bytes)
+        self.with_groups = with_groups
+        self.fast = fast_form(self.a, self.a_bytes)
         pieces = [p.decode("utf-8", "replace") for p in self.b_bytes if len(p) > 1]
         # a piece with a space or line feed inside would join segments: then texts stay whole
         self.whole = any(" " in p.lstrip(" ") or "\n" in p for p in pieces)
@@ -139,6 +144,9 @@ class Aligner:
         self.keys: list[np.ndarray] = []
         self.groups: list[str] = [""]
 
+    def _a_ids(self, text: str) -> list[int]:
+        return self.fast.encode_ordinary(text) if self.fast else self.a.encode(text, add_special_tokens=False).ids
+
     def _spell(self, data: bytes, a: list[int], b: list[int], run_ends: np.ndarray) -> Aligned | None:
         """Alignment of tokens that spell ``data`` and end where its runs end, else None."""
         if b"".join(map(self.a_bytes.__getitem__, a)) != data or b"".join(map(self.b_bytes.__getitem__, b)) != data:
@@ -148,7 +156,7 @@ class Aligner:
         for ends in (a_ends, b_ends):
             if (ends[np.searchsorted(ends, run_ends)] != run_ends).any():
                 return None
-        return link(a, a_ends, b, b_ends, run_ends, self.base)
+        return link(a, a_ends, b, b_ends, run_ends, self.base, self.with_groups)
 
     def _keep(self, found: Aligned) -> list[int]:
         first = len(self.groups)
@@ -159,7 +167,7 @@ class Aligner:
 
     def _add(self, raw: str) -> int:
         """Number of a run that starts with a space, or stands inside a text and starts with a line feed or a mark after a letter."""
-        a = self.a.encode(raw, add_special_tokens=False).ids
+        a = self._a_ids(raw)
         # B puts a space in front itself; other runs follow a letter or space, a piece of its own there
         b = self.b.encode(raw[1:] if raw[0] == " " else raw if raw[0] == "\n" else "a" + raw)
         found = self._spell(raw.encode(), a, b if raw[0] == " " else b[1:], np.array([len(raw.encode())]))
@@ -171,7 +179,7 @@ class Aligner:
         data = [r.encode() for r in raw]
         text = "".join(raw)
         b = self.b.encode(text[1:]) if text[0] == " " else self.b.encode(text)[1:]
-        found = self._spell(b"".join(data), self.a.encode(text, add_special_tokens=False).ids, b, np.cumsum(list(map(len, data))))
+        found = self._spell(b"".join(data), self._a_ids(text), b, np.cumsum(list(map(len, data))))
         return list(map(self._add, raw)) if found is None else self._keep(found)
 
     def _learn(self, unknown: list[str]) -> None:
@@ -204,7 +212,7 @@ class Aligner:
             pair = np.array([heads, ends]).T
             self.counts.append(counts[:, pair].sum(axis=2))
             self.keys.append(links[spread_out(start[pair].ravel(), counts[3, pair].ravel())])
-            self.groups += [f"{self.groups[h]};{self.groups[t]}" for h, t in zip(heads, ends)]
+            self.groups += [f"{self.groups[h]};{self.groups[t]}" for h, t in zip(heads, ends)] if self.with_groups else [""] * len(heads)
             self.numbers.update(zip(names, range(first, len(self.groups))))
 
     def parts(self, text: str) -> list[str]:
@@ -244,25 +252,32 @@ class Aligner:
         return counts, np.cumsum(counts[3]) - counts[3], self.keys[0] if self.keys else np.zeros(0, np.uint64)
 
 
-def spread_out(first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The indices ``first[i] .. first[i] + size[i] - 1`` one after the other."""
-    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-
-
 def sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sum of each slice ``starts[i]:starts[i + 1]``."""
     total = np.concatenate([[0], np.cumsum(values)])
     return total[starts[1:]] - total[starts[:-1]]
 
 
-_ALIGNERS: dict[tuple[str, str], Aligner] = {}
+_ALIGNERS: dict[tuple, Aligner] = {}
+
+
+def aligner_of(path_a: str, path_b: str, with_groups: bool) -> Aligner:
+    """The worker's aligner; its store outlives a task.  One is held at a time."""
+    key = (path_a, path_b, with_groups)
+    if key not in _ALIGNERS:
+        _ALIGNERS.clear()
+        _ALIGNERS[key] = Aligner(*key)
+    return _ALIGNERS[key]
 
 
-def aligner_of(path_a: str, path_b: str) -> Aligner:
-    """The worker's aligner; its cache outlives a task."""
-    if (path_a, path_b) not in _ALIGNERS:
-        _ALIGNERS[path_a, path_b] = Aligner(path_a, path_b)
-    return _ALIGNERS[path_a, path_b]
+def chunks(texts: Sequence[str | None], size: int = CHUNK_CHARS) -> Iterator[Sequence[str | None]]:
+    """Runs of texts of about ``size`` characters."""
+    first = held = 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= size or i + 1 == len(texts):
+            yield texts[first:i + 1]
+            first, held = i + 1, 0
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -284,19 +299,25 @@ def shard_pairs(dealt: DataFrame, paths: tuple[str, str], slices: int = SLICES)
     """``slice, shard, keys, counts``: the distinct pairs of each shard and in how many of its documents they are."""
 
     def work(table: pa.Table) -> pa.Table:
-        aligner = aligner_of(*paths)
-        ids, starts = aligner.number(table.column("text").to_pylist())
-        counts, first, links = aligner.table()
-        used, ids = np.unique(ids, return_inverse=True)
-        doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        # each segment of a document once, then each of its pairs once
-        once = np.unique((doc << 32) | ids)
-        size = counts[3, used]
-        keys, pair = np.unique(links[spread_out(first[used], size)], return_inverse=True)
-        at = np.cumsum(size) - size
-        own = once & 0xFFFFFFFF
-        held = np.unique((np.repeat(once >> 32, size[own]) << 32) | pair[spread_out(at[own], size[own])])
-        counts = np.bincount(held & 0xFFFFFFFF, minlength=len(keys)).astype(np.int64)
+        aligner = aligner_of(*paths, False)
+        seen: list[np.ndarray] = []
+        for texts in chunks(table.column("text").to_pylist()):
+            ids, starts = aligner.number(texts)
+            counts, first, links = aligner.table()
+            used, ids = np.unique(ids, return_inverse=True)
+            doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            # each segment of a document once, then each of its pairs once
+            once = np.unique((doc << 32) | ids)
+            size = counts[3, used]
+            keys, pair = np.unique(links[spread_out(first[used], size)], return_inverse=True)
+            at = np.cumsum(size) - size
+            own = once & 0xFFFFFFFF
+            held = np.unique((np.repeat(once >> 32, size[own]) << 32) | pair[spread_out(at[own], size[own])])
+            seen.append(np.stack([keys, np.bincount(held & 0xFFFFFFFF, minlength=len(keys)).astype(np.uint64)]))
+        found = np.concatenate([np.zeros((2, 0), np.uint64), *seen], axis=1)
+        keys, place = np.unique(found[0], return_inverse=True)
+        counts = np.zeros(len(keys), np.int64)
+        np.add.at(counts, place, found[1].astype(np.int64))
         part = (keys // np.uint64(aligner.base)) % np.uint64(slices)
         order = np.lexsort((keys, part))
         keys, counts, part = keys[order], counts[order], part[order]
@@ -439,21 +460,25 @@ def align_corpus(docs: DataFrame, paths: tuple[str, str] | None = None, shard_by
                               for c, kind in (("keys", np.uint64), ("counts", np.int64), ("best", bool)))
         order = np.argsort(keys)
         keys, counts, best = keys[order], counts[order], best[order]
-        aligner = aligner_of(*paths)
-        ids, starts = aligner.number(rows.column("text").to_pylist())
-        sizes, first, links = aligner.table()
-        used, own = np.unique(ids, return_inverse=True)
-        asked = links[spread_out(first[used], sizes[3, used])]
-        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1) if len(keys) else np.zeros(0, np.int64)
-        if len(at) < len(asked) or (keys[at] != asked).any():
-            raise ValueError("a pair has no answer: the documents changed between the passes")
-        edges = np.concatenate([[0], np.cumsum(sizes[3, used])])
-        worth = [sums(best[at].astype(np.int64), edges)[own], sums(counts[at], edges)[own]]
-        say = aligner.groups.__getitem__
-        bounds, known_ids = starts.tolist(), ids.tolist()
-        digests = [hashlib.sha256(";".join(map(say, known_ids[a:b])).encode()).hexdigest() if a < b else "" for a, b in zip(bounds, bounds[1:])]
-        columns = [sums(v, starts) for v in (*sizes[:, ids], *worth)]
-        return pa.Table.from_arrays([rows.column("doc_id").cast(pa.int64()).combine_chunks(), *[pa.array(c) for c in columns],
+        aligner = aligner_of(*paths, True)
+        columns: list[list] = [[np.zeros(0, np.int64)] for _ in kinds.names[1:-1]]
+        digests: list[str] = []
+        for texts in chunks(rows.column("text").to_pylist()):
+            ids, starts = aligner.number(texts)
+            sizes, first, links = aligner.table()
+            used, own = np.unique(ids, return_inverse=True)
+            asked = links[spread_out(first[used], sizes[3, used])]
+            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1) if len(keys) else np.zeros(0, np.int64)
+            if len(at) < len(asked) or (keys[at] != asked).any():
+                raise ValueError("a pair has no answer: the documents changed between the passes")
+            edges = np.concatenate([[0], np.cumsum(sizes[3, used])])
+            worth = [sums(best[at].astype(np.int64), edges)[own], sums(counts[at], edges)[own]]
+            say = aligner.groups.__getitem__
+            bounds, known_ids = starts.tolist(), ids.tolist()
+            digests += [hashlib.sha256(";".join(map(say, known_ids[a:b])).encode()).hexdigest() if a < b else "" for a, b in zip(bounds, bounds[1:])]
+            for column, values in zip(columns, (*sizes[:, ids], *worth)):
+                column.append(sums(values, starts))
+        return pa.Table.from_arrays([rows.column("doc_id").cast(pa.int64()).combine_chunks(), *[pa.array(np.concatenate(c)) for c in columns],
                                      pa.array(digests, pa.string())], schema=kinds)
 
     return dealt.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(second_pass, ALIGNED)

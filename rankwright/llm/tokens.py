@@ -12,7 +12,7 @@ a hash of the id (at most ``SAMPLE_BYTES`` of each); it only affects the size of
 
 Encoding is the tokenizers library's.  Its pre-tokenizer never joins a word with a single space
 or line feed before it that follows a non-space character, so texts are cut there and a
-segment is encoded once while it stays in the worker's bounded cache of two generations;
+segment is encoded once while it stays in the worker's bounded store;
 the ids are those of the whole text.
 
 Edge cases: a null text counts as empty (its frame holds the end id only); a null
@@ -26,7 +26,6 @@ import hashlib
 import os
 import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +43,7 @@ SAMPLE_BYTES = 1 << 14
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 CACHE_SEGMENTS = 700_000
+SEGMENTS_AT_ONCE = 2048
 SHARDS = ("range int, shard int, start_in_range bigint, first_doc_id bigint, last_doc_id bigint, n_ids bigint, "
           "dictionary string, doc_ids array<bigint>, counts array<bigint>, offsets array<bigint>, data binary")
 TOKENS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -72,10 +72,38 @@ def cut(text: str | None) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
+def _byte_values() -> dict[str, int]:
+    """Byte of each character of byte-level vocabularies: printable Latin-1 stands for itself, the
+    other bytes follow from code point 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def byte_level_bytes(tokenizer) -> list[bytes]:
+    """Bytes of each id of a byte-level tokenizer; added tokens as their text."""
+    value = _byte_values()
+    out = []
+    for i in range(tokenizer.get_vocab_size()):
+        token = tokenizer.id_to_token(i)
+        try:
+            out.append(bytes(value[c] for c in token))
+        except KeyError:
+            out.append(token.encode())
+    return out
+
+
+def spread_out(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indices ``first[i] .. first[i] + size[i] - 1`` one after the other."""
+    return np.repeat(first - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+
 class Encoder:
-    """Ids of whole texts as serialized arrays, through a bounded cache of segments.
+    """Ids of whole texts as serialized arrays; segments are known by number while they stay in the bounded store.
 
-    A segment stands for itself if it starts with a line feed, else for itself after a space."""
+    A segment stands for itself if it starts with a line feed, else for itself after a space.  New ones are
+    encoded together as one text, which the pre-tokenizer parts again; a run of marks after a letter
+    is a token run of its own, encoded once."""
 
     def __init__(self, path: str, width: int):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -83,61 +111,108 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype(f"<u{width}")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        kind = "H" if self.kind.itemsize == 2 else "I"
-        return [array(kind, e.ids).tobytes() for e in found]
-
-    def _segment_ids(self, segments: list[str]) -> list[bytes]:
-        """Ids of segments; punctuation after a letter is a token run of its own, encoded once."""
-        heads, tails = [], []
-        for s in segments:
-            h = s.rstrip(_MARKS)
-            if len(h) < len(s) and h and h[-1] in _LETTERS:
-                heads.append(h)
-                tails.append(s[len(h):])
+        self.sizes = np.array([len(x) for x in byte_level_bytes(self.tokenizer)], np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.tails: dict[str, int] = {}
+        self.known = 0
+        self.counts: list[np.ndarray] = []
+        self.ids: list[np.ndarray] = []
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def _add(self, ids: np.ndarray, counts: np.ndarray) -> range:
+        first = self.known
+        self.known += len(counts)
+        self.counts.append(counts)
+        self.ids.append(ids)
+        return range(first, self.known)
+
+    def _add_words(self, words: list[str]) -> list[int]:
+        raw = [w if w[0] == "\n" else " " + w for w in words]
+        ids = self._ids("".join(raw))
+        ends = np.cumsum([len(r.encode("utf-8", "surrogatepass")) for r in raw])
+        at = np.cumsum(self.sizes[ids])
+        last = np.searchsorted(at, ends)
+        if len(at) and at[-1] == ends[-1] and (at[last] == ends).all():
+            return list(self._add(ids, np.diff(last + 1, prepend=0)))
+        return [n for r in raw for x in (self._ids(r),) for n in self._add(x, np.array([len(x)]))]
+
+    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of ids of each known segment, where they begin, and all ids."""
+        if len(self.ids) > 1:
+            self.counts, self.ids = [np.concatenate(self.counts)], [np.concatenate(self.ids)]
+        if not self.ids:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+        return self.counts[0], np.cumsum(self.counts[0]) - self.counts[0], self.ids[0]
+
+    def _learn(self, unknown: list[str]) -> None:
+        split, plain = [], set()
+        for s in unknown:
+            head = s.rstrip(_MARKS)
+            if len(head) < len(s) and head and head[-1] in _LETTERS:
+                split.append((s, head, s[len(head):]))
+                plain.add(head)
             else:
-                heads.append(s)
-                tails.append("")
-        young, old, marks = self.young, self.old, self.marks
-        new = list(set(tails).difference(marks))
-        if len(marks) + len(new) > CACHE_SEGMENTS:
-            marks = self.marks = {}
-            new = list(set(tails))
-        marks.update(zip(new, self._ids(new)))
-        wanted = set(heads).difference(young)
-        again = [h for h in wanted if h in old]
-        young.update(zip(again, map(old.__getitem__, again)))
-        once = list(wanted.difference(again))
-        young.update(zip(once, self._ids([h if h[0] == "\n" else " " + h for h in once])))
-        return [young[h] + marks[t] if t else young[h] for h, t in zip(heads, tails)]
-
-    def _learn(self, segments: set[str]) -> None:
-        """Make ``segments`` known to the young generation."""
-        new = segments.difference(self.young)
-        if len(self.young) + len(new) > CACHE_SEGMENTS:
-            self.old, self.young, new = self.young, {}, segments
-        old = self.old
-        again = [s for s in new if s in old]
-        self.young.update(zip(again, map(old.__getitem__, again)))
-        unknown = [s for s in new if s not in old]
-        self.young.update(zip(unknown, self._segment_ids(unknown)))
+                plain.add(s)
+        rest = list(plain.difference(self.numbers))
+        for at in range(0, len(rest), SEGMENTS_AT_ONCE):
+            part = rest[at:at + SEGMENTS_AT_ONCE]
+            self.numbers.update(zip(part, self._add_words(part)))
+        for tail in {t for _, _, t in split}.difference(self.tails):
+            ids = self._ids(tail)
+            self.tails[tail] = self._add(ids, np.array([len(ids)]))[0]
+        if split:
+            pair = np.array([(self.numbers[h], self.tails[t]) for _, h, t in split])
+            counts, first, ids = self.table()
+            both = ids[spread_out(first[pair].ravel(), counts[pair].ravel())]
+            self.numbers.update(zip((s for s, _, _ in split), self._add(both, counts[pair].sum(axis=1))))
 
     def serialized(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, without the end id."""
-        whole = [bool(t) and any(mark in t for mark in self.special) for t in texts]
-        parted = [[t] if w else cut(t) for t, w in zip(texts, whole)]
-        heads = iter(self._ids([parts[0] for parts in parted if parts]))
+        if len(self.numbers) > CACHE_SEGMENTS:
+            self.forget()
+        parted = []
+        for text in texts:
+            if not text or any(mark in text for mark in self.special):
+                parted.append([])
+                continue
+            parts = cut(text)
+            # the first has no space before it, a last one may end in white space
+            parted.append(parts)
         segments: set[str] = set()
         for parts in parted:
-            segments.update(parts[1:])
-        self._learn(segments)
-        get = self.young.__getitem__
-        return [next(heads) + b"".join(map(get, parts[1:])) if parts else b"" for parts in parted]
+            segments.update(parts[1:-1])
+        self._learn(list(segments.difference(self.numbers)))
+        get = self.numbers.__getitem__
+        numbers = [np.fromiter(map(get, parts[1:-1]), np.int64, max(0, len(parts) - 2)) for parts in parted]
+        counts, first, ids = self.table()
+        all_numbers = np.concatenate(numbers) if numbers else np.zeros(0, np.int64)
+        data = ids[spread_out(first[all_numbers], counts[all_numbers])].tobytes()
+        sizes = np.concatenate([[0], np.cumsum(counts[all_numbers])])[np.cumsum([0, *map(len, numbers)])] * self.kind.itemsize
+        ends = sizes.tolist()
+        edge = self._edges({p for parts in parted for p in (parts[:1] + [self._raw(x) for x in parts[1:][-1:]])})
+        out = []
+        for text, parts, a, b in zip(texts, parted, ends, ends[1:]):
+            if not text:
+                out.append(b"")
+            elif not parts:
+                out.append(self._ids(text).tobytes())
+            else:
+                out.append(edge[parts[0]] + data[a:b] + (edge[self._raw(parts[-1])] if len(parts) > 1 else b""))
+        return out
+
+    @staticmethod
+    def _raw(segment: str) -> str:
+        return segment if segment[0] == "\n" else " " + segment
+
+    def _edges(self, raw: set[str]) -> dict[str, bytes]:
+        some = list(raw)
+        found = self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        return {r: np.array(e.ids, self.kind).tobytes() for r, e in zip(some, found)}
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -229,8 +304,8 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None) ->
         encoder, (compressor, _) = encoder_of(path, width), _codec(dictionary)
         number, shard = 0, _Shard(0, 0)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
                 number = part.column("range")[0].as_py()
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.serialized(part.column("text").to_pylist())):
                     ids += end
