@@ -23,7 +23,13 @@ from .textcodes import mix
 
 BLOCK_ROWS = 1 << 16
 _U = np.uint64
-_KINDS = ["u1", "<i4", "<i8"]
+_KINDS = ["u1", "<u2", "<i4", "<i8"]
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 on in the smallest kind that holds them."""
+    top = int(values.max(initial=0))
+    return values.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<i4" if top < 1 << 31 else "<i8")
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -55,7 +61,7 @@ def word_arrays(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words_of(lengths: np.ndarray, joined: np.ndarray) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<i4")
+    offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype("<i4")
     return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(joined))])
 
 
@@ -82,10 +88,11 @@ class Automaton:
     @classmethod
     def build(cls, words: pa.Array, rows: np.ndarray, counts: np.ndarray) -> "Automaton":
         """From sorted distinct rows of word numbers.  Only the words that occur are kept."""
-        used, flat = np.unique(rows, return_inverse=True)
-        rows = flat.reshape(rows.shape)
-        if len(used) < len(words):
-            words = words.take(pa.array(used))
+        seen = np.zeros(len(words), bool)
+        seen[rows] = True
+        rows = (np.cumsum(seen) - 1)[rows]
+        if not seen.all():
+            words = words.take(pa.array(np.flatnonzero(seen)))
         depth = rows.shape[1]
         register: dict[tuple[int, int], int] = {}
         parts: list[np.ndarray] = []
@@ -97,15 +104,24 @@ class Automaton:
             nonlocal states
             first = np.flatnonzero(np.append(True, parent[1:] != parent[:-1]))
             arc = mix(label.astype(_U) * _U(0x9E3779B97F4A7C15) + mix(target.astype(_U) + mix(weight.astype(_U))))
-            one, two = np.add.reduceat(arc, first).tolist(), np.add.reduceat(mix(arc ^ _U(0x5851F42D4C957F2D)), first).tolist()
-            out, fresh = np.empty(len(first), np.int64), np.zeros(len(first), bool)
-            for i, signature in enumerate(zip(one, two)):
-                state = register.get(signature)
-                if state is None:
-                    state = register[signature] = states
+            one, two = np.add.reduceat(arc, first), np.add.reduceat(mix(arc ^ _U(0x5851F42D4C957F2D)), first)
+            # equal states of this call by their signature, then those closed before
+            _, head, group = np.unique(one, return_index=True, return_inverse=True)
+            if (two[head][group] != two).any():
+                raise ValueError("two states of one signature")
+            known = np.empty(len(head), np.int64)
+            fresh = np.zeros(len(first), bool)
+            for i, (at, signature) in enumerate(zip(head.tolist(), zip(one[head].tolist(), two[head].tolist()))) if len(cuts) > 1 else ():
+                known[i] = register.get(signature, -1)
+                if known[i] < 0:
+                    known[i] = register[signature] = states
                     states += 1
-                    fresh[i] = True
-                out[i] = state
+                    fresh[at] = True
+            if len(cuts) == 1:
+                known[:] = np.arange(states, states + len(head))
+                states += len(head)
+                fresh[head] = True
+            out = known[group]
             run = np.cumsum(np.append(True, parent[1:] != parent[:-1])) - 1
             keep = fresh[run]
             parts.append(np.stack([out[run][keep], label[keep], target[keep]]))
@@ -177,14 +193,17 @@ class Automaton:
         return self.look_up(asked.words, asked.paths()[0])
 
     def to_bytes(self) -> bytes:
-        narrow = [x.astype("<i4") for x in (self.source, self.label, self.target)]
-        return pack(np.array([self.depth, self.root], "<i8"), *word_arrays(self.words), *narrow, self.counts.astype("<i8"))
+        lengths, joined = word_arrays(self.words)
+        arcs = np.bincount(self.source, minlength=1)  # arcs of each state, from 0 on
+        return pack(np.array([self.depth, self.root], "<i8"), narrow(lengths), joined, narrow(arcs), narrow(self.label),
+                    narrow(self.target), narrow(self.counts))
 
     @classmethod
     def from_bytes(cls, data: bytes) -> "Automaton":
-        (depth, root), lengths, joined, source, label, target, counts = unpack(data)
+        (depth, root), lengths, joined, arcs, label, target, counts = unpack(data)
+        source = np.repeat(np.arange(len(arcs)), arcs.astype(np.int64))
         return cls(words_of(lengths, joined), int(depth), int(root),
-                   np.stack([source, label, target]).astype(np.int64), counts.astype(np.int64))
+                   np.stack([source, label.astype(np.int64), target.astype(np.int64)]), counts.astype(np.int64))
 
 
 def united(automata: Sequence[Automaton], least: int = 1) -> Automaton:

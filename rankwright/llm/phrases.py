@@ -32,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import cut_lineage
+from ..session import cut_lineage, retire
 from .automata import Automaton, distinct, pack, united, unpack, word_arrays, words_of
 from .ordered import shuffle_partitions
 from .textcodes import mix
@@ -49,9 +50,11 @@ SCALE = 2_000_000
 TOP = 2000
 NO_LANGUAGE = "und"
 MARKS_A_RANGE = 64
-BREAK = "\n"
-_LETTERS = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
-_TABLE = str.maketrans(_LETTERS | {ord(c): f" {BREAK} " for c in ".,;:!?\n\x0b\x0c\r"} | {9: " "})
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+# kinds of bytes: 1 parts words, 2 ends a piece
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*b" \t"]] = 1
+_KIND[[*b".,;:!?\n\x0b\x0c\r"]] = 2
 _SHARDS = "shard bigint, size bigint, langs array<struct<lang:string,n:bigint>>, data binary"
 _SENT = "n int, range int, origin bigint, data binary"
 _PHRASES = "lang string, phrase string, a bigint, cuts array<struct<l:bigint,r:bigint>>"
@@ -76,25 +79,29 @@ class Shard:
     def sequences(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct rows (language, ``n`` words), their counts, and at each place the number of the
         row that starts there (-1: none)."""
+        for found in self.all_sequences(n):
+            pass
+        return found
+
+    def all_sequences(self, upto: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``sequences`` of 1 to ``upto`` words."""
         place = np.flatnonzero(self.words >= 0)
-        number = np.full(len(self.words), -1, np.int64)
-        rows, counts = np.zeros((0, n + 1), np.int64), np.zeros(0, np.int64)
-        if not len(place):
-            return rows, counts, number
         code, table = self.langs[place], None
-        for k in range(n):
+        for k in range(upto):
             if k:
                 inside = place + k < len(self.words)
                 inside[inside] = self.words[place[inside] + k] >= 0
                 place, code = place[inside], code[inside]
-                if not len(place):
-                    return rows, counts, number
+            number = np.full(len(self.words), -1, np.int64)
+            if not len(place):
+                yield np.zeros((0, k + 2), np.int64), np.zeros(0, np.int64), number
+                continue
             found, code, counts = np.unique((code << 32) | self.words[place + k], return_inverse=True, return_counts=True)
             before = found >> 32
             head = before[:, None] if table is None else table[before]
             table = np.column_stack([head, found & 0xFFFFFFFF])
-        number[place] = code
-        return table, counts, number
+            number[place] = code
+            yield table, counts, number
 
     def keep_words(self, kept: np.ndarray, number: np.ndarray) -> "Shard":
         """Without the words whose row was not kept; the vocabulary is what is left."""
@@ -119,61 +126,68 @@ class Shard:
         return Shard(self.vocabulary.take(pa.array(used)), new[words], new[langs])
 
 
-def read_shard(texts: list[str | None], langs: list[str | None]) -> tuple[Shard, dict[str, int]]:
-    """Shard of some documents, and the number of words of each language."""
-    numbers: dict[str, int] = {"": -2, BREAK: -1}
-    parts, owner = [], []
-    lang_of: dict[str, int] = {}
-    for text, lang in zip(texts, langs):
-        words = (text or "").translate(_TABLE).split(" ")
-        words.append(BREAK)
-        for w in set(words).difference(numbers):
-            numbers[w] = len(numbers) - 2
-        found = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-        found = found[found > -2]
-        parts.append(found)
-        own = lang_of.setdefault(NO_LANGUAGE if lang is None else lang, len(lang_of))
-        owner.append(np.full(len(found), own, np.int64))
-    stream = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    owners = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-    counts = np.bincount(owners[stream >= 0], minlength=len(lang_of)).tolist()
-    names = [b"\n" + lang.encode() for lang in lang_of] + [w.encode() for w in list(numbers)[2:]]
-    order = sorted(range(len(names)), key=names.__getitem__)
-    rank = np.empty(len(names) + 1, np.int64)
-    rank[order] = np.arange(len(names))
-    rank[-1] = -1
-    vocabulary = pa.array([names[i] for i in order], pa.binary())
-    shifted = np.where(stream >= 0, stream + len(lang_of), -1)
-    shard = Shard(vocabulary, rank[shifted], rank[owners])
-    every = np.ones(len(vocabulary), bool)
-    return shard.keep_words(every, np.where(shard.words >= 0, 0, -1)), dict(zip(lang_of, counts))
+def read_shard(texts: pa.Array, langs: pa.Array) -> tuple[Shard, dict[str, int]]:
+    """Shard of some documents (texts as bytes), and the number of words of each language."""
+    texts, langs = pc.fill_null(texts, b""), pc.fill_null(langs, NO_LANGUAGE).dictionary_encode()
+    names = langs.dictionary.to_pylist()
+    length = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+    # one line feed after each text
+    data = np.frombuffer(b"\n".join(texts.to_pylist()).translate(_LOWER) + b"\n", np.uint8)
+    kind = _KIND[data]
+    solid = kind == 0
+    edge = np.flatnonzero(solid[1:] != solid[:-1]) + 1
+    if solid[0]:
+        edge = np.append(0, edge)
+    start, end = edge[0::2], edge[1::2]
+    words = words_of(end - start, data[solid]).dictionary_encode()
+    # a word opens a piece if a mark stands between it and the word before
+    ended = np.cumsum(kind == 2)
+    opens = np.append(True, ended[start[1:]] != ended[end[:-1] - 1])[:len(start)]
+    doc = np.searchsorted(np.cumsum(length + 1), start, side="right")
+    owner = langs.indices.to_numpy()[doc].astype(np.int64) if len(doc) else doc
+    every = pa.concat_arrays([pa.array([b"\n" + n.encode() for n in names], pa.binary()), words.dictionary])
+    order = pc.sort_indices(every)
+    rank = np.empty(len(every), np.int64)
+    rank[order.to_numpy()] = np.arange(len(every))
+    at = np.arange(len(start)) + np.cumsum(opens)  # a break before each piece
+    stream, lang = np.full(len(start) + int(opens.sum()), -1, np.int64), np.zeros(len(start) + int(opens.sum()), np.int64)
+    stream[at] = rank[len(names):][words.indices.to_numpy()]
+    lang[at] = rank[owner]
+    lang[at[opens] - 1] = rank[owner[opens]]
+    counts = dict(zip(names, np.bincount(owner, minlength=len(names)).tolist()))
+    return Shard(every.take(order), stream, lang), counts
 
 
 def read_shards(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``shard, size, langs, data``: the documents of each task in shards of about ``shard_bytes`` characters."""
+    """``shard, size, langs, data``: the documents of each task in shards of about ``shard_bytes`` bytes."""
+    schema = pa.schema([("shard", pa.int64()), ("size", pa.int64()), ("langs", pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))),
+                        ("data", pa.binary())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        first = TaskContext.get().partitionId() << 32
-        count, texts, langs, size = 0, [], [], 0
+        number = TaskContext.get().partitionId() << 32
+        held: list[tuple[pa.Array, pa.Array]] = []
+        size = 0
 
         def done() -> pa.RecordBatch:
-            shard, words = read_shard(texts, langs)
+            shard, words = read_shard(*(pa.concat_arrays(x) for x in zip(*held)))
             return pa.RecordBatch.from_pylist([{
-                "shard": first + count, "size": int((shard.words >= 0).sum()), "langs": [{"lang": k, "n": n} for k, n in words.items()],
-                "data": shard.to_bytes()}], schema=pa.schema([
-                    ("shard", pa.int64()), ("size", pa.int64()),
-                    ("langs", pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))), ("data", pa.binary())]))
+                "shard": number, "size": int((shard.words >= 0).sum()), "langs": [{"lang": k, "n": n} for k, n in words.items()],
+                "data": shard.to_bytes()}], schema=schema)
 
         for batch in batches:
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                texts.append(text)
-                langs.append(lang)
-                size += len(text or "")
+            texts, langs = batch.column("text").cast(pa.binary()), batch.column("lang")
+            ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            at = before = 0
+            while at < len(texts):
+                upto = min(int(np.searchsorted(ends, before + shard_bytes - size)) + 1, len(texts))
+                held.append((texts.slice(at, upto - at), langs.slice(at, upto - at)))
+                size, before, at = size + int(ends[upto - 1]) - before, int(ends[upto - 1]), upto
                 if size >= shard_bytes:
                     yield done()
-                    count, texts, langs, size = count + 1, [], [], 0
-        if texts:
+                    number, size = number + 1, 0
+                    held.clear()
+        if held:
             yield done()
 
     return docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")) \
@@ -240,9 +254,9 @@ def send(shards: DataFrame, at: dict[int, list[Mark]]) -> DataFrame:
         for batch in batches:
             for number, data in zip(batch.column("shard").to_pylist(), batch.column("data").to_pylist()):
                 shard = Shard.from_bytes(data)
-                for n, cuts in at.items():
-                    rows, counts, _ = shard.sequences(n)
-                    yield _sent([(n, r, number, a.to_bytes()) for r, a in split(shard.vocabulary, rows, counts, cuts)])
+                for n, (rows, counts, _) in enumerate(shard.all_sequences(max(at)), 1):
+                    if n in at:
+                        yield _sent([(n, r, number, a.to_bytes()) for r, a in split(shard.vocabulary, rows, counts, at[n])])
 
     return shards.select("shard", "data").mapInArrow(build, _SENT)
 
@@ -366,7 +380,7 @@ def candidates(shards: DataFrame, least: int = MIN_COUNT, max_words: int = MAX_W
     """Every phrase of 2 to ``max_words`` words counted ``least`` times or more, by language (``lang, phrase, a, cuts``)."""
     ranges = ranges or shuffle_partitions(shards)
     at: dict[int, list[Mark]] = {}
-    kept = None
+    kept, given = None, shards
     for sizes in ([1], [2], list(range(3, max_words + 1))):
         sizes = [n for n in sizes if n <= max_words]
         if not sizes:
@@ -374,10 +388,10 @@ def candidates(shards: DataFrame, least: int = MIN_COUNT, max_words: int = MAX_W
         at |= {n: marks(shards, n, ranges) for n in sizes}
         more = max(sizes) < max_words
         found = cut_lineage(unite(send(shards, {n: at[n] for n in sizes}), least, more))
-        held = found.where("origin is null").drop("origin")
+        held = cut_lineage(found.where("origin is null").drop("origin"))
         kept = held if kept is None else kept.unionByName(held)
-        if more:
-            shards = cut_lineage(narrowed(shards, found.where("origin is not null"), sizes[0]))
+        before, shards = shards, cut_lineage(narrowed(shards, found.where("origin is not null"), sizes[0])) if more else None
+        retire(found, *([before] if before is not given else []))
     phrases = kept.where("n > 1").withColumn("origin", F.shiftleft(F.col("n").cast("long"), 32) + F.col("range"))
     return _candidates(phrases, answer_parts(kept, ask_parts(phrases, at)))
 
@@ -411,7 +425,8 @@ def mine(docs: DataFrame, top: int = TOP, least: int = MIN_COUNT, max_words: int
 
 ORACLE = rf"""
 WITH p AS (SELECT row_number() OVER () AS d, lang, unnest(regexp_split_to_array(text, '[.,;:!?
--]')) AS piece FROM (
+-
+]')) AS piece FROM (
              SELECT coalesce(lang, '{NO_LANGUAGE}') AS lang,
                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)),
 w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS ws FROM p),
