@@ -1,44 +1,34 @@
-"""Gradient-boosted ranking model on Spark ML trees.
-
-Objective: listwise softmax cross-entropy per query with targets
-t_i ∝ 2^label − 1 (a linear-time surrogate of NDCG; no document pairs are
-formed, so a huge query costs O(n), not O(n²)).  Per round:
-
-* p = softmax of the current scores inside each query — max and sum are
-  grouped aggregates joined back (partial aggregation, skew-safe);
-* gradient g = p − t, hessian h = p(1 − p) (floored);
-* one regression tree (a single-tree ``RandomForestRegressor`` without
-  bootstrap, for row/feature subsampling) is fitted to z = −g/h with
-  weight h, so its leaf values are the Newton steps −Σg/Σh;
-* scores += eta × tree prediction (JVM-side ``transform``).
-
-The model is a list of (tree, eta); scoring sums tree outputs.  Each round
-references the previous round's data three times (group max, group sums,
-join), so the plan would grow exponentially: lineage is cut with a reliable
-checkpoint every round (``checkpoint_every``).
+"""Boosted ranking model (M12-M18, S15, A17): training, node tables, scoring, selection.
+
+The objective is the lambda gradient of NDCG@10 and trees grow on gradient histograms
+(``boosting``).  A model is a table of nodes (round, node, feature, threshold, left, right, value):
+saved as Parquet, scored by one walk of all trees over a batch of rows.  Folds and
+candidates of a search are models of one job.
 """
 
 from __future__ import annotations
 
-import itertools
 import json
+import math
 import random
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from . import boosting
 from .ranking_metrics import ndcg
 
 GROUP = ("wikiid", "query")
-HESS_FLOOR = 1e-6
+NODES = ("round int, node int, feature int, threshold double, left int, right int, value double")
 
 DEFAULT_PARAMS = {
     "num_rounds": 100, "eta": 0.3, "max_depth": 6, "min_child_weight": 1.0,
-    "max_bin": 32, "subsample": 1.0, "colsample": 1.0, "seed": 0,
+    "max_bin": 256, "subsample": 1.0, "colsample": 1.0, "seed": 0,
 }
 # Names used by the reference's trainer, mapped to ours.
 ALIASES = {"colsample_bytree": "colsample"}
@@ -54,99 +44,132 @@ def coerce_params(params: dict) -> dict:
     return p
 
 
+def _spec(params: dict, held_out: int = -1) -> boosting.Spec:
+    p = coerce_params(params)
+    return boosting.Spec(p["num_rounds"], float(p["eta"]), p["max_depth"], float(p["min_child_weight"]), float(p["subsample"]),
+                         float(p["colsample"]), p["seed"], held_out)
+
+
 @dataclass
 class RankModel:
-    trees: list = field(default_factory=list)
-    etas: list = field(default_factory=list)
+    """Nodes of all trees in round and node order (``NODES``); ``left`` is null at leaves, root is node 1."""
+    nodes: list[tuple] = field(default_factory=list)
     features_col: str = "features"
     history: list = field(default_factory=list)  # (round, split, ndcg@10)
 
+    @classmethod
+    def of_trees(cls, trees: Sequence[boosting.Tree], edges: Sequence[np.ndarray], features_col: str = "features") -> "RankModel":
+        nodes = []
+        for rnd, tree in enumerate(trees):
+            todo = [1]
+            while todo:
+                k = todo.pop(0)
+                f = int(tree.feature[k])
+                if f < 0:
+                    nodes.append((rnd, k, None, None, None, None, float(tree.value[k])))
+                else:
+                    nodes.append((rnd, k, f, float(edges[f][tree.bin[k]]), 2 * k, 2 * k + 1, float(tree.value[k])))
+                    todo += [2 * k, 2 * k + 1]
+        return cls(sorted(nodes, key=lambda x: x[:2]), features_col)
+
+    @property
+    def trees(self) -> list[int]:
+        """Rounds of the model."""
+        return sorted({n[0] for n in self.nodes})
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.nodes, NODES)
+
     def save(self, path: str) -> None:
-        """Every tree with the ML writer, plus a JSON manifest."""
+        """The node table as Parquet, plus a JSON manifest."""
         spark = SparkSession.getActiveSession()
-        for i, t in enumerate(self.trees):
-            t.write().overwrite().save(f"{path}/tree_{i:05d}")
-        manifest = json.dumps({"etas": self.etas, "features_col": self.features_col})
-        spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{path}/manifest")
+        self.table(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
+        manifest = json.dumps({"features_col": self.features_col, "history": self.history})
+        spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
 
     @classmethod
     def load(cls, path: str) -> "RankModel":
         spark = SparkSession.getActiveSession()
         manifest = json.loads(spark.read.text(f"{path}/manifest").first()[0])
-        trees = [RandomForestRegressionModel.load(f"{path}/tree_{i:05d}") for i in range(len(manifest["etas"]))]
-        return cls(trees, manifest["etas"], manifest["features_col"])
-
-
-def _targets(df: DataFrame, group: Sequence[str], label_col: str) -> DataFrame:
-    gain = F.pow(F.lit(2.0), F.col(label_col).cast("double")) - 1.0
-    tot = df.groupBy(*group).agg(F.sum(gain).alias("_gsum"))
-    return (df.join(tot, list(group))
-            .withColumn("_t", F.when(F.col("_gsum") > 0, gain / F.col("_gsum")).otherwise(0.0))
-            .drop("_gsum"))
-
-
-def _gradients(df: DataFrame, group: Sequence[str]) -> DataFrame:
-    g = list(group)
-    mx = df.groupBy(*g).agg(F.max("_score").alias("_mx"))
-    e = df.join(mx, g).withColumn("_e", F.exp(F.col("_score") - F.col("_mx")))
-    tot = e.groupBy(*g).agg(F.sum("_e").alias("_es"), F.sum("_t").alias("_ts"))
-    p = e.join(tot, g).withColumn("_p", F.col("_e") / F.col("_es"))
-    # Queries without any relevant document carry no signal.
-    grad = F.when(F.col("_ts") > 0, F.col("_p") - F.col("_t")).otherwise(0.0)
-    hess = F.greatest(F.col("_p") * (1 - F.col("_p")), F.lit(HESS_FLOOR))
-    return (p.withColumn("_g", grad).withColumn("_h", hess)
-            .withColumn("_z", -F.col("_g") / F.col("_h"))
-            .drop("_mx", "_e", "_es", "_ts", "_p"))
-
-
-def _tree_fitter(p: dict, features_col: str, rnd: int) -> RandomForestRegressor:
-    """One regression tree per round: a single-tree forest without bootstrap,
-    so row subsampling (``subsample``) and feature subsampling (``colsample``,
-    per split) are available; weighted by the hessian."""
-    col = p["colsample"]
-    strategy = "all" if col >= 1.0 else str(float(col))
-    return RandomForestRegressor(
-        featuresCol=features_col, labelCol="_z", weightCol="_h", predictionCol="_tree",
-        numTrees=1, bootstrap=False, subsamplingRate=float(p["subsample"]),
-        featureSubsetStrategy=strategy, maxDepth=p["max_depth"], maxBins=p["max_bin"],
-        minInstancesPerNode=max(1, int(p["min_child_weight"])), seed=p["seed"] + rnd)
+        nodes = [tuple(r) for r in spark.read.parquet(f"{path}/nodes").orderBy("round", "node").collect()]
+        return cls(nodes, manifest["features_col"], [tuple(h) for h in manifest["history"]])
+
+
+def _trained(df: DataFrame, params: Sequence[dict], label_col: str, features_col: str, group: Sequence[str], fold_col: str | None,
+             held_out: Sequence[int], every: int = 0) -> tuple[list[RankModel], DataFrame]:
+    """Models of all ``params`` (one for each ``held_out`` fold) in one run, and their metric rows."""
+    bins = max([coerce_params(p)["max_bin"] for p in params], default=2)
+    edges = boosting.bin_edges(df, features_col, bins)
+    blocks, n_blocks = boosting.layout(df, edges, label_col, features_col, group, fold_col)
+    specs = [_spec(p, fold) for p, fold in zip(params, held_out)]
+    trees, metrics = boosting.fit_models(blocks, n_blocks, specs, max([0, *map(len, edges)]) + 1, every)
+    return [RankModel.of_trees(t, edges, features_col) for t in trees], metrics
+
+
+def _means(metrics: DataFrame) -> DataFrame:
+    """``model, round, test, ndcg``: mean over the wikis of their queries' mean NDCG@10."""
+    per_wiki = metrics.groupBy("model", "round", "test", "wiki").agg((F.sum("ndcg_sum") / F.sum("n_queries")).alias("v"))
+    return per_wiki.groupBy("model", "round", "test").agg(F.avg("v").alias("ndcg"))
 
 
 def fit_ranker(df: DataFrame, params: dict | None = None, label_col: str = "label",
                features_col: str = "features", group: Sequence[str] = GROUP,
-               eval_df: DataFrame | None = None, eval_every: int = 0, checkpoint_every: int = 1) -> RankModel:
-    """Train the boosted ranker; optional per-round NDCG@10 history."""
-    p = coerce_params(params)
-    model = RankModel(features_col=features_col)
-    data = _targets(df, group, label_col).withColumn("_score", F.lit(0.0))
-    data = cut_lineage(data)
-    for r in range(p["num_rounds"]):
-        grads = _gradients(data, group)
-        tree = _tree_fitter(p, features_col, r).fit(grads)
-        model.trees.append(tree)
-        model.etas.append(p["eta"])
-        data = (tree.transform(grads)
-                .withColumn("_score", F.col("_score") + p["eta"] * F.col("_tree"))
-                .drop("_tree", "_g", "_h", "_z"))
-        if (r + 1) % checkpoint_every == 0:
-            data = cut_lineage(data)
-        if eval_every and (r + 1) % eval_every == 0:
-            model.history.append((r + 1, "train", _mean_ndcg(score(df, model), label_col, group)))
-            if eval_df is not None:
-                model.history.append((r + 1, "test", _mean_ndcg(score(eval_df, model), label_col, group)))
+               eval_df: DataFrame | None = None, eval_every: int = 0) -> RankModel:
+    """Train the boosted ranker; with ``eval_every`` the NDCG@10 history of training rows and ``eval_df``
+    (whose rows are scored along with the training, not again for each round)."""
+    if eval_df is None:
+        rows, fold_col = df, None
+    else:
+        wanted = [*group, label_col, features_col]
+        fold_col = "_split"
+        rows = df.select(*wanted, F.lit(0).alias(fold_col)).unionByName(eval_df.select(*wanted, F.lit(1).alias(fold_col)))
+    (model,), metrics = _trained(rows, [params or {}], label_col, features_col, group, fold_col, [1 if fold_col else -1], eval_every)
+    if eval_every:
+        model.history = [(r.round, "test" if r.test else "train", r.ndcg)
+                         for r in _means(metrics).where(F.col("round") % eval_every == 0).orderBy("round", F.col("test")).collect()]
     return model
 
 
 def score(df: DataFrame, model: RankModel, prediction_col: str = "prediction") -> DataFrame:
-    """Add ``prediction`` = Σ eta × tree output (JVM-side transforms)."""
-    out = df.withColumn(prediction_col, F.lit(0.0))
-    for t, eta in zip(model.trees, model.etas):
-        t = t.copy()
-        t.setPredictionCol("_tree")
-        t.setFeaturesCol(model.features_col)
-        out = t.transform(out).withColumn(prediction_col, F.col(prediction_col) + eta * F.col("_tree")).drop("_tree")
-    return out
+    """Add ``prediction``: the values of the leaves a row ends in, summed over the trees by one vectorised walk.
+    A value beyond a threshold or missing (NaN) goes right; a null vector has no prediction."""
+    spec = _walk_arrays(model.nodes)
+
+    @F.pandas_udf("double")
+    def predict(features: pd.Series) -> pd.Series:
+        known = features.notna().to_numpy()
+        out = np.full(len(features), np.nan)
+        if known.any():
+            out[known] = walk(np.stack(features[known].to_numpy()), *spec)
+        return pd.Series(out).where(known, None)
+
+    return df.withColumn(prediction_col, predict(vector_to_array(F.col(model.features_col))))
+
+
+def _walk_arrays(nodes: Sequence[tuple]) -> tuple:
+    """Roots of the trees, and feature, threshold, left, right, value by place (leaves point to themselves)."""
+    place = {n[:2]: i for i, n in enumerate(nodes)}
+    rounds = sorted({n[0] for n in nodes})
+    child = [[i if n[4] is None else place[n[0], n[side]] for i, n in enumerate(nodes)] for side in (4, 5)]
+    return (np.array([place[r, 1] for r in rounds], np.int64), np.array([n[2] or 0 for n in nodes], np.int64),
+            np.array([0.0 if n[3] is None else n[3] for n in nodes]), *(np.array(c, np.int64) for c in child), np.array([n[6] for n in nodes]))
+
+
+def walk(x: np.ndarray, roots, feature, threshold, left, right, value) -> np.ndarray:
+    """Summed leaf values of each row of ``x``, tree by tree."""
+    total = np.zeros(len(x))
+    rows = np.arange(len(x))
+    for root in roots.tolist():
+        at = np.full(len(x), root)
+        moving = rows if left[root] != root else rows[:0]
+        while len(moving):
+            now = at[moving]
+            down = x[moving, feature[now]] <= threshold[now]
+            now = np.where(down, left[now], right[now])
+            at[moving] = now
+            moving = moving[left[now] != now]
+        total += value[at]
+    return total
 
 
 def evaluate(df: DataFrame, model: RankModel | None, label_col: str = "label", group: Sequence[str] = GROUP,
@@ -158,30 +181,32 @@ def evaluate(df: DataFrame, model: RankModel | None, label_col: str = "label", g
     return ndcg(ranked, k, label_col=label_col, position_col="_pos", query_cols=tuple(group), tie_col=label_col)
 
 
-def _mean_ndcg(scored: DataFrame, label_col: str, group) -> float:
-    mean = evaluate(scored, None, label_col, group).agg(F.avg("ndcg")).first()[0]
-    if mean is None:
+# ------------------------------------------------------------ model selection
+TRIALS = "candidate int, fold int, train_ndcg double, test_ndcg double, loss double"
+
+
+def cross_validate_many(folds: DataFrame, params: Sequence[dict], fold_col: str = "fold", num_folds: int | None = None,
+                        label_col: str = "label", features_col: str = "features", group: Sequence[str] = GROUP) -> DataFrame:
+    """M16 for many candidates: every candidate trained on every fold's complement, all models advancing together.
+    ``TRIALS`` rows (loss = -test NDCG@10 at the last round)."""
+    if num_folds is None:
+        num_folds = int(folds.schema[fold_col].metadata.get("num_folds") or folds.agg(F.max(fold_col)).first()[0] + 1)
+    todo = [(c, k) for c in range(len(params)) for k in range(num_folds)]
+    _, metrics = _trained(folds, [params[c] for c, _ in todo], label_col, features_col, group, fold_col, [k for _, k in todo])
+    means = _means(metrics).groupBy("model").agg(F.max(F.when(~F.col("test"), F.col("ndcg"))).alias("train_ndcg"),
+                                                 F.max(F.when(F.col("test"), F.col("ndcg"))).alias("test_ndcg"))
+    trials = means.select(F.floor(F.col("model") / num_folds).cast("int").alias("candidate"), (F.col("model") % num_folds).cast("int").alias("fold"),
+                          "train_ndcg", "test_ndcg", (-F.col("test_ndcg")).alias("loss"))
+    if trials.where("train_ndcg is null or test_ndcg is null").take(1) or trials.count() < len(todo):
         raise ValueError("no rows to evaluate: a fold is empty")
-    return float(mean)
+    return trials
 
 
-# ------------------------------------------------------------ model selection
 def cross_validate(folds: DataFrame, params: dict, fold_col: str = "fold", num_folds: int | None = None,
                    label_col: str = "label", group: Sequence[str] = GROUP) -> DataFrame:
     """Train on every fold's complement, evaluate on the fold; returns a
-    trials table (fold, train_ndcg, test_ndcg, loss = −test_ndcg)."""
-    spark = folds.sparkSession
-    if num_folds is None:
-        num_folds = int(folds.schema[fold_col].metadata.get("num_folds") or
-                        folds.agg(F.max(fold_col)).first()[0] + 1)
-    rows = []
-    for i in range(num_folds):
-        train = folds.where(F.col(fold_col) != i)
-        test = folds.where(F.col(fold_col) == i)
-        m = fit_ranker(train, params, label_col, group=group)
-        tr, te = _mean_ndcg(score(train, m), label_col, group), _mean_ndcg(score(test, m), label_col, group)
-        rows.append((i, tr, te, -te))
-    return spark.createDataFrame(rows, "fold int, train_ndcg double, test_ndcg double, loss double")
+    trials table (fold, train_ndcg, test_ndcg, loss = -test_ndcg)."""
+    return cross_validate_many(folds, [params], fold_col, num_folds, label_col, group=group).drop("candidate")
 
 
 def cv_summary(trials: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -238,7 +263,6 @@ def size_profile(num_obs: int) -> str:
 
 
 def _draw(spec, rng: random.Random) -> float:
-    import math
     kind = spec[0]
     if kind == "uniform":
         return rng.uniform(spec[1], spec[2])
@@ -263,28 +287,20 @@ def candidates(space: dict, n: int, seed: int = 0) -> list[dict]:
 def search_params(folds: DataFrame, stages: Sequence[tuple[dict, int]], base: dict | None = None,
                   seed: int = 0, **cv_kwargs) -> tuple[dict, DataFrame]:
     """Staged selection.  Each stage's space overrides the best params
-    found so far; the stage's best (max −loss) is carried forward.
-    Returns (best params, trials table with stage, candidate, params JSON,
-    −loss and −loss + gap)."""
+    found so far; the stage's best (max -loss, ties: the first) is carried forward.  A stage's
+    candidates and folds are trained together.  Returns (best params, trials table with stage, candidate,
+    params JSON, -loss and -loss + gap)."""
     spark = folds.sparkSession
     best = dict(base or {})
     rows = []
     for si, (space, n) in enumerate(stages):
-        stage_best, stage_score = None, None
-        for ci, cand in enumerate(candidates(space, n, seed + si)):
-            params = {**best, **cand}
-            trials = cross_validate(folds, params, **cv_kwargs)
-            s = cv_summary(trials).first()
-            score_ = -s.loss_mean
-            rows.append((si, ci, json.dumps(params, sort_keys=True), score_, score_ + s.gap_mean))
-            if stage_score is None or score_ > stage_score:
-                stage_best, stage_score = params, score_
-        best = stage_best or best
+        drawn = [{**best, **cand} for cand in candidates(space, n, seed + si)]
+        if not drawn:
+            continue
+        trials = cross_validate_many(folds, drawn, **cv_kwargs)
+        found = sorted(cv_summary(trials, ("candidate",)).collect(), key=lambda r: r.candidate)  # one row a candidate
+        rows += [(si, r.candidate, json.dumps(drawn[r.candidate], sort_keys=True), -r.loss_mean, -r.loss_mean + r.gap_mean) for r in found]
+        best = drawn[min(found, key=lambda r: (r.loss_mean, r.candidate)).candidate]
     table = spark.createDataFrame(rows, "stage int, candidate int, params string, score double, "
                                         "score_with_gap double")
     return best, table
-
-
-def grid(space: dict[str, Sequence]) -> list[dict]:
-    keys = sorted(space)
-    return [dict(zip(keys, vals)) for vals in itertools.product(*[space[k] for k in keys])]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import features as FT
 from ..operators import folds, rank_model
+from ..operators.ranking_metrics import ndcg
 from ..sources.tables import TRAIN_FEATURES
 from .registry import register, rnd
 from .training_queries import K_SHARES, NUM_FOLDS, ROUNDED_SQL, SEED, _rounded, _split_sql
@@ -65,12 +66,14 @@ def q_cv_summary(spark, sf_dir):
     rows = _rounded(spark, sf_dir)
     k = folds.group_k_fold(rows, NUM_FOLDS, "fold", ("query",), seed=SEED)
     scored = k.withColumn("prediction", F.col("f_ctr"))
-    trials = []
-    for i in range(NUM_FOLDS):
-        tr = rank_model.evaluate(scored.where(F.col("fold") != i), None).agg(F.avg("ndcg")).first()[0]
-        te = rank_model.evaluate(scored.where(F.col("fold") == i), None).agg(F.avg("ndcg")).first()[0]
-        trials.append((i, float(tr), float(te), -float(te)))
-    table = spark.createDataFrame(trials, "fold int, train_ndcg double, test_ndcg double, loss double")
+    # all folds' train and test rows at once: a wiki of a fold's part is a cell of its own
+    parts = folds.expand_folds(scored, "fold", NUM_FOLDS).withColumn("cell", F.to_json(F.struct("fold_id", "split", "wikiid")))
+    per = ndcg(parts.withColumn("_pos", -F.col("prediction")), 10, position_col="_pos", wiki_col="cell", query_cols=("cell", "query"),
+               tie_col="label")
+    cell = F.from_json("cell", "fold_id int, split string")
+    mean = per.groupBy(cell["fold_id"].alias("fold")).agg(
+        F.avg(F.when(cell["split"] == "train", F.col("ndcg"))).alias("train_ndcg"), F.avg(F.when(cell["split"] == "test", F.col("ndcg"))).alias("test_ndcg"))
+    table = mean.withColumn("loss", -F.col("test_ndcg"))
     s = rank_model.cv_summary(table)
     return s.select(*[rnd(c).alias(c) for c in ("loss_mean", "loss_var", "gap_mean", "gap_var")])
 
