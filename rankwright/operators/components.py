@@ -7,7 +7,8 @@ long chains, and the loop runs until nothing changes: there is no round cap.
 
 A step is an aggregate (least neighbour, partial in the map tasks) joined back to the
 edges, so a vertex with very many edges is pre-aggregated in the first and split by
-adaptive skew handling in the second.  Rounds are cut with reliable checkpoints.
+adaptive skew handling in the second.  Rounds are cut with reliable checkpoints, and a round's
+files go when the next one is written.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, retire
 
 
 def _fingerprint(edges: DataFrame):
@@ -50,8 +51,10 @@ def connected_components(edges: DataFrame, u: str, v: str, keys: Sequence[str] =
     while print_now[0]:
         then = cut_lineage(_small_star(_large_star(now, keys), keys))
         print_then = _fingerprint(then)
-        if print_then == print_now:
-            break
+        done, before = print_then == print_now, now
         now, print_now = then, print_then
+        retire(before)
+        if done:
+            break
     roots = now.select(*keys, F.col("b").alias("vertex"), F.col("b").alias("component")).distinct()
     return now.select(*keys, F.col("a").alias("vertex"), F.col("b").alias("component")).union(roots)

@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import with_column_metadata
-from ..functions.expressions import Feature, derived, minimal_feature_set
+from ..functions.expressions import Feature, derived, minimal_feature_set, used_features
+from . import field_index as X
 from . import retrieval as R
 
 KEYS = ("lang", "item_id", "doc_id")
@@ -96,6 +97,125 @@ def collect_features(candidates: DataFrame, queries: DataFrame, docs: DataFrame,
     return with_column_metadata(out, "features", {"features": names})
 
 
+# Status of a collected value.
+VALUE, NO_MATCH, FAILED, ABSENT = 0, 1, 2, 3
+
+
+def collect_field_features(candidates: DataFrame, queries: DataFrame, index: X.FieldIndex, features: Sequence[Feature],
+                           values: DataFrame | None = None, tables: dict[str, DataFrame] | None = None,
+                           wanted: Sequence[str] | None = None) -> DataFrame:
+    """R14-R16 over a field index: one row a candidate (lang, item_id, doc_id) with every feature as a column, ``features``
+    (vector with the names in its metadata) and ``status`` (one code a feature).
+
+    * A feature that finds nothing is 0 (``NO_MATCH``).
+    * A feature of a document marked ``unreadable`` in ``values``, or a value that is no number, is NaN (``FAILED``), as is
+      what is derived from it.
+    * An external feature (a column of ``tables[name]``, joined on its ``on`` columns) without a row is NaN (``ABSENT``).
+
+    All match features come from one scoring pass, all term statistics from one aggregate, all phrases of a field
+    from one; only requested features and what they use are computed."""
+    if wanted is not None:
+        features = minimal_feature_set(features, wanted)
+    asked = [f.params["feature"] if f.kind == "token_router" else f for f in features]
+    k = list(KEYS)
+    cand = candidates.select(*k).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    index._cached.append(cand)
+    out = cand
+    matches = sorted({f.field for f in asked if f.kind == "match"})
+    if matches:
+        scores = X.match_scores(queries, index, matches, cand)
+        out = out.join(scores.groupBy(*k).agg(*[
+            F.max(F.when(F.col("field") == m, F.col("score"))).alias(f"match:{m}") for m in matches]), k, "left")
+    explored = [f for f in asked if f.kind == "explorer"]
+    if explored:
+        fields, stats, aggs = (sorted({x(f) for f in explored}) for x in (
+            lambda f: f.field, lambda f: f.params["stat"], lambda f: f.params["agg"]))
+        found = X.term_statistics(queries, index, fields, cand, stats, aggs)
+        out = out.join(found.groupBy("lang", "item_id").agg(*[
+            F.max(F.when(F.col("field") == f.field, F.col(f"{f.params['agg']}_{f.params['stat']}"))).alias(_source(f)) for f in explored]),
+            ["lang", "item_id"], "left")
+    phrases = sorted({f.field for f in asked if f.kind == "phrase"})
+    if phrases:
+        found = X.phrase_counts(queries, index, phrases, cand)
+        out = out.join(found.groupBy(*k).agg(*[
+            F.max(F.when(F.col("field") == p, F.col("phrase_freq").cast("double"))).alias(f"phrase:{p}") for p in phrases]), k, "left")
+    counted = sorted({f.field for f in asked if f.kind == "terms_count"})
+    out = out.join(queries.select("item_id", F.size(X.analysed("text", "plain")).alias("tokens:"), *[
+        F.size(F.array_distinct(X.analysed("text", X.analyzer_of(c)))).cast("double").alias(f"terms_count:{c}") for c in counted]), "item_id", "left")
+    valued = sorted({f.field for f in asked if f.kind == "field_value"})
+    bad = F.lit(False)
+    if values is not None:
+        unreadable = [F.col("unreadable").alias("unreadable:")] if "unreadable" in values.columns else []
+        own = values.select("doc_id", *unreadable, *[F.col(v).try_cast("double").alias(f"field_value:{v}") for v in valued],
+                            *[(F.col(v).isNotNull() & F.col(v).try_cast("double").isNull()).alias(f"bad:{v}") for v in valued])
+        out = out.join(own, "doc_id", "left")
+        bad = F.coalesce(F.col(_quoted("unreadable:")), F.lit(False)) if unreadable else bad
+    for f in asked:
+        if f.kind == "external":
+            own = (tables or {})[f.params["table"]].select(*f.params["on"], F.col(f.field).cast("double").alias(_source(f)), F.lit(True).alias(f"here:{f.name}"))
+            out = out.join(own, f.params["on"], "left")
+    of_document = {"match", "phrase", "field_value"}
+    statuses: dict[str, Column] = {}
+    columns: dict[str, Column] = {}
+    for f, source in zip(features, asked):
+        if f.kind == "derived":
+            continue
+        found = F.col(_quoted(_source(source)))
+        status = F.when(found.isNull(), F.lit(NO_MATCH)).otherwise(F.lit(VALUE))
+        if source.kind in of_document:
+            status = F.when(bad, F.lit(FAILED)).otherwise(status)
+        if source.kind == "field_value" and values is not None:
+            status = F.when(F.coalesce(F.col(_quoted(f"bad:{source.field}")), F.lit(False)), F.lit(FAILED)).otherwise(status)
+        if source.kind == "external":
+            status = F.when(F.col(_quoted(f"here:{source.name}")).isNull(), F.lit(ABSENT)).when(found.isNull(), F.lit(FAILED)).otherwise(F.lit(VALUE))
+        if f.kind == "token_router":
+            routed = (F.col(_quoted("tokens:")) > 1) & (F.col(_quoted("tokens:")) <= f.params.get("limit", 10))
+            status = F.when(routed, status).otherwise(F.lit(NO_MATCH))
+        statuses[f.name] = status.cast("tinyint")
+        columns[f.name] = F.when(status >= FAILED, F.lit(float("nan"))).when(status == NO_MATCH, F.lit(0.0)).otherwise(found)
+    direct = out.select(*k, *[c.alias(n) for n, c in columns.items()], *[c.alias(f"status:{n}") for n, c in statuses.items()])
+    for f in features:
+        if f.kind == "derived":
+            used = used_features(f, [g.name for g in features])
+            worst = F.greatest(*[F.col(_quoted(f"status:{u}")) for u in used], F.lit(VALUE).cast("tinyint"))
+            failed = worst >= FAILED
+            direct = direct.withColumns({
+                f.name: F.when(failed, F.lit(float("nan"))).otherwise(derived(f.params["expression"]).cast("double")),
+                f"status:{f.name}": F.when(failed, worst).otherwise(F.lit(VALUE).cast("tinyint"))})
+    names = [f.name for f in features]
+    done = direct.select(*k, *names, array_to_vector(F.array(*[F.col(n) for n in names])).alias("features"),
+                         F.array(*[F.col(_quoted(f"status:{n}")) for n in names]).alias("status"))
+    return with_column_metadata(done, "features", {"features": names})
+
+
+def _source(f: Feature) -> str:
+    if f.kind == "explorer":
+        return f"explorer:{f.field}:{f.params['agg']}_{f.params['stat']}"
+    return f"external:{f.name}" if f.kind == "external" else f"{f.kind}:{f.field}"
+
+
+def _quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def status_counts(rows: DataFrame) -> DataFrame:
+    """``feature, n_values, n_no_match, n_failed`` of collected rows; ``n_values`` counts what was collected (found,
+    not found or failed), so a feature that was not computed for a row has fewer (see :func:`assert_complete`)."""
+    names = F.array(*[F.lit(n) for n in feature_names(rows)])
+    long = rows.select(F.posexplode("status").alias("at", "s")).withColumn("feature", F.get(names, F.col("at")))
+
+    def count(condition: Column) -> Column:
+        return F.coalesce(F.sum(condition.cast("long")), F.lit(0)).cast("long")
+
+    return long.groupBy("feature").agg(count(F.col("s") != ABSENT).alias("n_values"), count(F.col("s") == NO_MATCH).alias("n_no_match"),
+                                       count(F.col("s") == FAILED).alias("n_failed"))
+
+
+def drop_failed(rows: DataFrame) -> DataFrame:
+    """Rows without a failed or absent feature."""
+    return rows.where(~F.exists("status", lambda s: s >= FAILED))
+
+
 def feature_completeness(rows: DataFrame, names: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
     """Number of collected (non-null) values per feature name, over the
     unpivoted rows; all counts must be equal (see :func:`assert_complete`)."""

@@ -67,7 +67,7 @@ def split_groups(df: DataFrame, shares: Sequence[float], output_col: str = "fold
         raise ValueError("shares must sum to 1")
     g, shares = list(group_cols), [float(s) for s in shares]
     key = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col(wiki_col).cast("string"),
-                            *[F.col(c).cast("string") for c in g]))
+                            *[F.col(c).cast("string") for c in g]))  # a null takes no part
     weights = cut_lineage(df.groupBy(wiki_col, *g).agg(F.count(F.lit(1)).alias("_w")).withColumn("_k", key))
     by_weight = Window.partitionBy(wiki_col).orderBy(F.col("_w").desc(), "_k", *g)
     heavy = weights.withColumn("_i", F.row_number().over(by_weight)).where(F.col("_i") <= HEAVY_GROUPS)
@@ -90,7 +90,12 @@ def split_groups(df: DataFrame, shares: Sequence[float], output_col: str = "fold
     light = weights.join(placed.select(wiki_col, *g), [wiki_col, *g], "left_anti")
     assignment = placed.select(wiki_col, *g, "_split").unionByName(
         _place_light(light, lacking, wiki_col, g, len(shares))).withColumnRenamed("_split", output_col)
-    return df.join(assignment, [wiki_col, *g])
+    # rows without a wiki or group belong to a group of their own and stay
+    named = assignment.select(*[F.col(c).alias(f"_of_{c}") for c in (wiki_col, *g)], output_col)
+    same = F.lit(True)
+    for c in (wiki_col, *g):
+        same = same & df[c].eqNullSafe(named[f"_of_{c}"])
+    return df.join(named, same).drop(*[f"_of_{c}" for c in (wiki_col, *g)])
 
 
 def group_k_fold(df: DataFrame, num_folds: int, output_col: str = "fold",

@@ -38,10 +38,14 @@ def hit_sets(top: DataFrame, keys: Sequence[str] = ("wikiid", "query"),
     return top.groupBy(*keys).agg(F.array_sort(F.collect_set(page_col)).alias("hit_page_ids"))
 
 
+# Sets of a group that share a frequent page are compared in blocks of this many.
+BLOCK = 1000
+
+
 def _prefix_len(size: F.Column, threshold: float) -> F.Column:
-    # Sets with J(A, B) >= t share a token within the first |A| - ceil(t|A|) + 1
-    # tokens of a common global order.
-    return size - F.ceil(F.lit(threshold) * size) + F.lit(1)
+    # Sets with J(A, B) > t share more than t|A| tokens, so one of them is among the first
+    # |A| - floor(t|A|) tokens of a common global order.
+    return size - F.floor(F.lit(threshold) * size + F.lit(1e-9))
 
 
 def set_members(sets: DataFrame, group_cols: Sequence[str], item_col: str, set_col: str) -> DataFrame:
@@ -55,8 +59,9 @@ def similar_sets(members: DataFrame, threshold: float, group_cols: Sequence[str]
     """Pairs ``sa < sb`` of distinct set ids of one group with Jaccard > ``threshold``.
 
     Steps: (1) order tokens by ascending document frequency inside the group and keep
-    each set's prefix; (2) candidate pairs = prefix self-join on (group, token); (3) verify
-    the exact Jaccard similarity."""
+    each set's prefix; (2) candidate pairs = prefix self-join on (group, token) of sets whose lengths and whose
+    places of the token in their order still allow the similarity; a token's sets are joined block
+    by block (``BLOCK``), so no task holds all pairs of a frequent one; (3) verify the exact Jaccard similarity."""
     if not threshold > 0:
         raise ValueError("threshold must be > 0 (pairs sharing nothing are never similar)")
     g = list(group_cols)
@@ -67,10 +72,18 @@ def similar_sets(members: DataFrame, threshold: float, group_cols: Sequence[str]
     by_rarity = Window.partitionBy(*g, "_sid").orderBy(F.col("_df").asc(), F.col("_tok").asc())
     prefix = (ordered.withColumn("_r", F.row_number().over(by_rarity))
               .where((F.col("_r") <= _prefix_len(F.col("_len"), threshold)) & (F.col("_df") > 1))
-              .select(*g, "_sid", "_tok"))
-    a, b = prefix.alias("a"), prefix.alias("b")
-    cand = (a.join(b, [*g, "_tok"])
-            .where(F.col("a._sid") < F.col("b._sid"))
+              .select(*g, "_sid", "_tok", "_len", "_r"))
+    shared = prefix.groupBy(*g, "_tok").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1") \
+        .select(*g, "_tok", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
+    dealt = prefix.join(shared, [*g, "_tok"]).withColumn("_own", F.pmod(F.xxhash64("_sid"), F.col("_blocks")).cast("int")) \
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))) \
+        .select(*g, "_tok", "_sid", "_len", "_r", "_own", F.least("_own", "_other").alias("_lo"), F.greatest("_own", "_other").alias("_hi"))
+    a, b = dealt.alias("a"), dealt.alias("b")
+    short, long = F.least("a._len", "b._len"), F.greatest("a._len", "b._len")
+    common = 1 + F.least(F.col("a._len") - F.col("a._r"), F.col("b._len") - F.col("b._r"))
+    cand = (a.join(b, [*g, "_tok", "_lo", "_hi"])
+            .where((F.col("a._sid") < F.col("b._sid")) & ((F.col("a._own") != F.col("b._own")) | (F.col("_lo") == F.col("_hi")))
+                   & (short > threshold * long) & (common * (1 + threshold) > threshold * (short + long) - 1e-9))
             .select(*g, F.col("a._sid").alias("sa"), F.col("b._sid").alias("sb"))
             .dropDuplicates())
     sa = distinct_sets.select(*g, F.col("_sid").alias("sa"), F.col("_set").alias("set_a"))

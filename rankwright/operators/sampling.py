@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import cut_lineage
+
 
 def page_counts(hits: DataFrame, query_cols: Sequence[str] = ("wikiid", "query"),
                 page_col: str = "hit_page_id", wiki_col: str = "wikiid") -> DataFrame:
@@ -36,18 +38,28 @@ def quantile_edges(df: DataFrame, by: str, col: str, num_buckets: int = 100) ->
 
 
 def exact_quantile_edges(counts: DataFrame, by: str, col: str, num_buckets: int) -> DataFrame:
-    """Exact lower quantile edges from a value histogram: the edge for k/N is
-    the smallest value whose cumulative count reaches k/N of the group.  The
-    window runs over the histogram (one row per distinct value), not the data.
-    Returns (by, edges array<double>) with a final +inf edge."""
+    """Exact lower quantile edges: the edge for k/N is the smallest value whose cumulative
+    count reaches k/N of the group.  Returns (by, edges array<double>) with a final +inf edge.
+
+    Distributed selection: the histogram is cut into ranges of (group, value) of about equal
+    size, which are written once; a range's count before it comes from one row a range and group, and only
+    inside a range are values counted up in order.  So a group of any number of distinct values is
+    never in one task."""
     hist = counts.groupBy(by, col).agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(by).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
-    cum = (hist.withColumn("_cum", F.sum("_c").over(w))
-           .withColumn("_tot", F.sum("_c").over(Window.partitionBy(by))))
+    ranged = cut_lineage(hist.repartitionByRange(F.col(by), F.col(col)).withColumn("_part", F.spark_partition_id()))
+    parts = ranged.groupBy(by, "_part").agg(F.sum("_c").alias("_pc"))
+    before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (parts.withColumn("_off", F.coalesce(F.sum("_pc").over(before), F.lit(0)))
+               .withColumn("_tot", F.sum("_pc").over(Window.partitionBy(by)))
+               .select(F.col(by).alias("_g"), F.col("_part").alias("_p"), "_off", "_tot"))
+    inside = Window.partitionBy("_part", by).orderBy(col).rowsBetween(Window.unboundedPreceding, 0)
+    cum = ranged.withColumn("_in", F.sum("_c").over(inside)) \
+        .join(offsets, F.col(by).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p"))) \
+        .withColumn("_cum", F.col("_off") + F.col("_in"))
     ks = F.array(*[F.lit(k) for k in range(1, num_buckets)])
-    reached = F.filter(ks, lambda k: (F.col("_cum") * num_buckets >= k * F.col("_tot")) &
+    reached = F.exists(ks, lambda k: (F.col("_cum") * num_buckets >= k * F.col("_tot")) &
                        ((F.col("_cum") - F.col("_c")) * num_buckets < k * F.col("_tot")))
-    first_hits = cum.where(F.size(reached) > 0).select(by, F.col(col).cast("double").alias("_e"))
+    first_hits = cum.where(reached).select(by, F.col(col).cast("double").alias("_e"))
     return (first_hits.groupBy(by)
             .agg(F.array_sort(F.collect_set("_e")).alias("_edges"))
             .select(by, F.concat("_edges", F.array(F.lit(float("inf")))).alias("edges")))

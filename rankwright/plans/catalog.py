@@ -9,6 +9,7 @@ from . import grouping_queries  # noqa: F401,E402
 from . import label_queries  # noqa: F401,E402
 from . import retrieval_queries  # noqa: F401,E402
 from . import feature_queries  # noqa: F401,E402
+from . import field_queries  # noqa: F401,E402
 from . import training_queries  # noqa: F401,E402
 from . import stream_queries  # noqa: F401,E402
 from . import ranker_queries  # noqa: F401,E402

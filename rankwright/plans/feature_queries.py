@@ -154,7 +154,7 @@ def q_query_token_counts(spark, sf_dir):
             .select("conv_id", "turn", "tokens_plain", "tokens_whitespace"))
 
 
-# The full default feature set (R10/R11) over the search candidates.
+# Statistics of the text field and its analyzers over the search candidates; all fields: field_queries.
 DEFAULT = default_features()
 DEFAULT_NAMES = [f.name for f in DEFAULT]
 
@@ -197,11 +197,11 @@ drx AS (SELECT *, greatest(3.0 * text_match, text_plain_match) AS text_dismax_pl
                unique_terms - unique_terms_plain AS unique_terms_diff FROM dr)"""
 
 
-@register("default_feature_rows", f"""
+@register("text_feature_rows", f"""
 WITH {DEFAULT_ROWS_SQL}
 SELECT lang, item_id, doc_id, {", ".join(f"round(coalesce({n}, 0.0), 9) AS {n}" for n in DEFAULT_NAMES)} FROM drx
 """)
-def q_default_feature_rows(spark, sf_dir):
+def q_text_feature_rows(spark, sf_dir):
     q = table(spark, sf_dir, "benchmark", "item_id", "text")
     docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text", "n_chars")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality")

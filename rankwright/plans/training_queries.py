@@ -11,7 +11,6 @@ from ..session import cut_lineage
 from ..sources.tables import TRAIN_FEATURES, TRAINING_ROWS_SQL, training_rows
 from .registry import register, rnd
 
-N_BINS = 10
 QUANTILE_BINS = 254
 SHARES = (0.8, 0.2)
 NUM_FOLDS = 3
@@ -53,12 +52,6 @@ def q_dataset_stats(spark, sf_dir):
     return selection.dataset_summary(_rounded(spark, sf_dir))
 
 
-def _binned(spark, sf_dir):
-    rows = cut_lineage(_rounded(spark, sf_dir))  # read for the splits and by every count
-    splits = selection.equal_width_splits(rows, TRAIN_FEATURES, N_BINS)
-    return selection.discretise(rows, splits)
-
-
 def _quantile_edges(rows):
     """Exact edges of ``QUANTILE_BINS`` equal-count bins of every feature, +inf last."""
     long = rows.select(*TRAIN_FEATURES).unpivot([], list(TRAIN_FEATURES), "feature", "value")
@@ -71,12 +64,20 @@ def _quantile_binned(spark, sf_dir):
     return selection.discretise(rows, splits)
 
 
-BINS_SQL = f"""{ROUNDED_SQL},
-mm AS (SELECT {", ".join(f"min({f}) AS mn_{f}, max({f}) AS mx_{f}" for f in TRAIN_FEATURES)} FROM rt),
+def _edges_sql() -> str:
+    return " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS v FROM rt" for f in TRAIN_FEATURES)
+
+
+EDGES_SQL = f"""{ROUNDED_SQL},
+v AS ({_edges_sql()}),
+r AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS i, count(*) OVER (PARTITION BY feature) AS c FROM v),
+edge AS (SELECT DISTINCT feature, v AS edge FROM r JOIN range(1, {QUANTILE_BINS}) q(j) ON i = ceil(j * c / {QUANTILE_BINS}))"""
+
+BINS_SQL = f"""{EDGES_SQL},
+el AS (SELECT {", ".join(f"list(edge) FILTER (WHERE feature = '{f}') AS e_{f}" for f in TRAIN_FEATURES)} FROM edge),
 bn AS (SELECT rt.wikiid, rt.query, rt.hit_page_id, rt.label,
-              {", ".join(f"CAST(len(list_filter(range(1, {N_BINS}), lambda k: {f} >= mn_{f} + k * "
-                         f"((mx_{f} - mn_{f}) / {N_BINS}))) AS DOUBLE) AS {f}_bin" for f in TRAIN_FEATURES)}
-       FROM rt, mm)"""
+              {", ".join(f"CAST(len(list_filter(e_{f}, lambda e: e <= {f})) AS DOUBLE) AS {f}_bin" for f in TRAIN_FEATURES)}
+       FROM rt, el)"""
 
 
 @register("feature_bins", f"""
@@ -84,7 +85,7 @@ WITH {BINS_SQL}
 SELECT wikiid, query, hit_page_id, {", ".join(f + "_bin" for f in TRAIN_FEATURES)} FROM bn
 """)
 def q_feature_bins(spark, sf_dir):
-    b = _binned(spark, sf_dir)
+    b = _quantile_binned(spark, sf_dir)
     return b.select("wikiid", "query", "hit_page_id", *[f + "_bin" for f in TRAIN_FEATURES])
 
 
@@ -106,19 +107,13 @@ FROM c JOIN ca USING (wikiid, feature, v) JOIN cb USING (wikiid, feature, y) JOI
 GROUP BY c.wikiid, c.feature
 """)
 def q_feature_mi(spark, sf_dir):
-    mi = selection.mutual_information(_binned(spark, sf_dir), TRAIN_FEATURES)
+    mi = selection.mutual_information(_quantile_binned(spark, sf_dir), TRAIN_FEATURES)
     return mi.select("wikiid", "feature", rnd("mi").alias("mi"))
 
 
-def _edges_sql() -> str:
-    return " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS v FROM rt" for f in TRAIN_FEATURES)
-
-
 @register("feature_quantiles", f"""
-WITH {ROUNDED_SQL},
-v AS ({_edges_sql()}),
-r AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS i, count(*) OVER (PARTITION BY feature) AS c FROM v)
-SELECT DISTINCT feature, v AS edge FROM r JOIN range(1, 254) q(j) ON i = ceil(j * c / 254)
+WITH {EDGES_SQL}
+SELECT feature, edge FROM edge
 """)
 def q_feature_quantiles(spark, sf_dir):
     """Exact edges of 254 equal-count bins of every feature."""

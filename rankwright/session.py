@@ -70,6 +70,29 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def retire(*frames: DataFrame) -> None:
+    """Free the disk that superseded frames of :func:`cut_lineage` hold.
+
+    Their checkpoint files are deleted; shuffle files of plans that nothing refers to go when Spark's cleaner
+    hears of the driver's collected garbage, so that is collected here.  Only for frames whose
+    every reader has been cut from them."""
+    import gc
+    jvm = None
+    for df in frames:
+        jvm = df.sparkSession._jvm
+        plan = df._jdf.queryExecution().logical()
+        if not plan.getClass().getSimpleName() == "LogicalRDD":
+            raise ValueError("only checkpointed frames can be retired")
+        file = plan.rdd().getCheckpointFile()
+        if file.isDefined():
+            path = jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    del frames
+    gc.collect()
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a CPU-heavy input only when its scan yields fewer partitions
     than the cluster can run at once (e.g. one large row group); on a real

@@ -72,6 +72,42 @@ def run_complete(markers: DataFrame, expected_partitions: int) -> DataFrame:
             .withColumn("complete", F.col("n_partitions") >= expected_partitions))
 
 
+RUN_STATUS = "run_id string, n_partitions int, complete boolean"
+
+
+def completion_stream(markers: DataFrame, expected_partitions: int, timeout_ms: int, forget_ms: int = 86_400_000) -> DataFrame:
+    """T2 as a stream: one row (``RUN_STATUS``) a run, either when markers of all request partitions were seen
+    (``complete``) or when no envelope of the run came for ``timeout_ms``.
+
+    ``markers`` are the parsed envelopes.  The state of a run is the set of its partitions, no larger than their
+    expected number, and whether it was reported; a reported run is forgotten after ``forget_ms`` without envelopes,
+    until then late ones do not report it again."""
+
+    def follow(key, batches, state):
+        import pandas as pd
+        seen, reported = state.get if state.exists else ([], False)
+        if state.hasTimedOut:
+            if reported:
+                state.remove()
+                return
+            state.update((seen, True))
+            state.setTimeoutDuration(forget_ms)
+            yield pd.DataFrame({"run_id": [key[0]], "n_partitions": [len(seen)], "complete": [False]})
+            return
+        seen = set(seen)
+        for pdf in batches:
+            marked = pdf[pdf["complete"].fillna(False).astype(bool)]["partition"].dropna()
+            seen.update(int(p) for p in marked if 0 <= int(p) < expected_partitions)
+        done = len(seen) >= expected_partitions and not reported
+        state.update((sorted(seen), reported or done))
+        state.setTimeoutDuration(forget_ms if reported or done else timeout_ms)
+        if done:
+            yield pd.DataFrame({"run_id": [key[0]], "n_partitions": [len(seen)], "complete": [True]})
+
+    return markers.where("run_id is not null").select("run_id", "complete", "partition").groupBy("run_id").applyInPandasWithState(
+        follow, RUN_STATUS, "seen array<int>, reported boolean", "append", "ProcessingTimeTimeout")
+
+
 def read_responses(spark: SparkSession, source: str, fmt: str = "json", topic: str | None = None,
                    starting_ts: int | None = None, ending_ts: int | None = None) -> DataFrame:
     """Bounded read of the response log.  For Kafka the offsets are

@@ -114,13 +114,96 @@ def update_results(results: DataFrame) -> DataFrame:
 
 
 def upsert(applied: DataFrame, current: DataFrame, key: str = "doc_id",
-           field: str = "popularity_score") -> DataFrame:
-    """T5: the documents after the updates: ``updated`` ones take the new value (of several in
-    one batch the greatest), all others stay; updates never create a document."""
-    new = applied.where(F.col("result") == "updated").groupBy(key).agg(F.max(field).alias("_new"))
+           field: str = "popularity_score", order: str | None = None) -> DataFrame:
+    """T5: the documents after the updates: ``updated`` ones take the new value, of several in one batch the last by
+    the column ``order`` (without one: the greatest); all others stay; updates never create a document."""
+    last = F.max(field) if order is None else F.max_by(field, F.struct(order, field))
+    new = applied.where(F.col("result") == "updated").groupBy(key).agg(last.alias("_new"))
     return current.join(new, key, "left").withColumn(field, F.coalesce("_new", field)).drop("_new").select(*current.columns)
 
 
+class DocumentState:
+    """Document values in hash buckets under a folder; a batch rewrites only the buckets it touches.
+
+    ``epoch=<n>/bucket=<k>`` holds bucket ``k`` as of batch ``n``; ``versions/epoch=<n>`` (one row a bucket) says which batch
+    each bucket was last written by, and is written last.  So a batch that is tried again reads the state
+    before it and replaces its own files.  ``vacuum`` removes what no kept batch refers to."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64, key: str = "doc_id"):
+        self.spark, self.path, self.buckets, self.key = spark, path.rstrip("/"), buckets, key
+
+    def _fs(self):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def _epochs(self, folder: str) -> list[int]:
+        fs, at = self._fs(), self._path(folder)
+        if not fs.exists(at):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(at)]
+        return sorted(int(n.split("=")[1]) for n in names if n.startswith("epoch="))
+
+    def versions(self, before: int | None = None) -> dict[int, int]:
+        """Batch that last wrote each bucket, as of the newest finished batch (before ``before``)."""
+        done = [e for e in self._epochs("versions") if (before is None or e < before)
+                and self._fs().exists(self._path(f"versions/epoch={e}/_SUCCESS"))]
+        if not done:
+            return {}
+        return {r.bucket: r.epoch for r in self.spark.read.parquet(f"{self.path}/versions/epoch={max(done)}").collect()}  # one row a bucket
+
+    def bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("bucket", F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets)).cast("int"))
+
+    def _write(self, rows: DataFrame, epoch: int, versions: dict[int, int]) -> None:
+        rows.repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/epoch={epoch}")
+        table = self.spark.createDataFrame(sorted(versions.items()), "bucket int, epoch bigint")
+        table.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/versions/epoch={epoch}")
+
+    def create(self, documents: DataFrame) -> None:
+        """The first state, as batch -1."""
+        rows = self.bucketed(documents)
+        held = [r.bucket for r in rows.select("bucket").distinct().collect()]  # at most the number of buckets
+        self._write(rows, -1, {b: -1 for b in held})
+
+    def read(self, before: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+        """The documents (of some buckets) as of the newest batch (before ``before``); None without any."""
+        versions = {b: e for b, e in self.versions(before).items() if buckets is None or b in buckets}
+        if not versions:
+            return None
+        paths = [f"{self.path}/epoch={e}/bucket={b}" for b, e in sorted(versions.items())]
+        return self.spark.read.parquet(*paths)
+
+    def apply(self, updates: DataFrame, epoch: int, field: str = "popularity_score", order: str | None = None) -> DataFrame:
+        """T5: apply a batch; the outcome of each update (see :func:`apply_updates`).  Only buckets with a changed
+        document are written."""
+        asked = self.bucketed(updates)
+        touched = [r.bucket for r in asked.select("bucket").distinct().collect()]
+        current = self.read(epoch, touched)
+        if current is None:
+            return updates.withColumn("_old", F.lit(None).cast("double")).withColumn("result", F.lit("missing"))
+        applied = apply_updates(updates, current, self.key, field).persist()
+        changed = [r.bucket for r in self.bucketed(applied.where("result = 'updated'")).select("bucket").distinct().collect()]
+        versions = self.versions(epoch)
+        if changed:
+            after = upsert(self.bucketed(applied).where(F.col("bucket").isin(changed)), self.read(epoch, changed), self.key, field, order)
+            self._write(self.bucketed(after), epoch, {**versions, **{b: epoch for b in changed}})
+        return applied
+
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Remove batches that none of the last ``keep`` versions refers to; the removed ones."""
+        kept = self._epochs("versions")[-keep:]
+        used = set(kept) | {e for k in kept for e in self.versions(k + 1).values()}
+        gone = [e for e in self._epochs("") if e not in used]
+        for e in gone:
+            self._fs().delete(self._path(f"epoch={e}"), True)
+        for e in self._epochs("versions")[:-keep]:
+            self._fs().delete(self._path(f"versions/epoch={e}"), True)
+        return gone
+
+
 def _last_state(spark: SparkSession, path: str, epoch: int) -> str | None:
     """Newest state before ``epoch``, by the marker Spark's writer leaves."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -136,26 +219,32 @@ def _last_state(spark: SparkSession, path: str, epoch: int) -> str | None:
 
 def update_stream(spark: SparkSession, source_dir: str, table_dir: str, checkpoint_dir: str,
                   clusters: Sequence[tuple[str, Sequence[str]]], schema_value_col: str = "value",
-                  counts_dir: str | None = None, state_dir: str | None = None):
+                  counts_dir: str | None = None, state_dir: str | None = None, state: DocumentState | None = None):
     """T4/T5 as a stream: each micro-batch is validated, routed and written per cluster under
     its epoch, replacing what an earlier try of the same batch wrote, so a replay does not
     duplicate.  ``counts_dir`` gets the number of messages by status (``missing_index`` for
-    valid ones without a cluster); ``state_dir`` holds the documents (``doc_id``,
-    ``popularity_score``, first under ``epoch=-1``), and gets their state after each batch."""
+    valid ones without a cluster), and with ``state`` the folder ``<counts_dir>-results`` the counters of what became of the
+    routed ones (A16).  ``state`` holds the documents in buckets and takes the last update of each in the order of the
+    messages; ``state_dir`` is the form for small tables, written whole under each epoch (first under ``epoch=-1``)."""
     def deliver(batch: DataFrame, epoch_id: int) -> None:
-        checked = validate_updates(batch, schema_value_col).persist()
+        checked = validate_updates(batch.withColumn("_at", F.monotonically_increasing_id()), schema_value_col).persist()
         routed = route_updates(checked.where(F.col("status") == "valid"), clusters)
-        routed.write.mode("overwrite").partitionBy("cluster").parquet(f"{table_dir}/epoch={epoch_id}")
+        routed.drop("_at").write.mode("overwrite").partitionBy("cluster").parquet(f"{table_dir}/epoch={epoch_id}")
         if counts_dir:
             lost = F.when(F.col("cluster") == "missing_index", "missing_index").otherwise("valid")
             counts = routed.select(lost.alias("status")).unionByName(
                 checked.where(F.col("status") != "valid").select("status"))
             validation_counts(counts).write.mode("overwrite").parquet(f"{counts_dir}/epoch={epoch_id}")
+        if state is not None:
+            applied = state.apply(routed.where(F.col("cluster") != "missing_index"), epoch_id, order="_at")
+            if counts_dir:
+                update_results(as_results(applied)).write.mode("overwrite").parquet(f"{counts_dir}-results/epoch={epoch_id}")
+            applied.unpersist()
         before = _last_state(spark, state_dir, epoch_id) if state_dir else None
         if before:
             current = spark.read.parquet(before)
             applied = apply_updates(routed.where(F.col("cluster") != "missing_index"), current)
-            upsert(applied, current).write.mode("overwrite").parquet(f"{state_dir}/epoch={epoch_id}")
+            upsert(applied, current, order="_at").write.mode("overwrite").parquet(f"{state_dir}/epoch={epoch_id}")
         checked.unpersist()
 
     return (spark.readStream.text(source_dir).writeStream

@@ -97,3 +97,31 @@ def test_at_least_n_distinct_grouped(spark, limit, values, expected):
     df = spark.createDataFrame([("k", v) for v in values] + [("k", None)], "k string, v string")
     got = df.groupBy("k").agg(at_least_n_distinct("v", limit).alias("ok")).first().ok
     assert got == expected
+
+
+def test_sets_that_share_one_page_finish(spark):
+    """100,000 distinct sets around one page; the near pairs among them are found."""
+    n = 100_000
+    sets = spark.range(n).select(
+        F.lit("w").alias("wikiid"), F.lit("n").alias("norm_query"), F.col("id").cast("string").alias("query"),
+        F.array(F.lit(-1).cast("long"), F.col("id"), F.floor(F.col("id") / 2) + 10 * n,
+                F.when(F.col("id") % 1000 < 2, F.floor(F.col("id") / 2) + 20 * n).otherwise(F.col("id") + 30 * n)).alias("hit_page_ids"))
+    got = grouping.group_items(sets, 0.5, ["wikiid", "norm_query"], "query").groupBy("group_query").count().where("count > 1")
+    # 2k and 2k + 1 share three pages of five where 2k % 1000 is 0, else two of six
+    assert sorted((int(r.group_query), r["count"]) for r in got.collect()) == [(k, 2) for k in range(0, n, 1000)]
+
+
+def test_blocks_and_filters_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(grouping, "BLOCK", 7)
+    rng = np.random.default_rng(12)
+    rows = sorted({tuple(sorted(set(rng.choice([0, 0, 1, 2, *range(3, 14)], rng.integers(1, 7)).tolist()))) for _ in range(150)})
+    df = spark.createDataFrame([("w", "n", f"q{i}", list(r)) for i, r in enumerate(rows)],
+                               "wikiid string, norm_query string, query string, hit_page_ids array<int>")
+    for t in (0.3, 0.5, 0.75):
+        got = {(r.query_a, r.query_b): r.jaccard for r in grouping.query_similarity(df, t).collect()}
+        want = {}
+        for (i, a), (j, b) in itertools.combinations(enumerate(rows), 2):
+            x = len(set(a) & set(b)) / len(set(a) | set(b))
+            if x > t:
+                want[min(f"q{i}", f"q{j}"), max(f"q{i}", f"q{j}")] = x
+        assert got == pytest.approx(want)

@@ -2,6 +2,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rankwright.streaming import counters, responses, updates
 
@@ -198,3 +199,68 @@ def test_update_stream_state_counts_and_replay(spark, tmp_path):
         "valid": 3, "missing_index": 1, "bad_json": 1, "fail_validate": 1}
     after = {r.doc_id: r.popularity_score for r in spark.read.parquet(f"{state}/epoch=0").collect()}
     assert after == {"1": 0.5, "2": 0.1, "9": 0.7}  # changed, within a fifth, unroutable; 7 is not created
+
+
+def _messages(*rows):
+    return "\n".join(json.dumps({"_index": i, "_id": d, "_source": {"popularity_score": v}}) for i, d, v in rows) + "\n"
+
+
+def test_document_state_rewrites_touched_buckets_and_keeps_the_last_update(spark, tmp_path):
+    src, out, counts, at = (str(tmp_path / x) for x in ("upd", "table", "counts", "state"))
+    state = updates.DocumentState(spark, at, buckets=8)
+    docs = spark.range(200).select(F.col("id").cast("string").alias("doc_id"), F.lit(0.1).alias("popularity_score"))
+    state.create(docs)
+    (tmp_path / "upd").mkdir()
+
+    def run(checkpoint):
+        q = updates.update_stream(spark, src, out, checkpoint, [("a", ["en"])], counts_dir=counts, state=state) \
+            .trigger(availableNow=True).start()
+        q.awaitTermination(180)
+
+    # the last of three wins although it is not the greatest; 5 is within a fifth, 999 does not exist, xx has no cluster
+    (tmp_path / "upd" / "a.txt").write_text(_messages(("en", 3, 0.9), ("en", 3, 0.7), ("en", 3, 0.4), ("en", 5, 0.11), ("en", 999, 1.0), ("xx", 7, 5.0)))
+    run(str(tmp_path / "ck"))
+    first = {r.doc_id: r.popularity_score for r in state.read().collect()}
+    run(str(tmp_path / "ck2"))  # the batch once more, as after a lost commit
+    assert {r.doc_id: r.popularity_score for r in state.read().collect()} == first
+    assert len(first) == 200 and first["3"] == 0.4 and {v for k, v in first.items() if k != "3"} == {0.1}
+    written = [p.name for p in (tmp_path / "state" / "epoch=0").iterdir() if p.name.startswith("bucket=")]
+    assert len(written) == 1 and len([p for p in (tmp_path / "state" / "epoch=-1").iterdir() if p.name.startswith("bucket=")]) == 8
+    got = {r.counter: r.n for r in spark.read.parquet(counts + "-results/epoch=0").collect()}
+    assert got == {"updated": 3, "noop": 1, "missing": 1, "created": 0, "ok_unknown": 0, "failed": 0}
+    # a batch that changes nothing writes nothing; a later one builds on the buckets' last versions
+    assert state.apply(spark.createDataFrame([("5", 0.1, 0)], "doc_id string, popularity_score double, _at bigint"), 1, order="_at") \
+        .first().result == "noop"
+    state.apply(spark.createDataFrame([("3", 5.0, 0), ("4", 6.0, 1)], "doc_id string, popularity_score double, _at bigint"), 2, order="_at")
+    now = {r.doc_id: r.popularity_score for r in state.read().collect()}
+    assert now["3"] == 5.0 and now["4"] == 6.0 and len(now) == 200
+    assert {r.doc_id: r.popularity_score for r in state.read(before=2).collect()} == first
+    state.vacuum(keep=1)
+    assert {r.doc_id: r.popularity_score for r in state.read().collect()} == now
+
+
+def test_completion_stream_reports_complete_and_timed_out_runs_once(spark, tmp_path):
+    import time
+    src = tmp_path / "markers"
+    src.mkdir()
+
+    def send(name, *rows):
+        (src / name).write_text("".join(json.dumps({"run_id": r, "complete": c, "partition": p}) + "\n" for r, c, p in rows))
+
+    send("a.json", ("full", True, 0), ("full", True, 1), ("full", True, 1), ("part", True, 0), ("part", None, None), ("part", True, 7))
+    envelopes = responses.parse_envelopes(spark.readStream.text(str(src)))
+    q = responses.completion_stream(envelopes, 2, timeout_ms=2500).writeStream.format("memory").queryName("completion_out") \
+        .outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(processingTime="200 milliseconds").start()
+    try:
+        def reported():
+            return sorted((r.run_id, r.n_partitions, r.complete) for r in spark.sql("select * from completion_out").collect())
+        deadline = time.time() + 90
+        while len(reported()) < 2 and time.time() < deadline:
+            time.sleep(0.3)
+        assert reported() == [("full", 2, True), ("part", 1, False)]
+        send("b.json", ("full", True, 0), ("part", True, 1), ("full", True, 1))  # too late and repeated
+        q.processAllAvailable()
+        time.sleep(3)
+        assert reported() == [("full", 2, True), ("part", 1, False)]
+    finally:
+        q.stop()
