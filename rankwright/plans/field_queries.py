@@ -1,13 +1,11 @@
 """Registered queries over several fields of ``documents`` and ``pages``: statistics, full search, phrases,
-the full feature set and its status.
+the full feature set.
 
 Queries are the whole ``benchmark`` texts and the titles of all pages.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions.expressions import PHRASE_TOKENS, Feature, full_features
 from ..operators import features as FT
 from ..operators import field_index as X
@@ -37,14 +35,14 @@ UNION ALL SELECT {keys}, f AS field, [array_to_string(toks, ' ')] AS toks FROM {
 
 
 INDEX_SQL = f"""{SEARCHABLE_SQL},
-ftp AS (SELECT lang, doc_id, f, {TOK} AS toks FROM ({_rows_of("sd", "lang, doc_id")})),
-ft AS (SELECT * FROM ({_tokens_sql("ftp", "lang, doc_id")}) WHERE len(toks) > 0),
-fp AS (SELECT lang, doc_id, field, term, dl, count(*) AS tf FROM (
+ftp AS MATERIALIZED (SELECT lang, doc_id, f, {TOK} AS toks FROM ({_rows_of("sd", "lang, doc_id")})),
+ft AS MATERIALIZED (SELECT * FROM ({_tokens_sql("ftp", "lang, doc_id")}) WHERE len(toks) > 0),
+fp AS MATERIALIZED (SELECT lang, doc_id, field, term, dl, count(*) AS tf FROM (
          SELECT lang, doc_id, field, CAST(len(toks) AS INTEGER) AS dl, unnest(toks) AS term FROM ft) GROUP BY ALL),
-fst AS (SELECT lang, field, count(*) AS n_docs, avg(len(toks)) AS avg_dl FROM ft GROUP BY ALL),
-fdf AS (SELECT lang, field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ttf FROM fp GROUP BY ALL),
-sqp AS (SELECT item_id, f, {TOK} AS toks FROM (SELECT item_id, text, unnest([{", ".join(f"'{f}'" for f in FIELDS)}]) AS f FROM sq)),
-fq AS (SELECT item_id, field, CAST(len(list_distinct(toks)) AS INTEGER) AS n_terms, unnest(list_distinct(toks)) AS term
+fst AS MATERIALIZED (SELECT lang, field, count(*) AS n_docs, avg(len(toks)) AS avg_dl FROM ft GROUP BY ALL),
+fdf AS MATERIALIZED (SELECT lang, field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ttf FROM fp GROUP BY ALL),
+sqp AS MATERIALIZED (SELECT item_id, f, {TOK} AS toks FROM (SELECT item_id, text, unnest([{", ".join(f"'{f}'" for f in FIELDS)}]) AS f FROM sq)),
+fq AS MATERIALIZED (SELECT item_id, field, CAST(len(list_distinct(toks)) AS INTEGER) AS n_terms, unnest(list_distinct(toks)) AS term
        FROM ({_tokens_sql("sqp", "item_id")}))"""
 
 
@@ -58,19 +56,19 @@ def _group_sql(name: str, weight: float) -> str:
 
 _TOTAL = " + ".join((f"greatest({', '.join(_group_sql(*p) for p in g)})" if len(g) > 1 else _group_sql(*g[0])) for g in X.GROUPS)
 SEARCH_SQL = f"""
-held AS (SELECT DISTINCT lang, item_id, doc_id FROM (
+held AS MATERIALIZED (SELECT DISTINCT lang, item_id, doc_id FROM (
            SELECT lang, item_id, doc_id, field FROM fq JOIN fp USING (field, term) WHERE field IN ({", ".join(f"'{f}'" for f in X.REQUIRED)})
            GROUP BY lang, item_id, doc_id, field HAVING count(*) = max(n_terms))),
 named AS (SELECT DISTINCT lang, item_id, doc_id FROM fq JOIN fp USING (field, term) WHERE field = '{X.NEAR_MATCH[0]}'),
-prs AS (SELECT lang, item_id, doc_id, bool_or(h) AS held FROM (SELECT *, true AS h FROM held UNION ALL SELECT *, false FROM named) GROUP BY ALL),
-fs AS (SELECT p.lang, p.item_id, p.doc_id, q.field,
+prs AS MATERIALIZED (SELECT lang, item_id, doc_id, bool_or(h) AS held FROM (SELECT *, true AS h FROM held UNION ALL SELECT *, false FROM named) GROUP BY ALL),
+fs AS MATERIALIZED (SELECT p.lang, p.item_id, p.doc_id, q.field,
               sum(ln(1 + (s.n_docs - d.df + 0.5) / (d.df + 0.5)) * t.tf * (1.2 + 1) / (t.tf + 1.2 * (1 - 0.75 + 0.75 * t.dl / s.avg_dl))) AS score
        FROM prs p JOIN fq q ON q.item_id = p.item_id
        JOIN fp t ON t.lang = p.lang AND t.doc_id = p.doc_id AND t.field = q.field AND t.term = q.term
        JOIN fdf d ON d.lang = p.lang AND d.field = q.field AND d.term = q.term
        JOIN fst s ON s.lang = p.lang AND s.field = q.field GROUP BY ALL),
 summed AS (SELECT lang, item_id, doc_id, {_TOTAL} AS total, {X.NEAR_MATCH[1]} * {_of(X.NEAR_MATCH[0])} AS near FROM fs GROUP BY lang, item_id, doc_id),
-ftop AS (SELECT * FROM (
+ftop AS MATERIALIZED (SELECT * FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY lang, item_id ORDER BY round(score, 9) DESC, doc_id) AS INTEGER) AS rank FROM (
     SELECT p.lang, p.item_id, p.doc_id, CASE WHEN held THEN coalesce(total, 0.0) ELSE 0.0 END + coalesce(near, 0.0) AS score
     FROM prs p LEFT JOIN summed m ON m.lang = p.lang AND m.item_id = p.item_id AND m.doc_id = p.doc_id)) WHERE rank <= {TOP_N})"""
@@ -106,7 +104,7 @@ def _phrase_sql(pairs: str, fields) -> str:
 qph AS (SELECT item_id, field, ' ' || array_to_string(toks, '  ') || ' ' AS pq FROM ({_tokens_sql("sqp", "item_id")})
         WHERE len(toks) > 0 AND field IN ({", ".join(f"'{f}'" for f in fields)})),
 dph AS (SELECT lang, doc_id, field, '  ' || array_to_string(toks, '  ') || '  ' AS pd FROM ft),
-phf AS (SELECT * FROM (SELECT c.lang, c.item_id, c.doc_id, q.field,
+phf AS MATERIALIZED (SELECT * FROM (SELECT c.lang, c.item_id, c.doc_id, q.field,
                CAST((length(pd) - length(replace(pd, pq, ''))) / length(pq) AS BIGINT) AS phrase_freq
                FROM {pairs} c JOIN qph q USING (item_id) JOIN dph d ON d.lang = c.lang AND d.doc_id = c.doc_id AND d.field = q.field)
         WHERE phrase_freq > 0)"""
@@ -152,20 +150,20 @@ def _stages(inner: str) -> str:
 
 
 ROWS_SQL = f"""{INDEX_SQL},{SEARCH_SQL},{_phrase_sql("ftop", X.DEFAULT_PHRASE_FIELDS)},
-mt AS (SELECT lang, item_id, doc_id, {", ".join(f"max(CASE WHEN field = '{m}' THEN score END) AS {chr(34)}{m}{chr(34)}" for m in _MATCHED)}
+mt AS MATERIALIZED (SELECT lang, item_id, doc_id, {", ".join(f"max(CASE WHEN field = '{m}' THEN score END) AS {chr(34)}{m}{chr(34)}" for m in _MATCHED)}
        FROM fs GROUP BY lang, item_id, doc_id),
-exl AS (SELECT lang, item_id, field, {", ".join(f"{fn}({st}) AS {a}_{st}" for st in R.STATS for a, fn in _FUNCTIONS.items())} FROM (
+exl AS MATERIALIZED (SELECT lang, item_id, field, {", ".join(f"{fn}({st}) AS {a}_{st}" for st in R.STATS for a, fn in _FUNCTIONS.items())} FROM (
           SELECT p.lang, p.item_id, q.field, CAST(coalesce(d.df, 0) AS DOUBLE) AS raw_df, CAST(coalesce(d.ttf, 0) AS DOUBLE) AS raw_ttf,
                  1.0 + ln((s.n_docs + 1.0) / (coalesce(d.df, 0) + 1.0)) AS classic_idf
           FROM (SELECT DISTINCT lang, item_id FROM ftop) p JOIN fq q ON q.item_id = p.item_id
           JOIN fst s ON s.lang = p.lang AND s.field = q.field
           LEFT JOIN fdf d ON d.lang = p.lang AND d.field = q.field AND d.term = q.term) GROUP BY ALL),
-ext AS (SELECT lang, item_id, {", ".join(f"max(CASE WHEN field = '{f.field}' THEN {f.params['agg']}_{f.params['stat']} END) AS {f.name}" for f in _EXPLORED)}
+ext AS MATERIALIZED (SELECT lang, item_id, {", ".join(f"max(CASE WHEN field = '{f.field}' THEN {f.params['agg']}_{f.params['stat']} END) AS {f.name}" for f in _EXPLORED)}
         FROM exl GROUP BY lang, item_id),
-pt AS (SELECT lang, item_id, doc_id, {", ".join(f"max(CASE WHEN field = '{p}' THEN phrase_freq END) AS {chr(34)}{p}{chr(34)}" for p in X.DEFAULT_PHRASE_FIELDS)}
+pt AS MATERIALIZED (SELECT lang, item_id, doc_id, {", ".join(f"max(CASE WHEN field = '{p}' THEN phrase_freq END) AS {chr(34)}{p}{chr(34)}" for p in X.DEFAULT_PHRASE_FIELDS)}
        FROM phf GROUP BY lang, item_id, doc_id),
-cnt AS (SELECT item_id, len(toks) AS n_tokens, len(list_distinct({STEM})) AS title, len(list_distinct(toks)) AS title_plain FROM sqp WHERE f = 'title'),
-rows0 AS (SELECT t.lang, t.item_id, t.doc_id, {_DIRECT} FROM ftop t
+cnt AS MATERIALIZED (SELECT item_id, len(toks) AS n_tokens, len(list_distinct({STEM})) AS title, len(list_distinct(toks)) AS title_plain FROM sqp WHERE f = 'title'),
+rows0 AS MATERIALIZED (SELECT t.lang, t.item_id, t.doc_id, {_DIRECT} FROM ftop t
   LEFT JOIN mt m ON m.lang = t.lang AND m.item_id = t.item_id AND m.doc_id = t.doc_id
   LEFT JOIN ext e ON e.lang = t.lang AND e.item_id = t.item_id
   LEFT JOIN pt p ON p.lang = t.lang AND p.item_id = t.item_id AND p.doc_id = t.doc_id
@@ -184,19 +182,3 @@ SELECT lang, item_id, doc_id, {", ".join(f"round({n}, {DIGITS}) AS {n}" for n in
 def q_default_feature_rows(spark, sf_dir):
     rows = _full_rows(spark, sf_dir)
     return rows.select("lang", "item_id", "doc_id", *[rnd(n, DIGITS).alias(n) for n in NAMES])
-
-
-@register("feature_status", f"""
-WITH {ROWS_SQL}
-{" UNION ALL ".join(f"SELECT '{f.name}' AS feature, count(*) AS n_values, count(*) FILTER (WHERE {test}) AS n_no_match, 0 AS n_failed FROM ftop t "
-                    "LEFT JOIN mt m ON m.lang = t.lang AND m.item_id = t.item_id AND m.doc_id = t.doc_id "
-                    "LEFT JOIN pt p ON p.lang = t.lang AND p.item_id = t.item_id AND p.doc_id = t.doc_id "
-                    "LEFT JOIN cnt c ON c.item_id = t.item_id"
-                    for f, test in [(f, f'm.{chr(34)}{f.field}{chr(34)} IS NULL') for f in FEATURES if f.kind == 'match']
-                    + [(f, f'n_tokens <= 1 OR n_tokens > {PHRASE_TOKENS} OR p.{chr(34)}{f.params["feature"].field}{chr(34)} IS NULL')
-                       for f in FEATURES if f.kind == 'token_router'])}
-""")
-def q_feature_status(spark, sf_dir):
-    """Collected, not found and failed values of every match and routed feature."""
-    shown = [f.name for f in FEATURES if f.kind in ("match", "token_router")]
-    return FT.status_counts(_full_rows(spark, sf_dir)).where(F.col("feature").isin(shown))
