@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from ..session import cut_lineage
+from ..session import cut_lineage, retire
 from . import textcodes
 
 PERMUTATIONS = 30
@@ -104,8 +104,10 @@ def profile(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         .mapInArrow(scan, schema)
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """``(doc_id, codes)``: the sorted distinct shingle codes as bytes."""
+def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(doc_id, codes)`` of the ``wanted`` ids, written once: the sorted distinct shingle codes as bytes.
+
+    Texts are shuffled once; what is written stays dealt by ``doc_id``, so joins on it do not move it again."""
 
     def scan(batches):
         for batch in batches:
@@ -115,7 +117,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
                 data = pa.array([codes[offset[i]:offset[i + 1]].tobytes() for i in range(len(held))], pa.binary())
                 yield pa.RecordBatch.from_arrays([ids.slice(first, len(held)), data], names=["doc_id", "codes"])
 
-    return docs.mapInArrow(scan, "doc_id bigint, codes binary")
+    return cut_lineage(docs.join(wanted, "doc_id", "left_semi").mapInArrow(scan, "doc_id bigint, codes binary"))
 
 
 def similar(a: bytes, b: bytes, percent: int) -> bool:
@@ -178,7 +180,7 @@ def _divided(rows: DataFrame, *place: str) -> DataFrame:
     return found.groupBy("n", "who").agg(F.min(F.struct(*place)).alias("p")).select("n", "p.*")
 
 
-def _rest_links(members: DataFrame, component: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _rest_links(members: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between components inside buckets that the stars left divided.
 
     Similar sets have similar sizes, so a bucket falls into cells of one size class each
@@ -193,7 +195,7 @@ def _rest_links(members: DataFrame, component: DataFrame, docs: DataFrame, perce
             F.struct(size_class.alias("cell"), F.lit(False).alias("guest")),
             F.struct((size_class + 1).alias("cell"), F.lit(True).alias("guest")))).alias("c")).select(
                 "bucket", "rep", "component", "c.*")
-    rows = cut_lineage(rows)
+    rows = by_cell = cut_lineage(rows)
     cells = _divided(rows, "bucket", "cell")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = rows.join(cells, ["bucket", "cell"]).select(
@@ -204,7 +206,7 @@ def _rest_links(members: DataFrame, component: DataFrame, docs: DataFrame, perce
     rows = cut_lineage(rows.select(
         F.xxhash64("bucket", "cell", F.least("own", "other"), F.greatest("own", "other")).alias("place"),
         "doc_id", "component", "guest").distinct())
-    sets = full_sets(docs.join(rows.select("doc_id").distinct(), "doc_id", "left_semi"))
+    retire(by_cell)
     # a task takes whole places, about TASK_ROWS members together
     tasks = max(1, -(-rows.count() // TASK_ROWS))
 
@@ -234,19 +236,21 @@ def components(docs: DataFrame, percent: int = PERCENT, keep: Sequence[str] = ()
     members = cut_lineage(members.join(hubs.select("bucket", "hub"), "bucket"))
     pairs = cut_lineage(members.where("rep > hub").select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct())
     wanted = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    sets = full_sets(docs.join(wanted, "doc_id", "left_semi"))
+    sets = full_sets(docs, wanted)
     links = cut_lineage(_confirmed(pairs, sets, percent))
     stars = connected_components(links, "u", "v")
     alone = wanted.join(stars.select(F.col("vertex").alias("doc_id")), "doc_id", "left_anti") \
         .select(F.col("doc_id").alias("vertex"), F.col("doc_id").alias("component"))
     component = cut_lineage(stars.unionByName(alone))
-    rest = cut_lineage(_rest_links(members, component, docs, percent))
+    retire(pairs)
+    rest = cut_lineage(_rest_links(members, component, sets, percent))
     if rest.take(1):
         component = cut_lineage(connected_components(links.union(rest), "u", "v"))
-    nodes = reps.join(component.withColumnRenamed("vertex", "rep"), "rep", "left").select(
-        "k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    nodes = cut_lineage(reps.join(component.withColumnRenamed("vertex", "rep"), "rep", "left").select(
+        "k1", "k2", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
+    retire(members, sets, links, rest, component)
     # a hot set key is split by adaptive skew handling: both sides are plain shuffles
-    return found.join(cut_lineage(nodes), ["k1", "k2", "n_shingles"], "left").select(
+    return found.drop("buckets").join(nodes, ["k1", "k2", "n_shingles"], "left").select(
         "doc_id", "n_shingles", "component_id", *keep)
 
 

@@ -3,9 +3,10 @@
 ``find_spans(text)`` is a column of spans ordered by kind, then start (code
 points, end exclusive).  Four base kinds are always reported once their check
 holds (mail address, IPv4 address, payment card with Luhn, international phone
-number); ``iban`` is an added kind, confirmed by its mod-97 check and reported
-from ``min_score`` up.  Each span has a score: the kind's prior, raised or
-lowered by words standing near it.
+number); ``iban`` (confirmed by its mod-97 check) and ``ssn`` (three groups of digits, confirmed by the
+numbers that are never issued) are added kinds, reported from ``min_score`` up.  Each span has a score: the kind's
+prior, raised or lowered by words standing near it.  The shape of an ``ssn`` alone is too weak: a nearby word must
+support it, and none may speak against it.
 
 Edge cases: null and empty texts have no spans; texts of any length are read
 whole; every pattern is scanned in time linear in the text (no start is tried
@@ -23,16 +24,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = BASE_KINDS + ("iban",)
+KINDS = BASE_KINDS + ("iban", "ssn")
 SPAN_TYPE = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
-PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.9}
+PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.9, "phone": 0.7, "iban": 0.9, "ssn": 0.35}
+GAIN = {"ssn": 0.3}
+USUAL_GAIN = 0.1
 SUPPORT = {
     "email": ("mail", "contact", "write"),
     "ip": ("ip", "host", "server", "address", "login"),
     "card": ("card", "visa", "mastercard", "credit", "payment", "pay"),
     "phone": ("phone", "tel", "call", "mobile", "fax"),
     "iban": ("iban", "bank", "account", "transfer"),
+    "ssn": ("ssn", "social", "security", "taxpayer"),
 }
 DOUBT = ("version", "release", "example", "sample", "serial", "isbn", "order", "test")
 CONTEXT_CHARS = 48
@@ -44,6 +48,7 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _DIGITS = re.compile(r"[^0-9]")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -106,7 +111,14 @@ def _ibans(text: str):
             yield m.start(), m.end()
 
 
-FINDERS = {"email": _mails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans}
+def _ssns(text: str):
+    for m in _SSN.finditer(text):
+        area, group, serial = m.groups()
+        if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
+            yield m.start(), m.end()
+
+
+FINDERS = {"email": _mails, "ip": _ips, "card": _cards, "phone": _phones, "iban": _ibans, "ssn": _ssns}
 
 
 def _score(text: str, kind: str, start: int, end: int) -> float:
@@ -114,7 +126,7 @@ def _score(text: str, kind: str, start: int, end: int) -> float:
     words = {w.lower() for w in _WORD.findall(near)}
     score = PRIOR[kind]
     if words.intersection(SUPPORT[kind]):
-        score += 0.1
+        score += GAIN.get(kind, USUAL_GAIN)
     if words.intersection(DOUBT):
         score -= 0.25
     return round(min(1.0, max(0.0, score)), 3)

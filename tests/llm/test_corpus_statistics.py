@@ -315,3 +315,19 @@ def test_equal_states_of_an_automaton_are_one():
     assert len(automata.Automaton.build(words, rows, np.arange(6)).source) == 10
     one = automata.Automaton.build(words, rows[:0], np.zeros(0, np.int64))
     assert one.paths()[0].shape == (0, 3) and a.compose(automata.Automaton.from_bytes(one.to_bytes())).tolist() == []
+
+
+# -- personal data: context decides -----------------------------------------------
+def test_context_words_decide_on_weak_kinds(spark):
+    from rankwright.llm import pii
+    texts = {"My social security number is 219-09-9999, keep it.": True, "Part 219-09-9999 is sold out.": False,
+             "Example social security number: 219-09-9999": False, "SSN 000-12-3456": False, "ssn 219-09-99991": False,
+             "ssn " + "x" * 60 + " 219-09-9999": False, "219-09-9999 (taxpayer)": True}
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(90, None), (91, "")], "doc_id bigint, text string") \
+        .withColumn("spans", F.lit("clash")).withColumn("score", F.lit(1))
+    got = {r.doc_id: [s["kind"] for s in r.spans] for r in pii.pii_report(docs).collect()}
+    assert got == {i: ["ssn"] if want else [] for i, want in enumerate(texts.values())} | {90: [], 91: []}
+    # without a limit the same spans are there: it is the context that leaves them out
+    assert [k for k, *_ in pii.spans_of("Part 219-09-9999 is sold out.", 0.0)] == ["ssn"]
+    assert pii.redact_text("social security 219-09-9999") == "social security <SSN>"
+    assert pii.redact_text("Part 219-09-9999") == "Part 219-09-9999"
