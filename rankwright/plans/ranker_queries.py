@@ -89,6 +89,6 @@ def q_param_search(spark, sf_dir):
     data = _vectors(spark, sf_dir)
     k = folds.group_k_fold(data, NUM_FOLDS, "fold", ("query",), seed=SEED)
     n_obs = data.count()
-    base, stages = rank_model.tune_stages(n_obs, initial_trees=2, final_trees=None, initial_iterations=2)
+    base, stages = rank_model.tune_stages(n_obs)
     _, table = rank_model.search_params(k, stages, base)
     return table
