@@ -258,8 +258,10 @@ def test_completion_stream_reports_complete_and_timed_out_runs_once(spark, tmp_p
         while len(reported()) < 2 and time.time() < deadline:
             time.sleep(0.3)
         assert reported() == [("full", 2, True), ("part", 1, False)]
+        read = sum(b["numInputRows"] for b in q.recentProgress)
         send("b.json", ("full", True, 0), ("part", True, 1), ("full", True, 1))  # too late and repeated
-        q.processAllAvailable()
+        while sum(b["numInputRows"] for b in q.recentProgress) < read + 3 and time.time() < deadline:
+            time.sleep(0.3)  # batches go on for the timers, so there is no idle state to wait for
         time.sleep(3)
         assert reported() == [("full", 2, True), ("part", 1, False)]
     finally:
