@@ -11,6 +11,7 @@ from ..session import cut_lineage
 from ..sources.tables import TRAIN_FEATURES, TRAINING_ROWS_SQL, training_rows
 from .registry import register, rnd
 
+N_BINS = 10
 QUANTILE_BINS = 254
 SHARES = (0.8, 0.2)
 NUM_FOLDS = 3
@@ -52,6 +53,13 @@ def q_dataset_stats(spark, sf_dir):
     return selection.dataset_summary(_rounded(spark, sf_dir))
 
 
+def _binned(spark, sf_dir):
+    """Bins of equal width, for comparison."""
+    rows = cut_lineage(_rounded(spark, sf_dir))  # read for the splits and by every count
+    splits = selection.equal_width_splits(rows, TRAIN_FEATURES, N_BINS)
+    return selection.discretise(rows, splits)
+
+
 def _quantile_edges(rows):
     """Exact edges of ``QUANTILE_BINS`` equal-count bins of every feature, +inf last."""
     long = rows.select(*TRAIN_FEATURES).unpivot([], list(TRAIN_FEATURES), "feature", "value")
