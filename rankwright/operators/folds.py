@@ -66,8 +66,17 @@ def split_groups(df: DataFrame, shares: Sequence[float], output_col: str = "fold
     if abs(1 - sum(shares)) >= 0.01:
         raise ValueError("shares must sum to 1")
     g, shares = list(group_cols), [float(s) for s in shares]
+    keyed = F.lit(True)
+    for c in (wiki_col, *g):
+        keyed = keyed & F.col(c).isNotNull()
+    # rows without a wiki or group stay: their group goes to a split drawn by a hash of what they have
+    keyless, df = df.where(~keyed), df.where(keyed)
+    drawn = F.pmod(F.xxhash64(F.lit(seed), F.to_json(F.array(*[F.col(c).cast("string") for c in (wiki_col, *g)]))), F.lit(1 << 20)) / float(1 << 20)
+    by_hash = F.lit(len(shares) - 1)
+    for j in reversed(range(len(shares) - 1)):
+        by_hash = F.when(drawn < sum(shares[:j + 1]), F.lit(j)).otherwise(by_hash)
     key = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col(wiki_col).cast("string"),
-                            *[F.col(c).cast("string") for c in g]))  # a null takes no part
+                            *[F.col(c).cast("string") for c in g]))
     weights = cut_lineage(df.groupBy(wiki_col, *g).agg(F.count(F.lit(1)).alias("_w")).withColumn("_k", key))
     by_weight = Window.partitionBy(wiki_col).orderBy(F.col("_w").desc(), "_k", *g)
     heavy = weights.withColumn("_i", F.row_number().over(by_weight)).where(F.col("_i") <= HEAVY_GROUPS)
@@ -90,12 +99,7 @@ def split_groups(df: DataFrame, shares: Sequence[float], output_col: str = "fold
     light = weights.join(placed.select(wiki_col, *g), [wiki_col, *g], "left_anti")
     assignment = placed.select(wiki_col, *g, "_split").unionByName(
         _place_light(light, lacking, wiki_col, g, len(shares))).withColumnRenamed("_split", output_col)
-    # rows without a wiki or group belong to a group of their own and stay
-    named = assignment.select(*[F.col(c).alias(f"_of_{c}") for c in (wiki_col, *g)], output_col)
-    same = F.lit(True)
-    for c in (wiki_col, *g):
-        same = same & df[c].eqNullSafe(named[f"_of_{c}"])
-    return df.join(named, same).drop(*[f"_of_{c}" for c in (wiki_col, *g)])
+    return df.join(assignment, [wiki_col, *g]).unionByName(keyless.withColumn(output_col, by_hash.cast("bigint")))
 
 
 def group_k_fold(df: DataFrame, num_folds: int, output_col: str = "fold",
