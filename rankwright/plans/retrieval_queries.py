@@ -99,7 +99,7 @@ def _explore_select(prefix: str = "") -> str:
 
 # ---------------------------------------------------------------- Spark side
 def _inputs(spark, sf_dir):
-    """Queries and the document index (postings built once, reused by every
+    """Queries and the document index (statistics made once, reused by every
     feature of the query)."""
     docs = table(spark, sf_dir, "documents", "doc_id", "lang", "text", "n_chars")
     return table(spark, sf_dir, "benchmark", "item_id", "text"), R.build_index(docs)
@@ -177,17 +177,15 @@ def q_token_router(spark, sf_dir):
     rows = R.match_score(q, docs, "text_plain").select("lang", "item_id", "doc_id")
     ph = R.phrase_match(q, docs)
     n_tok = q.select("item_id", F.size(R.analyze("text", "plain")).alias("n_tokens"))
-    return (rows.join(n_tok, "item_id").join(ph, ["lang", "item_id", "doc_id"], "left")
+    return (rows.join(F.broadcast(n_tok), "item_id").join(ph, ["lang", "item_id", "doc_id"], "left")
             .select("lang", "item_id", "doc_id",
                     R.token_router("n_tokens", "phrase_freq", ROUTER_LIMIT).alias("phrase_routed")))
 
 
 def _dismax_rows(q, docs):
     from ..functions.expressions import dismax
-    a = R.match_score(q, docs, "text").select("lang", "item_id", "doc_id", F.col("score").alias("text_match"))
-    b = R.match_score(q, docs, "text_plain").select("lang", "item_id", "doc_id",
-                                                   F.col("score").alias("text_plain_match"))
-    both = (a.join(b, ["lang", "item_id", "doc_id"], "full")
+    both = (R.match_scores(q, docs, ["text", "text_plain"])
+            .withColumnsRenamed({"text": "text_match", "text_plain": "text_plain_match"})
             .fillna(0.0, ["text_match", "text_plain_match"]))
     return both.withColumn("text_dismax_plain", dismax(["text_match", "text_plain_match"], weights=[3, 1]))
 

@@ -61,3 +61,26 @@ def test_phrase_counts_back_to_back(spark):
     q = spark.createDataFrame([(7, "A, b!")], "item_id long, text string")
     got = {r.doc_id: r.phrase_freq for r in R.phrase_match(q, docs).collect()}
     assert got == {1: 2}
+
+
+def test_matches_move_only_texts(spark):
+    """Whole texts are dealt by document once; nothing that was taken apart is shuffled again, and token lists end at the explode."""
+    docs = spark.createDataFrame([(1, "en", "a b a b x"), (2, "en", "xa b"), (3, "de", "b a")], "doc_id long, lang string, text string")
+    q = spark.createDataFrame([(7, "A, b!")], "item_id long, text string")
+    rows = R.postings(docs, ["text", "text_plain"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("split(lower(text") == 1
+    for line in plan.splitlines():
+        if "Generate explode" in line:
+            assert "_t#" not in line.split("),", 1)[1]
+    assert R.match_scores(q, docs, ["text", "text_plain"]).count() == 3
+
+
+def test_postings_of_repeated_documents(spark):
+    """Rows of one key and length count as one document, as in the SQL; null and empty texts have no terms."""
+    docs = spark.createDataFrame([(1, "en", "cats sing"), (1, "en", "cats sing"), (2, "en", None), (3, "en", ""), (4, None, "cats")],
+                                 "doc_id long, lang string, text string")
+    got = {(r.lang, r.field, r.term): (r.df, r.ttf) for r in R.term_stats(docs).collect()}
+    assert got[("en", "text_plain", "cats")] == (1, 2) and got[("en", "text", "cats")] == (1, 2)
+    assert got[(None, "text_plain", "cats")] == (1, 1) and len(got) == 6
+    assert {(r.term, r.tf, r.dl) for r in R.doc_terms(docs, "text").where("doc_id = 1").collect()} == {("cats", 2, 2), ("sing", 2, 2)}
