@@ -180,12 +180,14 @@ def _divided(rows: DataFrame, *place: str) -> DataFrame:
     return found.groupBy("n", "who").agg(F.min(F.struct(*place)).alias("p")).select("n", "p.*")
 
 
-def _rest_links(members: DataFrame, component: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _rest_links(members: DataFrame, component: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """Links between components inside buckets that the stars left divided.
 
     Similar sets have similar sizes, so a bucket falls into cells of one size class each
     (the class's members at home, those of the class below as guests): every pair whose
-    sizes allow the similarity meets in one cell, and cells of one component are done."""
+    sizes allow the similarity meets in one cell, and cells of one component are done.
+    ``docs`` are texts or their :func:`full_sets`."""
+    sets = docs if "codes" in docs.columns else full_sets(docs, members.select(F.col("rep").alias("doc_id")).distinct())
     named = members.join(component, members["rep"] == component["vertex"]).select("bucket", "rep", "n_shingles", "component")
     open_buckets = _divided(named, "bucket").where("n > 2").select("bucket")
     step = -float(np.log(percent / 100)) * 1.0001
