@@ -35,9 +35,9 @@ def _compute(feature: Feature, queries, docs, cand, values) -> DataFrame:
         return cand.select(*k).join(ex.select("lang", "item_id", F.col(col).alias(feature.name)),
                                     ["lang", "item_id"])
     if feature.kind == "phrase":
-        return R.phrase_match(queries, docs).select(*k, F.col("phrase_freq").cast("double").alias(feature.name))
+        return R.phrase_match(queries, docs, pairs=cand).select(*k, F.col("phrase_freq").cast("double").alias(feature.name))
     if feature.kind == "token_router":
-        ph = R.phrase_match(queries, docs)
+        ph = R.phrase_match(queries, docs, pairs=cand)
         n_tok = queries.select("item_id", F.size(R.analyze("text", "plain")).alias("_n"))
         return (cand.select(*k).join(n_tok, "item_id").join(ph, k, "left")
                 .select(*k, R.token_router("_n", "phrase_freq", feature.params.get("limit", 10))

@@ -177,7 +177,11 @@ def q_token_router(spark, sf_dir):
     rows = R.match_score(q, docs, "text_plain").select("lang", "item_id", "doc_id")
     ph = R.phrase_match(q, docs)
     n_tok = q.select("item_id", F.size(R.analyze("text", "plain")).alias("n_tokens"))
-    return (rows.join(F.broadcast(n_tok), "item_id").join(ph, ["lang", "item_id", "doc_id"], "left")
+    # joined by the document alone, as the rows lie: the few phrases move, not the many rows
+    of_doc = ph.groupBy("doc_id").agg(F.collect_list(F.struct("lang", "item_id", "phrase_freq")).alias("_ph"))
+    own = F.filter("_ph", lambda p: (p["lang"] == F.col("lang")) & (p["item_id"] == F.col("item_id")))
+    return (rows.join(F.broadcast(n_tok), "item_id").join(of_doc, "doc_id", "left")
+            .select("lang", "item_id", "doc_id", "n_tokens", F.explode_outer(F.transform(own, lambda p: p["phrase_freq"])).alias("phrase_freq"))
             .select("lang", "item_id", "doc_id",
                     R.token_router("n_tokens", "phrase_freq", ROUTER_LIMIT).alias("phrase_routed")))
 

@@ -84,3 +84,23 @@ def test_postings_of_repeated_documents(spark):
     assert got[("en", "text_plain", "cats")] == (1, 2) and got[("en", "text", "cats")] == (1, 2)
     assert got[(None, "text_plain", "cats")] == (1, 1) and len(got) == 6
     assert {(r.term, r.tf, r.dl) for r in R.doc_terms(docs, "text").where("doc_id = 1").collect()} == {("cats", 2, 2), ("sing", 2, 2)}
+
+
+def test_texts_are_dealt_once_a_job(spark):
+    """All features of an index read one stored deal of the texts, statistics of a set of queries are made once, and no list of
+    tokens is aggregated."""
+    docs = spark.createDataFrame([(1, "en", "a b a b x"), (2, "en", "xa b"), (3, "de", "b a"), (3, "de", "b a a b")],
+                                 "doc_id long, lang string, text string")
+    q = spark.createDataFrame([(7, "A, b!")], "item_id long, text string")
+    idx = R.build_index(docs)
+    for rows in (R.match_score(q, idx), R.phrase_match(q, idx), R.search(q, idx), R.term_stats(idx)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        outside = "\n".join(x for x in plan.split("InMemoryRelation")[:1] + [y for x in plan.split("InMemoryRelation")[1:] for y in x.splitlines()[:1]])
+        assert "InMemoryRelation" in plan and "RepartitionByExpression" not in outside and "flatten(" not in plan
+    assert idx.asked(q, ["text"], "item_id", "text") is idx.asked(q, ["text"], "item_id", "text")
+    every = {(r.lang, r.item_id, r.doc_id, r.phrase_freq) for r in R.phrase_match(q, idx).collect()}
+    assert every == {("en", 7, 1, 2), ("de", 7, 3, 1)}
+    pairs = spark.createDataFrame([("de", 7, 3), ("en", 7, 2)], "lang string, item_id long, doc_id long")
+    assert {(r.lang, r.doc_id, r.phrase_freq) for r in R.phrase_match(q, idx, pairs=pairs).collect()} == {("de", 3, 1)}
+    idx.unpersist()
+    assert idx._cached == []
