@@ -277,23 +277,25 @@ def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float =
     # (reliable checkpoint), which also cuts the upstream plan, so the many
     # small plans below do not re-analyse the whole sessions lineage.
     tagged = cut_lineage(pats.join(sizes, g))
-    small = tagged.where(F.col("_n_patterns") <= max_patterns_per_task).drop("_n_patterns")
+    small = tagged.where(F.col("_n_patterns") <= max_patterns_per_task).withColumn("_own", F.col("_n_patterns") * 2 > patterns_per_bucket).drop("_n_patterns")
     big = tagged.where(F.col("_n_patterns") > max_patterns_per_task).drop("_n_patterns")
     key_types = {f.name: f.dataType.simpleString() for f in pats.schema}
     schema = ", ".join([f"{c} {key_types[c]}" for c in g] + [f"hit_page_id {page_type}", "a double", "s double"])
     # Many small groups share one pandas call: groups are hashed into buckets
-    # sized so a bucket holds about ``patterns_per_bucket`` patterns.
+    # sized so a bucket holds about ``patterns_per_bucket`` patterns.  A group that
+    # fills half a bucket has its own call, so large groups never meet in one.
     total = tagged.count()  # materialises the persisted patterns once
     parallelism = sessions.sparkSession.sparkContext.defaultParallelism
     buckets = max(parallelism, -(-int(total) // patterns_per_bucket))
-    flat = (small.withColumn("_bucket", F.pmod(F.xxhash64(*g), F.lit(buckets)))
+    flat = (small.withColumn("_bucket", F.when(~F.col("_own"), F.pmod(F.xxhash64(*g), F.lit(buckets))))
+            .withColumn("_group", F.when(F.col("_own"), F.to_json(F.struct(*g))))
             .withColumn("_pid", F.monotonically_increasing_id())
-            .select("_bucket", *g, "_pid", "weight",
+            .select("_bucket", "_group", *g, "_pid", "weight",
                     F.posexplode(F.arrays_zip(F.col("pages").alias("p"), F.col("clicks").alias("c")))
                     .alias("_pos", "_pc"))
-            .select("_bucket", *g, "_pid", "_pos", F.col("_pc.p").alias("hit_page_id"),
+            .select("_bucket", "_group", *g, "_pid", "_pos", F.col("_pc.p").alias("hit_page_id"),
                     F.col("_pc.c").alias("clicked"), "weight"))
-    local = flat.groupBy("_bucket").applyInPandas(_local_fn(g, iterations, default_rel, gamma), schema)
+    local = flat.groupBy("_bucket", "_group").applyInPandas(_local_fn(g, iterations, default_rel, gamma), schema)
     out = local
     if big.limit(1).count() > 0:
         out = local.unionByName(_train_distributed(big, g, iterations, default_rel, gamma, page_type))

@@ -118,3 +118,24 @@ def test_distributed_em_equals_local(spark):
             click_model.click_model(df, iterations=5, max_patterns_per_task=0).collect()}
     assert local.keys() == dist.keys()
     assert all(abs(local[k] - dist[k]) < 1e-12 for k in local)
+
+
+def test_large_groups_have_their_own_call(spark, monkeypatch):
+    """Groups that fill half a bucket never meet in one call, whatever they hash to; the rest share calls."""
+    hits = [(q, p, [(0.0, p, False), (1.0, p + 1, True)]) for q in range(30) for p in range(4)]
+    df = spark.createDataFrame([("w", q, h) for q, _, h in hits],
+                               "wikiid string, norm_query_id bigint, hits array<struct<mean_position:double,hit_page_id:int,clicked:boolean>>")
+    whole = {(r.norm_query_id, r.hit_page_id): r.relevance for r in click_model.click_model(df, iterations=3).collect()}
+    real = click_model._local_fn
+
+    def counted(group_cols, *args):
+        fit = real(group_cols, *args)
+
+        def run(pdf):
+            assert len(pdf[list(group_cols)].drop_duplicates()) == 1
+            return fit(pdf)
+        return run
+
+    monkeypatch.setattr(click_model, "_local_fn", counted)
+    apart = click_model.click_model(df, iterations=3, patterns_per_bucket=4).collect()
+    assert {(r.norm_query_id, r.hit_page_id): r.relevance for r in apart} == whole
