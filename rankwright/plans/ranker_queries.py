@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import features as FT
 from ..operators import folds, rank_model
 from ..operators.ranking_metrics import ndcg
+from ..session import cut_lineage
 from ..sources.tables import TRAIN_FEATURES
 from .registry import register, rnd
 from .training_queries import K_SHARES, NUM_FOLDS, ROUNDED_SQL, SEED, _rounded, _split_sql
@@ -16,7 +17,8 @@ PARAMS = {"eta": 0.3, "max_depth": 4, "min_child_weight": 1}
 
 
 def _vectors(spark, sf_dir):
-    return FT.assemble(_rounded(spark, sf_dir), TRAIN_FEATURES)
+    # one row a page of a query, read by every count, fold and fit: the click log is read once
+    return FT.assemble(cut_lineage(_rounded(spark, sf_dir)), TRAIN_FEATURES)
 
 
 @register("ranker_scores")

@@ -126,3 +126,10 @@ def test_registered_rankers_run_the_default_rounds(monkeypatch):
         with pytest.raises(Stop):
             query(None, "")
     assert seen == [100, 100, 100]
+
+
+def test_ranker_rows_are_read_from_the_log_once(spark):
+    from rankwright.plans import ranker_queries as rq
+    data = rq._vectors(spark, SF001)
+    assert "FileScan" not in data._jdf.queryExecution().executedPlan().toString()
+    assert FT.feature_names(data) == list(TRAIN_FEATURES)
