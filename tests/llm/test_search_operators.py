@@ -70,6 +70,48 @@ def test_segments_encode_like_whole_texts():
     assert enc.serialized(texts) == [np.array(e.ids, dtype="<u2").tobytes() for e in whole]
 
 
+def test_cuts_fall_where_the_library_cuts(monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 50)
+    enc = tokens.Encoder(tokens.default_tokenizer(), 2)
+    rng = random.Random(2)
+    bits = [" ", " ", " ", "\n", "\t", "\x1c", "\x85", "\u3000", "\u2003", "\u200b", "word", "B", "é", "ß", "Ж", "×", "÷", "ğ", "漢", "\u0301", "ª", "²",
+            "٣", "Ⅷ", "12", "'", "'s", "'ll", ".", "!?", "-", "“", "<|endoftext|>", "\x00", "\u0870", "\U00031350"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(20000)] + [None, ""]
+    whole = enc.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert enc.serialized(texts) == [np.array(e.ids, dtype="<u2").tobytes() for e in whole]
+
+
+def test_new_words_reach_the_library_joined():
+    class Counted:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, 0
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    enc = tokens.Encoder(tokens.default_tokenizer(), 2)
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyzéß", k=12)) for _ in range(5000))
+    want = np.array(enc.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
+    enc.tokenizer, enc.words = Counted(enc.tokenizer), Counted(getattr(enc, "words", None))
+    assert enc.serialized([text]) == [want]
+    assert enc.tokenizer.texts + enc.words.texts < 500
+
+
+def test_other_pre_tokenizers_get_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, pre_tokenizers
+    other = Tokenizer.from_file(tokens.default_tokenizer())
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    other.save(str(tmp_path / "other.json"))
+    texts = ["one two\nthree (four)", "", "five's 6x"]
+    assert tokens.Encoder(str(tmp_path / "other.json"), 2).serialized(texts) == [
+        np.array(other.encode(t, add_special_tokens=False).ids, dtype="<u2").tobytes() for t in texts]
+
+
 def test_token_cache_generations(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_SEGMENTS", 20)
     enc = tokens.Encoder(tokens.default_tokenizer(), 2)
