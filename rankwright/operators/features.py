@@ -112,8 +112,8 @@ def collect_field_features(candidates: DataFrame, queries: DataFrame, index: X.F
       what is derived from it.
     * An external feature (a column of ``tables[name]``, joined on its ``on`` columns) without a row is NaN (``ABSENT``).
 
-    All match features come from one scoring pass, all term statistics from one aggregate, all phrases of a field
-    from one; only requested features and what they use are computed."""
+    All match features and phrases come from one pass over the candidates' texts, all term statistics from one over their
+    queries; only requested features and what they use are computed."""
     if wanted is not None:
         features = minimal_feature_set(features, wanted)
     asked = [f.params["feature"] if f.kind == "token_router" else f for f in features]
@@ -122,23 +122,12 @@ def collect_field_features(candidates: DataFrame, queries: DataFrame, index: X.F
     index._cached.append(cand)
     out = cand
     matches = sorted({f.field for f in asked if f.kind == "match"})
-    if matches:
-        scores = X.match_scores(queries, index, matches, cand)
-        out = out.join(scores.groupBy(*k).agg(*[
-            F.max(F.when(F.col("field") == m, F.col("score"))).alias(f"match:{m}") for m in matches]), k, "left")
-    explored = [f for f in asked if f.kind == "explorer"]
-    if explored:
-        fields, stats, aggs = (sorted({x(f) for f in explored}) for x in (
-            lambda f: f.field, lambda f: f.params["stat"], lambda f: f.params["agg"]))
-        found = X.term_statistics(queries, index, fields, cand, stats, aggs)
-        out = out.join(found.groupBy("lang", "item_id").agg(*[
-            F.max(F.when(F.col("field") == f.field, F.col(f"{f.params['agg']}_{f.params['stat']}"))).alias(_source(f)) for f in explored]),
-            ["lang", "item_id"], "left")
     phrases = sorted({f.field for f in asked if f.kind == "phrase"})
-    if phrases:
-        found = X.phrase_counts(queries, index, phrases, cand)
-        out = out.join(found.groupBy(*k).agg(*[
-            F.max(F.when(F.col("field") == p, F.col("phrase_freq").cast("double"))).alias(f"phrase:{p}") for p in phrases]), k, "left")
+    explored = [f for f in asked if f.kind == "explorer"]
+    if matches or phrases:
+        found = X.pair_values(queries, index, matches, phrases, cand)
+        out = out.join(found.select(*k, *[F.get("score", F.lit(i)).alias(f"match:{m}") for i, m in enumerate(matches)],
+                                    *[F.get("phrase", F.lit(i)).cast("double").alias(f"phrase:{p}") for i, p in enumerate(phrases)]), k, "left")
     counted = sorted({f.field for f in asked if f.kind == "terms_count"})
     out = out.join(queries.select("item_id", F.size(X.analysed("text", "plain")).alias("tokens:"), *[
         F.size(F.array_distinct(X.analysed("text", X.analyzer_of(c)))).cast("double").alias(f"terms_count:{c}") for c in counted]), "item_id", "left")
@@ -154,6 +143,17 @@ def collect_field_features(candidates: DataFrame, queries: DataFrame, index: X.F
         if f.kind == "external":
             own = (tables or {})[f.params["table"]].select(*f.params["on"], F.col(f.field).cast("double").alias(_source(f)), F.lit(True).alias(f"here:{f.name}"))
             out = out.join(own, f.params["on"], "left")
+    if explored:
+        # many columns: joined last, a row a language and set of equal queries
+        fields, stats, aggs = (sorted({x(f) for f in explored}) for x in (
+            lambda f: f.field, lambda f: f.params["stat"], lambda f: f.params["agg"]))
+        terms = index.asked(queries, fields)
+        place = {(f, s, a): i for i, (f, s, a) in enumerate((f, s, a) for f in fields for s in stats for a in aggs)}
+        out = out.join(terms.members.withColumnRenamed("of", "of:"), "item_id", "left")
+        own = cand.select("lang", "item_id").distinct().join(terms.members, "item_id")
+        found = X.statistics(terms, fields, stats, aggs, own).select("lang", F.col("of").alias("of:"), *[
+            F.get("value", F.lit(place[f.field, f.params["stat"], f.params["agg"]])).alias(_source(f)) for f in explored])
+        out = out.join(found, ["lang", "of:"], "left")
     of_document = {"match", "phrase", "field_value"}
     statuses: dict[str, Column] = {}
     columns: dict[str, Column] = {}

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .tables import table
 
 FIELDS = ("title", "redirect_title", "heading", "opening_text", "text", "category", "auxiliary_text", "suggest", "all", "all_near_match")
+# Fields that are others one after another.
+JOINED = {"suggest": ("title",), "all": ("title", "heading", "text", "auxiliary_text", "category"), "all_near_match": ("title",)}
 VALUES = ("popularity_score", "incoming_links", "text_word_count", "text_bytes")
 NO_LANGUAGE = "und"
 # Fixed patterns; the SQL uses them too.
@@ -74,7 +76,7 @@ def text_documents(documents: DataFrame) -> DataFrame:
 def _finished(rows: DataFrame) -> DataFrame:
     return rows.select(
         "lang", "doc_id", "title", "redirect_title", "heading", "opening_text", "text", "category", "auxiliary_text",
-        F.col("title").alias("suggest"), F.concat_ws(" \n ", "title", "heading", "text", "auxiliary_text", "category").alias("all"),
+        F.col("title").alias("suggest"), F.concat_ws(" \n ", *JOINED["all"]).alias("all"),
         F.col("title").alias("all_near_match"),
         (F.char_length("text") / 1e6).alias("popularity_score"), "incoming_links",
         F.size(F.filter(F.split("text", r"\s+"), lambda w: F.length(w) > 0)).cast("double").alias("text_word_count"),
