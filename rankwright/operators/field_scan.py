@@ -370,7 +370,7 @@ class Matches:
         self.chunk, self.block = chunk, block
         self.lang = places(chunk.langs, block.langs)[chunk.lang]
         self.lang[chunk.nameless] = -1
-        self._held, self._seed, self._names = {}, {}, None
+        self._held, self._seed, self._order, self._names = {}, {}, {}, None
 
     def ids(self, name: str) -> np.ndarray:
         return self.chunk.numbers(name, self.block.vocab)
@@ -493,10 +493,10 @@ class Matches:
         out, chosen = np.zeros(len(docs), np.int64), np.flatnonzero(real)
         docs, query = docs[chosen], query[chosen]
         size = ends[query + 1] - ends[query]
-        tokens, sizes, _ = self.chunk.tokens(name)
-        ids = self.ids(name)[tokens] if len(tokens) else np.zeros(0, np.int64)
-        begin = starts_of(sizes)
-        row = np.repeat(np.arange(len(sizes)), sizes)
+        if name not in self._order:
+            tokens, sizes, _ = self.chunk.tokens(name)
+            self._order[name] = (self.ids(name)[tokens] if len(tokens) else np.zeros(0, np.int64), sizes, starts_of(sizes), np.repeat(np.arange(len(sizes)), sizes))
+        ids, sizes, begin, row = self._order[name]
         which, at = spans(ends[query], ends[query + 1])
         if self.chunk.repeated:
             pair, start = self._votes(name, docs, which, terms[at], place[at], ids, row, begin, size, np.ones(len(docs), np.int64) if many is None else many[chosen])
@@ -506,6 +506,9 @@ class Matches:
             least = np.minimum.reduceat(tf, starts_of(size)) if len(size) else size
             is_least = np.flatnonzero((tf == least[which]) & (tf > 0))
             is_least = is_least[np.concatenate([[True], which[is_least][1:] != which[is_least][:-1]])] if len(is_least) else is_least
+            # a word alone is a phrase wherever it stands
+            out[chosen[which[is_least]]] = np.where(size[which[is_least]] == 1, tf[is_least], 0)
+            is_least = is_least[size[which[is_least]] > 1]
             pair, anchor, off = which[is_least], terms[at[is_least]], place[at[is_least]].astype(np.int64)
             used = np.zeros(self.width(name) + 1, bool)
             used[anchor] = True
@@ -524,7 +527,7 @@ class Matches:
             real = np.bincount(which, weights=~same, minlength=len(pair)) == 0
             pair, start = pair[real], start[real]
         order = np.lexsort((start, pair))
-        out[chosen] = _apart(pair[order], start[order], size)
+        out[chosen] += _apart(pair[order], start[order], size)
         return out
 
     def _votes(self, name, docs, which, terms, place, ids, row, begin, size, many):
