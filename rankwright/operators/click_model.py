@@ -10,23 +10,32 @@ Distribution:
   weighted row first (a partial aggregate, so hot queries shrink early);
 * groups with at most ``max_patterns_per_task`` patterns run all iterations
   inside one ``applyInPandas`` call (numpy, vectorised over sessions);
-* larger groups run the same EM as Spark iterations: the E-step is a
-  ``mapInPandas`` over pattern rows and the M-step a ``groupBy`` sum, so a
-  hot query is spread over many tasks.  Both paths compute the same numbers.
+* larger groups run the same EM as Spark iterations.  Up to ``SENT_PAGES`` pages of
+  them the parameters are sent to every task: patterns are packed once (page
+  numbers, clicks, weights, by length), a task sums the estimates of its patterns
+  by page, and only these sums are shuffled.  With more pages the E-step joins the
+  parameters (``mapInPandas`` over pattern rows) and the M-step is a ``groupBy`` sum.
+  All paths compute the same numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, retire
 
 GROUP = ("wikiid", "norm_query_id")
+# Pages of large groups whose parameters are sent to every task.
+SENT_PAGES = 500_000
+# Patterns of an E-step at a time: its arrays stay in the cache.
+STEP_PATTERNS = 4096
+PACKED = "lengths binary, pages binary, clicks binary, weights binary"
 
 
 def estep(a: np.ndarray, s: np.ndarray, clicks: np.ndarray, mask: np.ndarray, gamma: float):
@@ -262,6 +271,87 @@ def _train_distributed(pats: DataFrame, group_cols, iterations, default_rel, gam
     return params
 
 
+def _pack(sent, batches):
+    """Rows (_group, pages, clicks, weight) as arrays: a row a batch, its patterns by length, pages by their number among the
+    (group, page) that were sent."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    groups, pages, keys = sent.value
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = batch.column("pages")
+        lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = pc.index_in(batch.column("_group"), value_set=groups).to_numpy(zero_copy_only=False).astype(np.int64)
+        page = pc.index_in(lists.flatten(), value_set=pages).to_numpy(zero_copy_only=False).astype(np.int64)
+        number = np.searchsorted(keys, np.repeat(group, lengths) * len(pages) + page).astype(np.int32)
+        clicks = pc.fill_null(batch.column("clicks").flatten(), False).to_numpy(zero_copy_only=False)
+        order = np.argsort(lengths, kind="stable")
+        starts, n = (np.cumsum(lengths) - lengths)[order], lengths[order]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts, n)
+        weights = batch.column("weight").to_numpy(zero_copy_only=False).astype(float)[order]
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (n.astype(np.int32), number[at], clicks[at], weights)],
+                                         ["lengths", "pages", "clicks", "weights"])
+
+
+def _packed_sums(sent, gamma, batches):
+    """(page, a1, a0, s1, s0) of a task's packed patterns."""
+    import pyarrow as pa
+    a, s = sent.value
+    sums = np.zeros((4, len(a)))
+    for batch in batches:
+        for row in zip(*[batch.column(c).to_pylist() for c in ("lengths", "pages", "clicks", "weights")]):
+            lengths, pages, clicks, weights = (np.frombuffer(x, kind) for x, kind in zip(row, (np.int32, np.int32, bool, float)))
+            ends, done = np.searchsorted(lengths, np.unique(lengths), "right"), 0
+            for end in ends.tolist():
+                n = int(lengths[end - 1])
+                for lo in range(end - int(np.sum(lengths == n)), end, STEP_PATTERNS):
+                    hi = min(lo + STEP_PATTERNS, end)
+                    size = (hi - lo) * n
+                    idx = np.ascontiguousarray(pages[done:done + size].reshape(-1, n).T)
+                    cl = np.ascontiguousarray(clicks[done:done + size].reshape(-1, n).T)
+                    done += size
+                    if not n:
+                        continue
+                    ea, es = _estep_t(a[idx], s[idx], cl, np.ones(cl.shape, bool), gamma)
+                    w = np.broadcast_to(weights[lo:hi], cl.shape)
+                    sums[0] += np.bincount(idx.ravel(), (w * ea).ravel(), len(a))
+                    sums[1] += np.bincount(idx.ravel(), (w * (1.0 - ea)).ravel(), len(a))
+                    sums[2] += np.bincount(idx[cl], (w * es)[cl], len(a))
+                    sums[3] += np.bincount(idx[cl], (w * (1.0 - es))[cl], len(a))
+    held = np.flatnonzero(sums.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int64)), *[pa.array(x[held]) for x in sums]], ["page", "a1", "a0", "s1", "s0"])
+
+
+def _train_sent(pats: DataFrame, pages: DataFrame, group_cols, iterations, default_rel, gamma) -> DataFrame:
+    """EM of large groups whose parameters are sent to every task.  ``pages``: (_group, group..., hit_page_id), a row a
+    parameter."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    spark, names = pats.sparkSession, ("a1", "a0", "s1", "s0")
+    known = pages.toArrow()
+    group, page = (pc.dictionary_encode(pa.concat_arrays(known[c].chunks), null_encoding="encode") for c in ("_group", "hit_page_id"))
+    keys = group.indices.to_numpy().astype(np.int64) * len(page.dictionary) + page.indices.to_numpy()
+    order = np.argsort(keys)
+    known, n = known.take(pa.array(order)), len(keys)
+    numbers = spark.sparkContext.broadcast((group.dictionary, page.dictionary, keys[order]))
+    packed = cut_lineage(pats.select("_group", "pages", "clicks", "weight").mapInArrow(partial(_pack, numbers), PACKED))
+    a, s = np.full(n, default_rel), np.full(n, default_rel)
+    for _ in range(iterations):
+        sent = spark.sparkContext.broadcast((a, s))
+        found = packed.mapInArrow(partial(_packed_sums, sent, gamma), "page bigint, " + ", ".join(f"{c} double" for c in names)) \
+            .groupBy("page").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+        sums = np.zeros((4, n))
+        for i, c in enumerate(names):
+            sums[i, found["page"].to_numpy()] = found[c].to_numpy()
+        a, s = (1 + sums[0]) / (2 + sums[0] + sums[1]), (1 + sums[2]) / (2 + sums[2] + sums[3])
+        sent.destroy()
+    retire(packed)
+    fields = pages.drop("_group").schema
+    return spark.createDataFrame(known.drop_columns(["_group"]).append_column("a", pa.array(a)).append_column("s", pa.array(s)),
+                                 fields.add("a", "double").add("s", "double"))
+
+
 def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float = 0.5, gamma: float = 0.9,
                 group_cols: Sequence[str] = GROUP, max_patterns_per_task: int = 200_000,
                 page_type: str = "bigint", patterns_per_bucket: int = 50_000) -> DataFrame:
@@ -272,19 +362,23 @@ def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float =
     ship_package(sessions.sparkSession)
     g = list(group_cols)
     pats = patterns(sessions, g, page_type)
-    sizes = pats.groupBy(*g).agg(F.count(F.lit(1)).alias("_n_patterns"))
     # Patterns are read by the size check and by both paths: write them once
     # (reliable checkpoint), which also cuts the upstream plan, so the many
     # small plans below do not re-analyse the whole sessions lineage.
-    tagged = cut_lineage(pats.join(sizes, g))
-    small = tagged.where(F.col("_n_patterns") <= max_patterns_per_task).withColumn("_own", F.col("_n_patterns") * 2 > patterns_per_bucket).drop("_n_patterns")
-    big = tagged.where(F.col("_n_patterns") > max_patterns_per_task).drop("_n_patterns")
+    pats = cut_lineage(pats.dropna(subset=g))
+    # Groups that fill half a bucket are few (their patterns add up), so they are sent and no pattern is shuffled.
+    heavy = pats.groupBy(*g).agg(F.count(F.lit(1)).alias("_n_patterns")) \
+        .where((F.col("_n_patterns") * 2 > patterns_per_bucket) | (F.col("_n_patterns") > max_patterns_per_task))
+    tagged = pats.join(F.broadcast(heavy), g, "left")
+    is_big = F.coalesce(F.col("_n_patterns") > max_patterns_per_task, F.lit(False))
+    small = tagged.where(~is_big).withColumn("_own", F.coalesce(F.col("_n_patterns") * 2 > patterns_per_bucket, F.lit(False))).drop("_n_patterns")
+    big = tagged.where(is_big).drop("_n_patterns")
     key_types = {f.name: f.dataType.simpleString() for f in pats.schema}
     schema = ", ".join([f"{c} {key_types[c]}" for c in g] + [f"hit_page_id {page_type}", "a double", "s double"])
     # Many small groups share one pandas call: groups are hashed into buckets
     # sized so a bucket holds about ``patterns_per_bucket`` patterns.  A group that
     # fills half a bucket has its own call, so large groups never meet in one.
-    total = tagged.count()  # materialises the persisted patterns once
+    total = pats.count()
     parallelism = sessions.sparkSession.sparkContext.defaultParallelism
     buckets = max(parallelism, -(-int(total) // patterns_per_bucket))
     flat = (small.withColumn("_bucket", F.when(~F.col("_own"), F.pmod(F.xxhash64(*g), F.lit(buckets))))
@@ -298,5 +392,10 @@ def click_model(sessions: DataFrame, iterations: int = 40, default_rel: float =
     local = flat.groupBy("_bucket", "_group").applyInPandas(_local_fn(g, iterations, default_rel, gamma), schema)
     out = local
     if big.limit(1).count() > 0:
-        out = local.unionByName(_train_distributed(big, g, iterations, default_rel, gamma, page_type))
+        big = big.withColumn("_group", F.to_json(F.struct(*g)))
+        pages = big.select("_group", *g, F.explode("pages").alias("hit_page_id")).distinct()
+        if pages.count() <= SENT_PAGES:
+            out = local.unionByName(_train_sent(big, pages, g, iterations, default_rel, gamma))
+        else:
+            out = local.unionByName(_train_distributed(big.drop("_group"), g, iterations, default_rel, gamma, page_type))
     return out.select(*g, "hit_page_id", (F.col("a") * F.col("s")).alias("relevance"))

@@ -139,3 +139,50 @@ def test_large_groups_have_their_own_call(spark, monkeypatch):
     monkeypatch.setattr(click_model, "_local_fn", counted)
     apart = click_model.click_model(df, iterations=3, patterns_per_bucket=4).collect()
     assert {(r.norm_query_id, r.hit_page_id): r.relevance for r in apart} == whole
+
+
+def test_sent_parameters_equal_joined_ones(spark, monkeypatch):
+    """Large groups: parameters sent to every task, or joined where the pages are too many; pages and groups that look alike."""
+    import random
+    rng = random.Random(9)
+    rows = []
+    for wiki, q in (("w", 1), ("w", 11), ("w1", 1), ("v", None), (None, 2)):
+        for _ in range(60):
+            n = rng.randint(1, 7)
+            pages = rng.sample(range(12), n)
+            rows.append((wiki, q, [(float(i), pages[i], rng.random() < 0.4) for i in range(n)]))
+    df = spark.createDataFrame(rows, "wikiid string, norm_query_id bigint, "
+                                     "hits array<struct<mean_position:double,hit_page_id:int,clicked:boolean>>")
+
+    def got(**more):
+        return {(r.wikiid, r.norm_query_id, r.hit_page_id): r.relevance for r in click_model.click_model(df, iterations=6, **more).collect()}
+
+    local = got()
+    assert len({k[:2] for k in local}) == 3  # groups without a key are left out
+    monkeypatch.setattr(click_model, "_train_distributed", None)
+    sent = got(max_patterns_per_task=0)
+    mixed = got(max_patterns_per_task=58)
+    monkeypatch.undo()
+    monkeypatch.setattr(click_model, "SENT_PAGES", 0)
+    joined = got(max_patterns_per_task=0)
+    for other in (sent, mixed, joined):
+        assert other.keys() == local.keys() and all(abs(local[k] - other[k]) < 1e-12 for k in local)
+
+
+def test_packed_patterns_are_stepped_in_slices(monkeypatch):
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1, 6, 50)
+    rows = pa.record_batch([pa.array(["g"] * 50), pa.array([rng.integers(0, 8, n).tolist() for n in lengths]), pa.array([(rng.random(n) < 0.4).tolist() for n in lengths]),
+                            pa.array(rng.integers(1, 9, 50))], ["_group", "pages", "clicks", "weight"])
+
+    def sent(value):
+        return type("Sent", (), {"value": value})
+
+    packed = list(click_model._pack(sent((pa.array(["g"]), pa.array(range(8)), np.arange(8))), iter([rows])))
+    params = (np.linspace(0.2, 0.8, 8), np.linspace(0.7, 0.3, 8))
+    whole = next(click_model._packed_sums(sent(params), 0.9, iter(packed))).to_pydict()
+    monkeypatch.setattr(click_model, "STEP_PATTERNS", 3)
+    sliced = next(click_model._packed_sums(sent(params), 0.9, iter(packed))).to_pydict()
+    assert whole["page"] == sliced["page"] and all(np.allclose(whole[c], sliced[c], rtol=0, atol=1e-12) for c in ("a1", "a0", "s1", "s0"))
+    assert abs(sum(whole["a1"]) + sum(whole["a0"]) - sum(w * n for w, n in zip(rows["weight"].to_pylist(), lengths))) < 1e-9
